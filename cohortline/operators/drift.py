@@ -137,7 +137,8 @@ def feature_drift(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS
                   count_outside: bool = False) -> DataFrame:
     """(feature, n_current, psi, ks_stat, ks_pvalue, status, ref_mean, cur_mean),
     unrounded, for features present on both sides."""
-    placed = place_counts(current, reference, n_bins, sample_size, count_outside)
+    # read by three small aggregates below: one scan instead of three
+    placed = pin_small(place_counts(current, reference, n_bins, sample_size, count_outside), 200_000)
     return drift_from_counts(placed, reference, watch, alert, alpha)
 
 

@@ -61,7 +61,7 @@ def pin_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     """A statistics table (one row per column, class or bucket) computed once and
     kept as a local relation, so that plans using it several times neither repeat
     the scans behind it nor guess its size. Anything larger is checkpointed."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return cut_lineage(df)
     return df.sparkSession.createDataFrame(rows, df.schema)
