@@ -10,6 +10,7 @@ from cohortline.functions.text import stable_hash
 from cohortline.operators.knn import as_rows, row_neighbours
 from cohortline.operators.ranked import dense_index
 from cohortline.operators.replicate import replicate
+from cohortline.session import pin_small
 
 HASH_RANGE = float(2 ** 32)
 
@@ -35,8 +36,8 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 5, seed
         raise ValueError(f"smallest class has {small['lo']} rows; {k} neighbours need at least {k + 1}")
     plan = synthetic_plan(df, id_col, label, seed)
     # the majority class needs no neighbours
-    largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < small["hi"]).select(label)
-    minority = df.join(F.broadcast(largest), label)
+    raised = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < small["hi"]).select(label)
+    minority = df.join(pin_small(raised), label)
     rows = as_rows(minority, id_col, vec_col, scope=label)
     around = row_neighbours(rows, k, probes).select("id", "vec", "neighbours")
     drawn = replicate(plan.join(around, "id"), "draws", "draw")

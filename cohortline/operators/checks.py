@@ -41,29 +41,34 @@ class CheckFailed(RuntimeError):
     """An error-severity check found violations; downstream tables must not build."""
 
 
-def run_column_checks(df: DataFrame, layer: str, checks: Sequence[ColumnCheck], chunk: int = 40) -> DataFrame:
-    result = None
-    for start in range(0, len(checks), chunk):
-        part = checks[start:start + chunk]
-        counted = df.agg(*[
-            c
-            for i, check in enumerate(part)
-            for c in (
-                F.count_if(check.violated()).alias(f"n{i}"),
-                F.min(F.when(check.violated(), F.col(f"`{check.column}`").cast("string"))).alias(f"s{i}"),
-            )
-        ])
-        rows = [
-            F.struct(
-                F.lit(check.kind).alias("check"), F.lit(layer).alias("layer"), F.lit(check.column).alias("column"),
-                F.lit(check.severity).alias("severity"), F.col(f"n{i}").alias("n_violations"),
-                (F.col(f"n{i}") == 0).alias("passed"), F.col(f"s{i}").alias("sample"),
-            )
-            for i, check in enumerate(part)
-        ]
-        frame = counted.select(F.inline(F.array(*rows)))
-        result = frame if result is None else result.unionByName(frame)
-    return result
+def run_column_checks(df: DataFrame, layer: str, checks: Sequence[ColumnCheck]) -> DataFrame:
+    """One result row per check, from one aggregate pass."""
+    flagged, marks = flag_violations(df, layer, checks)
+    return count_violations(flagged, marks)
+
+
+def flag_violations(df: DataFrame, layer: str, checks: Sequence[ColumnCheck]) -> tuple[DataFrame, list[tuple[str, str, ColumnCheck]]]:
+    """Adds a column per check that holds the violating value as text (empty for a
+    null) and is null where the check holds. Later projections carry the columns
+    along, so the checks of a whole layer chain can be counted in one pass."""
+    marks = [(f"_check_{layer}_{i}", layer, check) for i, check in enumerate(checks)]
+    return df.withColumns({
+        name: F.when(check.violated(), F.coalesce(F.col(f"`{check.column}`").cast("string"), F.lit("")))
+        for name, _, check in marks
+    }), marks
+
+
+def count_violations(flagged: DataFrame, marks: Sequence[tuple[str, str, ColumnCheck]]) -> DataFrame:
+    counted = flagged.agg(*[c for name, _, _ in marks for c in (F.count(name).alias(f"n{name}"), F.min(name).alias(f"s{name}"))])
+    rows = [
+        F.struct(
+            F.lit(check.kind).alias("check"), F.lit(layer).alias("layer"), F.lit(check.column).alias("column"),
+            F.lit(check.severity).alias("severity"), F.col(f"n{name}").alias("n_violations"),
+            (F.col(f"n{name}") == 0).alias("passed"), F.nullif(F.col(f"s{name}"), F.lit("")).alias("sample"),
+        )
+        for name, layer, check in marks
+    ]
+    return counted.select(F.inline(F.array(*rows)))
 
 
 def layer_counts(layers: dict[str, DataFrame]) -> DataFrame:
@@ -87,7 +92,8 @@ def row_loss(counts: DataFrame, baseline: str) -> DataFrame:
 def duplicate_rate(df: DataFrame, cols: Sequence[str], strict: bool = False) -> DataFrame:
     """(total_rows, distinct_rows, duplicate_rate) by fingerprint; the rate is null
     for an empty table."""
-    counted = df.select(row_fingerprint(*cols, strict=strict).alias("fp")).agg(
+    # 16 bytes per distinct row reach the shuffle, not 32 hex digits
+    counted = df.select(F.unhex(row_fingerprint(*cols, strict=strict)).alias("fp")).agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_distinct("fp").alias("distinct_rows"))
     return counted.withColumn("duplicate_rate", 1.0 - safe_ratio(F.col("distinct_rows"), F.col("total_rows")))
 

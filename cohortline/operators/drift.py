@@ -25,6 +25,15 @@ from cohortline.session import pin_small
 N_BINS = 10
 SAMPLE_SIZE = 2000
 
+#: A feature's statistics hold some 2,000 doubles, so this many fit a broadcast.
+MAX_FEATURES = 5000
+
+
+def per_feature(stats: DataFrame) -> DataFrame:
+    """Broadcast a one-row-per-feature table once its row count is checked; a
+    shuffle join on so few keys would put a whole feature into one task."""
+    return F.broadcast(stats) if stats.limit(MAX_FEATURES + 1).count() <= MAX_FEATURES else stats
+
 
 def clean_values(df: DataFrame) -> DataFrame:
     return df.filter(F.col("value").isNotNull() & ~F.isnan("value"))
@@ -54,9 +63,8 @@ def bin_of(value: Column, edges: Column, max_edges: int, count_outside: bool = F
 def histogram(values: DataFrame, edges: DataFrame, max_edges: int = N_BINS + 1, count_outside: bool = False) -> DataFrame:
     """(feature, bin, low, high, n, share) for every bin; empty bins give zero and
     shares are zero when nothing lies in range."""
-    sized = F.broadcast(edges.select("feature", "edges"))
     counts = (
-        values.join(sized, "feature")
+        values.join(per_feature(edges.select("feature", "edges")), "feature")
         .select("feature", bin_of(F.col("value"), F.col("edges"), max_edges, count_outside).alias("bin"))
         .filter(F.col("bin").isNotNull())
         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
@@ -84,9 +92,9 @@ def ks_two_sample(left: DataFrame, right: DataFrame, small: bool | None = None)
     both = left.select("feature", "value", F.lit(1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).unionByName(
         right.select("feature", "value", F.lit(0).cast("bigint").alias("a"), F.lit(1).cast("bigint").alias("b")))
     running = running_sums(both, ["feature"], "value", ["a", "b"], small=small)
-    totals = both.groupBy("feature").agg(F.sum("a").alias("n_left"), F.sum("b").alias("n_right"))
+    totals = pin_small(both.groupBy("feature").agg(F.sum("a").alias("n_left"), F.sum("b").alias("n_right")), MAX_FEATURES)
     gap = F.abs(F.col("a_cum") / F.col("n_left") - F.col("b_cum") / F.col("n_right"))
-    stat = running.join(F.broadcast(totals), "feature").groupBy("feature", "n_left", "n_right").agg(F.max(gap).alias("ks_stat"))
+    stat = running.join(totals, "feature").groupBy("feature", "n_left", "n_right").agg(F.max(gap).alias("ks_stat"))
     return stat.withColumn("ks_pvalue", ks_p_value(F.col("ks_stat"), F.col("n_left"), F.col("n_right")))
 
 
@@ -106,14 +114,14 @@ def build_reference(df: DataFrame, features: Sequence[str], row_key: Sequence[st
     moments = values.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     sample = bottom_k_sample(keyed, ["feature"], row_key, sample_size, seed).groupBy("feature").agg(
         F.sort_array(F.collect_list("value")).alias("sample"))
-    return pin_small(edges.select("feature", "edges").join(shares, "feature").join(moments, "feature").join(sample, "feature"), 2000)
+    return pin_small(edges.select("feature", "edges").join(shares, "feature").join(moments, "feature").join(sample, "feature"), MAX_FEATURES)
 
 
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """(label, share) of the non-null labels, by label."""
     counts = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    gathered = counts.agg(F.collect_list(F.struct("label", "n")).alias("rows"), F.sum("n").alias("total"))
-    return gathered.select(F.inline("rows"), "total").select("label", (F.col("n") / F.col("total")).alias("share")).orderBy("label")
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select("label", (F.col("n") / total).alias("share")).orderBy("label")
 
 
 def place_counts(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE,
@@ -123,7 +131,7 @@ def place_counts(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS,
     rows per feature; counts of separate batches add up."""
     points = reference.select("feature", "edges", F.array_sort(F.array_distinct("sample")).alias("points"))
     return (
-        clean_values(current).join(F.broadcast(points), "feature")
+        clean_values(current).join(per_feature(points), "feature")
         .withColumn("bin", bin_of(F.col("value"), F.col("edges"), n_bins + 1, count_outside))
         .withColumn("place", count_at_most(F.col("value"), F.col("points"), sample_size))
         .withColumn("on_point", F.coalesce(F.get("points", F.col("place") - 1) == F.col("value"), F.lit(False)))

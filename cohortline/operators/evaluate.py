@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.operators.ranked import DEFAULT_BUCKETS, running_sums
+from cohortline.session import pin_small
 
 
 def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -61,8 +62,8 @@ def roc_points(scored: DataFrame, small: bool | None = None, buckets: int = DEFA
     flags = scored.select(
         "class", "score", F.col("is_positive").cast("bigint").alias("p"), (1 - F.col("is_positive").cast("bigint")).alias("q"))
     running = running_sums(flags, ["class"], "score", ["p", "q"], ascending=False, small=small, buckets=buckets)
-    totals = flags.groupBy("class").agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"))
-    return running.join(F.broadcast(totals), "class").select(
+    totals = pin_small(flags.groupBy("class").agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg")))
+    return running.join(totals, "class").select(
         "class", F.col("score").alias("threshold"), "p", "q", F.col("p_cum").alias("tp"), F.col("q_cum").alias("fp"),
         (F.col("p_cum") / F.col("n_pos")).alias("tpr"), (F.col("q_cum") / F.col("n_neg")).alias("fpr"), "n_pos", "n_neg")
 

@@ -52,8 +52,7 @@ def prediction_shares(events: DataFrame) -> DataFrame:
     """(prediction, share) over events with a feature object and a label, three
     decimals."""
     counts = events.filter("features IS NOT NULL AND prediction IS NOT NULL").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
-    gathered = counts.agg(F.collect_list(F.struct("prediction", "n")).alias("rows"), F.sum("n").alias("total"))
-    return gathered.select(F.inline("rows"), "total").select("prediction", F.round(F.col("n") / F.col("total"), 3).alias("share"))
+    return counts.select("prediction", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 3).alias("share"))
 
 
 def latency_trend(events: DataFrame, order: Sequence[str], n: int = 50) -> DataFrame:

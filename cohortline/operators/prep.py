@@ -11,6 +11,7 @@ from cohortline.functions.text import row_fingerprint, stable_hash
 from cohortline.operators.columns import continuous_columns, project
 from cohortline.operators.profile import _chunked, _one_row_as_long, _union
 from cohortline.operators.ranked import dense_index
+from cohortline.session import pin_small
 
 HASH_RANGE = 2 ** 32
 
@@ -72,14 +73,19 @@ def select_features(df: DataFrame, features: Sequence[str], keep: Sequence[str]
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """(label, n, weight) with weight n_rows / (n_classes * n_class). One row per
-    class is gathered to form the totals."""
+    """(label, n, weight) with weight n_rows / (n_classes * n_class)."""
     counts = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    gathered = counts.agg(F.collect_list(F.struct("label", "n")).alias("rows"), F.sum("n").alias("total"), F.count(F.lit(1)).alias("k"))
-    return gathered.select(F.inline("rows"), "total", "k").select(
-        "label", "n", (F.col("total") / (F.col("k") * F.col("n"))).alias("weight"))
+    mean_size = counts.agg(F.avg("n")).scalar()
+    return counts.select("label", "n", (mean_size / F.col("n")).alias("weight"))
 
 
 def with_class_weight(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(F.col("label").alias(label), F.col("weight").alias(weight))
-    return df.join(F.broadcast(weights), label)
+    return df.join(pin_small(weights), label)
+
+
+def fit_label_codes(df: DataFrame, col: str) -> dict:
+    """Label -> code in alphabetical order of the non-null labels (one row per
+    class comes to the driver)."""
+    labels = df.filter(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()
+    return {row[0]: code for code, row in enumerate(labels)}

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -55,24 +57,66 @@ def skew_profile(df: DataFrame, cols: Sequence[str] | None = None, chunk: int =
     return _union(parts).orderBy(F.desc_nulls_last("skewness"), "column_name")
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None, chunk: int = 100) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None, max_native_pairs: int = 100) -> DataFrame:
     """Pearson r of each column pair over the rows where both are present, as
-    (left_pos, left_col, right_pos, right_col, r). One map-side pass per chunk of
-    pairs, no shuffle of rows."""
+    (left_pos, left_col, right_pos, right_col, r). Few pairs are one built-in
+    aggregate; many would need a scan per hundred pairs, so they are one pass of
+    matrix products instead. Neither moves rows."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    parts = []
-    for pairs in _chunked(list(combinations(range(len(cols)), 2)), chunk):
-        row = df.agg(*[
-            F.corr(F.col(f"`{cols[i]}`").cast("double"), F.col(f"`{cols[j]}`").cast("double")).alias(f"v{p}")
-            for p, (i, j) in enumerate(pairs)
-        ])
-        cells = [
-            F.struct(F.lit(i).alias("left_pos"), F.lit(cols[i]).alias("left_col"), F.lit(j).alias("right_pos"),
-                     F.lit(cols[j]).alias("right_col"), F.col(f"v{p}").alias("r"))
-            for p, (i, j) in enumerate(pairs)
-        ]
-        parts.append(row.select(F.inline(F.array(*cells))))
-    return _union(parts)
+    pairs = list(combinations(range(len(cols)), 2))
+    if len(pairs) > max_native_pairs:
+        return _corr_by_products(df, cols)
+    row = df.agg(*[_pair_corr(cols[i], cols[j]).alias(f"v{p}") for p, (i, j) in enumerate(pairs)])
+    cells = [
+        F.struct(F.lit(i).alias("left_pos"), F.lit(cols[i]).alias("left_col"), F.lit(j).alias("right_pos"),
+                 F.lit(cols[j]).alias("right_col"), F.col(f"v{p}").alias("r"))
+        for p, (i, j) in enumerate(pairs)
+    ]
+    return row.select(F.inline(F.array(*cells)))
+
+
+def _pair_corr(left: str, right: str):
+    """Like ``corr``, but null instead of an error when a side has no spread."""
+    a, b = F.col(f"`{left}`").cast("double"), F.col(f"`{right}`").cast("double")
+    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    # merged deviations of a constant side can miss zero by rounding; its extremes cannot
+    spread = F.when((F.min(a) < F.max(a)) & (F.min(b) < F.max(b)), F.stddev_pop(a) * F.stddev_pop(b))
+    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+
+
+def _corr_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Pairwise sums from products of the value and presence matrices of each Arrow
+    batch; values are centred by the column means first, against cancellation."""
+    wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    means_row = wide.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
+    means = np.array([0.0 if v is None else v for v in means_row], dtype=np.float64)
+    left, right = np.triu_indices(len(cols), k=1)
+
+    def partial_sums(batches):
+        n = sx = sxx = sxy = 0.0
+        for batch in batches:
+            values = batch.to_numpy(dtype=np.float64, na_value=np.nan) - means
+            present = (~np.isnan(values)).astype(np.float64)
+            values = np.where(present > 0, values, 0.0)
+            n = n + present.T @ present
+            sx = sx + values.T @ present
+            sxx = sxx + (values * values).T @ present
+            sxy = sxy + values.T @ values
+        if not np.isscalar(n):
+            yield pd.DataFrame({
+                "i": left, "j": right, "n": n[left, right], "sx": sx[left, right], "sy": sx[right, left],
+                "sxx": sxx[left, right], "syy": sxx[right, left], "sxy": sxy[left, right]})
+
+    schema = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+    sums = wide.mapInPandas(partial_sums, schema).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    covariance = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    # spread that is nothing but rounding counts as none
+    left_var, right_var = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n"), F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    defined = (F.col("n") > 1) & (left_var > 1e-12 * F.col("sxx")) & (right_var > 1e-12 * F.col("syy"))
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(
+        F.col("i").alias("left_pos"), F.get(names, "i").alias("left_col"), F.col("j").alias("right_pos"), F.get(names, "j").alias("right_col"),
+        F.when(defined, covariance / F.sqrt(left_var * right_var)).alias("r"))
 
 
 def corr_prune(pairs: DataFrame, threshold: float = 0.85) -> DataFrame:

@@ -4,8 +4,8 @@ indexes, bottom-k samples, last-n and first-of-key.
 Small inputs (by Catalyst's estimate) take the one-window form. Anything else is
 cut into buckets by approximate quantiles; the sketch only decides how evenly the
 work spreads, the results are exact whatever it says. Groups are column names or
-class labels, so a group's bucket edges may be broadcast: ``MAX_GROUPS`` groups of
-``buckets`` doubles.
+class labels: up to ``MAX_GROUPS`` of them are pinned as small local tables, whose known
+size lets the planner broadcast them; more are joined by shuffle.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ def _edges(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int) -
 
 
 def _bucketed(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int, edges: DataFrame) -> DataFrame:
-    joined = df.join(F.broadcast(edges), list(groups))
+    # pinned edges have a known size, so the planner broadcasts them by itself
+    joined = df.join(edges, list(groups))
     return joined.withColumn("_bucket", count_at_most(F.col(order_col), F.col("_edges"), buckets)).drop("_edges")
 
 
@@ -53,7 +54,8 @@ def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures:
     before = W.partitionBy(*groups).orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(*groups, "_bucket", *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])
     inside = W.partitionBy(*groups, "_bucket").orderBy(direction).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return cut.join(F.broadcast(offsets), groups + ["_bucket"]).select(
+    # the window below needs this partitioning anyway, so the join adds no shuffle
+    return cut.join(offsets, groups + ["_bucket"]).select(
         *groups, order_col, *measures,
         *[(F.col(f"_o_{m}") + F.sum(m).over(inside)).alias(f"{m}_cum") for m in measures],
     )
@@ -88,14 +90,14 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     )
     located = pin_small(ranks.join(ranges.drop("n"), group).filter("_rank >= _from AND _rank < _to"))
     hit = located.select(group, "_bucket", "_from").distinct()
-    counted = cut.join(F.broadcast(hit), [group, "_bucket"]).groupBy(group, "_bucket", "_from", value).agg(F.count(F.lit(1)).alias("_c"))
+    counted = cut.join(hit, [group, "_bucket"]).groupBy(group, "_bucket", "_from", value).agg(F.count(F.lit(1)).alias("_c"))
     in_bucket = W.partitionBy(group, "_bucket").orderBy(value)
     spans = counted.select(
         group, "_bucket", value,
         (F.col("_from") + F.sum("_c").over(in_bucket) - F.col("_c")).alias("_lo"),
         (F.col("_from") + F.sum("_c").over(in_bucket)).alias("_hi"),
     )
-    picked = spans.join(F.broadcast(located.drop("_from", "_to")), [group, "_bucket"]).filter("_rank >= _lo AND _rank < _hi")
+    picked = spans.join(located.drop("_from", "_to"), [group, "_bucket"]).filter("_rank >= _lo AND _rank < _hi")
     per_point = picked.groupBy(group, "n", "_i", "_at").agg(F.min(value).alias("_v0"), F.max(value).alias("_v1")).withColumn(
         "_q", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.floor("_at")))
     return per_point.groupBy(group, "n").agg(
@@ -135,8 +137,8 @@ def bottom_k_sample(df: DataFrame, groups: Sequence[str], row_key: Sequence[str]
     sizes = hashed.groupBy(*groups, "_prefix").agg(F.count(F.lit(1)).alias("_size"))
     ordered = W.partitionBy(*groups).orderBy("_prefix")
     needed = sizes.withColumn("_before", F.sum("_size").over(ordered) - F.col("_size")).filter(F.col("_before") < k)
-    cutoff = needed.groupBy(*groups).agg(F.max("_prefix").alias("_cut"))
-    candidates = hashed.join(F.broadcast(cutoff), groups).filter("_prefix <= _cut")
+    cutoff = pin_small(needed.groupBy(*groups).agg(F.max("_prefix").alias("_cut")), MAX_GROUPS)
+    candidates = hashed.join(cutoff, groups).filter("_prefix <= _cut")
     rank = W.partitionBy(*groups).orderBy("_h", *row_key)
     return candidates.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= k).drop("_h", "_prefix", "_cut", "_rn")
 

@@ -107,11 +107,17 @@ def fit_kernel_svc(train: DataFrame, n_inputs: int, c: float = KERNEL_C, gamma:
     return KernelMachine(model, n_inputs, n_components, gamma, seed)
 
 
-def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, degree: int = 2, max_iter: int = 50) -> Callable[[DataFrame], DataFrame]:
+def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3, max_iter: int = 50) -> Callable[[DataFrame], DataFrame]:
     """One-vs-rest machines on polynomial features with balanced weights per class
     task; adds ``margins``, one decision value per class."""
-    expand = PolynomialExpansion(degree=degree, inputCol="features", outputCol="poly")
-    base = expand.transform(train)
+    expand = PolynomialExpansion(degree=degree, inputCol="scaled", outputCol="poly")
+
+    def lifted(df: DataFrame) -> DataFrame:
+        # inputs times sqrt(gamma), so that products carry the kernel's scale
+        scaled = F.transform(vector_to_array("features"), lambda x: x * math.sqrt(gamma))
+        return expand.transform(df.withColumn("scaled", array_to_vector(scaled))).drop("scaled")
+
+    base = lifted(train)
     n_rows = train.count()
     models = {}
     for cls in classes:
@@ -121,7 +127,7 @@ def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, degre
         models[cls] = machine.fit(task)
 
     def score(df: DataFrame) -> DataFrame:
-        scored = expand.transform(df)
+        scored = lifted(df)
         for model in models.values():
             scored = model.transform(scored)
         margins = F.array(*[F.get(vector_to_array(f"raw_{cls}"), F.lit(1)) for cls in classes])

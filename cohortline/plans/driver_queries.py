@@ -18,6 +18,7 @@ from cohortline.operators import checks as C
 from cohortline.operators import columns as K
 from cohortline.operators import drift as D
 from cohortline.operators import ops_metrics as O
+from cohortline.operators import prep
 from cohortline.operators import profile as P
 from cohortline.operators import ranked as R
 from cohortline.plans import layers as L
@@ -59,12 +60,10 @@ def label_normalize(spark, d):
 def ordinal_encode_query(spark, d):
     customer = table(spark, d, "customer")
     label = normalise_label(F.col("c_mktsegment"), SEGMENT_RULES, "other")
-    # one row per class reaches the window that numbers the classes
-    codes = P.distinct_values(customer, "c_mktsegment").filter("c_mktsegment IS NOT NULL").agg(
-        F.array_sort(F.collect_list("c_mktsegment")).alias("classes"))
-    fitted = codes.select(F.posexplode("classes").alias("fitted_code", "c_mktsegment"))
-    return customer.join(F.broadcast(fitted), "c_mktsegment").select(
-        "c_custkey", ordinal_encode(label, SEGMENT_CODES).alias("fixed_code"), "fitted_code")
+    fitted = prep.fit_label_codes(customer, "c_mktsegment")
+    return customer.select(
+        "c_custkey", ordinal_encode(label, SEGMENT_CODES).alias("fixed_code"),
+        ordinal_encode(F.col("c_mktsegment"), fitted).alias("fitted_code"))
 
 
 def star_exclude_log1p(spark, d):

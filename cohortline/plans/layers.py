@@ -71,10 +71,14 @@ def add_features(cleaned: DataFrame, cfg: LayerConfig) -> DataFrame:
     return cleaned.withColumn(cfg.flag_sum_column, flag_sum(cfg.flag_columns, cfg.skip_null_flags))
 
 
-def model_table(features: DataFrame, cfg: LayerConfig) -> DataFrame:
+def _encoded(features: DataFrame, cfg: LayerConfig) -> DataFrame:
     df = star_exclude(features, cfg.id_columns)
     df = replace_at_end(df, {c: ordinal_encode(F.col(c), codes) for c, codes in cfg.encoders.items()})
-    df = rename_first(df, cfg.renames)
+    return rename_first(df, cfg.renames)
+
+
+def model_table(features: DataFrame, cfg: LayerConfig) -> DataFrame:
+    df = _encoded(features, cfg)
     return C.enforce_schema(df, cfg.contract) if cfg.contract is not None else df
 
 
@@ -86,9 +90,23 @@ def layer_chain(raw: DataFrame, cfg: LayerConfig) -> dict[str, DataFrame]:
     return {"raw": raw, "staged": staged, "cleaned": cleaned, "features": features, "model": model_table(features, cfg)}
 
 
+def _column_checks(raw: DataFrame, cfg: LayerConfig) -> DataFrame | None:
+    """The column checks of every layer over one scan: each layer's check columns
+    travel with the rows through the layers after it."""
+    marks = []
+    df = raw
+    steps = (("staged", stage), ("cleaned", clean), ("features", add_features), ("model", _encoded))
+    for name, step in steps:
+        # staging selects its columns by name, so its flags start after it
+        df, found = C.flag_violations(step(df, cfg), name, cfg.layer_checks.get(name, ()))
+        marks += found
+    return C.count_violations(df, marks) if marks else None
+
+
 def check_layers(raw: DataFrame, layers: Mapping[str, DataFrame], cfg: LayerConfig) -> DataFrame:
     """One result row per check over all layers."""
-    results = [C.run_column_checks(layers[name], name, list(specs)) for name, specs in cfg.layer_checks.items() if specs]
+    columns = _column_checks(raw, cfg)
+    results = [columns] if columns is not None else []
     results.append(C.summarise(C.row_loss(C.layer_counts(dict(layers)), "raw"), "row_loss", "all", None, "error"))
     if cfg.duplicate_band:
         rate = C.duplicate_rate(layers["staged"], cfg.fingerprint_columns)

@@ -164,9 +164,8 @@ def svc_metrics(spark, d):
 
 def poly_roc(spark, d):
     train, test = _sides(spark, d)
-    short = lambda df: df.withColumn("features", F.col("features"))
-    scored = T.fit_poly_svc(short(train), CLASSES[:3], degree=2, max_iter=5)(short(test))
-    return E.roc_auc(E.one_vs_rest_scores(scored, "margins", CLASSES[:3]))
+    scored = T.fit_poly_svc(train, CLASSES, degree=2, max_iter=5)(test)
+    return E.roc_auc(E.one_vs_rest_scores(scored, "margins", CLASSES))
 
 
 def cross_validation(spark, d):

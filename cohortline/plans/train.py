@@ -92,7 +92,7 @@ def train(table: DataFrame, cfg: TrainConfig, out_dir: str) -> TrainResult:
 
     T.save_model(forest, f"{out_dir}/models/forest")
     kernel.model.write().overwrite().save(f"{out_dir}/models/kernel")
-    scaler.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/scaler")
+    scaler.repartition(1).write.mode("overwrite").parquet(f"{out_dir}/scaler")
     spark.createDataFrame([(i, f) for i, f in enumerate(features)], "position int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/features")
     head = [(best["model"], float(best["composite_score"]), dict(best["metrics"]), len(features), run_id)]
     reports.save_report(spark.createDataFrame(

@@ -15,12 +15,13 @@ class ReferenceMissing(FileNotFoundError):
 
 
 def save_report(df: DataFrame, path: str, fmt: str = "json") -> None:
-    """Overwrite a (small, aggregated) report."""
-    df.coalesce(1).write.mode("overwrite").format(fmt).save(path)
+    """Overwrite a (small, aggregated) report. The one file comes from a shuffle: a
+    plain coalesce would pull the aggregation before it into one task as well."""
+    df.repartition(1).write.mode("overwrite").format(fmt).save(path)
 
 
 def save_reference(reference: DataFrame, path: str) -> None:
-    reference.coalesce(1).write.mode("overwrite").parquet(path)
+    reference.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def load_reference(spark: SparkSession, path: str) -> DataFrame:

@@ -80,9 +80,9 @@ def start_drift(predictions: DataFrame, reference: DataFrame, counts_path: str,
     the stored counts up, so its cost does not grow with the events behind them."""
     def check(batch: DataFrame, batch_id: int) -> None:
         counts = D.place_counts(logs.feature_values(batch, features), reference)
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{counts_path}/trigger={batch_id}")
+        counts.repartition(1).write.mode("overwrite").parquet(f"{counts_path}/trigger={batch_id}")
         report = D.drift_from_counts(batch.sparkSession.read.parquet(counts_path), reference)
-        report.coalesce(1).write.mode("overwrite").parquet(report_path)
+        report.repartition(1).write.mode("overwrite").parquet(report_path)
 
     writer = predictions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(check)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
