@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Lower bound of bin shares inside the stability index.
@@ -49,18 +49,19 @@ def psi_term(reference_share: Column, current_share: Column, epsilon: float = PS
     return (cur - ref) * F.ln(cur / ref)
 
 
-def count_at_most(value: Column, sorted_points: Column, max_points: int) -> Column:
-    """How many entries of a sorted array are <= value, by binary descent, so the
-    cost per row grows with log2 of the array length."""
-    steps, step = [], 1
-    while step <= max_points:
-        steps.append(step)
+def with_count_at_most(df: DataFrame, value: str, sorted_points: str, max_points: int, out: str) -> DataFrame:
+    """Adds how many entries of a sorted array column are <= value. Binary descent,
+    one projection per step: each step reads the one before as a plain column, so
+    the whole search stays in generated code at log2 of the array length per row."""
+    step = 1
+    while step * 2 <= max_points:
         step *= 2
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in reversed(steps)]),
-        F.lit(0),
-        lambda found, jump: F.when(F.get(sorted_points, found + jump - 1) <= value, found + jump).otherwise(found),
-    )
+    points = F.col(sorted_points)
+    df = df.withColumn(out, F.when(F.get(points, F.lit(step - 1)) <= F.col(value), step).otherwise(0))
+    while step > 1:
+        step //= 2
+        df = df.withColumn(out, F.when(F.get(points, F.col(out) + (step - 1)) <= F.col(value), F.col(out) + step).otherwise(F.col(out)))
+    return df
 
 
 def adjusted_skewness(col: Column) -> Column:

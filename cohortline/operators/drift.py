@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortline.functions.numeric import count_at_most, ks_p_value, psi_term, share_or_zero
+from cohortline.functions.numeric import ks_p_value, psi_term, share_or_zero, with_count_at_most
 from cohortline.functions.status import KS_ALPHA, PSI_ALERT, PSI_WATCH, drift_status
+from cohortline.functions.text import stable_hash
 from cohortline.operators.columns import long_form
 from cohortline.operators.ranked import bottom_k_sample, exact_quantiles, running_sums
 from cohortline.session import pin_small
@@ -50,25 +51,24 @@ def quantile_edges(values: DataFrame, n_bins: int = N_BINS, small: bool | None =
         "edges", F.when(F.size("edges") < 3, F.array(low, (low + high) / 2, high)).otherwise(F.col("edges"))))
 
 
-def bin_of(value: Column, edges: Column, max_edges: int, count_outside: bool = False) -> Column:
-    """1-based bin: half-open, the last one closed. Values outside give null, or
-    the nearest outer bin with ``count_outside``."""
-    found = count_at_most(value, edges, max_edges)
-    n_bins = F.size(edges) - 1
+def with_bin(df: DataFrame, max_edges: int, count_outside: bool = False) -> DataFrame:
+    """Adds the 1-based ``bin`` of ``value`` among ``edges``: half-open, the last
+    one closed. Values outside give null, or the nearest outer bin with
+    ``count_outside``."""
+    found = with_count_at_most(df, "value", "edges", max_edges, "_found")
+    n_bins = F.size("edges") - 1
     if count_outside:
-        return F.greatest(F.lit(1), F.least(found, n_bins))
-    return F.when(value == F.element_at(edges, -1), n_bins).when((found >= 1) & (found <= n_bins), found)
+        placed = F.greatest(F.lit(1), F.least(F.col("_found"), n_bins))
+    else:
+        placed = F.when(F.col("value") == F.get("edges", n_bins), n_bins).when(F.col("_found").between(1, n_bins), F.col("_found"))
+    return found.withColumn("bin", placed).drop("_found")
 
 
 def histogram(values: DataFrame, edges: DataFrame, max_edges: int = N_BINS + 1, count_outside: bool = False) -> DataFrame:
     """(feature, bin, low, high, n, share) for every bin; empty bins give zero and
     shares are zero when nothing lies in range."""
-    counts = (
-        values.join(per_feature(edges.select("feature", "edges")), "feature")
-        .select("feature", bin_of(F.col("value"), F.col("edges"), max_edges, count_outside).alias("bin"))
-        .filter(F.col("bin").isNotNull())
-        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
-    )
+    placed = with_bin(values.join(per_feature(edges.select("feature", "edges")), "feature"), max_edges, count_outside)
+    counts = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")).filter("bin IS NOT NULL")
     return _all_bins(edges, counts)
 
 
@@ -102,17 +102,19 @@ def build_reference(df: DataFrame, features: Sequence[str], row_key: Sequence[st
                     n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE, small: bool | None = None) -> DataFrame:
     """(feature, edges, proportions, mean, std, sample) of the present features.
     ``row_key`` names columns that identify a row, which makes the sample
-    independent of the partitioning; without them a generated id is used."""
+    independent of the partitioning; without them a generated id is used. All
+    features sample the same rows, so one hash per row serves them all."""
     present = [f for f in features if f in df.columns]
     if row_key is None:
         df, row_key = df.withColumn("_row", F.monotonically_increasing_id()), ["_row"]
-    keyed = clean_values(long_form(df, present, "feature", "value", keep=row_key))
+    hashed = df.withColumn("_hash", stable_hash(*row_key, seed=seed))
+    keyed = clean_values(long_form(hashed, present, "feature", "value", keep=["_hash", *row_key]))
     values = keyed.select("feature", "value")
     edges = quantile_edges(values, n_bins, small)
     shares = histogram(values, edges, n_bins + 1).groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bin", "share"))), lambda s: s["share"]).alias("proportions"))
     moments = values.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
-    sample = bottom_k_sample(keyed, ["feature"], row_key, sample_size, seed).groupBy("feature").agg(
+    sample = bottom_k_sample(keyed, ["feature"], "_hash", row_key, sample_size).groupBy("feature").agg(
         F.sort_array(F.collect_list("value")).alias("sample"))
     return pin_small(edges.select("feature", "edges").join(shares, "feature").join(moments, "feature").join(sample, "feature"), MAX_FEATURES)
 
@@ -130,10 +132,9 @@ def place_counts(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS,
     bin and their place among the sorted sample points. At most a few thousand
     rows per feature; counts of separate batches add up."""
     points = reference.select("feature", "edges", F.array_sort(F.array_distinct("sample")).alias("points"))
+    binned = with_bin(clean_values(current).join(per_feature(points), "feature"), n_bins + 1, count_outside)
     return (
-        clean_values(current).join(per_feature(points), "feature")
-        .withColumn("bin", bin_of(F.col("value"), F.col("edges"), n_bins + 1, count_outside))
-        .withColumn("place", count_at_most(F.col("value"), F.col("points"), sample_size))
+        with_count_at_most(binned, "value", "points", sample_size, "place")
         .withColumn("on_point", F.coalesce(F.get("points", F.col("place") - 1) == F.col("value"), F.lit(False)))
         .groupBy("feature", "bin", "place", "on_point")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))

@@ -57,11 +57,11 @@ def skew_profile(df: DataFrame, cols: Sequence[str] | None = None, chunk: int =
     return _union(parts).orderBy(F.desc_nulls_last("skewness"), "column_name")
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None, max_native_pairs: int = 100) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None, max_native_pairs: int = 6) -> DataFrame:
     """Pearson r of each column pair over the rows where both are present, as
     (left_pos, left_col, right_pos, right_col, r). Few pairs are one built-in
-    aggregate; many would need a scan per hundred pairs, so they are one pass of
-    matrix products instead. Neither moves rows."""
+    aggregate; many would be seven aggregates each, beyond generated code, so they
+    are one pass of matrix products instead. Neither moves rows."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = list(combinations(range(len(cols)), 2))
     if len(pairs) > max_native_pairs:
@@ -161,12 +161,14 @@ def duplicate_columns(df: DataFrame) -> DataFrame:
     hashed = df.withColumn("_row", row_hash)
     digests: dict[tuple, list[str]] = {}
     for part in _chunked(names, 40):
+        tied = {n: F.xxhash64(F.col("_row"), F.isnull(comparable(n)), comparable(n)) for n in part}
+        # two sums of 20 bits each stay inside a long for trillions of rows
         sums = hashed.agg(*[
-            F.sum(F.xxhash64(F.col("_row"), F.coalesce(F.hash(comparable(n)), F.lit(0)), F.isnull(comparable(n)), comparable(n)).cast("decimal(28,0)")).alias(f"v{i}")
-            for i, n in enumerate(part)
+            F.sum(F.shiftright(tied[n], shift).bitwiseAND(F.lit(0xFFFFF))).alias(f"v{i}_{shift}")
+            for i, n in enumerate(part) for shift in (0, 20)
         ]).first()
         for i, n in enumerate(part):
-            digests.setdefault((n in numeric, sums[f"v{i}"]), []).append(n)
+            digests.setdefault((n in numeric, sums[f"v{i}_0"], sums[f"v{i}_20"]), []).append(n)
     pairs = [(a, b) for group in digests.values() for a, b in combinations(group, 2)]
     same: dict[str, str] = {}
     for part in _chunked(pairs, 60):

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortline.functions.numeric import count_at_most
-from cohortline.functions.text import stable_hash
+from cohortline.functions.numeric import with_count_at_most
 from cohortline.session import is_small, pin_small
 
 DEFAULT_BUCKETS = 1024
@@ -35,7 +34,7 @@ def _edges(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int) -
 def _bucketed(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int, edges: DataFrame) -> DataFrame:
     # pinned edges have a known size, so the planner broadcasts them by itself
     joined = df.join(edges, list(groups))
-    return joined.withColumn("_bucket", count_at_most(F.col(order_col), F.col("_edges"), buckets)).drop("_edges")
+    return with_count_at_most(joined, order_col, "_edges", buckets, "_bucket").drop("_edges")
 
 
 def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures: Sequence[str],
@@ -127,20 +126,21 @@ def dense_index(df: DataFrame, groups: Sequence[str], hash_col: str, tie_col: st
     )
 
 
-def bottom_k_sample(df: DataFrame, groups: Sequence[str], row_key: Sequence[str], k: int, seed: int = 42,
+def bottom_k_sample(df: DataFrame, groups: Sequence[str], hash_col: str, row_key: Sequence[str], k: int,
                     bits: int = 16) -> DataFrame:
-    """At most k rows per group without replacement: those with the smallest keyed
-    hashes. Hash-prefix counts find the cut-off, so only about k rows per group
-    (plus one prefix bucket) are ever sorted. ``row_key`` must tell rows apart."""
+    """At most k rows per group without replacement: those with the smallest 32-bit
+    hashes, ties by ``row_key``, which must tell rows apart. Hash-prefix counts
+    find the cut-off, so only about k rows per group (plus one prefix bucket) are
+    ever sorted."""
     groups = list(groups)
-    hashed = df.withColumn("_h", stable_hash(*groups, *row_key, seed=seed)).withColumn("_prefix", F.shiftright("_h", 32 - bits))
+    hashed = df.withColumn("_prefix", F.shiftright(hash_col, 32 - bits))
     sizes = hashed.groupBy(*groups, "_prefix").agg(F.count(F.lit(1)).alias("_size"))
     ordered = W.partitionBy(*groups).orderBy("_prefix")
     needed = sizes.withColumn("_before", F.sum("_size").over(ordered) - F.col("_size")).filter(F.col("_before") < k)
     cutoff = pin_small(needed.groupBy(*groups).agg(F.max("_prefix").alias("_cut")), MAX_GROUPS)
     candidates = hashed.join(cutoff, groups).filter("_prefix <= _cut")
-    rank = W.partitionBy(*groups).orderBy("_h", *row_key)
-    return candidates.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= k).drop("_h", "_prefix", "_cut", "_rn")
+    rank = W.partitionBy(*groups).orderBy(hash_col, *row_key)
+    return candidates.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= k).drop("_prefix", "_cut", "_rn")
 
 
 def last_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

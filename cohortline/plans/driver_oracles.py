@@ -63,7 +63,7 @@ _ITEM_REF = f"SELECT feature, value, l_orderkey, l_linenumber, l_partkey, l_supp
 _ITEM_CUR = f"SELECT feature, value FROM ({_SIDES_LONG}) WHERE NOT is_ref"
 _HASH = "('0x' || substr(md5({key}), 1, 8))::BIGINT"
 _SAMPLE = f"""SELECT feature, value, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (
-    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY {_HASH.format(key="concat_ws('|', feature, l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')")}, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rn
+    SELECT *, row_number() OVER (PARTITION BY feature ORDER BY {_HASH.format(key="concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42')")}, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rn
     FROM ({_ITEM_REF})) WHERE rn <= 2000"""
 
 _DRIFT = f"""SELECT feature, n AS n_current, psi, ks_stat,

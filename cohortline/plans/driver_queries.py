@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from cohortline.functions import numeric as N
 from cohortline.functions import variant as V
 from cohortline.functions.status import is_predict_path, severity
-from cohortline.functions.text import LabelRule, follow_up_tag, normalise_label, ordinal_encode
+from cohortline.functions.text import LabelRule, follow_up_tag, normalise_label, ordinal_encode, stable_hash
 from cohortline.functions.timefn import event_time
 from cohortline.operators import checks as C
 from cohortline.operators import columns as K
@@ -358,8 +358,8 @@ def drift_summary(spark, d):
 
 def reference_sample(spark, d):
     ref, _ = _item_sides(spark, d)
-    keyed = K.long_form(ref, MEASURES, "feature", keep=ITEM_KEY)
-    return R.bottom_k_sample(keyed, ["feature"], ITEM_KEY, 2000)
+    keyed = K.long_form(ref.withColumn("h", stable_hash(*ITEM_KEY)), MEASURES, "feature", keep=["h", *ITEM_KEY])
+    return R.bottom_k_sample(keyed, ["feature"], "h", ITEM_KEY, 2000).drop("h")
 
 
 def label_distribution(spark, d):

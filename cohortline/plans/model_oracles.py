@@ -54,7 +54,7 @@ _SMOTE = f"""WITH sized AS (SELECT vec_id AS id, label, count(*) OVER (PARTITION
     SELECT id AS base_id, draw, b_id AS nn_id, round(u, 6) AS u, label, round(vec[1], 6) AS first, round(list_sum(vec), 6) AS total FROM made"""
 
 _HALF = "SELECT event_id, 'v' AS feature, value AS value FROM events WHERE ts < TIMESTAMP '2024-01-15' UNION ALL SELECT event_id, 'u', user_id FROM events WHERE ts < TIMESTAMP '2024-01-15'"
-_HALF_SAMPLE = f"""SELECT feature, value FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY {_HASH.format(key="concat_ws('|', feature, event_id, '42')")}, event_id) AS rn
+_HALF_SAMPLE = f"""SELECT feature, value FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY {_HASH.format(key="concat_ws('|', event_id, '42')")}, event_id) AS rn
     FROM ({_HALF})) WHERE rn <= 2000"""
 _LOGGED = f"SELECT 'v' AS feature, v AS value FROM ({_LOG_EVENTS}) WHERE has_features UNION ALL SELECT 'u', u FROM ({_LOG_EVENTS}) WHERE has_features"
 _STREAM_DRIFT = f"""SELECT feature, n_current, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat,

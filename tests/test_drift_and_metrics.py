@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.functions.numeric import count_at_most, flag_sum, psi_term, to_number
+from cohortline.functions.numeric import flag_sum, psi_term, to_number, with_count_at_most
 from cohortline.functions.status import drift_status, is_predict_path, severity
 from cohortline.functions.text import follow_up_tag, row_fingerprint, short_request_id, stable_hash
 from cohortline.operators import drift as D
@@ -140,8 +140,10 @@ def test_expressions(spark):
     assert shifted.select(row_fingerprint("a", "b").alias("f")).distinct().count() == 1
     assert shifted.select(row_fingerprint("a", "b", strict=True).alias("f")).distinct().count() == 2
     assert spark.range(1).select(psi_term(F.lit(0.0), F.lit(0.0)).alias("z")).first()["z"] == 0.0
-    found = spark.range(1).select(*[count_at_most(F.lit(x), F.array(*[F.lit(float(p)) for p in (1, 2, 2, 5)]), 4).alias(f"c{i}") for i, x in enumerate((0.0, 1.0, 2.0, 9.0))]).first()
-    assert tuple(found) == (0, 1, 3, 4)
+    points = spark.createDataFrame([(x, [1.0, 2.0, 2.0, 5.0]) for x in (0.0, 1.0, 2.0, 9.0)], "x double, p array<double>")
+    for most in (4, 5, 100):
+        assert [r["c"] for r in with_count_at_most(points, "x", "p", most, "c").orderBy("x").collect()] == [0, 1, 3, 4]
+    assert "aggregate(" not in with_count_at_most(points, "x", "p", 4, "c")._jdf.queryExecution().executedPlan().toString()
     spread = spark.range(4000).select(stable_hash("id").alias("h")).agg(F.avg("h"), F.min("h"), F.max("h")).first()
     assert 0 <= spread[1] and spread[2] < 2 ** 32 and abs(spread[0] / 2 ** 31 - 1) < 0.05
 

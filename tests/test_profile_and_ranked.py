@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cohortline.functions.text import stable_hash
 from cohortline.operators import profile as P
 from cohortline.operators import ranked as R
 from cohortline.operators.columns import binary_columns, continuous_columns, distinct_classes, long_form
@@ -118,7 +119,6 @@ def test_running_sums_bucketed(skewed, ascending):
 
 
 def test_dense_index_is_contiguous_and_stable(spark):
-    from cohortline.functions.text import stable_hash
     df = spark.range(5000).withColumn("g", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 7).cast("string"))).withColumn("h", stable_hash("id"))
     one = R.dense_index(df, ["g"], "h", "id").toPandas().set_index("id")["row_index"].sort_index()
     two = R.dense_index(df.repartition(13), ["g"], "h", "id", bits=3).toPandas()
@@ -128,12 +128,13 @@ def test_dense_index_is_contiguous_and_stable(spark):
 
 
 def test_bottom_k_sample(spark):
-    df = long_form(spark.range(4000).withColumn("x", F.col("id") * 1.5).withColumn("y", F.lit(2.0)), ["x", "y"], keep=["id"])
-    few = R.bottom_k_sample(df, ["column_name"], ["id"], 100).toPandas()
+    wide = spark.range(4000).withColumns({"x": F.col("id") * 1.5, "y": F.lit(2.0), "h": stable_hash("id")})
+    df = long_form(wide, ["x", "y"], keep=["id", "h"])
+    few = R.bottom_k_sample(df, ["column_name"], "h", ["id"], 100).toPandas()
     assert few.groupby("column_name").size().to_dict() == {"x": 100, "y": 100}
-    again = R.bottom_k_sample(df.repartition(7), ["column_name"], ["id"], 100, bits=4).toPandas()
+    again = R.bottom_k_sample(df.repartition(7), ["column_name"], "h", ["id"], 100, bits=4).toPandas()
     assert sorted(map(tuple, few.values)) == sorted(map(tuple, again.values))
-    assert R.bottom_k_sample(df, ["column_name"], ["id"], 10_000).count() == 8000
+    assert R.bottom_k_sample(df, ["column_name"], "h", ["id"], 10_000).count() == 8000
 
 
 def test_rank_filters_limit_before_the_shuffle(spark):
