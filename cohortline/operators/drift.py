@@ -53,22 +53,23 @@ def quantile_edges(values: DataFrame, n_bins: int = N_BINS, small: bool | None =
 
 def with_bin(df: DataFrame, max_edges: int, count_outside: bool = False) -> DataFrame:
     """Adds the 1-based ``bin`` of ``value`` among ``edges``: half-open, the last
-    one closed. Values outside give null, or the nearest outer bin with
-    ``count_outside``."""
+    one closed. Values outside give 0, or the nearest outer bin with
+    ``count_outside``. Never null: a null test pushed below the projections of the
+    search would unfold them into one huge expression."""
     found = with_count_at_most(df, "value", "edges", max_edges, "_found")
     n_bins = F.size("edges") - 1
     if count_outside:
         placed = F.greatest(F.lit(1), F.least(F.col("_found"), n_bins))
     else:
-        placed = F.when(F.col("value") == F.get("edges", n_bins), n_bins).when(F.col("_found").between(1, n_bins), F.col("_found"))
-    return found.withColumn("bin", placed).drop("_found")
+        placed = F.when(F.col("value") == F.get("edges", n_bins), n_bins).when(F.col("_found") <= n_bins, F.col("_found")).otherwise(0)
+    return found.withColumn("bin", F.coalesce(placed, F.lit(0))).drop("_found")
 
 
 def histogram(values: DataFrame, edges: DataFrame, max_edges: int = N_BINS + 1, count_outside: bool = False) -> DataFrame:
     """(feature, bin, low, high, n, share) for every bin; empty bins give zero and
     shares are zero when nothing lies in range."""
     placed = with_bin(values.join(per_feature(edges.select("feature", "edges")), "feature"), max_edges, count_outside)
-    counts = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")).filter("bin IS NOT NULL")
+    counts = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     return _all_bins(edges, counts)
 
 
@@ -157,7 +158,7 @@ def drift_from_counts(placed: DataFrame, reference: DataFrame, watch: float = PS
     sizes = placed.groupBy("feature").agg(F.sum("n").alias("n_current"), (F.sum("total") / F.sum("n")).alias("cur_mean"))
 
     cur_bins = _all_bins(reference.select("feature", "edges"),
-                         placed.filter("bin IS NOT NULL").groupBy("feature", "bin").agg(F.sum("n").alias("n")))
+                         placed.filter("bin > 0").groupBy("feature", "bin").agg(F.sum("n").alias("n")))
     ref_bins = reference.select("feature", F.posexplode("proportions").alias("pos", "share")).select(
         "feature", (F.col("pos") + 1).alias("bin"), "share")
     index = psi(ref_bins, cur_bins)

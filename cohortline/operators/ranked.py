@@ -74,12 +74,12 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     cut = _bucketed(present, [group], value, buckets, edges)
     sizes = cut.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     in_group = W.partitionBy(group).orderBy("_bucket")
-    ranges = sizes.select(
+    ranges = pin_small(sizes.select(
         group, "_bucket",
         (F.sum("_size").over(in_group) - F.col("_size")).alias("_from"),
         F.sum("_size").over(in_group).alias("_to"),
         F.sum("_size").over(W.partitionBy(group)).alias("n"),
-    )
+    ), 500_000)
     # one row per wanted rank: the two ranks around each interpolation point
     wanted = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p")) for i, p in enumerate(probs)])
     points = ranges.select(group, "n").distinct().select(group, "n", F.inline(wanted)).withColumn("_at", F.col("_p") * (F.col("n") - 1))
