@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _NUMBER_KINDS = "^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"
+_COUNTED_KINDS = "^(BOOLEAN|BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"
 
 
 def parse_line(text: Column) -> Column:
@@ -26,9 +27,7 @@ def kind_of(value: Column) -> Column:
 def number_field(event: Column, path: str) -> Column:
     """Double where the JSON value itself is a number (or a boolean, counted as
     0/1); text that merely looks like a number gives null."""
-    kind = kind_of(field(event, path))
-    number = field(event, path, "double")
-    return F.when(kind.rlike(_NUMBER_KINDS) | (kind == "BOOLEAN"), number)
+    return F.when(kind_of(field(event, path)).rlike(_COUNTED_KINDS), field(event, path, "double"))
 
 
 def text_field(event: Column, path: str) -> Column:

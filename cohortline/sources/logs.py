@@ -32,7 +32,9 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def _events(lines: DataFrame) -> DataFrame:
     order = [c for c in FILE_ORDER if c in lines.columns]
-    return lines.select(V.parse_line(F.col("line")).alias("e"), *order).filter(F.col("e").isNotNull())
+    # exploding the zero or one parsed events drops bad lines after a single parse;
+    # a null filter would be pushed below the projection and parse every line again
+    return lines.select(F.explode(F.array_compact(F.array(V.parse_line(F.col("line"))))).alias("e"), *order)
 
 
 def prediction_events(lines: DataFrame) -> DataFrame:
