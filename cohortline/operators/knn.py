@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 
 from cohortline.functions.text import stable_hash
 from cohortline.operators.replicate import lookup_join
-from cohortline.session import cut_lineage
+from cohortline.session import cut_lineage, pin_small
 
 BLOCK_ROWS = 8192
 ROWS_PER_CELL = 2000
@@ -104,9 +104,10 @@ def _search(routed: DataFrame, data: DataFrame, k: int, block_rows: int) -> Data
     routed = routed.select(*[F.col(c).alias(c) for c in ("pid", "scope", "vec", "cell")])
     sizes = data.groupBy("scope", "cell").agg(F.count(F.lit(1)).alias("n_data")).join(
         routed.groupBy("scope", "cell").agg(F.count(F.lit(1)).alias("n_query")), ["scope", "cell"])
-    parts = F.broadcast(sizes.select(
+    # one row per occupied cell, of a known size from here on
+    parts = pin_small(sizes.select(
         "scope", "cell", F.ceil(F.col("n_data") / block_rows).cast("int").alias("d_parts"),
-        F.ceil(F.col("n_query") / block_rows).cast("int").alias("q_parts")))
+        F.ceil(F.col("n_query") / block_rows).cast("int").alias("q_parts")), 500_000)
 
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))

@@ -44,14 +44,20 @@ def latency_percentiles(events: DataFrame, small: bool | None = None, approximat
 
 
 def class_counts(events: DataFrame) -> DataFrame:
-    """(prediction, n) over successful events with a non-empty label."""
-    return events.filter("status = 'success' AND prediction <> ''").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    """(prediction, n) over successful events with a non-empty label, most frequent
+    first."""
+    counts = events.filter("status = 'success' AND prediction <> ''").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), "prediction")
 
 
-def prediction_shares(events: DataFrame) -> DataFrame:
-    """(prediction, share) over events with a feature object and a label, three
-    decimals."""
-    counts = events.filter("features IS NOT NULL AND prediction IS NOT NULL").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+def prediction_counts(events: DataFrame) -> DataFrame:
+    """(prediction, n) over events with a feature object, a missing label included."""
+    return events.filter("features IS NOT NULL").groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def prediction_shares(counts: DataFrame) -> DataFrame:
+    """(prediction, share) of the present labels, three decimals."""
+    counts = counts.filter("prediction IS NOT NULL")
     return counts.select("prediction", F.round(F.col("n") / counts.agg(F.sum("n")).scalar(), 3).alias("share"))
 
 

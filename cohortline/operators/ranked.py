@@ -21,6 +21,7 @@ from cohortline.session import is_small, pin_small
 
 DEFAULT_BUCKETS = 1024
 MAX_GROUPS = 2000
+FEW_ROWS = 500_000
 
 
 def _edges(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int) -> DataFrame:
@@ -28,13 +29,18 @@ def _edges(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int) -
     # one foldable literal instead of a thousand, which would swell every plan
     probs = F.expr(f"from_json('{[i / buckets for i in range(1, buckets)]}', 'array<double>')")
     sketch = F.percentile_approx(order_col, probs, max(10_000, 4 * buckets))
-    return pin_small(df.groupBy(*groups).agg(F.array_distinct(sketch).alias("_edges")), MAX_GROUPS)
+    return pin_small(df.groupBy(*groups).agg(F.array_distinct(sketch).alias("_edges"), F.count(order_col).alias("_n")), MAX_GROUPS)
+
+
+def _few_rows(edges: DataFrame) -> bool:
+    """Whether every counted group is small after all (estimates of joins are not)."""
+    return (edges.agg(F.max("_n")).first()[0] or 0) <= FEW_ROWS
 
 
 def _bucketed(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int, edges: DataFrame) -> DataFrame:
     # pinned edges have a known size, so the planner broadcasts them by itself
     joined = df.join(edges, list(groups))
-    return with_count_at_most(joined, order_col, "_edges", buckets, "_bucket").drop("_edges")
+    return with_count_at_most(joined, order_col, "_edges", buckets, "_bucket").drop("_edges", "_n")
 
 
 def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures: Sequence[str],
@@ -66,11 +72,14 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
     order of ``probs``. Large inputs: sketch the bucket edges, count the buckets,
     then sort only the few buckets that hold a wanted rank."""
     probs = [float(p) for p in probs]
+    in_memory = df.groupBy(group).agg(
+        F.count(value).alias("n"), F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("quantiles"))
     if is_small(df) if small is None else small:
-        return df.groupBy(group).agg(
-            F.count(value).alias("n"), F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("quantiles"))
+        return in_memory
     present = df.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias(value))
     edges = _edges(present, [group], value, buckets)
+    if small is None and _few_rows(edges):
+        return in_memory
     cut = _bucketed(present, [group], value, buckets, edges)
     sizes = cut.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     in_group = W.partitionBy(group).orderBy("_bucket")

@@ -45,14 +45,16 @@ def range_violations(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -
 
 
 def score(df: DataFrame, model: PipelineModel, scaler: DataFrame, features: Sequence[str], codes: Mapping[str, int],
-          log_columns: Sequence[str] = (), raw_compat: bool = False) -> DataFrame:
-    """Adds ``diagnosis`` (decoded label), ``confidence`` (percent, null without
-    probabilities), ``status`` and ``error``. ``log_columns`` get the training
-    transform first; ``raw_compat`` feeds them untransformed. A row that cannot be
-    scored carries the message and null outputs."""
+          log_columns: Sequence[str] = (), raw_compat: bool = False, inputs: Sequence[str] | None = None) -> DataFrame:
+    """Adds ``inputs`` (the given columns as read, by default the features; a log
+    wants every validated one), ``diagnosis`` (decoded label), ``confidence``
+    (percent, null without probabilities), ``status`` and ``error``.
+    ``log_columns`` get the training transform first; ``raw_compat`` feeds them
+    untransformed. A row that cannot be scored carries the message and null
+    outputs."""
     # NaN would be read as a value by the trees, so any null or NaN is a row error
     bad = reduce(lambda a, b: a | b, [F.col(f"`{f}`").isNull() | F.isnan(F.col(f"`{f}`").cast("double")) for f in features])
-    kept = df.withColumn("inputs", F.struct(*[F.col(f"`{f}`").cast("double").alias(f) for f in features])).withColumn("unusable", bad)
+    kept = df.withColumn("inputs", F.struct(*[F.col(f"`{c}`").cast("double").alias(c) for c in inputs or features])).withColumn("unusable", bad)
     ready = kept if raw_compat else kept.withColumns({c: log1p(F.col(c)) for c in log_columns})
     scored = model.transform(apply_standardiser(ready, scaler, others_after=False))
     label = ordinal_decode(F.col("prediction").cast("int"), codes)
@@ -60,7 +62,7 @@ def score(df: DataFrame, model: PipelineModel, scaler: DataFrame, features: Sequ
     confidence = F.lit(None).cast("double")
     if "probability" in scored.columns:
         confidence = F.round(100.0 * F.get(vector_to_array("probability"), F.col("prediction").cast("int")), 2)
-    others = [c for c in df.columns if c not in set(features)]
+    others = [c for c in df.columns if c not in {*features, *(inputs or ())}]
     return scored.withColumn("error", error).select(
         *others, "inputs", F.when(F.col("error").isNull(), label).alias("diagnosis"),
         F.when(F.col("error").isNull(), confidence).alias("confidence"),

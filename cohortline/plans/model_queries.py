@@ -222,9 +222,10 @@ def batch_score(spark, d):
     stats = prep.fit_standardiser(train, SCORED)
     model = T.fit_pipeline(prep.apply_standardiser(train, stats, others_after=False), SCORED, T.forest(numTrees=5, maxDepth=4))
     accepted, _ = S.validate_inputs(_raw_inputs(spark, d), SCORED, OPTIONAL)
-    scored = S.score(accepted, model, stats, SCORED, FLAG_CODES)
+    logged = [*SCORED, *OPTIONAL]
+    scored = S.score(accepted, model, stats, SCORED, FLAG_CODES, inputs=logged)
     path = scratch_path(spark, "scored-log")
-    lines = logs.as_log_lines(scored.select("inputs.*", "*"), SCORED, F.col("diagnosis"), F.col("status"), F.lit(1.0), F.col("error"))
+    lines = logs.as_log_lines(scored.select("inputs.*", "*"), logged, F.col("diagnosis"), F.col("status"), F.lit(1.0), F.col("error"))
     logs.append_json(lines, path)
     events = logs.prediction_events(logs.read_lines(spark, path))
     return events.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.count("prediction").alias("n_labels"), F.count("error").alias("n_errors"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortline.operators import drift as D
 from cohortline.operators import ops_metrics as O
@@ -36,11 +37,13 @@ def check_drift(spark: SparkSession, log_path: str, out_dir: str, last: int | No
     if last:
         events = cut_lineage(last_n(events, last, EVENT_ORDER))
     found = pin_small(D.feature_drift(logs.feature_values(events, list(features) if features else None), reference))
-    n_samples = events.count()
+    # the sample count and the label shares come from one pass
+    labels = pin_small(O.prediction_counts(events))
+    n_samples = labels.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     summary = pin_small(D.drift_summary(found, n_samples))
     reports.save_report(D.rounded_report(found), f"{out_dir}/drift_features")
     reports.save_report(summary, f"{out_dir}/drift_summary")
-    reports.save_report(O.prediction_shares(events), f"{out_dir}/prediction_shares")
+    reports.save_report(O.prediction_shares(labels), f"{out_dir}/prediction_shares")
     return summary
 
 

@@ -173,7 +173,7 @@ def test_odd_log_lines(spark, tmp_path):
     assert {tuple(r) for r in logs.feature_values(events).collect()} == {("Age", 40.0), ("ESR", 20.0), ("yes", 1.0), ("Age", 50.0)}
     assert logs.feature_values(events, ["Age"]).count() == 2
     assert O.latency_trend(events, monitor.EVENT_ORDER).first()[0] == [12.5, 1.0]
-    assert [tuple(r) for r in O.prediction_shares(events).collect()] == [("normal", 1.0)]
+    assert [tuple(r) for r in O.prediction_shares(O.prediction_counts(events)).collect()] == [("normal", 1.0)]
 
 
 def test_percentiles(spark):

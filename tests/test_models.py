@@ -229,7 +229,9 @@ def test_payload_is_scored_and_missing_age_rejected(spark, patient_model, tmp_pa
     accepted, rejected = S.validate_inputs(df, P.MODEL_FEATURES, P.OPTIONAL_INPUTS)
     assert {r["request"]: r["reasons"] for r in rejected.collect()} == {"no_age": ["Age: missing"], "text": ["ESR: not a number"]}
     assert accepted.first()["crp"] == 0.0
-    scored = S.score(accepted, model, stats, P.MODEL_FEATURES, P.DIAGNOSIS_CODES, ["C4"])
+    everything = [*P.MODEL_FEATURES, *P.OPTIONAL_INPUTS]
+    scored = S.score(accepted, model, stats, P.MODEL_FEATURES, P.DIAGNOSIS_CODES, ["C4"], inputs=everything)
+    assert len(scored.schema["inputs"].dataType.names) == 38
     got = {r["request"]: r for r in scored.collect()}
     assert set(got) == {"full", "ones"} and all(r["status"] == "success" and r["diagnosis"] in ("normal", "rheumatoid_arthritis") for r in got.values())
     assert all(0 < r["confidence"] <= 100 for r in got.values()) and got["full"]["inputs"]["C4"] == 4.35
@@ -240,7 +242,7 @@ def test_payload_is_scored_and_missing_age_rejected(spark, patient_model, tmp_pa
     assert hollow["status"] == "error" and hollow["confidence"] is None
     path = str(tmp_path / "model")
     T.save_model(model, path)
-    assert S.score(accepted, T.load_model(path), stats, P.MODEL_FEATURES, P.DIAGNOSIS_CODES, ["C4"]).collect() == scored.collect()
+    assert S.score(accepted, T.load_model(path), stats, P.MODEL_FEATURES, P.DIAGNOSIS_CODES, ["C4"], inputs=everything).collect() == scored.collect()
 
 
 def test_raw_compat_skips_the_log(spark, patient_model):
