@@ -139,6 +139,9 @@ def materialise(raw: DataFrame, cfg: LayerConfig, prefix: str = "", mart_databas
     layers["staged"].createOrReplaceTempView(f"{prefix}staged")
     layers["cleaned"].createOrReplaceTempView(f"{prefix}cleaned")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {mart_database}")
-    for name in ("features", "model"):
-        layers[name].write.mode("overwrite").saveAsTable(f"{mart_database}.{prefix}{name}")
+    features = f"{mart_database}.{prefix}features"
+    layers["features"].write.mode("overwrite").saveAsTable(features)
+    # from the narrower table just written, not from the raw source again
+    model = model_table(spark.table(features), cfg)
+    model.write.mode("overwrite").saveAsTable(f"{mart_database}.{prefix}model")
     return warnings

@@ -1,6 +1,6 @@
 """Plain-SQL twins of ``model_queries``, where SQL can express them."""
 
-from cohortline.plans.driver_oracles import _HASH, _LOG_EVENTS, _PROBES, _ks, _psi
+from cohortline.plans.driver_oracles import _HASH, _LOG_EVENTS, _PROBES, ORACLES, _ks, _psi
 
 _MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _TEST_LIMIT = int(0.2 * 2 ** 32)
@@ -106,6 +106,7 @@ MODEL_ORACLES = {
         WHERE event_id % 50 NOT IN (7, 11, 17, 19) GROUP BY day""",
     "stream_uptime": f"""SELECT count(*) AS probes, round(100.0 * avg(up::INT), 2) AS uptime_pct, round(avg(response_time_ms), 2) AS avg_response_ms,
         arg_max(CASE WHEN up THEN 'UP' ELSE 'DOWN' END, (ts, event_id)) AS last_status FROM ({_PROBES})""",
+    "stream_http": ORACLES["http_counters"],
     "stream_drift": _STREAM_DRIFT,
     "dashboard": f"""SELECT count(*) AS total_predictions, {_ERRORS} AS errors, round(100.0 * {_ERRORS} / count(*), 2) AS error_rate_pct, round(avg(latency_ms), 2) AS avg_latency_ms,
         round(quantile_cont(latency_ms, 0.5), 2) AS p50_latency_ms, round(quantile_cont(latency_ms, 0.95), 2) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 2) AS p99_latency_ms,

@@ -10,10 +10,11 @@ from cohortline.operators import balance as B
 from cohortline.operators import drift as D
 from cohortline.operators import evaluate as E
 from cohortline.operators import knn as N
+from cohortline.operators import ops_metrics as O
 from cohortline.operators import prep
 from cohortline.operators import scoring as S
 from cohortline.operators import training as T
-from cohortline.plans.driver_queries import ITEM_KEY, MEASURES, _log_lines, _probes, r6, scratch_path, table
+from cohortline.plans.driver_queries import ITEM_KEY, MEASURES, _log_lines, _probes, _requests, r6, scratch_path, table
 from cohortline.sources import logs
 from cohortline.streaming import metrics as M
 
@@ -268,6 +269,17 @@ def stream_uptime(spark, d):
     return spark.read.parquet(out).select("probes", "uptime_pct", "avg_response_ms", "last_status")
 
 
+def stream_http(spark, d):
+    """Request counters over a stream of HTTP log files."""
+    path, out = scratch_path(spark, "http-log"), scratch_path(spark, "stream-http")
+    _requests(spark, d).select(F.to_json(F.struct("path", "status_code", "latency_ms")).alias("value")).repartition(3).write.text(path)
+    stream = O.http_counters(logs.http_events(M.stream_lines(spark, path, max_files=1)))
+    M.start_table(stream, out, scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.parquet(out).select(
+        "requests_total", "predict_requests_total", "predict_errors_total", F.round("latency_sum_ms", 4).alias("latency_sum_ms"),
+        "latency_count", r6("latency_avg_ms"))
+
+
 def stream_drift(spark, d):
     """The streamed log against the first half of the month as reference."""
     events = table(spark, d, "events")
@@ -325,6 +337,7 @@ MODEL_QUERIES = {
     "stream_totals": stream_totals,
     "stream_windows": stream_windows,
     "stream_uptime": stream_uptime,
+    "stream_http": stream_http,
     "stream_drift": stream_drift,
     "dashboard": dashboard,
 }

@@ -7,7 +7,7 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortline.functions.names import plan_names
 
@@ -35,13 +35,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. A schema avoids the extra pass that inference costs and
     is what a production load should give; without one the types are inferred
-    from the texts after the null markers are removed."""
-    reader = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+    from the texts after the null markers are removed. ``multi_line`` accepts line
+    breaks inside quotes, but then a file is read by one task."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
-        return reader.schema(schema).csv(path)
+        kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        text = reader.schema(StructType([StructField(f.name, StringType()) for f in kinds.fields])).csv(path)
+        return text.select(*[_null_marked(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields])
     text = reader.csv(path)
     cleaned = text.select(*[_null_marked(name).alias(name) for name in text.columns])
     kinds = _column_kinds(cleaned)
@@ -76,12 +79,12 @@ def _column_kinds(text: DataFrame) -> dict[str, str]:
 
 
 def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             keep: str = "underscore", load_id: str | None = None) -> LoadResult:
+             keep: str = "underscore", load_id: str | None = None, multi_line: bool = False) -> LoadResult:
     """CSV with normalised names and load metadata; a missing or empty file gives
     status ``missing`` / ``empty`` and must not replace an earlier load."""
     if not path_exists(spark, path):
         return LoadResult("missing", None)
-    raw = read_csv(spark, path, schema)
+    raw = read_csv(spark, path, schema, multi_line)
     if raw.isEmpty():
         return LoadResult("empty", None)
     names = plan_names(raw.columns, keep)

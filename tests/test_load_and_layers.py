@@ -45,6 +45,13 @@ def test_csv_load_types_nulls_and_collisions(spark, tmp_path):
     assert rows[0]["_load_id"] == "l1" and rows[0]["_row_id"] != rows[1]["_row_id"]
 
 
+def test_csv_with_schema_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "typed.csv"
+    path.write_text('a,b,c\n1,NA,"two\nlines"\n,2.5,x\n', encoding="utf-8")
+    rows = records.read_csv(spark, str(path), "a bigint, b double, c string", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [(1, None, "two\nlines"), (None, 2.5, "x")]
+
+
 def test_missing_and_empty_files_keep_the_old_table(spark, tmp_path):
     good = tmp_path / "good.csv"
     good.write_text("a\n1\n2\n")

@@ -28,6 +28,17 @@ def brute(points, k, scope=None):
     return out
 
 
+def test_worker_functions_need_no_installed_package():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    code = ("import sys, numpy as np; from pyspark import cloudpickle; f = cloudpickle.loads(sys.stdin.buffer.read()); "
+            "x = np.array([[0.0], [1.0], [5.0]]); i = np.arange(3); print(f(x, i, x, i, 1)[1].tolist())")
+    done = subprocess.run([sys.executable, "-c", code], input=cloudpickle.dumps(N._block_neighbours), capture_output=True, cwd="/", check=True)
+    assert done.stdout.strip() == b"[1, 0, 1]"
+
+
 @pytest.fixture(scope="module")
 def cloud():
     """Ties on a grid, and one vector copied over a third of the rows."""
