@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from cohortline.functions.text import stable_hash
 from cohortline.operators import evaluate as E
 from cohortline.operators.prep import HASH_RANGE, stratified_folds, with_class_weight
+from cohortline.session import cut_lineage
 
 # Settings of the two candidates.
 FOREST_SETTINGS = {"numTrees": 70, "maxDepth": 18, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "seed": 42}
@@ -155,6 +156,12 @@ def _accuracy(scored: DataFrame) -> float:
     return float(scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0] or 0.0)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Read by many fits: checkpointed, which also settles on as few partitions as
+    the data needs, then kept near the executors."""
+    return cut_lineage(df).persist()
+
+
 def _side_by_side(tasks: list[Callable], parallelism: int) -> list:
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return [future.result() for future in [pool.submit(task) for task in tasks]]
@@ -162,7 +169,7 @@ def _side_by_side(tasks: list[Callable], parallelism: int) -> list:
 
 def cross_validate(df: DataFrame, estimator: Estimator, key: str, n_folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """(fold, accuracy) of stratified shuffled folds."""
-    folded = stratified_folds(df, "label", key, n_folds, seed).persist()
+    folded = _stored(stratified_folds(df, "label", key, n_folds, seed))
     try:
         def task(fold):
             return lambda: (fold, _accuracy(estimator.fit(folded.filter(F.col("fold") != fold)).transform(folded.filter(F.col("fold") == fold))))
@@ -180,7 +187,7 @@ def learning_curve(df: DataFrame, estimator: Estimator, key: str, fractions: Seq
                    n_folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """(fraction, fold, n_train, train_accuracy, test_accuracy). The training rows
     of smaller fractions are contained in those of larger ones."""
-    folded = stratified_folds(df, "label", key, n_folds, seed).withColumn("_pick", stable_hash(key, seed=seed + 1)).persist()
+    folded = _stored(stratified_folds(df, "label", key, n_folds, seed).withColumn("_pick", stable_hash(key, seed=seed + 1)))
     try:
         def task(fraction, fold):
             def run():
@@ -206,7 +213,7 @@ def eliminate_features(df: DataFrame, features: Sequence[str], label: str, key:
     its weakest features by itself and scores every size; the final lists come from
     the same elimination on all rows. The best size is the highest mean, the
     smaller on ties."""
-    folded = stratified_folds(df, label, key, n_folds, seed).persist()
+    folded = _stored(stratified_folds(df, label, key, n_folds, seed))
     try:
         def path(train, test):
             left, scores, kept = list(features), {}, {}
