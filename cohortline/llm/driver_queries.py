@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortline.llm import huffman, packing, unigram
+from pyspark.sql import functions as F
+
+from cohortline.llm import decontam, exactdup, huffman, neardup, packing, secrets, toxicity, unigram
 from cohortline.llm.common import read_small_file, read_table
 
 
@@ -14,13 +16,44 @@ def op1_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return unigram.count_tokens(read_table(spark, d, "documents"), pieces)
 
 
+def op2_near_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, d, "documents"))
+
+
 def op3_packing(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(read_table(spark, d, "documents"), read_small_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op4_exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    return exactdup.exact_duplicates(read_table(spark, d, "documents")).drop("n_chars")
+
+
+def op5_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    return toxicity.grade(docs, toxicity.train(docs, read_table(spark, d, "labels"), "toxic"))
+
+
 def op6_huffman_ids(spark: SparkSession, d: str) -> DataFrame:
     return huffman.encode_and_read(read_table(spark, d, "documents"), read_small_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_packing, op6_huffman_ids)}
+def op9_secrets(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+
+    def n(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[n(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secrets.span_list(F.col("base")), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"))
+
+
+def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.contaminated(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_near_duplicates, op3_packing, op4_exact_duplicates, op5_toxicity, op6_huffman_ids, op9_secrets,
+    op10_decontamination)}
 ORACLES: dict[str, str] = {}
