@@ -12,6 +12,8 @@ shuffled rows; the join on the hashes decides, whatever the size of the benchmar
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,12 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once: the optimizer moves a column's expression into a lambda
+    that refers to it, where it would be computed for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _pair(hashes: Column, i: Column) -> Column:
     return F.xxhash64(hashes[i], hashes[i + 1])
 
@@ -91,29 +99,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     seeds = seeds.select("item_id", "seed.*").distinct()
     pair_map, seed_map = _bitmap(pairs), _bitmap(seeds.select("key"))
 
-    def hit(i: Column) -> Column:
-        return F.filter(F.array(*[_seed(hashes, i, n) for n in range(len(MASKS))]), lambda key: _may_hold(seed_map, key))
+    def found(hashes: Column) -> Column:
+        likely = F.filter(_starts(hashes), lambda i: _may_hold(pair_map, _pair(hashes, i)))
+        return F.flatten(F.transform(likely, lambda i: F.transform(
+            F.filter(F.array(*[_seed(hashes, i, n) for n in range(len(MASKS))]), lambda key: _may_hold(seed_map, key)),
+            lambda key: F.struct(i.alias("doc_at"), key.alias("key")))))
 
-    hashed = texts.select("doc_id", F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
-    likely = F.filter(_starts(hashes), lambda i: _may_hold(pair_map, _pair(hashes, i)))
-    windows = (
-        hashed.select("doc_id", "hashes", likely.alias("starts")).where("size(starts) > 0")
-        .select("doc_id", F.explode(F.transform("starts", lambda i: F.struct(i.alias("doc_at"), hit(i).alias("keys")))).alias("window"))
-        .where("size(window.keys) > 0").select("doc_id", "window.doc_at", F.explode("window.keys").alias("key")))
+    hashed = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
+    windows = store(texts.select("doc_id", let(hashed, found).alias("windows")), "windows")
+    windows = windows.select("doc_id", F.explode("windows").alias("window")).select("doc_id", "window.*")
     alignments = store(
         windows.join(seeds, "key").select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "alignments")
 
     aligned = (
         texts.join(alignments, "doc_id").join(items.select("item_id", "item_words"), "item_id")
-        .withColumn("words", words_of(F.col("text")))
-        .select("doc_id", "item_id", "shift", F.least(F.size("item_words"), F.lit(window)).alias("window_words"), F.transform(
-            "item_words", lambda w, i: F.coalesce((F.get("words", i + F.col("shift")) == w).cast("int"), F.lit(0))).alias("same")))
-    stretches = F.transform(
-        F.sequence(F.lit(0), F.size("same") - F.col("window_words")),
-        lambda s: F.struct(
-            F.aggregate(F.slice("same", s + 1, F.col("window_words")), F.lit(0), lambda total, x: total + x).alias("matched"),
-            (-(s + F.col("shift"))).alias("minus_start")))
-    best = aligned.select("doc_id", "item_id", "window_words", F.array_max(stretches).alias("best"))
+        .select("doc_id", "item_id", F.least(F.size("item_words"), F.lit(window)).alias("window_words"), let(
+            words_of(F.col("text")), lambda words: F.transform("item_words", lambda w, i: F.coalesce(
+                (F.get(words, i + F.col("shift")) == w).cast("int"), F.lit(0)))).alias("same"), "shift"))
+
+    def best_stretch(same: Column) -> Column:
+        return F.array_max(F.transform(
+            F.sequence(F.lit(0), F.size(same) - F.col("window_words")),
+            lambda s: F.struct(
+                F.aggregate(F.slice(same, s + 1, F.col("window_words")), F.lit(0), lambda total, x: total + x).alias("matched"),
+                (-(s + F.col("shift"))).alias("minus_start"))))
+
+    best = aligned.select("doc_id", "item_id", "window_words", let(F.col("same"), best_stretch).alias("best"))
     best = best.groupBy("doc_id", "item_id", "window_words").agg(F.max("best").alias("best"))
     # items that share an id count as one: the stretch with the largest share, then the longest
     verified = best.where(F.col("best.matched") * 100 >= F.col("window_words") * min_percent).groupBy("doc_id", "item_id").agg(F.max(F.struct(
