@@ -3,7 +3,8 @@
 A byte-level BPE without normaliser never merges across its pre-token borders, and a single
 space between two non-space characters always starts a pre-token. Texts are therefore cut
 there, each distinct unit is encoded once per worker by the tokenizer, and a text's ids are
-its units' ids joined. Other kinds of tokenizer encode whole texts.
+its units' ids joined. A unit of Latin letters and punctuation behind them is two pre-tokens,
+which go straight to the tokenizer's model. Other kinds of tokenizer encode whole texts.
 """
 
 from __future__ import annotations
@@ -12,16 +13,29 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 
 from cohortline.llm.common import worker_state
 
-MAX_CACHED_UNITS = 500_000
+MAX_CACHED_UNITS = 700_000
 MAX_CACHED_UNIT_CHARS = 64
 CHARS_PER_CALL = 1_000_000
 CHARS_PER_BATCH = 4_000_000
+#: Without the apostrophe, which may begin a pre-token of its own.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+
+
+def byte_alphabet() -> list[str]:
+    """The character that stands for each byte in a byte-level vocabulary: printable Latin-1 for
+    itself, the other bytes from U+0100 on in ascending order."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
 def _cuts_at_spaces(spec: dict) -> bool:
@@ -47,8 +61,11 @@ class UnitEncoder:
         self.n_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
         self.odd = re.compile(r"\s\s")
         self.cut = re.compile(r"(?<=\S) (?=\S)")
+        self.latin = re.compile(f"[{LATIN}]+")
+        self.alphabet = byte_alphabet()
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     @staticmethod
     def shared(tokenizer_json: bytes) -> "UnitEncoder":
@@ -64,10 +81,37 @@ class UnitEncoder:
     def units(self, text: str) -> list[str]:
         return self.cut.split(text) if self.odd.search(text) else text.split(" ")
 
-    def _learn(self, units: list[str]) -> dict[str, bytes]:
-        """Ids of each unit behind a space; many units share one call and are told apart by their bytes."""
-        out, group, chars = {}, [], 0
+    def _pre_token(self, shown: str) -> bytes:
+        """Ids of one pre-token that is written in the byte alphabet."""
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+
+    def _shown(self, text: str) -> str:
+        return text if text.isascii() else "".join([self.alphabet[b] for b in text.encode("utf-8")])
 
+    def _learn(self, units: Iterable[str]) -> dict[str, bytes]:
+        """Ids of each unit behind a space."""
+        out: dict[str, bytes] = {}
+        known, tails, space, rest = self.later, self.tails, self.alphabet[0x20], []
+        for unit in units:
+            core = unit.rstrip(PUNCTUATION)
+            if not self.latin.fullmatch(core):
+                rest.append(unit)
+                continue
+            ids = out.get(core) or known.get(core)
+            if ids is None:
+                ids = out[core] = self._pre_token(space + self._shown(core))
+            if len(core) < len(unit):
+                tail = unit[len(core):]
+                if tail not in tails:
+                    if len(tails) > MAX_CACHED_UNITS:
+                        tails.clear()
+                    tails[tail] = self._pre_token(tail)
+                out[unit] = ids + tails[tail]
+        self._learn_joined(rest, out)
+        return out
+
+    def _learn_joined(self, units: list[str], out: dict[str, bytes]) -> None:
+        """Other units share calls on a joined text and are told apart by their numbers of bytes."""
         def flush():
             joined = self.whole("".join(" " + u for u in group))
             ids = np.frombuffer(joined, dtype="<u4")
@@ -82,6 +126,7 @@ class UnitEncoder:
                 out[unit] = joined[4 * begin:4 * end]
                 begin = end
 
+        group, chars = [], 0
         for unit in units:
             if not unit or unit[-1].isspace():
                 out[unit] = self.whole(" " + unit)
@@ -93,33 +138,33 @@ class UnitEncoder:
                 group, chars = [], 0
         if group:
             flush()
-        return out
 
     def _batch(self, texts: list[str]) -> Iterator[bytes]:
-        cut = [self.units(t) for t in texts]
-        if len(self.later) > MAX_CACHED_UNITS:
-            self.later = {}
-        if len(self.first) > MAX_CACHED_UNITS:
-            self.first = {}
         known = self.later
-        missing = set()
-        for units in cut:
-            missing.update(units[1:])
-        missing.difference_update(known)
-        learned = self._learn(list(missing))
-        rare = {u: b for u, b in learned.items() if len(u) > MAX_CACHED_UNIT_CHARS}
-        known.update((u, b) for u, b in learned.items() if len(u) <= MAX_CACHED_UNIT_CHARS)
-        table = {**known, **rare} if len(rare) > 1000 else known
-        for units in cut:
-            head = self.first.get(units[0])
-            if head is None:
-                head = self.whole(units[0])
-                if len(units[0]) <= MAX_CACHED_UNIT_CHARS:
-                    self.first[units[0]] = head
-            try:
-                yield head + b"".join([table[u] for u in units[1:]])
-            except KeyError:
-                yield head + b"".join([rare[u] if u in rare else table[u] for u in units[1:]])
+        cut, found, missing = [], [], set()
+        for text in texts:
+            units = self.units(text)
+            ids = list(map(known.get, units))
+            ids[0] = self.first.get(units[0])
+            if None in ids:
+                missing.update([u for u, b in zip(units[1:], ids[1:]) if b is None])
+                cut.append(units)
+            else:
+                cut.append(None)
+            found.append(ids)
+        learned = self._learn(missing)
+        for units, ids in zip(cut, found):
+            if units is not None:
+                if ids[0] is None:
+                    ids[0] = self.whole(units[0])
+                    if len(units[0]) <= MAX_CACHED_UNIT_CHARS and len(self.first) < MAX_CACHED_UNITS:
+                        self.first[units[0]] = ids[0]
+                ids = [learned[u] if b is None else b for u, b in zip(units, ids)]
+            yield b"".join(ids)
+        # what comes early is what comes often: a full cache stays as it is
+        room = MAX_CACHED_UNITS - len(known)
+        if room > 0:
+            known.update(islice(((u, b) for u, b in learned.items() if len(u) <= MAX_CACHED_UNIT_CHARS), room))
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         if not self.by_unit:
