@@ -2,19 +2,20 @@
 
 One weight vector serves all ordered thresholds: ``P(grade >= k) = sigmoid(w.x - t_k)`` with
 ``t_1 < t_2 < ...``; the expected severity is the sum of these probabilities. A word's feature is
-1 for its presence plus the logarithm of its rate. Words are chosen by a chi-square test over a
-bounded sample of labelled rows, and the model is fitted on that sample; the first letters of
-longer words are features too, for inflected and compound forms. All rows are scored on their whole
-text.
+the logarithm of its count. Words are chosen over a bounded sample of labelled rows, by a chi-square
+test and by the share of toxic rows among those that hold them, and the model is fitted on that
+sample; the first letters of longer words are features too, for inflected and compound forms. All
+rows are scored on their whole text.
 
 Where the labels only say toxic or not, the grade of a toxic row is 1 to ``n_grades`` by the quantile
-of its rate of words that mark toxic rows; other rows are grade 0.
+of its number of chosen words; other rows are grade 0.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,13 +29,14 @@ from cohortline.llm.common import store
 MAX_ROWS = 30_000
 MAX_WORDS = 4_096
 MIN_CHI_SQUARE = 30.0
+MIN_PRECISION = 0.8
 MIN_SHARE = 5e-4
 MIN_DOCUMENTS = 3
 N_GRADES = 3
 REJECT_AT = 0.5
 
 WORD = r"[^\W_]+"
-PREFIX = 5
+PREFIXES = (5, 7)
 
 
 @dataclass(frozen=True)
@@ -48,13 +50,16 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
-def stem(word: str) -> str:
-    """A longer word's first letters, marked as such; a short word itself."""
-    return word[:PREFIX] + "*" if len(word) > PREFIX else word
+def stems(words: Iterable[str]) -> Iterator[str]:
+    """First letters of the longer words, marked as such."""
+    for size in PREFIXES:
+        for word in words:
+            if len(word) > size:
+                yield word[:size] + "*"
 
 
-def feature(count: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    return 1.0 + np.log1p(100.0 * count / np.maximum(n_words, 1))
+def feature(count: np.ndarray) -> np.ndarray:
+    return np.log1p(count)
 
 
 def fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_columns: int, n_grades: int,
@@ -95,27 +100,25 @@ def fit(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.nd
 
 
 def _word_counts(labelled: DataFrame) -> DataFrame:
-    """label, number of words, distinct words and their counts of each labelled row."""
+    """label, distinct words and stems, and their counts of each labelled row."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = re.compile(WORD).findall
         for batch in batches:
-            sizes, words, counts = [], [], []
+            words, counts = [], []
             for text in batch.column(1):
                 seen: dict[str, int] = {}
                 found = find((text.as_py() or "").lower())
                 for word in found:
                     seen[word] = seen.get(word, 0) + 1
-                for word, n in list(seen.items()):
-                    if len(word) > PREFIX:
-                        seen[stem(word)] = seen.get(stem(word), 0) + n
-                sizes.append(len(found))
+                for mark, n in Counter(stems(found)).items():
+                    seen[mark] = n
                 words.append(list(seen))
                 counts.append(list(seen.values()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["label", "n_words", "words", "counts"])
+                [batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(counts, pa.list_(pa.int32()))],
+                names=["label", "words", "counts"])
 
-    return labelled.select("label", "text").mapInArrow(count, "label int, n_words long, words array<string>, counts array<int>")
+    return labelled.select("label", "text").mapInArrow(count, "label int, words array<string>, counts array<int>")
 
 
 def train(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str = "doc_id", text_column: str = "text",
@@ -143,11 +146,10 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str
         .groupBy("word").agg(F.count("*").alias("n"), F.sum("toxic").alias("n_toxic")).where(F.col("n") >= least)
         .withColumn("excess", F.col("n_toxic") - F.col("n") * F.lit(share))
         .withColumn("chi_square", F.col("excess") ** 2 / (F.col("n") * F.lit(share * (1 - share))) / (1 - F.col("n") / F.lit(total + 1.0)))
-        .where(F.col("chi_square") >= min_chi_square).orderBy(F.desc("chi_square"), "word").limit(max_words).collect())
+        .where((F.col("chi_square") >= min_chi_square) & (F.col("n_toxic") >= MIN_PRECISION * F.col("n"))).orderBy(F.desc("chi_square"), "word").limit(max_words).collect())
     if not words:
         return nothing
     place = {r["word"]: i for i, r in enumerate(words)}
-    marks = np.array([r["excess"] > 0 for r in words])
     shared = docs.sparkSession.sparkContext.broadcast(place)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,13 +161,12 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str
                 columns.append([h[0] for h in hits])
                 counts.append([h[1] for h in hits])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), batch.column("n_words"), pa.array(columns, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["label", "n_words", "columns", "counts"])
+                [batch.column("label"), pa.array(columns, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
+                names=["label", "columns", "counts"])
 
     # at most max_rows rows of at most max_words numbers, few of which occur
-    table = counted.mapInArrow(sparse, "label int, n_words long, columns array<int>, counts array<int>").toArrow()
+    table = counted.mapInArrow(sparse, "label int, columns array<int>, counts array<int>").toArrow()
     label = table.column("label").to_numpy()
-    n_words = table.column("n_words").to_numpy()
     lists = table.column("columns").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     rows = np.repeat(np.arange(len(label)), sizes)
@@ -176,10 +177,10 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str
     if n_grades:
         grades = np.clip(label, 0, n_grades).astype(np.int64)
     else:
-        density = np.bincount(rows, counts * marks[columns], len(label)) / np.maximum(n_words, 1)
-        edges = np.quantile(density[label > 0], np.arange(1, N_GRADES) / N_GRADES)
-        grades = np.where(label > 0, 1 + np.searchsorted(edges, density, side="right"), 0).astype(np.int64)
-    weights, thresholds = fit(rows, columns, feature(counts, n_words[rows]), grades, len(place), grades_in)
+        marked = np.bincount(rows, counts, len(label))
+        edges = np.quantile(marked[label > 0], np.arange(1, N_GRADES) / N_GRADES)
+        grades = np.where(label > 0, 1 + np.searchsorted(edges, marked, side="right"), 0).astype(np.int64)
+    weights, thresholds = fit(rows, columns, feature(counts), grades, len(place), grades_in)
     return OrdinalModel(place, weights, thresholds)
 
 
@@ -198,10 +199,10 @@ def grade(docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_
             for i in range(batch.num_rows):
                 words = find((batch.column(1)[i].as_py() or "").lower())
                 distinct = set(words)
-                hits = known & distinct | known & {stem(w) for w in distinct}
+                hits = known & distinct | known & set(stems(distinct))
                 for hit in sorted(hits):
-                    n = sum(w.startswith(hit[:-1]) and len(w) > PREFIX for w in words) if hit[-1] == "*" else words.count(hit)
-                    total[i] += model.weights[model.words[hit]] * float(feature(np.float64(n), np.float64(len(words))))
+                    n = sum(w.startswith(hit[:-1]) and len(w) >= len(hit) for w in words) if hit[-1] == "*" else words.count(hit)
+                    total[i] += model.weights[model.words[hit]] * float(feature(np.float64(n)))
             above = model.at_least(total)
             padded = np.concatenate([np.ones((len(total), 1)), above, np.zeros((len(total), 1))], axis=1)
             likeliest = np.argmax(padded[:, :-1] - padded[:, 1:], axis=1)
