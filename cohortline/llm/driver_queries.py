@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cohortline.llm import decontam, exactdup, huffman, neardup, packing, secrets, toxicity, unigram
+from cohortline.llm import decontam, exactdup, huffman, maintext, neardup, packing, quality, secrets, toxicity, unigram
 from cohortline.llm.common import read_small_file, read_table
 
 
@@ -37,6 +37,18 @@ def op6_huffman_ids(spark: SparkSession, d: str) -> DataFrame:
     return huffman.encode_and_read(read_table(spark, d, "documents"), read_small_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    model = quality.train(docs, read_table(spark, d, "labels").where(~held_out), "quality")
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op8_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return maintext.extract(read_table(spark, d, "pages"))
+
+
 def op9_secrets(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents")
     found = secrets.find_secrets(docs, secrets.train(docs))
@@ -54,6 +66,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_near_duplicates, op3_packing, op4_exact_duplicates, op5_toxicity, op6_huffman_ids, op9_secrets,
+    op1_token_counts, op2_near_duplicates, op3_packing, op4_exact_duplicates, op5_toxicity, op6_huffman_ids, op7_quality,
+    op8_main_text, op9_secrets,
     op10_decontamination)}
 ORACLES: dict[str, str] = {}

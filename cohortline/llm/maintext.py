@@ -1,7 +1,7 @@
 """Main text of web pages by composite text density.
 
 Each element's density is its characters per tag, lowered where characters and tags belong to links.
-An element's density sum adds its children's densities; the element with the largest sum is the
+An element's density sum adds the densities of the blocks in it; the element with the largest sum is the
 content, together with elements beside it that are as dense as the least dense element on the path
 from it to the body and have dense children of their own. Elements that are never article text
 (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are cut
@@ -159,7 +159,8 @@ def _measure(root: Element) -> None:
         base = math.log(node.chars / plain * links + root.link_chars / body * node.chars + math.e)
         ratio = node.chars / links * max(node.tags, 1) / max(node.link_tags, 1)
         node.density = node.chars / max(node.tags, 1) * max(math.log(max(ratio, 1e-9), max(base, 1.0001)), 0.0)
-        if node.parent is not None:
+        # inline elements belong to their block and are no candidates of their own
+        if node.parent is not None and node.tag in BLOCK:
             node.parent.sum += node.density
 
 
@@ -177,7 +178,7 @@ def content(root: Element) -> list[Element]:
     body = next((e for e in _elements(root) if e.tag == "body"), root)
     best = body
     for node in _elements(body):
-        if node.sum > best.sum:
+        if node.tag in BLOCK and node.sum > best.sum:
             best = node
     path, node = set(), best
     least = best.density
