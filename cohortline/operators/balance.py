@@ -13,6 +13,8 @@ from cohortline.operators.replicate import replicate
 from cohortline.session import pin_small
 
 HASH_RANGE = float(2 ** 32)
+#: A class's surplus spread up to a row, in exact decimals: index x need passes 64 bits in large classes.
+SPREAD = "cast({} as decimal(19, 0)) * cast(need as decimal(19, 0)) div cast(group_size as decimal(19, 0))"
 
 
 def synthetic_plan(df: DataFrame, id_col: str, label: str, seed: int = 42) -> DataFrame:
@@ -22,9 +24,8 @@ def synthetic_plan(df: DataFrame, id_col: str, label: str, seed: int = 42) -> Da
     hashed = df.select(F.col(id_col).alias("id"), F.col(label).alias("label"), stable_hash(id_col, seed=seed).alias("h"))
     largest = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
     indexed = dense_index(hashed, ["label"], "h", "id").withColumn("need", largest - F.col("group_size"))
-    upper = F.floor((F.col("row_index") + 1) * F.col("need") / F.col("group_size"))
-    lower = F.floor(F.col("row_index") * F.col("need") / F.col("group_size"))
-    return indexed.select("id", "label", (upper - lower).cast("bigint").alias("draws")).filter("draws > 0")
+    draws = F.expr(f"{SPREAD.format('row_index + 1')} - {SPREAD.format('row_index')}")
+    return indexed.select("id", "label", draws.cast("bigint").alias("draws")).filter("draws > 0")
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 5, seed: int = 42,

@@ -51,6 +51,11 @@ def quantile_edges(values: DataFrame, n_bins: int = N_BINS, small: bool | None =
         "edges", F.when(F.size("edges") < 3, F.array(low, (low + high) / 2, high)).otherwise(F.col("edges"))))
 
 
+def longest(df: DataFrame, column: str) -> int:
+    """Length of the longest array of a small statistics table, the bound of a search in it."""
+    return df.agg(F.max(F.size(column))).first()[0] or 0
+
+
 def with_bin(df: DataFrame, max_edges: int, count_outside: bool = False) -> DataFrame:
     """Adds the 1-based ``bin`` of ``value`` among ``edges``: half-open, the last
     one closed. Values outside give 0, or the nearest outer bin with
@@ -65,10 +70,10 @@ def with_bin(df: DataFrame, max_edges: int, count_outside: bool = False) -> Data
     return found.withColumn("bin", F.coalesce(placed, F.lit(0))).drop("_found")
 
 
-def histogram(values: DataFrame, edges: DataFrame, max_edges: int = N_BINS + 1, count_outside: bool = False) -> DataFrame:
+def histogram(values: DataFrame, edges: DataFrame, count_outside: bool = False) -> DataFrame:
     """(feature, bin, low, high, n, share) for every bin; empty bins give zero and
     shares are zero when nothing lies in range."""
-    placed = with_bin(values.join(per_feature(edges.select("feature", "edges")), "feature"), max_edges, count_outside)
+    placed = with_bin(values.join(per_feature(edges.select("feature", "edges")), "feature"), longest(edges, "edges"), count_outside)
     counts = placed.groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     return _all_bins(edges, counts)
 
@@ -112,7 +117,7 @@ def build_reference(df: DataFrame, features: Sequence[str], row_key: Sequence[st
     keyed = clean_values(long_form(hashed, present, "feature", "value", keep=["_hash", *row_key]))
     values = keyed.select("feature", "value")
     edges = quantile_edges(values, n_bins, small)
-    shares = histogram(values, edges, n_bins + 1).groupBy("feature").agg(
+    shares = histogram(values, edges).groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bin", "share"))), lambda s: s["share"]).alias("proportions"))
     moments = values.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     sample = bottom_k_sample(keyed, ["feature"], "_hash", row_key, sample_size).groupBy("feature").agg(
@@ -127,28 +132,29 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
     return counts.select("label", (F.col("n") / total).alias("share")).orderBy("label")
 
 
-def place_counts(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE,
-                 count_outside: bool = False) -> DataFrame:
+def place_counts(current: DataFrame, reference: DataFrame, count_outside: bool = False) -> DataFrame:
     """(feature, bin, place, on_point, n, total): current values counted by their
-    bin and their place among the sorted sample points. At most a few thousand
-    rows per feature; counts of separate batches add up."""
+    bin and their place among the sorted sample points, however many bins and points
+    the reference has. At most a few thousand rows per feature; counts of separate
+    batches add up."""
+    bounds = reference.agg(F.max(F.size("edges")), F.max(F.size("sample"))).first()
     points = reference.select("feature", "edges", F.array_sort(F.array_distinct("sample")).alias("points"))
-    binned = with_bin(clean_values(current).join(per_feature(points), "feature"), n_bins + 1, count_outside)
+    binned = with_bin(clean_values(current).join(per_feature(points), "feature"), bounds[0] or 0, count_outside)
     return (
-        with_count_at_most(binned, "value", "points", sample_size, "place")
+        with_count_at_most(binned, "value", "points", bounds[1] or 0, "place")
         .withColumn("on_point", F.coalesce(F.get("points", F.col("place") - 1) == F.col("value"), F.lit(False)))
         .groupBy("feature", "bin", "place", "on_point")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     )
 
 
-def feature_drift(current: DataFrame, reference: DataFrame, n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE,
+def feature_drift(current: DataFrame, reference: DataFrame,
                   watch: float = PSI_WATCH, alert: float = PSI_ALERT, alpha: float = KS_ALPHA,
                   count_outside: bool = False) -> DataFrame:
     """(feature, n_current, psi, ks_stat, ks_pvalue, status, ref_mean, cur_mean),
     unrounded, for features present on both sides."""
     # read by three small aggregates below: one scan instead of three
-    placed = pin_small(place_counts(current, reference, n_bins, sample_size, count_outside), 200_000)
+    placed = pin_small(place_counts(current, reference, count_outside), 200_000)
     return drift_from_counts(placed, reference, watch, alert, alpha)
 
 

@@ -17,9 +17,11 @@ def confusion_pairs(df: DataFrame, label: str = "label", prediction: str = "pred
 
 
 def confusion_matrix(df: DataFrame, classes: Sequence, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row per true class, one count column per predicted class."""
-    counted = df.groupBy(F.col(label).alias("label")).pivot(prediction, list(classes)).agg(F.count(F.lit(1)))
-    return counted.na.fill(0, [c for c in counted.columns if c != "label"])
+    """One row per true class, one count column per predicted class and one, ``other``,
+    for predictions outside the classes."""
+    counts = [F.count_if(F.col(prediction) == c).alias(str(c)) for c in classes]
+    known = F.coalesce(F.col(prediction).isin(*classes), F.lit(False))
+    return df.groupBy(F.col(label).alias("label")).agg(*counts, F.count_if(~known).alias("other"))
 
 
 def class_report(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -57,37 +57,19 @@ def skew_profile(df: DataFrame, cols: Sequence[str] | None = None, chunk: int =
     return _union(parts).orderBy(F.desc_nulls_last("skewness"), "column_name")
 
 
-def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None, max_native_pairs: int = 6) -> DataFrame:
+def corr_pairs(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson r of each column pair over the rows where both are present, as
-    (left_pos, left_col, right_pos, right_col, r). Few pairs are one built-in
-    aggregate; many would be seven aggregates each, beyond generated code, so they
-    are one pass of matrix products instead. Neither moves rows."""
-    cols = list(cols) if cols is not None else numeric_columns(df)
-    pairs = list(combinations(range(len(cols)), 2))
-    if len(pairs) > max_native_pairs:
-        return _corr_by_products(df, cols)
-    row = df.agg(*[_pair_corr(cols[i], cols[j]).alias(f"v{p}") for p, (i, j) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(i).alias("left_pos"), F.lit(cols[i]).alias("left_col"), F.lit(j).alias("right_pos"),
-                 F.lit(cols[j]).alias("right_col"), F.col(f"v{p}").alias("r"))
-        for p, (i, j) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*cells)))
-
-
-def _pair_corr(left: str, right: str):
-    """Like ``corr``, but null instead of an error when a side has no spread."""
-    a, b = F.col(f"`{left}`").cast("double"), F.col(f"`{right}`").cast("double")
-    a, b = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    # merged deviations of a constant side can miss zero by rounding; its extremes cannot
-    spread = F.when((F.min(a) < F.max(a)) & (F.min(b) < F.max(b)), F.stddev_pop(a) * F.stddev_pop(b))
-    return F.covar_pop(a, b) / F.nullif(spread, F.lit(0.0))
+    (left_pos, left_col, right_pos, right_col, r); NaN counts as missing. A pair
+    without spread has a null r. One pass of matrix products that moves no rows:
+    as aggregates every pair would need seven, beyond generated code."""
+    return _corr_by_products(df, list(cols) if cols is not None else numeric_columns(df))
 
 
 def _corr_by_products(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pairwise sums from products of the value and presence matrices of each Arrow
     batch; values are centred by the column means first, against cancellation."""
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    wide = wide.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in wide.columns])
     means_row = wide.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(len(cols))]).first()
     means = np.array([0.0 if v is None else v for v in means_row], dtype=np.float64)
     left, right = np.triu_indices(len(cols), k=1)
@@ -193,10 +175,14 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def crosstab(df: DataFrame, row_col: str, column_col: str, values: Sequence) -> DataFrame:
-    """Counts of two columns, one output column per given value (zeros filled)."""
-    counted = df.groupBy(row_col).pivot(column_col, list(values)).agg(F.count(F.lit(1)))
-    return counted.na.fill(0)
+def crosstab(df: DataFrame, row_col: str, column_col: str, values: Sequence, other: str = "other") -> DataFrame:
+    """Counts of two columns, one output column per given value (zeros filled) and
+    one, ``other``, for all the rest, so that every row is counted."""
+    if other in values:
+        raise ValueError(f"{other!r} is one of the values; name the column for the rest differently")
+    counts = [F.count_if(F.col(column_col) == v).alias(str(v)) for v in values]
+    listed = F.coalesce(F.col(column_col).isin(*values), F.lit(False)) if values else F.lit(False)
+    return df.groupBy(row_col).agg(*counts, F.count_if(~listed).alias(other))
 
 
 def stage_sizes(stages: dict[str, DataFrame]) -> DataFrame:

@@ -159,6 +159,12 @@ def last_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     return df.orderBy(*[c.desc() for c in cols]).limit(n).orderBy(*[c.asc() for c in cols])
 
 
+def head(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
+    """The first n rows in the given order: per-task top-n, then one merge. Columns that
+    do not tell all rows apart leave the choice among equals open."""
+    return df.orderBy(*order).limit(n)
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first in the given order. The rank filter limits each
     key to one row per task before the shuffle, so hot keys stay cheap."""

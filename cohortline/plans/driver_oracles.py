@@ -198,11 +198,14 @@ ORACLES = {
         round(100 * count(*) / sum(count(*)) OVER (), 6) AS pct FROM orders GROUP BY o_orderstatus""",
     "distinct_values": "SELECT DISTINCT o_orderpriority FROM orders",
     "crosstab": """SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS "F", count(*) FILTER (WHERE o_orderstatus = 'O') AS "O",
-        count(*) FILTER (WHERE o_orderstatus = 'P') AS "P" FROM orders GROUP BY o_orderpriority""",
+        count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O')) AS other FROM orders GROUP BY o_orderpriority""",
     "stage_sizes": """SELECT 'raw' AS stage, count(*) AS n_rows, 11::INT AS n_columns FROM lineitem UNION ALL SELECT 'staged', count(*), 10 FROM lineitem
         UNION ALL SELECT 'kept', count(*), 11 FROM lineitem WHERE l_quantity > 10""",
-    "column_catalogue": """SELECT table_name, column_name, ordinal_position::INT AS position FROM information_schema.columns
-        WHERE table_name IN ('region', 'nation', 'customer')""",
+    "column_catalogue": """SELECT table_name, column_name, ordinal_position::INT AS position,
+        CASE data_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT[]' THEN 'array<float>'
+        ELSE lower(data_type) END AS data_type FROM information_schema.columns
+        WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages',
+            'benchmark', 'labels', 'conversations')""",
     "quantile_edges": f"SELECT feature, n, unnest(range(0, len(edges)))::INT AS pos, round(unnest(edges), 6) AS edge FROM ({_edges(_REF)})",
     "quantile_edges_bucketed": f"SELECT feature, n, unnest(range(0, len(edges)))::INT AS pos, round(unnest(edges), 6) AS edge FROM ({_edges(_ITEMS_LONG)})",
     "histogram": f"SELECT feature, bin::INT AS bin, n, round(share, 6) AS share FROM ({_bins(_CUR, _edges(_REF))})",
@@ -239,6 +242,12 @@ ORACLES = {
     "windowed_metrics": f"""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n, count(*) FILTER (WHERE status IS DISTINCT FROM 'success') AS errors,
         round(avg(latency_ms), 6) AS avg_latency_ms FROM ({_PREDICTIONS}) GROUP BY window_start""",
     "last_n": "SELECT event_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 200",
+    "head_orders": "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders ORDER BY o_orderpriority, o_totalprice DESC, o_orderkey LIMIT 100",
+    "csv_reordered": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+    "corr_missing": """SELECT 'quantity' AS left_col, 'l_extendedprice' AS right_col, round(corr(l_quantity, l_extendedprice), 6) AS r FROM lineitem WHERE l_linenumber <> 1
+        UNION ALL SELECT 'quantity', 'mixed', round(corr(l_quantity, l_extendedprice + 100 * l_quantity), 6) FROM lineitem WHERE l_linenumber <> 1 AND l_tax <= 0.05
+        UNION ALL SELECT 'l_extendedprice', 'mixed', round(corr(l_extendedprice, l_extendedprice + 100 * l_quantity), 6) FROM lineitem WHERE l_tax <= 0.05""",
+    "drift_own_reference": f"""SELECT feature, count(*) AS n_current, 0.0::DOUBLE AS psi, true AS ks_close, 'STABLE' AS status FROM ({_ITEMS_LONG}) GROUP BY feature""",
     "dedup_first": """SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""",
     "follow_up": """SELECT CASE WHEN contains(lower(p_name), 'widget') THEN 'specialist' ELSE 'general' END AS tag, count(*) AS n, sum(p_size)::BIGINT AS size_sum FROM part GROUP BY tag""",
     "csv_load": """SELECT c_mktsegment AS mkt_segment, count(*) AS n, sum(c_custkey)::BIGINT AS key_sum, round(sum(c_acctbal), 2) AS balance,

@@ -26,6 +26,8 @@ from cohortline.session import ensure_checkpoint_dir
 from cohortline.sources import logs, records
 
 CUT_DATE = "1998-01-01"
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+          "benchmark", "labels", "conversations")
 ITEM_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -246,6 +248,15 @@ def corr_prune(spark, d):
     return P.corr_prune(P.corr_pairs(_corr_items(spark, d), CORR_COLUMNS), 0.85).select("column_name", r6("max_abs_r"))
 
 
+def corr_missing(spark, d):
+    """NaN counts as missing, pair by pair."""
+    nan = F.lit(float("nan"))
+    item = table(spark, d, "lineitem").select(
+        F.when(F.col("l_linenumber") == 1, nan).otherwise(F.col("l_quantity")).alias("quantity"), "l_extendedprice",
+        F.when(F.col("l_tax") > 0.05, nan).otherwise(F.col("l_extendedprice") + 100 * F.col("l_quantity")).alias("mixed"))
+    return P.corr_pairs(item).select("left_col", "right_col", r6("r"))
+
+
 DUP_COLUMNS = ["l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"]
 
 
@@ -276,7 +287,7 @@ def distinct_values(spark, d):
 
 
 def crosstab(spark, d):
-    return P.crosstab(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
+    return P.crosstab(table(spark, d, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O"])
 
 
 def stage_sizes(spark, d):
@@ -285,8 +296,7 @@ def stage_sizes(spark, d):
 
 
 def column_catalogue(spark, d):
-    return records.column_catalogue({n: table(spark, d, n) for n in ("region", "nation", "customer")}).select(
-        "table_name", "column_name", "position")
+    return records.column_catalogue({n: table(spark, d, n) for n in TABLES})
 
 
 # -- distributions and drift -----------------------------------------------------------------------------------
@@ -350,6 +360,14 @@ def drift_report(spark, d):
     return _item_drift(spark, d).select("feature", "n_current", r6("psi"), r6("ks_stat"), "status", r6("ref_mean"), r6("cur_mean"))
 
 
+def drift_own_reference(spark, d):
+    """Data against its own reference of 20 bins and 5,000 sample points: no drift."""
+    item = table(spark, d, "lineitem")
+    reference = D.build_reference(item, MEASURES, row_key=ITEM_KEY, n_bins=20, sample_size=5000)
+    found = D.feature_drift(K.long_form(item, MEASURES, "feature"), reference)
+    return found.select("feature", "n_current", r6("psi"), (F.col("ks_stat") < 0.05).alias("ks_close"), "status")
+
+
 def drift_summary(spark, d):
     _, cur = _item_sides(spark, d)
     n = cur.agg(F.count(F.lit(1))).scalar()
@@ -503,6 +521,11 @@ def last_n(spark, d):
     return R.last_n(table(spark, d, "events").select("event_id", "event_type", "value", "ts"), 200, ["ts", "event_id"]).drop("ts")
 
 
+def head_orders(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    return R.head(orders, 100, ["o_orderpriority", F.desc("o_totalprice"), "o_orderkey"])
+
+
 def dedup_first(spark, d):
     return R.first_per_key(table(spark, d, "events"), ["user_id", "event_type"], ["ts", "event_id"]).select(
         "user_id", "event_type", "event_id", "value")
@@ -526,6 +549,13 @@ def csv_load(spark, d):
         F.sum("nation_key").alias("nation_sum"), F.count_distinct(records.ROW_ID).alias("n_row_ids"))
 
 
+def csv_reordered(spark, d):
+    """A schema whose columns stand in another order than the file's header."""
+    path = scratch_path(spark, "supplier-csv")
+    records.write_csv(table(spark, d, "supplier").select("s_acctbal", "s_name", "s_nationkey", "s_suppkey"), path)
+    return records.read_csv(spark, path, "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
+
+
 QUERIES = {
     "segment_drift": segment_drift,
     "label_normalize": label_normalize,
@@ -547,6 +577,7 @@ QUERIES = {
     "column_choice": column_choice,
     "skew_profile": skew_profile,
     "corr_pairs": corr_pairs,
+    "corr_missing": corr_missing,
     "corr_prune": corr_prune,
     "duplicate_rows": duplicate_rows,
     "duplicate_groups": duplicate_groups,
@@ -563,6 +594,7 @@ QUERIES = {
     "ks_stat": ks_stat,
     "ks_stat_bucketed": ks_stat_bucketed,
     "drift_report": drift_report,
+    "drift_own_reference": drift_own_reference,
     "drift_summary": drift_summary,
     "reference_sample": reference_sample,
     "label_distribution": label_distribution,
@@ -582,7 +614,9 @@ QUERIES = {
     "log_features": log_features,
     "windowed_metrics": windowed_metrics,
     "last_n": last_n,
+    "head_orders": head_orders,
     "dedup_first": dedup_first,
     "follow_up": follow_up,
     "csv_load": csv_load,
+    "csv_reordered": csv_reordered,
 }

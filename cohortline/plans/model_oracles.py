@@ -80,7 +80,8 @@ MODEL_ORACLES = {
     "class_weights": "SELECT label, count(*) AS n, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight FROM embeddings GROUP BY label",
     "classification_metrics": f"SELECT round(accuracy, 6) AS accuracy, round(balanced_accuracy, 6) AS balanced_accuracy, round(f1_weighted, 6) AS f1_weighted, round(composite_score, 6) AS composite_score FROM ({_metrics(_JUDGED)})",
     "class_report": f"SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM ({_report(_JUDGED)})",
-    "confusion": f"""SELECT label, count(*) FILTER (WHERE prediction = 0) AS predicted_0, count(*) FILTER (WHERE prediction = 1) AS predicted_1 FROM ({_JUDGED}) GROUP BY label""",
+    "confusion": f"""SELECT label, count(*) FILTER (WHERE prediction = 0) AS predicted_0, count(*) FILTER (WHERE prediction = 1) AS predicted_1,
+        count(*) FILTER (WHERE prediction NOT IN (0, 1)) AS other FROM ({_JUDGED}) GROUP BY label""",
     "roc_auc": _AUC,
     "roc_auc_bucketed": _AUC,
     "roc_curve": f"""SELECT class, score AS threshold, tp::BIGINT AS tp, fp::BIGINT AS fp, round(tp / sum(p) OVER c, 6) AS tpr, round(fp / sum(q) OVER c, 6) AS fpr

@@ -37,7 +37,7 @@ def folds(spark, d):
 
 
 def standardize(spark, d):
-    train, test = prep.hash_split(table(spark, d, "lineitem").select(*ITEM_KEY, "l_returnflag", *MEASURES[:1], *MEASURES[1:]), ITEM_KEY)
+    train, test = prep.hash_split(table(spark, d, "lineitem").select(*ITEM_KEY, "l_returnflag", *MEASURES), ITEM_KEY)
     _, scaled, _ = prep.scale_split(train, test, [*ITEM_KEY, "l_returnflag"])
     return scaled.groupBy("l_returnflag").agg(*[
         c for m in MEASURES for c in (F.round(F.avg(m), 6).alias(f"avg_{m}"), F.round(F.max(m), 6).alias(f"max_{m}"))])
@@ -68,7 +68,7 @@ def class_report(spark, d):
 
 
 def confusion(spark, d):
-    return E.confusion_matrix(_judged(spark, d), [0, 1]).select("label", F.col("0").alias("predicted_0"), F.col("1").alias("predicted_1"))
+    return E.confusion_matrix(_judged(spark, d), [0, 1]).select("label", F.col("0").alias("predicted_0"), F.col("1").alias("predicted_1"), "other")
 
 
 def _scored_documents(spark, d):
@@ -79,7 +79,7 @@ def _scored_documents(spark, d):
 
 
 def roc_auc(spark, d):
-    return E.roc_auc(_scored_documents(spark, d), small=True).select("class", r6("auc"))
+    return E.roc_auc(_scored_documents(spark, d)).select("class", r6("auc"))
 
 
 def roc_auc_bucketed(spark, d):

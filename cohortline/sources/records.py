@@ -37,13 +37,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False) -> DataFrame:
     """CSV with a header. A schema avoids the extra pass that inference costs and
-    is what a production load should give; without one the types are inferred
+    is what a production load should give; its columns are found by their names in
+    the header, whatever their order, and a name missing on either side raises; without one the types are inferred
     from the texts after the null markers are removed. ``multi_line`` accepts line
     breaks inside quotes, but then a file is read by one task."""
     reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         kinds = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        text = reader.schema(StructType([StructField(f.name, StringType()) for f in kinds.fields])).csv(path)
+        text = reader.csv(path)  # all texts; only the header line is read for the names
+        missing, unknown = set(kinds.names) - set(text.columns), set(text.columns) - set(kinds.names)
+        if missing or unknown:
+            raise ValueError(f"{path}: columns missing {sorted(missing)}, unknown {sorted(unknown)}")
         return text.select(*[_null_marked(f.name).cast(f.dataType).alias(f.name) for f in kinds.fields])
     text = reader.csv(path)
     cleaned = text.select(*[_null_marked(name).alias(name) for name in text.columns])

@@ -172,3 +172,12 @@ def test_row_loss_and_empty_duplicate_rate(spark):
     assert [tuple(r) for r in C.row_loss(counts, "raw").collect()] == [("b", 9)]
     empty = C.duplicate_rate(df.filter("id < 0"), ["id"])
     assert empty.first()["duplicate_rate"] is None and C.outside_band(empty, "duplicate_rate", 0.4, 0.6).count() == 0
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "reordered.csv"
+    path.write_text("b,a\nx,1\n,2\n", encoding="utf-8")
+    assert [tuple(r) for r in records.read_csv(spark, str(path), "a bigint, b string").collect()] == [(1, "x"), (2, None)]
+    for schema in ("a bigint", "a bigint, b string, c int"):
+        with pytest.raises(ValueError):
+            records.read_csv(spark, str(path), schema)

@@ -273,3 +273,10 @@ def test_probability_columns_feed_the_auc(spark):
     df = T.assemble(spark.createDataFrame(blobs(150)), ["x", "y"], "label")
     scored = T.forest(numTrees=4, maxDepth=4).fit(df).transform(df).withColumn("p", vector_to_array("probability"))
     assert E.macro_roc_auc(scored, "p", [0, 1, 2]).first()["roc_auc"] > 0.95
+
+
+def test_synthetic_plan_of_large_counts(spark):
+    """Index times need passes 64 bits; the plan's arithmetic does not."""
+    row = spark.sql("SELECT 3100000000L AS row_index, 3100000007L AS need, 6200000000L AS group_size")
+    got = row.selectExpr(f"{B.SPREAD.format('row_index + 1')} - {B.SPREAD.format('row_index')} AS draws").first()["draws"]
+    assert got == 3100000001 * 3100000007 // 6200000000 - 3100000000 * 3100000007 // 6200000000

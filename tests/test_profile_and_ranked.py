@@ -44,11 +44,10 @@ def test_nulls_and_skew_match_pandas(frame, table):
         assert value == pytest.approx(table[name].skew(), rel=1e-9)
 
 
-@pytest.mark.parametrize("max_native", [0, 1000])
-def test_correlation_both_ways_matches_pandas(frame, table, max_native):
+def test_correlation_matches_pandas(frame, table):
     cols = ["a", "b", "flag", "c", "d", "one"]
     want = table[cols].corr()
-    rows = P.corr_pairs(frame, cols, max_native).collect()
+    rows = P.corr_pairs(frame, cols).collect()
     assert len(rows) == 15
     for r in rows:
         expected = want.loc[r["left_col"], r["right_col"]]
@@ -56,7 +55,7 @@ def test_correlation_both_ways_matches_pandas(frame, table, max_native):
             assert r["r"] is None or np.isnan(r["r"])
         else:
             assert r["r"] == pytest.approx(expected, abs=1e-9)
-    pruned = [r["column_name"] for r in P.corr_prune(P.corr_pairs(frame, cols, max_native)).collect()]
+    pruned = [r["column_name"] for r in P.corr_prune(P.corr_pairs(frame, cols)).collect()]
     assert pruned == ["c", "d"]
 
 
@@ -158,3 +157,15 @@ def test_lookup_join_keeps_every_row(spark):
     lookup = rows.select("k").distinct().withColumn("v", F.col("k") * 10)
     joined = lookup_join(rows, lookup, ["k"], spark.createDataFrame([(-1,)], "k bigint"))
     assert joined.count() == 3000 and joined.filter("v <> k * 10").count() == 0
+
+
+def test_values_not_listed_are_counted_too(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", None), ("b", 9)], "k string, v int")
+    assert sorted(tuple(r) for r in P.crosstab(df, "k", "v", [1, 2]).collect()) == [("a", 1, 1, 1), ("b", 0, 0, 1)]
+    with pytest.raises(ValueError):
+        P.crosstab(df, "k", "k", ["other"])
+
+
+def test_head_is_ordered(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
+    assert [r["x"] for r in R.head(df, 5, ["x"]).collect()] == [0, 1, 2, 3, 4] and R.head(df, 0, ["x"]).collect() == []
