@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortline.llm import decontam, exactdup, huffman, maintext, neardup, packing, quality, secrets, toxicity, unigram
 from cohortline.llm.common import read_small_file, read_table
+from cohortline.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_token_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -67,6 +68,4 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_near_duplicates, op3_packing, op4_exact_duplicates, op5_toxicity, op6_huffman_ids, op7_quality,
-    op8_main_text, op9_secrets,
-    op10_decontamination)}
-ORACLES: dict[str, str] = {}
+    op8_main_text, op9_secrets, op10_decontamination)}
