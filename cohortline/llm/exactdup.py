@@ -21,6 +21,8 @@ from cohortline.llm.common import store
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Distinct keys that a bucket may hold.
 BUCKET_KEYS = 64
+#: A directory has at most 2 ** SLACK_BITS times as many entries as keys.
+SLACK_BITS = 4
 #: Key ranges for each shuffle partition; a range is the unit that an owner holds in memory.
 RANGES_PER_PARTITION = 16
 
@@ -64,6 +66,7 @@ class KeyRange:
         self.room = 64 - skip_bits
         self.bucket_keys = bucket_keys
         self.depth = 0
+        self.n_keys = 0
         self.directory = [Bucket(0, 0)]
 
     def _slot(self, key: int) -> int:
@@ -78,7 +81,10 @@ class KeyRange:
                 entry[2], entry[3] = _better(entry[2], best), entry[3] + count
                 return
         chain.append([body, sha256, best, count])
-        while len(bucket.keys) > self.bucket_keys and bucket.depth < self.room:
+        self.n_keys += len(chain) == 1
+        # keys that agree in too many bits overflow their bucket, so that the directory stays in proportion
+        deepest = min(self.room, self.n_keys.bit_length() + SLACK_BITS)
+        while len(bucket.keys) > self.bucket_keys and bucket.depth < deepest:
             self._split(bucket)
             bucket = self.directory[self._slot(key)]
 

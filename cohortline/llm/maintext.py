@@ -43,7 +43,7 @@ NOISE_WORDS = frozenset(
     "complementary contentinfo search widget".split())
 
 TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)(?:>|$)", re.S)
+    r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|$)", re.S)
 MARKS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
 SPACES = re.compile(r"\s+")
@@ -180,6 +180,14 @@ def content(root: Element) -> list[Element]:
     for node in _elements(body):
         if node.tag in BLOCK and node.sum > best.sum:
             best = node
+    # a part of an article, or else of the main element, stands for the whole of it
+    for tag in ("article", "main"):
+        node = best
+        while node is not None and node.tag != tag:
+            node = node.parent
+        if node is not None:
+            best = node
+            break
     path, node = set(), best
     least = best.density
     while node is not None and node is not body:

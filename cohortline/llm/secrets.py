@@ -93,15 +93,14 @@ def _pairs(token: Column) -> Column:
         lambda a, b: a * F.lit(width) + b)).otherwise(F.array().cast("array<int>"))
 
 
-def _smoothed(counts: dict[int, int]) -> np.ndarray:
+def _log_chances(counts: dict[int, int], weight: float = 20.0) -> np.ndarray:
+    """log P(next character | character), the pair counts backed by those of the single characters."""
     width = len(ALPHABET) + 1
     table = np.zeros((width, width))
     for code, n in counts.items():
         table[divmod(code, width)] = n
-    table[1:, 1:] += 0.5
-    table[0] += 1
-    table[:, 0] += 1
-    return np.log(table / table.sum(axis=1, keepdims=True))
+    single = (table.sum(axis=0) + 1) / (table.sum() + width)
+    return np.log((table + weight * single[None, :]) / (table.sum(axis=1, keepdims=True) + weight))
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> RandomnessModel:
@@ -119,7 +118,7 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         # at most as many rows as there are pairs of characters
         return {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
 
-    ratio = _smoothed(counts(random)) - _smoothed(counts(plain))
+    ratio = _log_chances(counts(random)) - _log_chances(counts(plain))
     return RandomnessModel(tuple(round(float(x), 4) for x in ratio.ravel()))
 
 
