@@ -160,7 +160,7 @@ def forest_metrics(spark, d):
 
 def svc_metrics(spark, d):
     train, test = _sides(spark, d)
-    return _metric_rows(spark, T.KERNEL_NAME, T.evaluate(T.fit_kernel_svc(train, N_DIMS, max_iter=20).transform(test)))
+    return _metric_rows(spark, T.KERNEL_NAME, T.evaluate(T.fit_kernel_svc(train, N_DIMS).transform(test)))
 
 
 def poly_roc(spark, d):
@@ -171,12 +171,12 @@ def poly_roc(spark, d):
 
 def cross_validation(spark, d):
     data = T.from_arrays(_vectors(spark, d), "embedding", "label", ["vec_id"])
-    return T.cross_validate(data, T.forest(numTrees=20, maxDepth=6), "vec_id")
+    return T.cross_validate(data, T.forest(), "vec_id")
 
 
 def learning_curve(spark, d):
     data = T.from_arrays(_vectors(spark, d), "embedding", "label", ["vec_id"])
-    return T.curve_summary(T.learning_curve(data, T.forest(numTrees=5, maxDepth=4), "vec_id"))
+    return T.curve_summary(T.learning_curve(data, T.forest(), "vec_id"))
 
 
 def feature_elimination(spark, d):

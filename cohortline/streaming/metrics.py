@@ -75,13 +75,19 @@ def start_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "comp
 
 def start_drift(predictions: DataFrame, reference: DataFrame, counts_path: str, report_path: str, checkpoint: str,
                 features: list[str] | None = None, available_now: bool = True) -> StreamingQuery:
-    """Drift of everything seen so far, per trigger. Each trigger stores only its
-    place counts (a replayed trigger overwrites its own folder); the report adds
-    the stored counts up, so its cost does not grow with the events behind them."""
+    """Drift of everything seen so far, per trigger. A trigger adds its place counts to
+    those of the trigger before and keeps the sum: two folders take turns, so that a
+    replayed trigger starts from the same sum, and neither the report's cost nor the
+    stored counts grow with the number of triggers."""
     def check(batch: DataFrame, batch_id: int) -> None:
         counts = D.place_counts(logs.feature_values(batch, features), reference)
-        counts.repartition(1).write.mode("overwrite").parquet(f"{counts_path}/trigger={batch_id}")
-        report = D.drift_from_counts(batch.sparkSession.read.parquet(counts_path), reference)
+        if batch_id > 0:
+            earlier = batch.sparkSession.read.schema(counts.schema).parquet(f"{counts_path}/turn-{(batch_id - 1) % 2}")
+            counts = earlier.unionByName(counts).groupBy("feature", "bin", "place", "on_point").agg(
+                F.sum("n").alias("n"), F.sum("total").alias("total"))
+        path = f"{counts_path}/turn-{batch_id % 2}"
+        counts.write.mode("overwrite").parquet(path)
+        report = D.drift_from_counts(batch.sparkSession.read.schema(counts.schema).parquet(path), reference)
         report.repartition(1).write.mode("overwrite").parquet(report_path)
 
     writer = predictions.writeStream.option("checkpointLocation", checkpoint).foreachBatch(check)
