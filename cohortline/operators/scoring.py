@@ -16,21 +16,31 @@ from cohortline.operators.columns import long_form
 from cohortline.operators.prep import apply_standardiser
 
 
-def validate_inputs(df: DataFrame, required: Sequence[str], optional: Sequence[str] = (), default: float = 0.0) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected). Every input must read as a number; a missing required
-    one rejects the row, a missing optional one takes the default. Rejected rows
-    keep their texts and list the reasons. Absent columns count as missing."""
+def checked_inputs(df: DataFrame, required: Sequence[str], optional: Sequence[str] = (), default: float = 0.0) -> DataFrame:
+    """All rows with ``numbers``, a struct of the inputs as numbers (a missing optional
+    one takes the default), and ``reasons``, why the row is rejected (empty: accepted).
+    Every input must read as a number; a missing required one rejects the row. Absent
+    columns count as missing. Each text is cast once."""
     present = set(df.columns)
-    numbers = {c: to_number(F.col(f"`{c}`")) if c in present else F.lit(None).cast("double") for c in [*required, *optional]}
-    unreadable = {c: F.col(f"`{c}`").isNotNull() & numbers[c].isNull() if c in present else F.lit(False) for c in numbers}
-    problems = [F.when(numbers[c].isNull() & ~unreadable[c], F.lit(f"{c}: missing")) for c in required]
-    problems += [F.when(unreadable[c], F.lit(f"{c}: not a number")) for c in numbers]
-    checked = df.withColumn("reasons", F.array_compact(F.array(*problems)))
-    others = [c for c in df.columns if c not in numbers]
+    names = [*required, *optional]
+    cast = df.withColumn("_cast", F.struct(*[
+        (to_number(F.col(f"`{c}`")) if c in present else F.lit(None).cast("double")).alias(c) for c in names]))
+    number = {c: F.col(f"_cast.`{c}`") for c in names}
+    unreadable = {c: F.col(f"`{c}`").isNotNull() & number[c].isNull() if c in present else F.lit(False) for c in names}
+    problems = [F.when(number[c].isNull() & ~unreadable[c], F.lit(f"{c}: missing")) for c in required]
+    problems += [F.when(unreadable[c], F.lit(f"{c}: not a number")) for c in names]
+    numbers = F.struct(*[number[c].alias(c) for c in required], *[F.coalesce(number[c], F.lit(default)).alias(c) for c in optional])
+    return cast.select(*[F.col(f"`{c}`") for c in df.columns], numbers.alias("numbers"), F.array_compact(F.array(*problems)).alias("reasons"))
+
+
+def validate_inputs(df: DataFrame, required: Sequence[str], optional: Sequence[str] = (), default: float = 0.0) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) of ``checked_inputs``: accepted rows with their numbers,
+    rejected ones with their texts and the reasons."""
+    checked = checked_inputs(df, required, optional, default)
+    names = [*required, *optional]
     accepted = checked.filter(F.size("reasons") == 0).select(
-        *[F.col(f"`{c}`") for c in others], *[numbers[c].alias(c) for c in required],
-        *[F.coalesce(numbers[c], F.lit(default)).alias(c) for c in optional])
-    return accepted, checked.filter(F.size("reasons") > 0)
+        *[F.col(f"`{c}`") for c in df.columns if c not in names], *[F.col(f"numbers.`{c}`").alias(c) for c in names])
+    return accepted, checked.filter(F.size("reasons") > 0).drop("numbers")
 
 
 def range_violations(df: DataFrame, bounds: Mapping[str, tuple[float, float]]) -> DataFrame:

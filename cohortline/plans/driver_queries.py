@@ -22,7 +22,7 @@ from cohortline.operators import prep
 from cohortline.operators import profile as P
 from cohortline.operators import ranked as R
 from cohortline.plans import layers as L
-from cohortline.session import ensure_checkpoint_dir
+from cohortline.session import cut_lineage, ensure_checkpoint_dir
 from cohortline.sources import logs, records
 
 CUT_DATE = "1998-01-01"
@@ -391,7 +391,8 @@ def segment_drift(spark, d):
         "c_custkey", normalise_label(F.col("c_mktsegment"), SEGMENT_RULES, "other").alias("feature"))
     orders = table(spark, d, "orders").select(
         F.col("o_custkey").alias("c_custkey"), N.log1p(F.col("o_totalprice")).alias("value"), "o_orderdate")
-    joined = orders.join(customer, "c_custkey")
+    # read by the edges and by both histograms
+    joined = cut_lineage(orders.join(customer, "c_custkey").select("feature", "value", "o_orderdate"))
     ref, cur = joined.filter(F.col("o_orderdate") < CUT_DATE), joined.filter(F.col("o_orderdate") >= CUT_DATE)
     edges = D.quantile_edges(ref.select("feature", "value"))
     index = D.psi(D.histogram(ref, edges), D.histogram(cur, edges))

@@ -203,12 +203,11 @@ def _raw_inputs(spark, d):
 
 
 def input_validation(spark, d):
-    accepted, rejected = S.validate_inputs(_raw_inputs(spark, d), SCORED, OPTIONAL)
-    good = accepted.agg(F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n"), F.round(F.sum("l_tax"), 4).alias("tax_sum"),
-                        F.sum("absent").alias("absent_sum"))
-    bad = rejected.groupBy(F.array_join("reasons", "; ").alias("outcome")).agg(
-        F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("tax_sum"), F.lit(None).cast("double").alias("absent_sum"))
-    return good.unionByName(bad)
+    checked = S.checked_inputs(_raw_inputs(spark, d), SCORED, OPTIONAL)
+    accepted = F.size("reasons") == 0
+    return checked.groupBy(F.when(accepted, "accepted").otherwise(F.array_join("reasons", "; ")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum(F.when(accepted, F.col("numbers.l_tax"))), 4).alias("tax_sum"),
+        F.sum(F.when(accepted, F.col("numbers.absent"))).alias("absent_sum"))
 
 
 def input_ranges(spark, d):
