@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Lower bound of bin shares inside the stability index.
 PSI_EPSILON = 1e-6
@@ -71,8 +75,45 @@ def adjusted_skewness(col: Column) -> Column:
     return F.when(n >= 3, F.skewness(col) * factor)
 
 
+#: Both samples up to this size: the exact law of the two-sample statistic.
+KS_EXACT_UP_TO = 10_000
+
+
+def ks_exact_p_value(statistic: float, n: int, m: int) -> float:
+    """P(D >= statistic) for two samples of one continuous law, by counting the paths from
+    (0, 0) to (n, m) that stay within the band |i / n - j / m| < statistic. A row of counts
+    is the running sum of the row before, so each of the n + 1 steps is one vector operation."""
+    reach = round(statistic * n * m)
+    if reach <= 0:
+        return 1.0
+    paths = np.zeros(m + 1)
+    paths[:min(m, (reach - 1) // n) + 1] = 1.0
+    scale = 0.0
+    for i in range(1, n + 1):
+        low, high = max(0, (i * m - reach) // n + 1), min(m, (i * m + reach - 1) // n)
+        inside = np.cumsum(paths[low:high + 1])
+        if not len(inside) or inside[-1] == 0:
+            return 1.0
+        paths[:] = 0.0
+        paths[low:high + 1] = inside / inside[-1]
+        scale += math.log(inside[-1])
+    if paths[m] == 0:
+        return 1.0
+    all_paths = math.lgamma(n + m + 1) - math.lgamma(n + 1) - math.lgamma(m + 1)
+    return min(1.0, max(0.0, -math.expm1(math.log(paths[m]) + scale - all_paths)))
+
+
+@F.pandas_udf(DoubleType())
+def _ks_exact(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    """One row per feature; null where a sample is too large for the exact law."""
+    return pd.Series([
+        ks_exact_p_value(d, int(a), int(b)) if d == d and 0 < a and 0 < b and max(a, b) <= KS_EXACT_UP_TO else None
+        for d, a, b in zip(statistic, n, m)], dtype="float64")
+
+
 def ks_p_value(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
-    """Asymptotic two-sided Kolmogorov-Smirnov p-value, clipped to [0, 1]."""
+    """Two-sided two-sample Kolmogorov-Smirnov p-value, exact up to ``KS_EXACT_UP_TO`` values
+    a side, asymptotic beyond, in [0, 1]."""
     n, m = n_left.cast("double"), n_right.cast("double")
     scaled = statistic * statistic * (n * m / (n + m))
     series = F.aggregate(
@@ -80,4 +121,5 @@ def ks_p_value(statistic: Column, n_left: Column, n_right: Column, terms: int =
         F.lit(0.0),
         lambda total, k: total + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * scaled),
     )
-    return F.when(scaled < 0.02, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
+    asymptotic = F.when(scaled < 0.02, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
+    return F.when(F.greatest(n, m) <= KS_EXACT_UP_TO, _ks_exact(statistic, n, m)).otherwise(asymptotic)

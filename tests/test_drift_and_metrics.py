@@ -1,3 +1,4 @@
+import itertools
 import json
 
 import numpy as np
@@ -5,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from cohortline.functions.numeric import flag_sum, psi_term, to_number, with_count_at_most
+from cohortline.functions.numeric import flag_sum, ks_exact_p_value, ks_p_value, psi_term, to_number, with_count_at_most
 from cohortline.functions.status import drift_status, is_predict_path, severity
 from cohortline.functions.text import follow_up_tag, row_fingerprint, short_request_id, stable_hash
 from cohortline.operators import drift as D
@@ -248,3 +249,20 @@ def test_monitoring_plan(spark, tmp_path):
     assert after["model_metrics"]["class_distribution"] == {"normal": 300} and after["health"]["severity"] == "alert"
     empty = monitor.check_drift(spark, str(tmp_path / "no.log"), out).first()
     assert empty["overall_status"] is None and empty["n_production_samples"] == 0
+
+
+def test_ks_p_value_is_exact_for_small_samples(spark):
+    for n, m in ((3, 4), (5, 6), (4, 4), (1, 7)):
+        gaps = []
+        for left in itertools.combinations(range(n + m), n):
+            i, gap, chosen = 0, 0.0, set(left)
+            for k in range(n + m):
+                i += k in chosen
+                gap = max(gap, abs(i / n - (k + 1 - i) / m))
+            gaps.append(gap)
+        for gap in set(gaps):
+            assert ks_exact_p_value(gap, n, m) == pytest.approx(sum(g >= gap - 1e-9 for g in gaps) / len(gaps), abs=1e-9)
+    rows = spark.createDataFrame([(0.5, 5, 6), (0.02, 2_000, 9_000), (0.02, 2_000, 900_000), (0.0, 5, 5)], "d double, n long, m long")
+    got = [r[0] for r in rows.select(ks_p_value(F.col("d"), F.col("n"), F.col("m"))).collect()]
+    assert got[0] == pytest.approx(ks_exact_p_value(0.5, 5, 6)) and got[3] == 1.0
+    assert got[1] == pytest.approx(0.525, abs=0.02) and got[2] == pytest.approx(0.402, abs=0.02)
