@@ -42,13 +42,14 @@ def read_small_file(path: str) -> bytes:
         return file.read()
 
 
-def worker_state() -> dict:
-    """A dict that lives as long as the Python worker, so that tasks which reuse the worker
-    also reuse its tokenizer and its cache of words. Functions travel by value, hence their
-    own module globals start empty in every task."""
+def worker_state(owner: str) -> dict:
+    """A dict that lives on in the Python worker, so that tasks which reuse the worker also
+    reuse its tokenizer and its cache of words. Functions travel by value, hence their own
+    module globals start empty in every task. Only one operator's state is kept: the next
+    one to ask drops it, so that the caches of a pipeline's stages do not add up."""
     name = "cohortline_worker_state"
     module = sys.modules.get(name)
-    if module is None:
+    if module is None or module.owner != owner:
         module = sys.modules[name] = types.ModuleType(name)
-        module.values = {}
+        module.owner, module.values = owner, {}
     return module.values

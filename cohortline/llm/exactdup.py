@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import store
+from cohortline.llm.common import store, worker_state
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 #: Distinct keys that a bucket may hold.
@@ -119,6 +119,7 @@ def build_index(rows: DataFrame, range_bits: int | None = None, bucket_keys: int
     range_bits = range_bits or (RANGES_PER_PARTITION * partitions - 1).bit_length()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("exactdup")  # drops what an earlier operator cached
         for batch in batches:
             found: dict[str, list] = {}
             for doc_id, n, body, key, sha256 in zip(*(c.to_pylist() for c in batch.columns)):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import store
+from cohortline.llm.common import store, worker_state
 
 #: Labelled rows the model may be fitted on, and words it may use.
 MAX_ROWS = 30_000
@@ -192,6 +192,7 @@ def grade(docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("toxicity")  # drops what an earlier operator cached
         model, find = shared.value, re.compile(WORD).findall
         known = model.words.keys()
         for batch in batches:

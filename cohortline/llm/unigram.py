@@ -53,10 +53,10 @@ class PieceCounter:
 
     @staticmethod
     def shared(pieces: list[tuple[str, float]], key: str) -> "PieceCounter":
-        state = worker_state()
-        if ("pieces", key) not in state:
-            state["pieces", key] = PieceCounter(pieces)
-        return state["pieces", key]
+        state = worker_state("unigram")
+        if key not in state:
+            state[key] = PieceCounter(pieces)
+        return state[key]
 
     def word(self, word: str) -> int:
         """Pieces of one word: the dynamic program over its end positions."""
