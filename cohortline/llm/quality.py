@@ -1,8 +1,8 @@
 """Text quality by votes of nearest labelled neighbours in a latent-semantic space.
 
-A text becomes weighted counts of hashed terms: shapes of words with the punctuation around them,
-character trigrams of shapes, and a few traits of the whole text (line lengths, repeated lines and
-words). A singular value decomposition of a bounded labelled sample gives the latent space; the
+A text becomes weighted shares of hashed terms: shapes of words with the punctuation around them,
+their last characters with the word's length, and a few traits of the whole text (variety of words,
+repeated lines, line lengths). A singular value decomposition of a bounded labelled sample gives the latent space; the
 labelled vectors are broadcast (``MAX_ROWS`` x ``DIMENSIONS`` numbers), every document's cosine with
 each of them is one block product, and the nearest vote with their similarity as weight.
 """
@@ -34,8 +34,14 @@ MAX_CACHED_WORDS = 300_000
 _SHAPES = ((re.compile(r"[^\W\d_]*[^\W\d_A-ZÀ-ÖØ-Þ][^\W\d_]*"), "x"), (re.compile(r"[A-ZÀ-ÖØ-Þ]+"), "X"), (re.compile(r"\d+"), "9"))
 
 
+NO_LETTERS = re.compile(r"[\W\d_]+")
+
+
 def shape(word: str) -> str:
     """A word with its runs of letters and digits written as x, X (capitals only) or 9."""
+    core = word.rstrip("!#$%&*,.:;?|")
+    if core.isalpha() and not core.isupper():
+        return ("x" + word[len(core):])[:12]
     for pattern, letter in _SHAPES:
         word = pattern.sub(letter, word)
     return word[:12]
@@ -51,21 +57,27 @@ def _word_terms(word: str) -> tuple[int, ...]:
     return (_slot("w" + form), _slot(f"l{form[-2:]}{size}"))
 
 
+class TermCache(dict):
+    """Terms of each word, worked out when it is first asked for; a full cache stays as it is."""
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        terms = _word_terms(word)
+        if len(word) <= 64 and len(self) < MAX_CACHED_WORDS:
+            self[word] = terms
+        return terms
+
+
 def term_counts(text: str | None) -> dict[int, float]:
     """Hashed terms of a whole text and their relative weights; none for an empty text but its trait."""
     text = text or ""
     words = text.split()
-    cache = worker_state().setdefault("quality-terms", {})
-    if len(cache) > MAX_CACHED_WORDS:
-        cache.clear()
-    counts: Counter = Counter()
+    state = worker_state("quality")
+    terms_of = state.get("terms")
+    if terms_of is None:
+        terms_of = state["terms"] = TermCache()
     distinct = Counter(words)
-    for word, n in distinct.items():
-        terms = cache.get(word)
-        if terms is None:
-            terms = _word_terms(word)
-            if len(word) <= 64:
-                cache[word] = terms
+    counts: Counter = Counter()
+    for terms, n in Counter(map(terms_of.__getitem__, words)).items():
         for term in terms:
             counts[term] += n
     total = max(len(words), 1)
@@ -75,7 +87,7 @@ def term_counts(text: str | None) -> dict[int, float]:
     traits = {
         "variety": len(distinct) / total, "repeated": repeated, "most": max(distinct.values(), default=0) / total,
         "line": len(words) / max(len(lines), 1) / 100, "length": np.log1p(len(words)) / 10,
-        "letters": sum(map(str.isalpha, text[:])) / max(len(text), 1) if len(text) < 2_000 else _letter_share(text),
+        "letters": len(NO_LETTERS.sub("", text)) / max(len(text), 1),
     }
     for name, value in traits.items():
         level = min(int(value * 10), 10)
@@ -83,10 +95,6 @@ def term_counts(text: str | None) -> dict[int, float]:
     return out
 
 
-def _letter_share(text: str) -> float:
-    return len(re.sub(r"[\W\d_]+", "", text)) / len(text)
-
-
 def _dense(counted: list[dict[int, float]]) -> np.ndarray:
     out = np.zeros((len(counted), TERMS), dtype=np.float32)
     for row, terms in enumerate(counted):
