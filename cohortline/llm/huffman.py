@@ -27,7 +27,7 @@ from cohortline.llm.tokens import UnitEncoder
 MAGIC = b"HUF1"
 BLOCK_IDS = 1 << 18
 INTERVAL = 256
-MAX_LENGTH = 20
+MAX_LENGTH = 16
 
 
 def code_lengths(counts: np.ndarray, max_length: int = MAX_LENGTH) -> np.ndarray:
@@ -73,27 +73,29 @@ class Codebook:
         self.max_length = int(lengths.max()) if len(used) else 1
         spans = np.int64(1) << (self.max_length - self.lengths[order])
         starts = np.cumsum(spans) - spans
-        self.codes = np.zeros(len(lengths), dtype=np.uint64)
-        self.codes[order] = starts >> (self.max_length - self.lengths[order])
-        table = np.repeat(order, spans)
-        self.symbols = np.zeros(1 << self.max_length, dtype=np.int64)
+        # code and length of each symbol, and symbol and length behind each ``max_length`` bits, in one number
+        self.codes = np.zeros(len(lengths), dtype=np.int64)
+        self.codes[order] = (starts >> (self.max_length - self.lengths[order])) << 6 | self.lengths[order]
+        table = np.repeat(order << 6 | self.lengths[order], spans)
+        self.symbols = np.ones(1 << self.max_length, dtype=np.int64)
         self.symbols[:len(table)] = table
-        self.widths = np.ones(1 << self.max_length, dtype=np.int64)
-        self.widths[:len(table)] = self.lengths[table]
 
     def encode(self, ids: np.ndarray) -> tuple[np.ndarray, bytes]:
         """Bit offset of each id, and the bits."""
-        widths = self.lengths[ids]
+        packed = self.codes[ids]
+        widths = packed & 63
         ends = np.cumsum(widths)
         at = ends - widths
         total = int(ends[-1]) if len(ids) else 0
-        word, shift = at >> 5, (64 - (at & 31) - widths).astype(np.uint64)
-        value = self.codes[ids] << shift
-        n = total // 32 + 2
-        # no two codes share a bit, so sums below 2**32 stand for disjunctions and are exact as doubles
-        words = np.bincount(word, (value >> np.uint64(32)).astype(np.float64), n)
-        words += np.bincount(word + 1, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
-        return at, words[:(total + 31) // 32].astype(np.uint64).astype(">u4").tobytes()
+        words = np.zeros(total // 32 + 2, dtype=np.uint64)
+        if len(ids):
+            word = at >> 5
+            value = (packed >> 6).astype(np.uint64) << (64 - (at & 31) - widths).astype(np.uint64)
+            # the codes that begin in one word: their bits are disjoint, so sums stand for disjunctions
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            words[word[first]] += np.add.reduceat(value >> np.uint64(32), first)
+            words[word[first] + 1] += np.add.reduceat(value & np.uint64(0xFFFFFFFF), first)
+        return at, words[:(total + 31) // 32].astype(">u4").tobytes()
 
     def decode(self, bits: bytes, checkpoints: np.ndarray, n: int, interval: int) -> np.ndarray:
         words = np.frombuffer(bits, ">u4").astype(np.uint64)
@@ -104,8 +106,9 @@ class Codebook:
         drop = np.uint64(64 - self.max_length)
         for step in range(min(interval, n)):
             look = ((pairs[at >> 5] << (at & 31).astype(np.uint64)) >> drop).astype(np.int64)
-            out[step] = self.symbols[look]
-            at += self.widths[look]
+            found = self.symbols[look]
+            out[step] = found >> 6
+            at += found & 63
         return out.T.ravel()[:n]
 
 
@@ -135,7 +138,8 @@ def read_block(book: Codebook, payload: bytes) -> tuple[list, np.ndarray, np.nda
 
 
 def ordered_ids(docs: DataFrame, tokenizer_json: bytes, end_id: int, partitions: int) -> DataFrame:
-    """Raw blocks of ids in ascending order of documents: part, block within it, ids before it in the part."""
+    """Raw blocks of ids in ascending order of documents: part, block within it, ids before it in the
+    part. Each part's last row has no block, but the part's counts of ids."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,15 +147,19 @@ def ordered_ids(docs: DataFrame, tokenizer_json: bytes, end_id: int, partitions:
         end = np.array([end_id], dtype="<u4").tobytes()
         part, number, before = TaskContext.get().partitionId(), 0, 0
         doc_ids, sizes, ids, held = [], [], [], 0
+        counts = np.zeros(max(encoder.vocabulary_size, end_id + 1), dtype="<i8")
 
         def row() -> pa.RecordBatch:
             data = np.frombuffer(b"".join(ids), "<u4")
-            data = data.astype("<u2") if len(encoder.n_bytes) <= 65_536 and end_id <= 65_535 else data
-            values = [[part], [number], [before], [len(data)], [doc_ids], [sizes], [data.tobytes()]]
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+            np.add(counts, np.bincount(data, minlength=len(counts)), out=counts)
+            data = data.astype("<u2") if encoder.vocabulary_size <= 65_536 and end_id <= 65_535 else data
+            return batch_of([part], [number], [before], [len(data)], [doc_ids], [sizes], [data.tobytes()], [None])
+
+        def batch_of(*values: list) -> pa.RecordBatch:
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(v, t) for v, t in zip(values, types)],
-                names=["part", "block", "before", "n_ids", "doc_ids", "sizes", "ids"])
+                names=["part", "block", "before", "n_ids", "doc_ids", "sizes", "ids", "counts"])
 
         for batch in batches:
             for doc_id, joined in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1).to_pylist())):
@@ -165,8 +173,9 @@ def ordered_ids(docs: DataFrame, tokenizer_json: bytes, end_id: int, partitions:
                     doc_ids, sizes, ids, held = [], [], [], 0
         if doc_ids:
             yield row()
+        yield batch_of([part], [None], [None], [0], [None], [None], [None], [counts.tobytes()])
 
-    schema = "part int, block int, before long, n_ids long, doc_ids array<long>, sizes array<long>, ids binary"
+    schema = "part int, block int, before long, n_ids long, doc_ids array<long>, sizes array<long>, ids binary, counts binary"
     return docs.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, schema)
 
 
@@ -176,20 +185,14 @@ def _ids_of(row_ids: bytes, n: int) -> np.ndarray:
 
 def count_ids(raw: DataFrame) -> dict[int, int]:
     """Global count of each id; at most one row per id of the vocabulary reaches the driver."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, dtype=np.int64)
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, n in zip(batch.column("ids").to_pylist(), batch.column("n_ids").to_pylist()):
-                seen = np.bincount(_ids_of(row, n))
-                if len(seen) > len(total):
-                    seen[:len(total)] += total
-                    total = seen
-                else:
-                    total[:len(seen)] += seen
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
-
-    rows = raw.select("ids", "n_ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+            for counts in batch.column(0).to_pylist():
+                total = np.frombuffer(counts, "<i8")
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
+
+    rows = raw.where("block is null").select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return {r["id"]: r["n"] for r in rows}
 
 
@@ -222,7 +225,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int = 2
                 pa.array([write_block(book, r["doc_ids"], r["sizes"], _ids_of(r["ids"], r["n_ids"])) for r in rows], pa.binary()),
             ], names=["part", "block", "before", "n_ids", "payload"])
 
-    raw.mapInArrow(encode, "part int, block int, before long, n_ids long, payload binary").write.option(
+    raw.where("block is not null").drop("counts").mapInArrow(encode, "part int, block int, before long, n_ids long, payload binary").write.option(
         "compression", "uncompressed").parquet(f"{path}/blocks")
 
 

@@ -4,8 +4,8 @@ A document's whole windows are sequences of their own; its remainder is one item
 counted by length, so the plan works on at most ``capacity`` counts however large the input:
 a bitset subset-sum finds the multiset of remaining lengths that fills a window closest to the
 capacity, backtracking gives its counts, and the pattern is used as often as the counts allow.
-When the best pattern leaves more slack than ``max_slack``, the items left over are laid end to
-end and cut at the window borders. Items are then numbered within their length (in hash buckets,
+Where the best pattern leaves more slack than ``max_slack``, the longest length is set aside; what
+was set aside is laid end to end and cut at the window borders. Items are then numbered within their length (in hash buckets,
 so that a hot length is split) and the number gives sequence and offset by arithmetic.
 """
 
@@ -33,7 +33,7 @@ def cut_documents(docs: DataFrame, tokenizer_json: bytes, capacity: int, end_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = UnitEncoder.shared(shared.value)
-        dtype = np.dtype("<u2") if len(encoder.n_bytes) <= 65_536 and end_id <= 65_535 else np.dtype("<u4")
+        dtype = np.dtype("<u2") if encoder.vocabulary_size <= 65_536 and end_id <= 65_535 else np.dtype("<u4")
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
@@ -84,20 +84,23 @@ def fill_window(counts: dict[int, int], capacity: int) -> dict[int, int]:
 
 
 def plan_windows(counts: dict[int, int], capacity: int, max_slack: int) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
-    """Patterns with their number of uses, and the counts of the items left over."""
+    """Patterns with their number of uses, and the counts of the items left over. A length is left
+    over from when, as the longest that remains, it has no filling within ``max_slack``."""
     left = {length: n for length, n in counts.items() if n}
-    patterns = []
+    patterns, over = [], {}
     while left:
         used = fill_window(left, capacity)
         if capacity - sum(length * n for length, n in used.items()) > max_slack:
-            break
+            longest = max(left)
+            over[longest] = left.pop(longest)
+            continue
         times = min(left[length] // n for length, n in used.items())
         patterns.append((used, times))
         for length, n in used.items():
             left[length] -= n * times
             if not left[length]:
                 del left[length]
-    return patterns, left
+    return patterns, over
 
 
 def _numbered(pieces: DataFrame, tail_lengths: list[int]) -> DataFrame:

@@ -14,17 +14,14 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterable, Iterator
-from itertools import islice
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
 from cohortline.llm.common import worker_state
 
-MAX_CACHED_UNITS = 700_000
+MAX_CACHED_UNITS = 800_000
 MAX_CACHED_UNIT_CHARS = 64
-CHARS_PER_CALL = 1_000_000
-CHARS_PER_BATCH = 4_000_000
 #: Without the apostrophe, which may begin a pre-token of its own.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
@@ -47,6 +44,21 @@ def _cuts_at_spaces(spec: dict) -> bool:
                                                    for t in spec.get("added_tokens", [])))
 
 
+class Units(dict):
+    """Ids of units; a unit is encoded when it is first asked for. What comes early comes often, so a
+    full cache stays as it is."""
+
+    def __init__(self, encode: Callable[[str], tuple[bytes, bool]]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, unit: str) -> bytes:
+        ids, worth_keeping = self.encode(unit)
+        if worth_keeping and len(unit) <= MAX_CACHED_UNIT_CHARS and len(self) < MAX_CACHED_UNITS:
+            self[unit] = ids
+        return ids
+
+
 class UnitEncoder:
     """``encode_all`` yields, for each text, its ids as little-endian unsigned 32-bit integers."""
 
@@ -56,21 +68,21 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode("utf-8"))
         self.by_unit = _cuts_at_spaces(json.loads(tokenizer_json))
-        size = self.tokenizer.get_vocab_size()
-        # one character of a byte-level token stands for one byte
-        self.n_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
+        self.vocabulary_size = self.tokenizer.get_vocab_size()
         self.odd = re.compile(r"\s\s")
         self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.latin = re.compile(f"[{LATIN}]+")
+        self.latin = re.compile(f"[{LATIN}]+").fullmatch
+        self.space = re.compile(r"\s")
         self.alphabet = byte_alphabet()
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.line_break = self.whole("\n")
+        self.first = Units(lambda unit: self._unit("", unit))
+        self.later = Units(lambda unit: self._unit(" ", unit))
+        self.tails = Units(lambda tail: (self._pre_token(tail), True))
 
     @staticmethod
     def shared(tokenizer_json: bytes) -> "UnitEncoder":
         """The worker's own encoder for this file."""
-        state, key = worker_state(), ("encoder", hashlib.md5(tokenizer_json).hexdigest())
+        state, key = worker_state("tokens"), hashlib.md5(tokenizer_json).hexdigest()
         if key not in state:
             state[key] = UnitEncoder(tokenizer_json)
         return state[key]
@@ -78,104 +90,36 @@ class UnitEncoder:
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def units(self, text: str) -> list[str]:
-        return self.cut.split(text) if self.odd.search(text) else text.split(" ")
-
-    def _pre_token(self, shown: str) -> bytes:
-        """Ids of one pre-token that is written in the byte alphabet."""
+    def _pre_token(self, text: str) -> bytes:
+        """Ids of one pre-token, which the model reads in the byte alphabet."""
+        if text.isascii():  # visible ASCII stands for itself
+            shown = text.replace(" ", self.alphabet[0x20])
+        else:
+            shown = "".join([self.alphabet[b] for b in text.encode("utf-8")])
         return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
 
-    def _shown(self, text: str) -> str:
-        return text if text.isascii() else "".join([self.alphabet[b] for b in text.encode("utf-8")])
-
-    def _learn(self, units: Iterable[str]) -> dict[str, bytes]:
-        """Ids of each unit behind a space."""
-        out: dict[str, bytes] = {}
-        known, tails, space, rest = self.later, self.tails, self.alphabet[0x20], []
-        for unit in units:
-            core = unit.rstrip(PUNCTUATION)
-            if not self.latin.fullmatch(core):
-                rest.append(unit)
-                continue
-            ids = out.get(core) or known.get(core)
-            if ids is None:
-                ids = out[core] = self._pre_token(space + self._shown(core))
-            if len(core) < len(unit):
-                tail = unit[len(core):]
-                if tail not in tails:
-                    if len(tails) > MAX_CACHED_UNITS:
-                        tails.clear()
-                    tails[tail] = self._pre_token(tail)
-                out[unit] = ids + tails[tail]
-        self._learn_joined(rest, out)
-        return out
-
-    def _learn_joined(self, units: list[str], out: dict[str, bytes]) -> None:
-        """Other units share calls on a joined text and are told apart by their numbers of bytes."""
-        def flush():
-            joined = self.whole("".join(" " + u for u in group))
-            ids = np.frombuffer(joined, dtype="<u4")
-            ends = np.cumsum(self.n_bytes[ids])
-            wanted = np.cumsum([len(u.encode("utf-8")) + 1 for u in group])
-            at = np.searchsorted(ends, wanted)
-            if len(ends) == 0 or ends[-1] != wanted[-1] or not np.array_equal(ends[at], wanted):
-                out.update((u, self.whole(" " + u)) for u in group)
-                return
-            begin = 0
-            for unit, end in zip(group, (at + 1).tolist()):
-                out[unit] = joined[4 * begin:4 * end]
-                begin = end
-
-        group, chars = [], 0
-        for unit in units:
-            if not unit or unit[-1].isspace():
-                out[unit] = self.whole(" " + unit)
-                continue
-            group.append(unit)
-            chars += len(unit)
-            if chars > CHARS_PER_CALL:
-                flush()
-                group, chars = [], 0
-        if group:
-            flush()
-
-    def _batch(self, texts: list[str]) -> Iterator[bytes]:
-        known = self.later
-        cut, found, missing = [], [], set()
-        for text in texts:
-            units = self.units(text)
-            ids = list(map(known.get, units))
-            ids[0] = self.first.get(units[0])
-            if None in ids:
-                missing.update([u for u, b in zip(units[1:], ids[1:]) if b is None])
-                cut.append(units)
-            else:
-                cut.append(None)
-            found.append(ids)
-        learned = self._learn(missing)
-        for units, ids in zip(cut, found):
-            if units is not None:
-                if ids[0] is None:
-                    ids[0] = self.whole(units[0])
-                    if len(units[0]) <= MAX_CACHED_UNIT_CHARS and len(self.first) < MAX_CACHED_UNITS:
-                        self.first[units[0]] = ids[0]
-                ids = [learned[u] if b is None else b for u, b in zip(units, ids)]
-            yield b"".join(ids)
-        # what comes early is what comes often: a full cache stays as it is
-        room = MAX_CACHED_UNITS - len(known)
-        if room > 0:
-            known.update(islice(((u, b) for u, b in learned.items() if len(u) <= MAX_CACHED_UNIT_CHARS), room))
+    def _unit(self, space: str, unit: str) -> tuple[bytes, bool]:
+        """Ids of a unit, behind a space or at the start of a line, and whether to keep them."""
+        known = self.later if space else self.first
+        if self.latin(unit):
+            return self._pre_token(space + unit), True
+        if "\n" in unit:
+            # one line break between other characters is a pre-token of its own
+            lines = unit.split("\n")
+            if all(lines) and not any(map(self.space.search, lines)):
+                return self.line_break.join([known[lines[0]], *map(self.first.__getitem__, lines[1:])]), False
+        core = unit.rstrip(PUNCTUATION)
+        if not self.latin(core):
+            return self.whole(space + unit), True
+        seen = core in known
+        return known[core] + self.tails[unit[len(core):]], seen
+
+    def encode(self, text: str) -> bytes:
+        units = self.cut.split(text) if self.odd.search(text) else text.split(" ")
+        head = self.first[units[0]]
+        return b"".join([head, *map(self.later.__getitem__, units[1:])])
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        if not self.by_unit:
-            for text in texts:
-                yield self.whole(text or "")
-            return
-        batch, chars = [], 0
+        encode = self.encode if self.by_unit else self.whole
         for text in texts:
-            batch.append(text or "")
-            chars += len(batch[-1])
-            if chars > CHARS_PER_BATCH:
-                yield from self._batch(batch)
-                batch, chars = [], 0
-        yield from self._batch(batch)
+            yield encode(text or "")
