@@ -1,5 +1,6 @@
 """Toxicity, quality, secrets, main text and decontamination."""
 
+import itertools
 import random
 import re
 import zlib
@@ -193,3 +194,38 @@ def test_substituted_words_and_odd_rows(documents, odd_rows, spark):
     assert len(found) >= 0.97 * len(want) and (501, 7) in found and (502, 0) in found
     assert decontam.contaminated(documents([]), bench).collect() == []
     assert decontam.contaminated(documents(rows), bench.where("false")).collect() == []
+
+
+@pytest.mark.parametrize("length", [1, 2, 3, 4, 5, 7, 8, 9, 10, 11, 12, 13, 15, 16, 18, 20])
+def test_masks_hit_every_placement(length):
+    misses = length - -(-length * 75 // 100)
+    masks = decontam.masks_of(length)
+    assert max(map(len, masks)) <= length
+    for wrong in itertools.combinations(range(length), misses):
+        same = "".join("0" if i in wrong else "1" for i in range(length))
+        assert any(all(same[start + at] == "1" for at, bit in enumerate(mask) if bit == "1")
+                   for mask in masks for start in range(length - len(mask) + 1)), (length, wrong)
+
+
+def test_sparse_substitutions_and_short_items(documents, spark):
+    rng = random.Random(12)
+    items = [(n, " ".join(f"q{n}w{i}" for i in range(n))) for n in [*range(1, 21), 33]]
+    rows = []
+    for n, text in items:
+        size = min(n, 20)
+        allowed = size - -(-size * 75 // 100)
+        for copy in range(12):
+            words = text.split()
+            wrong = rng.sample(range(size), allowed) if copy else [k for k in range(3, size, 4)][:allowed]
+            for at in wrong:
+                words[at] = "other"
+            words = words[:size] + ["more"] * (n - size)
+            rows.append((100 * n + copy, "before " * (copy % 3) + " ".join(words) + " after" * (copy % 2)))
+    got = decontam.contaminated(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    found = {(r["doc_id"], r["item_id"]): (r["matched_words"], r["window_words"]) for r in got}
+    assert set(found) == {(i, i // 100) for i, _ in rows}
+    assert all(matched * 100 >= 75 * size and size == min(item, 20) for (_, item), (matched, size) in found.items())
+    # a single word, among items of one word only
+    alone = decontam.contaminated(documents(rows), spark.createDataFrame([(1, "q1w0")], "item_id long, text string")).collect()
+    assert {r["doc_id"] for r in alone} == {i for i, _ in rows if i // 100 == 1}
+    assert decontam.contaminated(documents(rows), spark.createDataFrame([(1, " . ")], "item_id long, text string")).collect() == []
