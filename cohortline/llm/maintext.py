@@ -4,8 +4,9 @@ Each element's density is its characters per tag, lowered where characters and t
 An element's density sum adds the densities of the blocks in it; the element with the largest sum is the
 content, together with elements beside it that are as dense as the least dense element on the path
 from it to the body and have dense children of their own. Elements that are never article text
-(menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are cut
-before anything is counted.
+(navigation, footers, asides, scripts, styles) are cut before anything is counted. Forms, page headers,
+hidden elements and those whose class, id or role names a menu, sidebar, notice, advert or comments are
+read and measured first: none that holds the article or most of the text is cut.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ CLOSES = {
 }
 #: Elements that are no article text.
 NOISE = frozenset(
-    "head script style noscript template iframe noframes noembed object svg canvas nav aside footer form button select textarea "
+    "head script style noscript template iframe noframes noembed object svg canvas nav aside footer button select textarea "
     "input menu dialog xmp".split())
 #: Marks of such elements among the words of class, id and role.
 NOISE_WORDS = frozenset(
@@ -44,38 +45,54 @@ NOISE_WORDS = frozenset(
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|$)", re.S)
-MARKS = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none""", re.I)
+#: Parts of a class that names a layout instead, such as ``no-sidebar`` or ``content-with-nav``.
+STATES = frozenset("no not non without with has hide show is".split())
+#: An article of this share of the page's text is taken for the page's content, however long the marked elements beside it.
+ARTICLE_SHARE = 0.1
+#: Marks of elements that are judged by the text they hold, and of hidden ones.
+MARKED, UNSEEN = 1, 2
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NONE_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 SPACES = re.compile(r"\s+")
 PARTS = re.compile(r"[^a-z0-9]+")
 
 
 class Element:
-    __slots__ = ("tag", "noise", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "noise", "mark", "parent", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
 
-    def __init__(self, tag: str, noise: bool, parent: Element | None):
-        self.tag, self.noise, self.parent = tag, noise, parent
+    def __init__(self, tag: str, noise: bool, parent: Element | None, mark: int = 0):
+        self.tag, self.noise, self.parent, self.mark = tag, noise, parent, mark
         self.children: list = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _is_noise(tag: str, attributes: str, inside: Element) -> bool:
-    if tag in NOISE:
-        return True
-    if tag == "header":  # an article's own header holds its title
-        while inside is not None and inside.tag not in ("article", "main"):
-            inside = inside.parent
-        if inside is None:
-            return True
+def _in_article(node: Element | None) -> bool:
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return node is not None
+
+
+def _mark(tag: str, attributes: str, inside: Element) -> int:
+    """How the tag and its attributes mark an element; 0 if they do not."""
+    mark = MARKED if tag == "form" or (tag == "header" and not _in_article(inside)) else 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    for values in MARKS.findall(attributes):
-        if NOISE_WORDS.intersection(PARTS.split("".join(values).lower())):
-            return True
-    return False
+        return mark
+    for match in ATTRIBUTE.finditer(attributes):
+        name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        if name == "hidden" or (name == "style" and NONE_SHOWN.search(value)):
+            return UNSEEN
+        if name not in ("class", "id", "role"):
+            continue
+        for word in value.lower().split():
+            parts = PARTS.split(word)
+            found = NOISE_WORDS.intersection(parts)
+            # an article's own header holds its title
+            if not found or (found <= {"header", "masthead"} and _in_article(inside)):
+                continue
+            if not STATES.intersection(parts):
+                mark = MARKED
+    return mark
 
 
 def parse(page: str) -> Element:
@@ -120,7 +137,8 @@ def parse(page: str) -> Element:
                 found = found.parent
             if last is not None:
                 node = last.parent
-        element = Element(tag, node.noise or _is_noise(tag, match[3], node), node)
+        noise = node.noise or tag in NOISE
+        element = Element(tag, noise, node, 0 if noise else _mark(tag, match[3], node))
         node.children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
@@ -130,6 +148,43 @@ def parse(page: str) -> Element:
     return root
 
 
+def cut_marked(root: Element) -> None:
+    """Turn marked elements into noise by what they hold."""
+    order = list(_elements(root))
+    if not any(e.mark for e in order):
+        return
+    sizes, links, outside = {}, {}, 0
+    for node in reversed(order):
+        texts = sum(len(SPACES.sub("", c)) for c in node.children if isinstance(c, str))
+        inner = [c for c in node.children if isinstance(c, Element) and not c.noise]
+        sizes[id(node)] = texts + sum(sizes[id(c)] for c in inner)
+        links[id(node)] = sizes[id(node)] if node.tag == "a" else sum(links[id(c)] for c in inner)
+    within, body = {}, sizes[id(root)]
+    for node in order:  # parents first
+        within[id(node)] = bool(node.mark) or (node.parent is not None and within[id(node.parent)])
+        if not within[id(node)]:
+            outside += sum(len(SPACES.sub("", c)) for c in node.children if isinstance(c, str))
+    articles = [e for e in order if e.tag in ("article", "main")]
+    article = max((e for e in articles if not within[id(e)]), key=lambda e: sizes[id(e)], default=None)
+    if article is None or sizes[id(article)] < ARTICLE_SHARE * body:
+        # it may stand in a marked wrapper
+        held = max(articles, key=lambda e: sizes[id(e)], default=None)
+        article = held if held is not None and sizes[id(held)] > outside else None
+    around, node = set(), article
+    while node is not None:
+        around.add(id(node))
+        node = node.parent
+    inside = set() if article is None else {id(e) for e in _elements(article)}
+    for node in order:
+        if node.noise or not node.mark or id(node) in around:
+            continue
+        size = sizes[id(node)]
+        # what most of the text stands in is no menu or notice, unless it consists of links
+        whole = body if article is None else sizes[id(article)] if id(node) in inside else None
+        if node.mark == UNSEEN or whole is None or 2 * size <= whole or 2 * links[id(node)] > size:
+            node.noise = True
+
+
 def _measure(root: Element) -> None:
     """Characters, tags, link characters and link tags of every element, children first."""
     order, stack = [], [root]
@@ -239,7 +294,9 @@ def main_text(page: str | None) -> str:
     """The main text of one page, empty if there is none."""
     if not page:
         return ""
-    return " ".join(text for element in content(parse(page)) for text in blocks(element))
+    root = parse(page)
+    cut_marked(root)
+    return " ".join(text for element in content(root) for text in blocks(element))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

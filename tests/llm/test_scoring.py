@@ -229,3 +229,22 @@ def test_sparse_substitutions_and_short_items(documents, spark):
     alone = decontam.contaminated(documents(rows), spark.createDataFrame([(1, "q1w0")], "item_id long, text string")).collect()
     assert {r["doc_id"] for r in alone} == {i for i, _ in rows if i // 100 == 1}
     assert decontam.contaminated(documents(rows), spark.createDataFrame([(1, " . ")], "item_id long, text string")).collect() == []
+
+
+LONG = "Long prose with several words in it. " * 9
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<body><div class="layout no-sidebar"><p>{LONG}</p></div></body>', LONG.strip()),
+    (f'<body><div id="content-with-nav"><article><p>{LONG}</p></article></div></body>', LONG.strip()),
+    (f'<div class="sidebar layout"><article><p>{LONG}</p></article></div><div class="sidebar"><p>Aside.</p></div>', LONG.strip()),
+    (f'<div class="widget"><p>{LONG}</p></div>', LONG.strip()),
+    (f'<article><div class="entry-header"><h1>Title</h1></div><p>{LONG}</p></article>', "Title " + LONG.strip()),
+    (f'<article><div class="x hidden md:block"><p>Shown.</p></div><p>{LONG}</p></article>', "Shown. " + LONG.strip()),
+    (f'<body><form id="aspnet"><div class="main-menu"><a href="x">Menu</a></div><div><p>{LONG}</p></div></form></body>', LONG.strip()),
+    (f'<main><form><p>{LONG}</p></form></main>', LONG.strip()),
+    (f'<article><p>{LONG}</p><div class="post-share"><a href="x">Share</a></div></article>', LONG.strip()),
+    (f'<article><p>{LONG}</p></article><div class="comments-area"><article class="comment">{"I disagree. " * 90}</article></div>', LONG.strip()),
+    (f'<div><p>{LONG}</p></div><div hidden><p>{LONG * 3}</p></div>', LONG.strip())])
+def test_marks_do_not_cut_the_article(page, text):
+    assert maintext.main_text(page) == text
