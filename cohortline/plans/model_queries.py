@@ -165,7 +165,7 @@ def svc_metrics(spark, d):
 
 def poly_roc(spark, d):
     train, test = _sides(spark, d)
-    scored = T.fit_poly_svc(train, CLASSES, degree=2, max_iter=5)(test)
+    scored = T.fit_poly_svc(train, CLASSES)(test)
     return E.roc_auc(E.one_vs_rest_scores(scored, "margins", CLASSES))
 
 
@@ -182,7 +182,7 @@ def learning_curve(spark, d):
 def feature_elimination(spark, d):
     item = table(spark, d, "lineitem").select(
         *MEASURES, (F.col("l_returnflag") == "R").cast("int").alias("label"), stable_hash(*ITEM_KEY).alias("key"))
-    return T.eliminate_features(item, MEASURES, "label", "key", T.forest(numTrees=5, maxDepth=4))
+    return T.eliminate_features(item, MEASURES, "label", "key", T.forest(numTrees=100, maxDepth=10))
 
 
 # -- scoring ---------------------------------------------------------------------------------------------------
@@ -220,7 +220,7 @@ def batch_score(spark, d):
     codes = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
     train, _ = prep.hash_split(table(spark, d, "lineitem").withColumn("label", codes.cast("double")), ITEM_KEY)
     stats = prep.fit_standardiser(train, SCORED)
-    model = T.fit_pipeline(prep.apply_standardiser(train, stats, others_after=False), SCORED, T.forest(numTrees=5, maxDepth=4))
+    model = T.fit_pipeline(prep.apply_standardiser(train, stats, others_after=False), SCORED, T.forest())
     accepted, _ = S.validate_inputs(_raw_inputs(spark, d), SCORED, OPTIONAL)
     logged = [*SCORED, *OPTIONAL]
     scored = S.score(accepted, model, stats, SCORED, FLAG_CODES, inputs=logged)

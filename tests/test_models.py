@@ -280,3 +280,30 @@ def test_synthetic_plan_of_large_counts(spark):
     row = spark.sql("SELECT 3100000000L AS row_index, 3100000007L AS need, 6200000000L AS group_size")
     got = row.selectExpr(f"{B.SPREAD.format('row_index + 1')} - {B.SPREAD.format('row_index')} AS draws").first()["draws"]
     assert got == 3100000001 * 3100000007 // 6200000000 - 3100000000 * 3100000007 // 6200000000
+
+
+def test_registered_queries_use_full_settings(spark, sf_dir, monkeypatch):
+    import inspect
+
+    from cohortline.plans import model_queries as Q
+
+    class Reached(Exception):
+        pass
+
+    def stop(*args):
+        raise Reached(args)
+
+    fit_poly_svc = T.fit_poly_svc
+    monkeypatch.setattr(Q.T, "fit_poly_svc", lambda *a, **k: stop(inspect.signature(fit_poly_svc).bind(*a, **k)))
+    monkeypatch.setattr(Q.T, "eliminate_features", lambda df, features, label, key, estimator, **k: stop(estimator))
+    monkeypatch.setattr(Q.T, "fit_pipeline", lambda train, features, estimator: stop(estimator))
+    found = {}
+    for query in (Q.poly_roc, Q.feature_elimination, Q.batch_score):
+        with pytest.raises(Reached) as reached:
+            query(spark, sf_dir)
+        found[query.__name__] = reached.value.args[0][0]
+    bound = found["poly_roc"]
+    bound.apply_defaults()
+    assert (bound.arguments["degree"], bound.arguments["max_iter"]) == (3, 50)
+    forests = {name: (found[name].getNumTrees(), found[name].getMaxDepth()) for name in ("feature_elimination", "batch_score")}
+    assert forests == {"feature_elimination": (100, 10), "batch_score": (70, 18)}
