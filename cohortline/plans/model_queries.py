@@ -246,15 +246,24 @@ def stream_totals(spark, d):
     return spark.read.parquet(out).select("status", "n", F.round("latency_sum_ms", 4).alias("latency_sum_ms"), "latency_count")
 
 
-def stream_windows(spark, d):
-    """Windows closed behind a watermark wider than the data, so no row is late;
-    complete mode keeps the open ones too."""
+def _stream_windows(spark, d, percentile):
     path, out = _streamed_log(spark, d), scratch_path(spark, "stream-windows")
     events = M.stream_predictions(spark, path, max_files=2).filter("ts IS NOT NULL")
-    stream = M.window_metrics(events, "1 day", "60 days", percentile=False)
+    stream = M.window_metrics(events, "1 day", "60 days", percentile=percentile)
     M.start_table(stream, out, scratch_path(spark, "stream-checkpoint")).awaitTermination()
     return spark.read.parquet(out).select(
-        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", "errors", r6("avg_latency_ms"))
+        F.date_format("window_start", "yyyy-MM-dd").alias("day"), "n", "errors", r6("avg_latency_ms"), *["p95_latency_ms"] * percentile)
+
+
+def stream_windows(spark, d):
+    """Windows closed behind a watermark wider than the data, so no row is late;
+    complete mode keeps the open ones too."""
+    return _stream_windows(spark, d, percentile=False)
+
+
+def stream_windows_p95(spark, d):
+    """The same with the approximate p95 of each window."""
+    return _stream_windows(spark, d, percentile=True)
 
 
 def stream_uptime(spark, d):
@@ -335,6 +344,7 @@ MODEL_QUERIES = {
     "batch_score": batch_score,
     "stream_totals": stream_totals,
     "stream_windows": stream_windows,
+    "stream_windows_p95": stream_windows_p95,
     "stream_uptime": stream_uptime,
     "stream_http": stream_http,
     "stream_drift": stream_drift,

@@ -76,3 +76,23 @@ def test_windows_need_a_timestamp_type(spark):
     from cohortline.functions.timefn import event_time
     row = M.window_metrics(events.withColumn("ts", event_time(F.col("ts"))), "1 hour").first()
     assert row["n"] == 1
+
+
+@pytest.mark.parametrize("name, key, form", [("windowed_p95", "window_start", "yyyy-MM-dd HH:00:00"), ("stream_windows_p95", "day", "yyyy-MM-dd")])
+def test_registered_p95_within_its_error(spark, sf_dir, tmp_path, name, key, form):
+    import __spark_entry__ as entry
+    from cohortline.plans import driver_queries as Q
+
+    events = Q._prediction_like(spark, sf_dir)
+    if name.startswith("stream"):
+        Q._log_lines(spark, sf_dir).write.text(str(tmp_path / "lines"))
+        events = logs.prediction_events(logs.read_lines(spark, str(tmp_path / "lines"))).filter("ts IS NOT NULL")
+    values = events.groupBy(F.date_format("ts", form).alias("at")).agg(F.collect_list("latency_ms").alias("v")).collect()
+    values = {r["at"]: np.array(r["v"]) for r in values}
+    got = {r[key]: r["p95_latency_ms"] for r in entry.queries()[name](spark, sf_dir).collect()}
+    assert got and set(got) == set(values)
+    for at, p95 in got.items():
+        if len(values[at]):
+            # the rank is off by a ten thousandth of the rows at most
+            slack = len(values[at]) / 10_000
+            assert (values[at] < p95).sum() - slack <= 0.95 * len(values[at]) <= (values[at] <= p95).sum() + slack
