@@ -2,7 +2,7 @@
 
 Three rules find base spans: assignments to telling names, access keys, long hexadecimal runs. Two
 character Markov models add more: one of random strings, trained on the values of base spans, one
-of ordinary identifiers, trained on the words of a bounded sample of rows. A long run of token
+of ordinary identifiers, trained on the words of all rows without a base span. A long run of token
 characters becomes a span when its log-likelihood ratio speaks for the random model.
 
 Positions come from splitting a text at its matches: the pieces between them and the matches
@@ -17,8 +17,6 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import store
-
 # The patterns of the base rules and their least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -33,8 +31,6 @@ RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
 IDENTIFIER = r"[A-Za-z0-9+/_=-]{4,}"
 #: Log-likelihood ratio, in nats a character pair, from which a run counts as random.
 MIN_RATIO = 0.5
-#: Expected number of rows whose words train the model of identifiers, and whose base spans train that of random strings.
-SAMPLE_ROWS = 4_000
 
 
 @dataclass(frozen=True)
@@ -103,22 +99,20 @@ def _log_chances(counts: dict[int, int], weight: float = 20.0) -> np.ndarray:
     return np.log((table + weight * single[None, :]) / (table.sum(axis=1, keepdims=True) + weight))
 
 
-def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample_rows: int = SAMPLE_ROWS) -> RandomnessModel:
-    """Both Markov models from ``docs``; only counts of character pairs reach the driver."""
-    rows = docs.select(F.xxhash64(F.col(id_column).cast("long")).alias("hash"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
-    total = max(1, docs.count())
-    sample = rows.where(F.pmod("hash", F.lit(total)) < sample_rows)
-    marked = store(sample.select("text", base_spans(F.col("text")).alias("spans")), "secret-sample")
-    random = marked.select(F.explode("spans").alias("span")).select(
-        F.when(F.col("span.kind") == "assign", F.regexp_extract("span.hit", ASSIGN, 1)).otherwise(F.col("span.hit")).alias("token"))
-    plain = marked.where("size(spans) = 0").select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("token"))
-
-    def counts(tokens: DataFrame) -> dict[int, int]:
-        pairs = tokens.groupBy("token").count().select(F.explode(_pairs(F.col("token"))).alias("pair"), "count")
-        # at most as many rows as there are pairs of characters
-        return {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.sum("count").alias("n")).collect()}
-
-    ratio = _log_chances(counts(random)) - _log_chances(counts(plain))
+def train(docs: DataFrame, text_column: str = "text") -> RandomnessModel:
+    """Both Markov models from all rows of ``docs``; only counts of character pairs reach the driver."""
+    text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
+    marked = docs.select(text.alias("text"), base_spans(text).alias("spans"))
+    values = F.transform("spans", lambda s: F.when(s["kind"] == "assign", F.regexp_extract(s["hit"], ASSIGN, 1)).otherwise(s["hit"]))
+    words = F.when(F.size("spans") > 0, values).otherwise(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)))
+    tokens = marked.select((F.size("spans") > 0).alias("random"), F.explode(words).alias("token")).groupBy("random", "token").count()
+    pairs = tokens.select("random", F.explode(_pairs(F.col("token"))).alias("pair"), "count")
+    counts: dict[bool, dict[int, int]] = {True: {}, False: {}}
+    # at most twice as many rows as there are pairs of characters
+    for r in pairs.groupBy("random", "pair").agg(F.sum("count").alias("n")).collect():
+        counts[r["random"]][r["pair"]] = r["n"]
+
+    ratio = _log_chances(counts[True]) - _log_chances(counts[False])
     return RandomnessModel(tuple(round(float(x), 4) for x in ratio.ravel()))
 
 

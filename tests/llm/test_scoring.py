@@ -248,3 +248,17 @@ LONG = "Long prose with several words in it. " * 9
     (f'<div><p>{LONG}</p></div><div hidden><p>{LONG * 3}</p></div>', LONG.strip())])
 def test_marks_do_not_cut_the_article(page, text):
     assert maintext.main_text(page) == text
+
+
+def test_models_count_all_rows(documents):
+    rng = random.Random(9)
+    rows = [(n, f"plain{rng.randrange(10_000)} words_{rng.choice('abcdef')}x here") for n in range(6_000)]
+    rows += [(6_000 + n, "token = " + "".join(rng.choice("XYZ789") for _ in range(24))) for n in range(5)]
+    counts = ({}, {})
+    for n, text in rows:
+        for token in [text.split(" = ")[1]] if n >= 6_000 else re.findall(secrets.IDENTIFIER, text):
+            for a, b in zip(token, token[1:]):
+                pair = (secrets.ALPHABET.index(a) + 1) * (len(secrets.ALPHABET) + 1) + secrets.ALPHABET.index(b) + 1
+                counts[n >= 6_000][pair] = counts[n >= 6_000].get(pair, 0) + 1
+    want = secrets._log_chances(counts[True]) - secrets._log_chances(counts[False])
+    assert np.allclose(secrets.train(documents(rows)).ratios, want.ravel(), atol=1e-4)
