@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: tables in the shared folder, state of a reused Python worker."""
+"""Helpers shared by the operators: tables in the shared folder, state of a reused Python worker, sums of arrays."""
 
 from __future__ import annotations
 
@@ -6,8 +6,13 @@ import os
 import sys
 import types
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortline.session import ensure_checkpoint_dir
 
@@ -53,3 +58,27 @@ def worker_state(owner: str) -> dict:
         module = sys.modules[name] = types.ModuleType(name)
         module.owner, module.values = owner, {}
     return module.values
+
+
+def sum_arrays(partials: DataFrame, parts: int, dtype: str, fan_in: int = 64) -> np.ndarray | None:
+    """Sum of equally long arrays, one a row of ``partials`` (part, data: their bytes); None without rows.
+
+    Rows are added up in levels of ``fan_in``, so that neither a task nor the driver reads more than
+    about ``fan_in`` arrays, however many partitions (``parts``) made them."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for data in batch.column(1).to_pylist():
+                total = np.frombuffer(data, dtype) if total is None else total + np.frombuffer(data, dtype)
+        if total is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "data"])
+
+    partials = partials.select("part", "data")
+    while parts > fan_in:
+        parts = -(-parts // fan_in)
+        partials = partials.repartition(parts, F.floor(F.col("part") / fan_in)).mapInArrow(add, "part int, data binary")
+    total = None
+    for row in partials.toLocalIterator():
+        total = np.frombuffer(row["data"], dtype) if total is None else total + np.frombuffer(row["data"], dtype)
+    return total

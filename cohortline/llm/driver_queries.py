@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from cohortline.llm import decontam, exactdup, huffman, maintext, neardup, packing, quality, secrets, toxicity, unigram
+from cohortline.llm import (
+    bytebpe, decontam, exactdup, huffman, maintext, neardup, packing, quality, resample, secrets, toxicity, unigram, whitening)
 from cohortline.llm.common import read_small_file, read_table
 from cohortline.llm.oracles import ORACLES  # noqa: F401
 
@@ -66,6 +67,22 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.contaminated(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, d: str) -> DataFrame:
+    return whitening.whitened_rows(read_table(spark, d, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, d: str) -> DataFrame:
+    return resample.resample(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+
+
+def op13_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    ranks = bytebpe.read_ranks(read_small_file(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    coded = bytebpe.decode(bytebpe.encode(read_table(spark, d, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_near_duplicates, op3_packing, op4_exact_duplicates, op5_toxicity, op6_huffman_ids, op7_quality,
-    op8_main_text, op9_secrets, op10_decontamination)}
+    op8_main_text, op9_secrets, op10_decontamination, op11_whitening, op12_resampling, op13_byte_bpe)}

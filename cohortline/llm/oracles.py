@@ -1,6 +1,7 @@
 """SQL twins of the queries that SQL can state over the whole tables."""
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+_FEATURES = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 _LETTERS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
 
 ORACLES = {
@@ -41,4 +42,32 @@ ORACLES = {
         SELECT doc_id, item_id, max(matched)::BIGINT AS matched_words, any_value(size)::BIGINT AS window_words,
             arg_min(start, struct_pack(m := -matched, s := start))::BIGINT AS doc_start
         FROM best GROUP BY doc_id, item_id""",
+    "op12_resampling": f"""
+        WITH crc_table AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(
+                list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        docs AS (SELECT doc_id, {_FEATURES} AS w FROM documents),
+        items AS (SELECT {_FEATURES} AS w FROM benchmark),
+        doc_words AS (SELECT doc_id, unnest(w) AS word FROM docs),
+        item_words AS (SELECT unnest(w) AS word FROM items),
+        bytes AS (
+            SELECT word, list_transform(regexp_extract_all(hex(encode(word)), '..'), lambda x: ('0x' || x)::BIGINT) AS b
+            FROM (SELECT word FROM doc_words UNION SELECT word FROM item_words)),
+        bucket_of AS (
+            SELECT word, xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+            FROM bytes, crc_table),
+        s AS (SELECT bucket, count(*) AS n FROM doc_words JOIN bucket_of USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM item_words JOIN bucket_of USING (word) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s) + 10000)::DOUBLE
+                / ((s.n + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)),
+        weights AS (SELECT doc_id, sum(gain) AS weight FROM doc_words JOIN bucket_of USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+            FROM docs LEFT JOIN weights USING (doc_id)),
+        ranks AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT count(*) * 10 // 100 FROM ranks) THEN rank END AS rank
+        FROM scored LEFT JOIN ranks USING (doc_id)""",
 }
