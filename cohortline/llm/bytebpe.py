@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from itertools import islice
 
 import numpy as np
@@ -179,10 +181,18 @@ def merge_long(tokens: np.ndarray, table: PairTable) -> np.ndarray:
 
 
 class Encoder:
-    """Ids of texts; keeps those of pre-tokens it has met."""
+    """Ids of texts; keeps those of units and pre-tokens it has met.
 
-    def __init__(self, table: PairTable, pattern: str):
-        self.table, self.pattern, self.known = table, regex.compile(pattern), {}
+    With ``cut_at_spaces`` texts are first cut into units before each single space or line break that
+    stands between two other characters, for patterns that always start a pre-token there; the pattern
+    then runs over units not met yet."""
+
+    def __init__(self, table: PairTable, pattern: str, cut_at_spaces: bool = False):
+        self.table, self.pattern, self.cut_at_spaces = table, regex.compile(pattern), cut_at_spaces
+        self.pieces: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+        self.double = re.compile(r"\s\s")
+        self.cuts = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
     def merge(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """(piece, ids as little-endian unsigned 32-bit integers), in any order."""
@@ -205,31 +215,51 @@ class Encoder:
                 for (piece, _), ids in zip(part, merge_rows(tokens, self.table)):
                     yield piece, ids.astype("<u4").tobytes()
 
-    def learn(self, pieces: set[str]) -> list[str]:
-        """Merge what is not known yet; returns pieces that are too long to be kept."""
-        self.known.update(self.merge([p for p in pieces if p not in self.known]))
-        return [p for p in pieces if len(p) > MAX_CACHED_CHARS]
+    def learn(self, units: set[str]) -> list[str]:
+        """Ids of all units not known yet; returns those that are too long to be kept."""
+        found = {unit: self.pattern.findall(unit) for unit in units if unit not in self.units}
+        with self.known_pieces(set().union(*found.values())) as ids_of:
+            for unit, pieces in found.items():
+                self.units[unit] = b"".join(map(ids_of, pieces))
+        return [unit for unit in found if len(unit) > MAX_CACHED_CHARS]
+
+    @contextmanager
+    def known_pieces(self, wanted: set[str]) -> Iterator[Callable[[str], bytes]]:
+        """Ids of the wanted pre-tokens; those that are too long to be kept are forgotten afterwards."""
+        self.pieces.update(self.merge([p for p in wanted if p not in self.pieces]))
+        yield self.pieces.__getitem__
+        for piece in wanted:
+            if len(piece) > MAX_CACHED_CHARS:
+                del self.pieces[piece]
+
+    def make_room(self) -> None:
+        for cache in (self.units, self.pieces):
+            if len(cache) > MAX_CACHED:
+                cache.clear()
+
+    def cut(self, text: str) -> list[str]:
+        if not self.cut_at_spaces:
+            return [text]
+        if self.double.search(text):
+            return self.cuts.split(text)
+        return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0") if "\0" not in text else self.cuts.split(text)
 
     def encode_group(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self.known) > MAX_CACHED:
-            self.known.clear()
-        cut = [self.pattern.findall(text) for text in texts]
+        self.make_room()
+        cut = [self.cut(text) for text in texts]
         passing = self.learn(set().union(*cut))
-        for pieces in cut:
-            yield b"".join(map(self.known.__getitem__, pieces))
-        for piece in passing:
-            del self.known[piece]
+        for units in cut:
+            yield b"".join(map(self.units.__getitem__, units))
+        for unit in passing:
+            del self.units[unit]
 
     def encode_long(self, text: str) -> bytes:
         """A text of any length, some pre-tokens at a time."""
         found, out = self.pattern.finditer(text), []
         while pieces := [m[0] for m in islice(found, GROUP_CHARS // 4)]:
-            if len(self.known) > MAX_CACHED:
-                self.known.clear()
-            passing = self.learn(set(pieces))
-            out.append(b"".join(map(self.known.__getitem__, pieces)))
-            for piece in passing:
-                del self.known[piece]
+            self.make_room()
+            with self.known_pieces(set(pieces)) as ids_of:
+                out.append(b"".join(map(ids_of, pieces)))
         return b"".join(out)
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
@@ -249,21 +279,22 @@ class Encoder:
         yield from self.encode_group(group)
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every row's whole text.
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, cut_at_spaces: bool = False,
+           id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>) of every row's whole text. ``cut_at_spaces``: see ``Encoder``.
 
     Null and empty texts have no ids; repeated rows are encoded each; an empty table gives no rows; other
     columns are ignored. Equal ranks do not occur; of equal pairs the leftmost merges first."""
-    shared = docs.sparkSession.sparkContext.broadcast((PairTable.arrays(ranks), pattern))  # bounded by the vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((PairTable.arrays(ranks), pattern, cut_at_spaces))  # bounded by the vocabulary
     owner = f"bytebpe-{len(ranks)}"
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state(owner)
-        parts, pattern = shared.value
-        key = (pattern, *parts[0][:64].tolist(), len(parts[0]))
+        parts, pattern, cut_at_spaces = shared.value
+        key = (pattern, cut_at_spaces, *parts[0][:64].tolist(), len(parts[0]))
         encoder = state.get("encoder")
         if state.get("key") != key:
-            encoder = Encoder(PairTable(*parts), pattern)
+            encoder = Encoder(PairTable(*parts), pattern, cut_at_spaces)
             state.update(key=key, encoder=encoder)
         for batch in batches:
             found = list(encoder.encode_all(batch.column(1).to_pylist()))
@@ -285,7 +316,10 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token_of = dict(zip(shared.value[1], shared.value[0])).__getitem__
         for batch in batches:
-            texts = [b"".join(map(token_of, ids or ())) for ids in (row.as_py() if row.is_valid else None for row in batch.column(1))]
+            column = batch.column(1)
+            sizes = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+            ids = column.flatten().to_numpy(zero_copy_only=False)
+            texts = [b"".join(map(token_of, ids[a:b].tolist())) for a, b in zip(sizes[:-1], sizes[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(lookup, "doc_id long, ids array<int>, decoded binary")

@@ -77,7 +77,7 @@ def op12_resampling(spark: SparkSession, d: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = bytebpe.read_ranks(read_small_file(public_tokenizers.path("byte_bpe_50k.tiktoken")))
-    coded = bytebpe.decode(bytebpe.encode(read_table(spark, d, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    coded = bytebpe.decode(bytebpe.encode(read_table(spark, d, "documents"), ranks, public_tokenizers.PATTERN, cut_at_spaces=True), ranks)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
