@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import shared_path, store
+from cohortline.llm.common import shared_path, store, sum_arrays
 from cohortline.llm.tokens import UnitEncoder
 
 MAGIC = b"HUF1"
@@ -117,7 +117,7 @@ def write_block(book: Codebook, doc_ids: list, sizes: list[int], ids: np.ndarray
     checkpoints = at[::interval].astype("<u8")
     return b"".join([
         MAGIC, struct.pack("<4I", len(doc_ids), len(ids), interval, len(checkpoints)),
-        np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(), bytes(d is None for d in doc_ids),
+        np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(), bytes([d is None for d in doc_ids]),
         np.array(sizes, dtype="<u4").tobytes(), checkpoints.tobytes(), bits])
 
 
@@ -137,79 +137,51 @@ def read_block(book: Codebook, payload: bytes) -> tuple[list, np.ndarray, np.nda
     return doc_ids, sizes, book.decode(payload[at + 8 * n_checkpoints:], checkpoints, n, interval)
 
 
-def ordered_ids(docs: DataFrame, tokenizer_json: bytes, end_id: int, partitions: int) -> DataFrame:
-    """Raw blocks of ids in ascending order of documents: part, block within it, ids before it in the
-    part. Each part's last row has no block, but the part's counts of ids."""
+def token_ids(docs: DataFrame, tokenizer_json: bytes, end_id: int) -> DataFrame:
+    """(doc_id, n_ids, ids) of each row of ``docs`` (doc_id, text), straight from the scan; ids take two bytes
+    where the vocabulary allows it. Each task's last row holds its counts of ids instead."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = UnitEncoder.shared(shared.value)
+        size = max(encoder.vocabulary_size, end_id + 1)
+        dtype = "<u2" if size <= 65_536 else "<u4"
         end = np.array([end_id], dtype="<u4").tobytes()
-        part, number, before = TaskContext.get().partitionId(), 0, 0
-        doc_ids, sizes, ids, held = [], [], [], 0
-        counts = np.zeros(max(encoder.vocabulary_size, end_id + 1), dtype="<i8")
+        counts = np.zeros(size, dtype="<i8")
 
-        def row() -> pa.RecordBatch:
-            data = np.frombuffer(b"".join(ids), "<u4")
-            np.add(counts, np.bincount(data, minlength=len(counts)), out=counts)
-            data = data.astype("<u2") if encoder.vocabulary_size <= 65_536 and end_id <= 65_535 else data
-            return batch_of([part], [number], [before], [len(data)], [doc_ids], [sizes], [data.tobytes()], [None])
-
-        def batch_of(*values: list) -> pa.RecordBatch:
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+        def rows(doc_ids: pa.Array, n_ids: np.ndarray, ids: list[bytes | None], counted: list[bytes | None]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(values, types)],
-                names=["part", "block", "before", "n_ids", "doc_ids", "sizes", "ids", "counts"])
+                [pa.array([TaskContext.get().partitionId()] * len(ids), pa.int32()), doc_ids, pa.array(n_ids, pa.int64()),
+                 pa.array(ids, pa.binary()), pa.array(counted, pa.binary())], names=["part", "doc_id", "n_ids", "ids", "counts"])
 
         for batch in batches:
-            for doc_id, joined in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1).to_pylist())):
-                ids.append(joined + end)
-                doc_ids.append(doc_id)
-                sizes.append(len(joined) // 4 + 1)
-                held += sizes[-1]
-                if held >= BLOCK_IDS:
-                    yield row()
-                    number, before = number + 1, before + held
-                    doc_ids, sizes, ids, held = [], [], [], 0
-        if doc_ids:
-            yield row()
-        yield batch_of([part], [None], [None], [0], [None], [None], [None], [counts.tobytes()])
-
-    schema = "part int, block int, before long, n_ids long, doc_ids array<long>, sizes array<long>, ids binary, counts binary"
-    return docs.repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(blocks, schema)
-
+            found = [joined + end for joined in encoder.encode_all(text.as_py() for text in batch.column(1))]
+            n_ids = np.array([len(ids) // 4 for ids in found], dtype=np.int64)
+            flat = np.frombuffer(b"".join(found), "<u4")
+            counts += np.bincount(flat, minlength=size)
+            data, ends = flat.astype(dtype).tobytes(), (np.cumsum(n_ids) * np.dtype(dtype).itemsize).tolist()
+            yield rows(batch.column(0), n_ids, [data[a:b] for a, b in zip([0, *ends], ends)], [None] * len(found))
+        yield rows(pa.nulls(1, pa.int64()), np.zeros(1, dtype=np.int64), [None], [counts.tobytes()])
 
-def _ids_of(row_ids: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(row_ids, f"<u{len(row_ids) // n}") if n else np.empty(0, "<u4")
-
-
-def count_ids(raw: DataFrame) -> dict[int, int]:
-    """Global count of each id; at most one row per id of the vocabulary reaches the driver."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for counts in batch.column(0).to_pylist():
-                total = np.frombuffer(counts, "<i8")
-                used = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
-
-    rows = raw.where("block is null").select("counts").mapInArrow(unpack, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
-    return {r["id"]: r["n"] for r in rows}
+    return docs.mapInArrow(tokenize, "part int, doc_id long, n_ids long, ids binary, counts binary")
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int = 2, id_column: str = "doc_id",
-              text_column: str = "text", partitions: int | None = None, max_length: int = MAX_LENGTH) -> None:
+              text_column: str = "text", partitions: int | None = None, max_length: int | None = None) -> None:
     """Encode every text, append ``end_id`` to it and write ``path``/blocks and ``path``/codebook.
 
-    Documents are in ascending order of their ids (nulls first, equal ids by text). A null or
-    empty text is the end id alone, an empty table gives no blocks, other columns are ignored."""
+    Documents are in ascending order of their ids (nulls first, rows of one id in the order of a hash of
+    their token ids, so that a frequent id spreads over partitions). A null or empty text is the end id
+    alone, an empty table gives no blocks, other columns are ignored. Codes have at most ``max_length``
+    bits, by default ``MAX_LENGTH`` or what the number of ids needs."""
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    raw = store(ordered_ids(picked, tokenizer_json, end_id, partitions), "token-ids")
-    counts = count_ids(raw)
-    dense = np.zeros(max(counts, default=0) + 1, dtype=np.int64)
-    dense[list(counts)] = list(counts.values())
-    lengths = code_lengths(dense, max_length)
+    raw = store(token_ids(picked, tokenizer_json, end_id), "token-ids")
+    counted = raw.where("counts is not null").select("part", F.col("counts").alias("data"))
+    counts = sum_arrays(counted, raw.agg(F.max("part")).first()[0] or 0, "<i8")
+    counts = np.zeros(1, dtype=np.int64) if counts is None else counts
+    lengths = code_lengths(counts, max_length or max(MAX_LENGTH, int((counts > 0).sum()).bit_length()))
     used = np.flatnonzero(lengths)
     spark.createDataFrame(
         [(int(i), int(lengths[i])) for i in used], "id int, length int").coalesce(1).write.parquet(f"{path}/codebook")
@@ -217,15 +189,33 @@ def write_ids(docs: DataFrame, path: str, tokenizer_json: bytes, end_id: int = 2
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         book = Codebook(shared.value)
+        part, number, before = TaskContext.get().partitionId(), 0, 0
+        doc_ids, sizes, ids, held = [], [], [], 0
+
+        def block() -> pa.RecordBatch:
+            width = len(ids[0]) // sizes[0]
+            payload = write_block(book, doc_ids, sizes, np.frombuffer(b"".join(ids), f"<u{width}"))
+            values = [part, number, before, held, payload]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([v], t) for v, t in zip(values, [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()])],
+                names=["part", "block", "before", "n_ids", "payload"])
+
         for batch in batches:
-            rows = batch.to_pylist()
-            yield pa.RecordBatch.from_arrays([
-                pa.array([r["part"] for r in rows], pa.int32()), pa.array([r["block"] for r in rows], pa.int32()),
-                pa.array([r["before"] for r in rows], pa.int64()), pa.array([r["n_ids"] for r in rows], pa.int64()),
-                pa.array([write_block(book, r["doc_ids"], r["sizes"], _ids_of(r["ids"], r["n_ids"])) for r in rows], pa.binary()),
-            ], names=["part", "block", "before", "n_ids", "payload"])
-
-    raw.where("block is not null").drop("counts").mapInArrow(encode, "part int, block int, before long, n_ids long, payload binary").write.option(
+            for doc_id, n, data in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                doc_ids.append(doc_id)
+                sizes.append(n)
+                ids.append(data)
+                held += n
+                if held >= BLOCK_IDS:
+                    yield block()
+                    number, before = number + 1, before + held
+                    doc_ids, sizes, ids, held = [], [], [], 0
+        if doc_ids:
+            yield block()
+
+    order = ["doc_id", F.xxhash64("ids"), "ids"]
+    ordered = raw.where("counts is null").select("doc_id", "n_ids", "ids").repartitionByRange(partitions, *order[:2]).sortWithinPartitions(*order)
+    ordered.mapInArrow(encode, "part int, block int, before long, n_ids long, payload binary").write.option(
         "compression", "uncompressed").parquet(f"{path}/blocks")
 
 

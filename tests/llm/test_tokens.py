@@ -149,3 +149,26 @@ def test_ids_round_trip(spark, documents, odd_rows, bpe, sf_dir):
     tokens = {str(i): found + [2] for (i, _), found in zip(odd_rows, ids_by_tokenizer(bpe, [t for _, t in odd_rows]))}
     assert all(np.frombuffer(r["ids"], "<u4").tolist() == tokens[str(r["doc_id"])] for r in rows)
     assert huffman.encode_and_read(documents([]), bpe).collect() == []
+
+
+def test_rows_of_one_id_spread_and_stay_in_order(spark, documents, bpe, tmp_path):
+    rows = [(None, f"free text {i}") for i in range(40)] + [(3, f"other text {i} " * (i % 5)) for i in range(60)] + [(9, "x")]
+    path = str(tmp_path / "hot")
+    huffman.write_ids(documents(rows), path, bpe, partitions=6)
+    back = sorted(huffman.read_ids(spark, path, with_ids=True).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in back] == [None] * 40 + [3] * 60 + [9]
+    assert [r["start"] for r in back] == np.cumsum([0, *[r["n_tokens"] for r in back]])[:-1].tolist()
+    assert spark.read.parquet(f"{path}/blocks").select("part").distinct().count() > 2
+    again = str(tmp_path / "again")
+    huffman.write_ids(documents(rows[::-1]), again, bpe, partitions=2)
+    key = [(r["start"], r["ids_crc32"]) for r in back]
+    assert sorted((r["start"], r["ids_crc32"]) for r in huffman.read_ids(spark, again).collect()) == key
+
+
+def test_codes_follow_the_number_of_symbols():
+    counts = np.ones(70_000, dtype=np.int64)
+    lengths = huffman.code_lengths(counts, 17)
+    book = huffman.Codebook(lengths)
+    ids = np.arange(0, 70_000, 7, dtype="<u4")
+    at, bits = book.encode(ids)
+    assert lengths.max() == 17 and book.decode(bits, at[::256], len(ids), 256).tolist() == ids.tolist()
