@@ -3,6 +3,8 @@ rows whose neighbours disagree."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def synthetic_plan(df: DataFrame, id_col: str, label: str, seed: int = 42) -> Da
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 5, seed: int = 42,
-          probes: int | None = None) -> DataFrame:
+          probes: int | None = None, search: Callable | None = None) -> DataFrame:
     """Synthetic rows (base_id, draw, nn_id, u, label, vec): base + u (neighbour -
     base), with one of the base row's k nearest rows of its class."""
     small = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.min("n").alias("lo"), F.max("n").alias("hi")).first()
@@ -40,7 +42,7 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 5, seed
     raised = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < small["hi"]).select(label)
     minority = df.join(pin_small(raised), label)
     rows = as_rows(minority, id_col, vec_col, scope=label)
-    around = row_neighbours(rows, k, probes).select("id", "vec", "neighbours")
+    around = row_neighbours(rows, k, probes, search=search).select("id", "vec", "neighbours")
     drawn = replicate(plan.join(around, "id"), "draws", "draw")
     picked = drawn.withColumn(
         "nn", F.get("neighbours", F.pmod(stable_hash("id", "draw", seed=seed + 1), F.size("neighbours")).cast("int")))
@@ -56,18 +58,21 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 5, seed
     return moved.unionByName(same)
 
 
-def edited_neighbours(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 3, probes: int | None = None) -> DataFrame:
+def edited_neighbours(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 3, probes: int | None = None,
+                      search: Callable | None = None) -> DataFrame:
     """(id, label, vec) of the rows whose k nearest rows all share their label."""
-    around = row_neighbours(as_rows(df, id_col, vec_col, payload=label), k, probes)
+    around = row_neighbours(as_rows(df, id_col, vec_col, payload=label), k, probes, search=search)
     agree = F.forall("neighbours", lambda e: e["payload"] == F.col("payload"))
     return around.filter(agree).select("id", F.col("payload").alias("label"), "vec")
 
 
-def balance(df: DataFrame, id_col: str, vec_col: str, label: str, seed: int = 42, probes: int | None = None) -> DataFrame:
-    """(id, label, vec): originals plus synthetic rows, edited. Ids are texts."""
-    made = smote(df, id_col, vec_col, label, seed=seed, probes=probes)
+def balance(df: DataFrame, id_col: str, vec_col: str, label: str, seed: int = 42, probes: int | None = None,
+            search: Callable | None = None) -> DataFrame:
+    """(id, label, vec): originals plus synthetic rows, edited. Ids are texts. ``search``, for
+    instance ``lsh.Projections().search``, replaces the exact neighbour search."""
+    made = smote(df, id_col, vec_col, label, seed=seed, probes=probes, search=search)
     old = df.select(F.concat(F.lit("o"), F.col(id_col).cast("string")).alias("id"), F.col(label).alias("label"),
                     F.col(vec_col).cast("array<double>").alias("vec"))
     new = made.select(F.concat_ws("-", F.lit("s"), F.col("base_id").cast("string"), F.col("draw").cast("string")).alias("id"),
                       "label", "vec")
-    return edited_neighbours(old.unionByName(new), "id", "vec", "label", probes=probes)
+    return edited_neighbours(old.unionByName(new), "id", "vec", "label", probes=probes, search=search)

@@ -40,11 +40,11 @@ def clean_values(df: DataFrame) -> DataFrame:
     return df.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def quantile_edges(values: DataFrame, n_bins: int = N_BINS, small: bool | None = None) -> DataFrame:
+def quantile_edges(values: DataFrame, n_bins: int = N_BINS) -> DataFrame:
     """(feature, n, edges): distinct equal-frequency edges; with fewer than three,
     three evenly spaced ones from the minimum to just above the maximum."""
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = exact_quantiles(values, "feature", "value", probs, small=small)
+    q = exact_quantiles(values, "feature", "value", probs)
     distinct = q.select("feature", "n", F.array_sort(F.array_distinct("quantiles")).alias("edges"))
     low, high = F.element_at("edges", 1), F.element_at("edges", -1) + F.lit(1e-9)
     return pin_small(distinct.withColumn(
@@ -93,11 +93,11 @@ def psi(reference_bins: DataFrame, current_bins: DataFrame) -> DataFrame:
     return joined.groupBy("feature").agg(F.sum(psi_term(F.col("ref_share"), F.col("cur_share"))).alias("psi"))
 
 
-def ks_two_sample(left: DataFrame, right: DataFrame, small: bool | None = None) -> DataFrame:
+def ks_two_sample(left: DataFrame, right: DataFrame) -> DataFrame:
     """(feature, ks_stat, ks_pvalue, n_left, n_right) over two full value sets."""
     both = left.select("feature", "value", F.lit(1).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b")).unionByName(
         right.select("feature", "value", F.lit(0).cast("bigint").alias("a"), F.lit(1).cast("bigint").alias("b")))
-    running = running_sums(both, ["feature"], "value", ["a", "b"], small=small)
+    running = running_sums(both, ["feature"], "value", ["a", "b"])
     totals = pin_small(both.groupBy("feature").agg(F.sum("a").alias("n_left"), F.sum("b").alias("n_right")), MAX_FEATURES)
     gap = F.abs(F.col("a_cum") / F.col("n_left") - F.col("b_cum") / F.col("n_right"))
     stat = running.join(totals, "feature").groupBy("feature", "n_left", "n_right").agg(F.max(gap).alias("ks_stat"))
@@ -105,7 +105,7 @@ def ks_two_sample(left: DataFrame, right: DataFrame, small: bool | None = None)
 
 
 def build_reference(df: DataFrame, features: Sequence[str], row_key: Sequence[str] | None = None, seed: int = 42,
-                    n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE, small: bool | None = None) -> DataFrame:
+                    n_bins: int = N_BINS, sample_size: int = SAMPLE_SIZE) -> DataFrame:
     """(feature, edges, proportions, mean, std, sample) of the present features.
     ``row_key`` names columns that identify a row, which makes the sample
     independent of the partitioning; without them a generated id is used. All
@@ -116,7 +116,7 @@ def build_reference(df: DataFrame, features: Sequence[str], row_key: Sequence[st
     hashed = df.withColumn("_hash", stable_hash(*row_key, seed=seed))
     keyed = clean_values(long_form(hashed, present, "feature", "value", keep=["_hash", *row_key]))
     values = keyed.select("feature", "value")
-    edges = quantile_edges(values, n_bins, small)
+    edges = quantile_edges(values, n_bins)
     shares = histogram(values, edges).groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bin", "share"))), lambda s: s["share"]).alias("proportions"))
     moments = values.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
@@ -132,18 +132,18 @@ def label_distribution(df: DataFrame, label: str) -> DataFrame:
     return counts.select("label", (F.col("n") / total).alias("share")).orderBy("label")
 
 
-def place_counts(current: DataFrame, reference: DataFrame, count_outside: bool = False) -> DataFrame:
+def place_counts(current: DataFrame, reference: DataFrame, count_outside: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """(feature, bin, place, on_point, n, total): current values counted by their
     bin and their place among the sorted sample points, however many bins and points
     the reference has. At most a few thousand rows per feature; counts of separate
-    batches add up."""
+    batches, or of the parts named by the ``by`` columns, add up."""
     bounds = reference.agg(F.max(F.size("edges")), F.max(F.size("sample"))).first()
     points = reference.select("feature", "edges", F.array_sort(F.array_distinct("sample")).alias("points"))
     binned = with_bin(clean_values(current).join(per_feature(points), "feature"), bounds[0] or 0, count_outside)
     return (
         with_count_at_most(binned, "value", "points", bounds[1] or 0, "place")
         .withColumn("on_point", F.coalesce(F.get("points", F.col("place") - 1) == F.col("value"), F.lit(False)))
-        .groupBy("feature", "bin", "place", "on_point")
+        .groupBy(*by, "feature", "bin", "place", "on_point")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
     )
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.operators.ranked import DEFAULT_BUCKETS, running_sums
+from cohortline.operators.ranked import running_sums
 from cohortline.session import pin_small
 
 
@@ -58,22 +58,22 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
     return row.withColumn("composite_score", (F.col("balanced_accuracy") + F.col("f1_weighted")) / 2.0)
 
 
-def roc_points(scored: DataFrame, small: bool | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_points(scored: DataFrame) -> DataFrame:
     """(class, threshold, tp, fp, tpr, fpr) at every distinct score, high to low.
     ``scored``: (class, is_positive, score)."""
     flags = scored.select(
         "class", "score", F.col("is_positive").cast("bigint").alias("p"), (1 - F.col("is_positive").cast("bigint")).alias("q"))
-    running = running_sums(flags, ["class"], "score", ["p", "q"], ascending=False, small=small, buckets=buckets)
+    running = running_sums(flags, ["class"], "score", ["p", "q"], ascending=False)
     totals = pin_small(flags.groupBy("class").agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg")))
     return running.join(totals, "class").select(
         "class", F.col("score").alias("threshold"), "p", "q", F.col("p_cum").alias("tp"), F.col("q_cum").alias("fp"),
         (F.col("p_cum") / F.col("n_pos")).alias("tpr"), (F.col("q_cum") / F.col("n_neg")).alias("fpr"), "n_pos", "n_neg")
 
 
-def roc_auc(scored: DataFrame, small: bool | None = None, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_auc(scored: DataFrame) -> DataFrame:
     """(class, auc): trapezoids over tied scores; null without both kinds of rows.
     Each step adds its negatives times the positives above and half its own."""
-    points = roc_points(scored, small, buckets)
+    points = roc_points(scored)
     area = F.sum(F.col("q").cast("double") * (F.col("tp") - F.col("p") / 2.0))
     return points.groupBy("class").agg(
         F.when((F.max("n_pos") > 0) & (F.max("n_neg") > 0), area / (F.max("n_pos").cast("double") * F.max("n_neg"))).alias("auc"))
@@ -88,8 +88,8 @@ def one_vs_rest_scores(df: DataFrame, probability: str, classes: Sequence[int],
     return df.select(F.inline(entries))
 
 
-def macro_roc_auc(df: DataFrame, probability: str, classes: Sequence[int], label: str = "label", small: bool | None = None) -> DataFrame:
-    return roc_auc(one_vs_rest_scores(df, probability, classes, label), small).agg(F.avg("auc").alias("roc_auc"))
+def macro_roc_auc(df: DataFrame, probability: str, classes: Sequence[int], label: str = "label") -> DataFrame:
+    return roc_auc(one_vs_rest_scores(df, probability, classes, label)).agg(F.avg("auc").alias("roc_auc"))
 
 
 def metric_long(runs: DataFrame) -> DataFrame:

@@ -6,17 +6,19 @@ table costs as much as any other. Points are then assigned to the nearest of a
 bounded set of pivots. A first search inside a point's own cells gives an upper
 bound of its k-th distance, and a second search visits only the cells that the
 triangle inequality cannot rule out. Cells are cut into blocks of bounded size
-on both sides; a block runs as one matrix product and emits k rows per query.
-``probes`` limits the search to the nearest cells instead (approximate).
+on both sides, several even in the smallest table; a block runs as one matrix
+product and emits k rows per query. ``probes`` limits the search to the nearest
+cells instead, ``operators.lsh`` to the buckets of hash tables (both approximate).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,9 +26,11 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 
 from cohortline.functions.text import stable_hash
 from cohortline.operators.replicate import lookup_join
-from cohortline.session import cut_lineage, pin_small
+from cohortline.session import cut_lineage, store
 
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 1024
+#: Blocks of each side of a cell that is searched whole.
+MIN_PARTS = 2
 ROWS_PER_CELL = 2000
 MAX_PIVOTS = 4096
 
@@ -92,49 +96,66 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=np.float64) if len(column) else np.zeros((0, 1))
 
 
+def arrow_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    values = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+
+
 def _id_type(df: DataFrame):
     return df.schema["pid"].dataType
 
 
-def _search(routed: DataFrame, data: DataFrame, k: int, block_rows: int) -> DataFrame:
-    """``routed``: (pid, scope, vec, cell) queries, ``data``: the same columns.
-    Both sides of a cell are cut by hash into blocks of about ``block_rows``; each
-    pair of blocks is one task group, then the best k per query win."""
+def blocks(routed: DataFrame, data: DataFrame, block_rows: int = BLOCK_ROWS, min_parts: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Queries and data, both (pid, scope, vec, cell), with the blocks they meet in: (scope, cell, q_part,
+    d_part). Each side of a cell is cut by hash into parts of about ``block_rows``, so that no block grows
+    with its cell, and every query part meets every data part."""
     # fresh column identities: both sides may come from the same table
     routed = routed.select(*[F.col(c).alias(c) for c in ("pid", "scope", "vec", "cell")])
     sizes = data.groupBy("scope", "cell").agg(F.count(F.lit(1)).alias("n_data")).join(
         routed.groupBy("scope", "cell").agg(F.count(F.lit(1)).alias("n_query")), ["scope", "cell"])
-    # one row per occupied cell, of a known size from here on
-    parts = pin_small(sizes.select(
-        "scope", "cell", F.ceil(F.col("n_data") / block_rows).cast("int").alias("d_parts"),
-        F.ceil(F.col("n_query") / block_rows).cast("int").alias("q_parts")), 500_000)
+
+    def n_parts(n: str):
+        return F.greatest(F.lit(min_parts), F.ceil(F.col(n) / block_rows)).cast("int")
+
+    parts = store(sizes.select("scope", "cell", n_parts("n_data").alias("d_parts"), n_parts("n_query").alias("q_parts"), "n_data", "n_query"), "cells")
+    totals = parts.agg(F.sum("n_data").alias("n_data"), F.sum("n_query").alias("n_query")).first()
+
+    def with_parts(rows: DataFrame, size: str) -> DataFrame:
+        hot = parts.filter(F.col(size) * 1000 > (totals[size] or 0)).select("scope", "cell")
+        return lookup_join(rows, parts.drop("n_data", "n_query"), ["scope", "cell"], hot)
 
     def every(n):
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     keyed = stable_hash("pid", seed=7)
-    queries = routed.join(parts, ["scope", "cell"]).withColumn("q_part", F.pmod(keyed, F.col("q_parts")).cast("int")).select(
-        "pid", "vec", F.col("scope").alias("scope"), F.col("cell").alias("cell"), F.col("q_part").alias("q_part"), every("d_parts").alias("d_part"))
-    points = data.join(parts, ["scope", "cell"]).withColumn("d_part", F.pmod(keyed, F.col("d_parts")).cast("int")).select(
+    queries = with_parts(routed, "n_query").withColumn("q_part", F.pmod(keyed, F.col("q_parts")).cast("int")).select(
+        "pid", "vec", "scope", "cell", "q_part", every("d_parts").alias("d_part"))
+    points = with_parts(data, "n_data").withColumn("d_part", F.pmod(keyed, F.col("d_parts")).cast("int")).select(
         "pid", "vec", "scope", "cell", "d_part", every("q_parts").alias("q_part"))
-    id_type = _id_type(data)
-    schema = StructType([StructField("pid", id_type), StructField("nid", id_type), StructField("dist", DoubleType())])
+    return queries, points
 
-    def one_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"pid": [], "nid": [], "dist": []})
-        q, n, dist = _block_neighbours(
-            _matrix(left["vec"]), left["pid"].to_numpy(), _matrix(right["vec"]), right["pid"].to_numpy(), k)
-        return pd.DataFrame({"pid": q, "nid": n, "dist": dist})
+
+def block_search(routed: DataFrame, data: DataFrame, k: int, block_rows: int = BLOCK_ROWS, min_parts: int = 1) -> DataFrame:
+    """(pid, nid, dist): the k nearest data rows of each query among the cells it was routed to."""
+    queries, points = blocks(routed, data, block_rows, min_parts)
+    schema = StructType([StructField("pid", _id_type(data)), StructField("nid", _id_type(data)), StructField("dist", DoubleType())])
+    id_type = pa.string() if isinstance(_id_type(data), StringType) else pa.int64()
+
+    def one_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            found = [], [], []
+        else:
+            found = _block_neighbours(arrow_matrix(left["vec"]), left["pid"].to_numpy(), arrow_matrix(right["vec"]), right["pid"].to_numpy(), k)
+        return pa.table([pa.array(found[0], id_type), pa.array(found[1], id_type), pa.array(found[2], pa.float64())], names=["pid", "nid", "dist"])
 
     keys = ["scope", "cell", "q_part", "d_part"]
-    found = queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInPandas(one_block, schema)
-    return _best(found, k)
+    return _best(queries.groupBy(*keys).cogroup(points.groupBy(*keys)).applyInArrow(one_block, schema), k)
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest of each query; a neighbour found more than once counts once."""
     order = W.partitionBy("pid").orderBy("dist", "nid")
-    return found.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k).drop("_rn")
+    return found.withColumn("_rn", F.dense_rank().over(order)).filter(F.col("_rn") <= k).drop("_rn").dropDuplicates(["pid", "nid"])
 
 
 def nearest_points(points: Points, k: int, probes: int | None = None, n_pivots: int | None = None,
@@ -145,7 +166,7 @@ def nearest_points(points: Points, k: int, probes: int | None = None, n_pivots:
         n_pivots = int(min(max(points.n_points // ROWS_PER_CELL, 1), MAX_PIVOTS))
     if n_pivots <= 1:
         one = table.withColumn("cell", F.lit(0))
-        return _search(one, one, k, block_rows)
+        return block_search(one, one, k, block_rows, MIN_PARTS)
     # at most MAX_PIVOTS vectors, chosen by hash
     chosen = table.select("vec", stable_hash("pid", seed=11).alias("h"), "pid").orderBy("h", "pid").limit(n_pivots).collect()
     pivots = np.array([row["vec"] for row in chosen], dtype=np.float64)
@@ -195,14 +216,14 @@ def nearest_points(points: Points, k: int, probes: int | None = None, n_pivots:
             yield batch.iloc[qi][["pid", "scope", "vec"]].assign(cell=cell.astype(np.int64))
 
     data = assigned.select("pid", "scope", "vec", "cell")
-    first = cut_lineage(_search(table.mapInPandas(lambda b: route(b, True), routed_schema), data, k, block_rows))
+    first = cut_lineage(block_search(table.mapInPandas(lambda b: route(b, True), routed_schema), data, k, block_rows))
     if probes is not None:
         return first
     bounds = first.groupBy("pid").agg(F.count(F.lit(1)).alias("c"), F.max("dist").alias("d")).select(
         "pid", F.when(F.col("c") >= k, F.col("d")).otherwise(F.lit(float("inf"))).alias("bound"))
     bounded = table.join(bounds, "pid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
     routed = cut_lineage(bounded.mapInPandas(lambda b: route(b, False), routed_schema))
-    return _best(first.unionByName(_search(routed, data, k, block_rows)), k)
+    return _best(first.unionByName(block_search(routed, data, k, block_rows)), k)
 
 
 def neighbour_entries(points: Points, near: DataFrame, k: int) -> DataFrame:
@@ -216,11 +237,12 @@ def neighbour_entries(points: Points, near: DataFrame, k: int) -> DataFrame:
 
 
 def row_neighbours(rows: DataFrame, k: int, probes: int | None = None, n_pivots: int | None = None,
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS, search: Callable[[Points, int], DataFrame] | None = None) -> DataFrame:
     """Every input row with ``neighbours``: its k nearest other rows in its scope
-    as (dist, id, payload), nearest first, ties by id."""
+    as (dist, id, payload), nearest first, ties by id. ``search`` replaces the exact
+    search, for instance ``lsh.Projections().search``."""
     points = distinct_points(rows, k)
-    near = nearest_points(points, k, probes, n_pivots, block_rows)
+    near = search(points, k) if search else nearest_points(points, k, probes, n_pivots, block_rows)
     entries = cut_lineage(points.table.select("scope", "vec", "pid", "copies").join(neighbour_entries(points, near, k), "pid").drop("pid"))
     hot = entries.filter(F.col("copies") * 1000 > points.n_rows).select("scope", "vec")
     joined = lookup_join(rows, entries.drop("copies"), ["scope", "vec"], hot)

@@ -30,13 +30,13 @@ def api_metrics(events: DataFrame) -> DataFrame:
     ).select("total_predictions", "errors", "error_rate_pct", "avg_latency_ms")
 
 
-def latency_percentiles(events: DataFrame, small: bool | None = None, approximate: bool = False) -> DataFrame:
+def latency_percentiles(events: DataFrame, approximate: bool = False) -> DataFrame:
     """One row (p50, p95, p99), two decimals, 0.0 for an empty log."""
     values = events.filter("latency_ms IS NOT NULL").select(F.lit(0).alias("g"), F.col("latency_ms"))
     if approximate:
         q = values.agg(F.percentile_approx("latency_ms", list(LATENCY_PROBS), 10_000).alias("quantiles"))
     else:
-        q = exact_quantiles(values, "g", "latency_ms", LATENCY_PROBS, small=small).agg(F.first("quantiles").alias("quantiles"))
+        q = exact_quantiles(values, "g", "latency_ms", LATENCY_PROBS).agg(F.first("quantiles").alias("quantiles"))
     return q.select(*[
         F.coalesce(F.round(F.get("quantiles", F.lit(i)), 2), F.lit(0.0)).alias(name)
         for i, name in enumerate(("p50_latency_ms", "p95_latency_ms", "p99_latency_ms"))

@@ -1,114 +1,126 @@
 """Order statistics that stay distributed: running sums, exact quantiles, dense
 indexes, bottom-k samples, last-n and first-of-key.
 
-Small inputs (by Catalyst's estimate) take the one-window form. Anything else is
-cut into buckets by approximate quantiles; the sketch only decides how evenly the
-work spreads, the results are exact whatever it says. Groups are column names or
-class labels: up to ``MAX_GROUPS`` of them are pinned as small local tables, whose known
-size lets the planner broadcast them; more are joined by shuffle.
+Running sums and quantiles take one way at any size: equal values of a group are
+added up first, so that the rest are distinct and spread over ranges of (group,
+value), however often one value occurs. Each range sums up its rows in order
+where it is sorted; the totals of the ranges before it are added afterwards.
+Neither a group nor a value has to fit one task, and only one row per range and
+group meets in a window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from cohortline.functions.numeric import with_count_at_most
-from cohortline.session import is_small, pin_small
+from cohortline.session import pin_small, store
 
-DEFAULT_BUCKETS = 1024
 MAX_GROUPS = 2000
-FEW_ROWS = 500_000
 
 
-def _edges(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int) -> DataFrame:
-    """One row per group with its sorted inner bucket edges."""
-    # one foldable literal instead of a thousand, which would swell every plan
-    probs = F.expr(f"from_json('{[i / buckets for i in range(1, buckets)]}', 'array<double>')")
-    sketch = F.percentile_approx(order_col, probs, max(10_000, 4 * buckets))
-    return pin_small(df.groupBy(*groups).agg(F.array_distinct(sketch).alias("_edges"), F.count(order_col).alias("_n")), MAX_GROUPS)
-
-
-def _few_rows(edges: DataFrame) -> bool:
-    """Whether every counted group is small after all (estimates of joins are not)."""
-    return (edges.agg(F.max("_n")).first()[0] or 0) <= FEW_ROWS
-
-
-def _bucketed(df: DataFrame, groups: Sequence[str], order_col: str, buckets: int, edges: DataFrame) -> DataFrame:
-    # pinned edges have a known size, so the planner broadcasts them by itself
-    joined = df.join(edges, list(groups))
-    return with_count_at_most(joined, order_col, "_edges", buckets, "_bucket").drop("_edges", "_n")
-
-
-def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures: Sequence[str],
-                 ascending: bool = True, buckets: int = DEFAULT_BUCKETS, small: bool | None = None) -> DataFrame:
+def _opens(batch: pa.RecordBatch, last: pa.RecordBatch | None, groups: Sequence[str]) -> np.ndarray:
+    """Whether each row's group differs from that of the row before it, in this batch or at the end of the last."""
+    opens = np.zeros(batch.num_rows, dtype=bool)
+    opens[0] = last is None
+    for name in groups:
+        at = batch.schema.get_field_index(name)
+        column = batch.column(at)
+        if last is not None:
+            column = pa.concat_arrays([last.column(at).slice(last.num_rows - 1), column])
+        before, now = column.slice(0, len(column) - 1), column.slice(1)
+        unlike = pc.fill_null(pc.not_equal(before, now), False).to_numpy(zero_copy_only=False)
+        unlike = unlike | (before.is_null().to_numpy(zero_copy_only=False) != now.is_null().to_numpy(zero_copy_only=False))
+        opens[batch.num_rows - len(unlike):] |= unlike
+    return opens
+
+
+def _segment_sums(values: np.ndarray, opens: np.ndarray, carried: float) -> np.ndarray:
+    """Running sums that begin anew where ``opens`` is set; ``carried`` continues the segment before the first."""
+    starts = np.flatnonzero(opens)
+    if values.dtype.kind == "f":
+        # segment by segment, as differences of running sums would lose digits
+        parts = np.split(values, starts)
+        return np.concatenate([np.cumsum(part) + (carried if i == 0 else 0) for i, part in enumerate(parts)])
+    running = np.cumsum(values)
+    before = np.full(len(values), -carried, dtype=running.dtype)
+    segment = np.cumsum(opens) - 1
+    inside = segment >= 0
+    before[inside] = (running[starts] - values[starts])[segment[inside]]
+    return running - before
+
+
+def _sums_in_range(rows: DataFrame, groups: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Sorted partitions with ``_part`` and, per measure, its sum over the group's rows of the partition so far."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last: pa.RecordBatch | None = None
+        carried = [0] * len(measures)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            opens = _opens(batch, last, groups)
+            sums = [_segment_sums(batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False), opens, carried[i])
+                    for i, name in enumerate(measures)]
+            carried = [found[-1] for found in sums]
+            last = batch
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part, np.int32)), *map(pa.array, sums)],
+                                             names=[*batch.schema.names, "_part", *[f"{m}_cum" for m in measures]])
+
+    fields = {f.name: f for f in rows.schema.fields}
+    schema = StructType([*rows.schema.fields, StructField("_part", IntegerType()), *[
+        StructField(f"{m}_cum", fields[m].dataType) for m in measures]])
+    return rows.mapInArrow(add, schema)
+
+
+def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures: Sequence[str], ascending: bool = True) -> DataFrame:
     """Per group and distinct order value: the summed measures and their running
-    totals ``<measure>_cum``. Equal order values collapse before any window."""
+    totals ``<measure>_cum``. Null measures count as zero."""
     groups, measures = list(groups), list(measures)
-    summed = df.groupBy(*groups, order_col).agg(*[F.sum(m).alias(m) for m in measures])
     direction = F.col(order_col).asc() if ascending else F.col(order_col).desc()
-    if is_small(df) if small is None else small:
-        window = W.partitionBy(*groups).orderBy(direction).rowsBetween(W.unboundedPreceding, W.currentRow)
-        return summed.select("*", *[F.sum(m).over(window).alias(f"{m}_cum") for m in measures])
-    cut = _bucketed(summed, groups, order_col, buckets, _edges(df, groups, order_col, buckets))
-    totals = cut.groupBy(*groups, "_bucket").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-    bucket_order = F.col("_bucket").asc() if ascending else F.col("_bucket").desc()
-    before = W.partitionBy(*groups).orderBy(bucket_order).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(*groups, "_bucket", *[F.coalesce(F.sum(f"_t_{m}").over(before), F.lit(0)).alias(f"_o_{m}") for m in measures])
-    inside = W.partitionBy(*groups, "_bucket").orderBy(direction).rowsBetween(W.unboundedPreceding, W.currentRow)
-    # the window below needs this partitioning anyway, so the join adds no shuffle
-    return cut.join(offsets, groups + ["_bucket"]).select(
-        *groups, order_col, *measures,
-        *[(F.col(f"_o_{m}") + F.sum(m).over(inside)).alias(f"{m}_cum") for m in measures],
-    )
-
-
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float],
-                    buckets: int = DEFAULT_BUCKETS, small: bool | None = None) -> DataFrame:
-    """(group, n, quantiles): linearly interpolated quantiles, as an array in the
-    order of ``probs``. Large inputs: sketch the bucket edges, count the buckets,
-    then sort only the few buckets that hold a wanted rank."""
+    summed = df.groupBy(*groups, order_col).agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
+    ranges = summed.repartitionByRange(*groups, direction).sortWithinPartitions(*groups, direction)
+    found = store(_sums_in_range(ranges, groups, measures), "running")
+    totals = found.groupBy(*groups, "_part").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    # one row per range, and one more per group
+    earlier = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = pin_small(totals.select(
+        "_part", *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+        *[F.coalesce(F.sum(f"_t_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in measures]))
+    same = [F.col("_part") == F.col("_at")] + [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(groups)]
+    joined = found.join(offsets.withColumnRenamed("_part", "_at"), same)
+    return joined.select(*groups, order_col, *measures, *[(F.col(f"_o_{m}") + F.col(f"{m}_cum")).alias(f"{m}_cum") for m in measures])
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
+    """(group, n, quantiles): linearly interpolated quantiles of the non-null values, as an
+    array in the order of ``probs``."""
     probs = [float(p) for p in probs]
-    in_memory = df.groupBy(group).agg(
-        F.count(value).alias("n"), F.percentile(value, F.array(*[F.lit(p) for p in probs])).alias("quantiles"))
-    if is_small(df) if small is None else small:
-        return in_memory
-    present = df.filter(F.col(value).isNotNull()).select(group, F.col(value).cast("double").alias(value))
-    edges = _edges(present, [group], value, buckets)
-    if small is None and _few_rows(edges):
-        return in_memory
-    cut = _bucketed(present, [group], value, buckets, edges)
-    sizes = cut.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    in_group = W.partitionBy(group).orderBy("_bucket")
-    ranges = pin_small(sizes.select(
-        group, "_bucket",
-        (F.sum("_size").over(in_group) - F.col("_size")).alias("_from"),
-        F.sum("_size").over(in_group).alias("_to"),
-        F.sum("_size").over(W.partitionBy(group)).alias("n"),
-    ), 500_000)
-    # one row per wanted rank: the two ranks around each interpolation point
-    wanted = F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(p).alias("_p")) for i, p in enumerate(probs)])
-    points = ranges.select(group, "n").distinct().select(group, "n", F.inline(wanted)).withColumn("_at", F.col("_p") * (F.col("n") - 1))
-    ranks = points.select(
-        group, "n", "_i", "_at",
-        F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))).alias("_rank"),
-    )
-    located = pin_small(ranks.join(ranges.drop("n"), group).filter("_rank >= _from AND _rank < _to"))
-    hit = located.select(group, "_bucket", "_from").distinct()
-    counted = cut.join(hit, [group, "_bucket"]).groupBy(group, "_bucket", "_from", value).agg(F.count(F.lit(1)).alias("_c"))
-    in_bucket = W.partitionBy(group, "_bucket").orderBy(value)
-    spans = counted.select(
-        group, "_bucket", value,
-        (F.col("_from") + F.sum("_c").over(in_bucket) - F.col("_c")).alias("_lo"),
-        (F.col("_from") + F.sum("_c").over(in_bucket)).alias("_hi"),
-    )
-    picked = spans.join(located.drop("_from", "_to"), [group, "_bucket"]).filter("_rank >= _lo AND _rank < _hi")
-    per_point = picked.groupBy(group, "n", "_i", "_at").agg(F.min(value).alias("_v0"), F.max(value).alias("_v1")).withColumn(
-        "_q", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.floor("_at")))
-    return per_point.groupBy(group, "n").agg(
+    present = df.filter(F.col(value).isNotNull()).select(F.col(group), F.col(value).cast("double").alias(value), F.lit(1).cast("bigint").alias("_n"))
+    running = running_sums(present, [group], value, ["_n"])
+    at = F.array(*[F.lit(p) * (F.col("n") - 1) for p in probs])
+    sizes = pin_small(running.groupBy(group).agg(F.max("_n_cum").alias("n")).select(group, "n", at.alias("_ats")), MAX_GROUPS)
+    low, high = F.col("_n_cum") - F.col("_n"), F.col("_n_cum")
+
+    def holds(at: Column) -> Column:
+        """Whether a row has one of the two ranks around an interpolation point."""
+        return (F.floor(at) >= low) & (F.floor(at) < high) | (F.ceil(at) >= low) & (F.ceil(at) < high)
+
+    joined = running.join(sizes, group).filter(reduce(or_, [holds(F.get("_ats", F.lit(i))) for i in range(len(probs))]))
+    held = joined.select(group, "n", value, "_n", "_n_cum", F.posexplode("_ats").alias("_i", "_at")).filter(holds(F.col("_at")))
+    point = held.groupBy(group, "n", "_i", "_at").agg(F.min(value).alias("_v0"), F.max(value).alias("_v1"))
+    point = point.withColumn("_q", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.floor("_at")))
+    return point.groupBy(group, "n").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("quantiles"))
 
 

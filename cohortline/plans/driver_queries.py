@@ -317,7 +317,7 @@ def quantile_edges(spark, d):
 
 def quantile_edges_bucketed(spark, d):
     item = K.long_form(table(spark, d, "lineitem"), MEASURES, "feature")
-    return _edges_out(D.quantile_edges(item, small=False))
+    return _edges_out(D.quantile_edges(item))
 
 
 def histogram(spark, d):
@@ -331,17 +331,9 @@ def psi(spark, d):
     return D.psi(D.histogram(ref, edges), D.histogram(cur, edges)).select("feature", r6("psi"))
 
 
-def _ks(spark, d, small):
-    ref, cur = _price_sides(spark, d)
-    return D.ks_two_sample(ref, cur, small=small).select("feature", r6("ks_stat"), "n_left", "n_right")
-
-
 def ks_stat(spark, d):
-    return _ks(spark, d, None)
-
-
-def ks_stat_bucketed(spark, d):
-    return _ks(spark, d, False)
+    ref, cur = _price_sides(spark, d)
+    return D.ks_two_sample(ref, cur).select("feature", r6("ks_stat"), "n_left", "n_right")
 
 
 def _item_sides(spark, d):
@@ -421,10 +413,6 @@ def latency_percentiles(spark, d):
     return O.latency_percentiles(_prediction_like(spark, d))
 
 
-def latency_percentiles_bucketed(spark, d):
-    return O.latency_percentiles(_prediction_like(spark, d), small=False)
-
-
 def class_counts(spark, d):
     return O.class_counts(_prediction_like(spark, d))
 
@@ -600,7 +588,7 @@ QUERIES = {
     "histogram": histogram,
     "psi": psi,
     "ks_stat": ks_stat,
-    "ks_stat_bucketed": ks_stat_bucketed,
+    "ks_stat_bucketed": ks_stat,
     "drift_report": drift_report,
     "drift_own_reference": drift_own_reference,
     "drift_summary": drift_summary,
@@ -608,7 +596,7 @@ QUERIES = {
     "label_distribution": label_distribution,
     "latency_metrics": latency_metrics,
     "latency_percentiles": latency_percentiles,
-    "latency_percentiles_bucketed": latency_percentiles_bucketed,
+    "latency_percentiles_bucketed": latency_percentiles,
     "class_counts": class_counts,
     "latency_trend": latency_trend,
     "uptime": uptime,

@@ -43,6 +43,12 @@ def _neighbours(k: int, same_label: bool) -> str:
 
 _NEAREST = f"SELECT a_id AS id, (rank - 1)::INT AS pos, b_id AS neighbour, round(dist, 6) AS dist FROM ({_neighbours(3, False)})"
 
+_SIDE_NEIGHBOURS = """SELECT a_id AS id, any_value(a_side) AS label, round(list_sum(any_value(av)), 6) AS total
+    FROM (SELECT a.vec_id AS a_id, a.side AS a_side, b.side AS b_side, a.v AS av, row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
+        FROM (SELECT vec_id, embedding::DOUBLE[] AS v, (embedding[1] > 0)::INT AS side FROM embeddings) a
+        JOIN (SELECT vec_id, embedding::DOUBLE[] AS v, (embedding[1] > 0)::INT AS side FROM embeddings) b ON a.vec_id <> b.vec_id)
+    WHERE rank <= 3 GROUP BY a_id HAVING bool_and(a_side = b_side)"""
+
 _DRAW_HASH = "('0x' || substr(md5(concat_ws('|', id, draw, '{seed}')), 1, 8))::BIGINT"
 _SMOTE = f"""WITH sized AS (SELECT vec_id AS id, label, count(*) OVER (PARTITION BY label) AS n,
         row_number() OVER (PARTITION BY label ORDER BY {_HASH.format(key="concat_ws('|', vec_id, '42')")}, vec_id) - 1 AS i FROM embeddings),
@@ -57,14 +63,54 @@ _HALF = "SELECT event_id, 'v' AS feature, value AS value FROM events WHERE ts <
 _HALF_SAMPLE = f"""SELECT feature, value FROM (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY {_HASH.format(key="concat_ws('|', event_id, '42')")}, event_id) AS rn
     FROM ({_HALF})) WHERE rn <= 2000"""
 _LOGGED = f"SELECT 'v' AS feature, v AS value FROM ({_LOG_EVENTS}) WHERE has_features UNION ALL SELECT 'u', u FROM ({_LOG_EVENTS}) WHERE has_features"
-_STREAM_DRIFT = f"""SELECT feature, n_current, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat,
+
+def _drift_of(rows: str) -> str:
+    """Report of ``rows`` (feature, value) against the first half of the month."""
+    return f"""SELECT feature, n_current, round(psi, 6) AS psi, round(ks_stat, 6) AS ks_stat,
         CASE WHEN psi > 0.25 THEN 'DRIFT' WHEN psi > 0.10 THEN 'WATCH' ELSE 'STABLE' END AS status, round(ref_mean, 6) AS ref_mean, round(cur_mean, 6) AS cur_mean
-    FROM ({_psi(f"SELECT feature, value FROM ({_HALF})", _LOGGED)}) JOIN (SELECT feature, ks_stat FROM ({_ks(_HALF_SAMPLE, _LOGGED)})) USING (feature)
+    FROM ({_psi(f"SELECT feature, value FROM ({_HALF})", rows)}) JOIN (SELECT feature, ks_stat FROM ({_ks(_HALF_SAMPLE, rows)})) USING (feature)
     JOIN (SELECT feature, avg(value) AS ref_mean FROM ({_HALF}) GROUP BY feature) USING (feature)
-    JOIN (SELECT feature, count(*) AS n_current, avg(value) AS cur_mean FROM ({_LOGGED}) GROUP BY feature) USING (feature)"""
+    JOIN (SELECT feature, count(*) AS n_current, avg(value) AS cur_mean FROM ({rows}) GROUP BY feature) USING (feature)"""
+
+
+_STREAM_DRIFT = _drift_of(_LOGGED)
 
 _SCALED = ", ".join(f"({m} - avg({m}) FILTER (WHERE NOT test) OVER ()) / stddev_pop({m}) FILTER (WHERE NOT test) OVER () AS {m}" for m in _MEASURES)
 
+_NODE_HASH = "('0x' || substr(md5(concat_ws('|', tree, node, '{seed}')), 1, 8))::BIGINT"
+_WALK = """{name}_walk AS (
+        SELECT r.*, t.tree, 0 AS node, 0 AS level FROM {rows} r CROSS JOIN (SELECT DISTINCT tree FROM splits) t
+        UNION ALL SELECT w.* EXCLUDE (node, level), 2 * w.node + CASE WHEN w.x[s.feature + 1] <= s.threshold THEN 1 ELSE 2 END, w.level + 1
+        FROM {name}_walk w JOIN splits s ON s.tree = w.tree AND s.node = w.node)"""
+# numbered as in a complete binary tree: the children of node i are 2 i + 1 and 2 i + 2
+_SCORED_ROWS = f"""WITH RECURSIVE bounds AS (
+        SELECT 0 AS feature, min(l_quantity) AS low, max(l_quantity) AS high FROM lineitem UNION ALL SELECT 1, min(l_extendedprice), max(l_extendedprice) FROM lineitem
+        UNION ALL SELECT 2, min(l_discount), max(l_discount) FROM lineitem),
+    splits AS (SELECT tree, node, feature, low + (high - low) * ({_NODE_HASH.format(seed=43)} / 4294967296.0::DOUBLE) AS threshold
+        FROM (SELECT tree, node, ({_NODE_HASH.format(seed=42)} % 3)::INT AS feature
+            FROM (SELECT unnest(range(9)) AS tree) CROSS JOIN (SELECT unnest(range(31)) AS node)) JOIN bounds USING (feature)),
+    items AS (SELECT row_number() OVER () AS row, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_tax, [l_quantity, l_extendedprice, l_discount]::DOUBLE[] AS x,
+            CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS label, {_ITEM_HASH} >= {_TEST_LIMIT} AS train,
+            CASE WHEN l_linenumber = 1 THEN 'l_quantity: missing' WHEN l_linenumber = 2 THEN 'l_extendedprice: not a number'
+                WHEN l_linenumber = 3 THEN 'l_discount: not a number' END AS reason FROM lineitem),
+    {_WALK.format(name="train", rows="(SELECT x, label FROM items WHERE train)")},
+    votes AS (SELECT tree, node, [(count(*) FILTER (WHERE label = 0)) / count(*), (count(*) FILTER (WHERE label = 1)) / count(*), (count(*) FILTER (WHERE label = 2)) / count(*)] AS v
+        FROM train_walk WHERE level = 5 GROUP BY tree, node),
+    {_WALK.format(name="row", rows="(SELECT * EXCLUDE (train, label) FROM items WHERE reason IS NULL)")},
+    shares AS (SELECT row, l_orderkey, l_linenumber, l_partkey, l_suppkey, any_value(l_tax) AS l_tax,
+            [coalesce(sum(v[1]), 0) / 9, coalesce(sum(v[2]), 0) / 9, coalesce(sum(v[3]), 0) / 9] AS p
+        FROM row_walk LEFT JOIN votes USING (tree, node) WHERE level = 5 GROUP BY ALL),
+    best AS (SELECT *, list_position(list_transform(p, lambda q: round(q, 12)), round(list_max(p), 12)) - 1 AS code FROM shares)
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE code WHEN 0 THEN 'accepted' WHEN 1 THEN 'none' END AS diagnosis,
+        CASE WHEN code < 2 THEN round(round(100 * list_max(p), 2), 1) END AS confidence, CASE WHEN code < 2 THEN 'success' ELSE 'error' END AS status,
+        CASE WHEN code = 2 THEN 'no label for code 2' END AS error, CASE WHEN l_tax > 0.02 THEN l_tax ELSE 0 END AS l_tax FROM best
+    UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, NULL, NULL, 'error', reason, NULL FROM items WHERE reason IS NOT NULL"""
+
+_IN_TIME = """(SELECT * FROM (SELECT *, CASE WHEN event_type <> 'error' THEN 'success' WHEN user_id % 2 = 0 THEN 'error' END AS status,
+        event_id % 29 = 0 AND ts < TIMESTAMP '2024-01-15' AS delayed FROM events) WHERE NOT delayed)"""
+_RECENT = """SELECT * FROM (SELECT *, floor(epoch(ts) / 3600) AS hour, max(floor(epoch(ts) / 3600)) OVER () AS newest FROM events) WHERE hour > newest - 200"""
+_RECENT_LONG = f"SELECT 'v' AS feature, value FROM ({_RECENT}) UNION ALL SELECT 'u', user_id FROM ({_RECENT})"
+
 _RAW = """SELECT *, l_linenumber = 1 AS no_quantity, l_linenumber = 2 AS bad_price, l_linenumber = 3 AS bad_discount FROM lineitem"""
 _ERRORS = "count(*) FILTER (WHERE status IS DISTINCT FROM 'success')"
 
@@ -93,6 +139,14 @@ MODEL_ORACLES = {
     "nearest_neighbours_pivoted": _NEAREST,
     "smote": _SMOTE,
     "edited_neighbours": f"SELECT a_id AS id, any_value(a_label) AS label, 64::INT AS n_dims FROM ({_neighbours(3, False)}) GROUP BY a_id HAVING bool_and(a_label = b_label)",
+    "edited_half_spaces": _SIDE_NEIGHBOURS,
+    "nearest_of_twentieth": f"SELECT * FROM ({_NEAREST}) WHERE id % 20 = 0",
+    "neighbour_recall": """SELECT count(*) AS n_queries, 5 * count(*) AS n_pairs, true AS recalled FROM (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_orderkey % 20 = 0)""",
+    "scored_rows": _SCORED_ROWS,
+    "stream_closed_windows": f"""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, {_ERRORS} AS errors, round(avg(value), 6) AS avg_latency_ms, true AS p95_close
+        FROM {_IN_TIME} WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 DAY FROM {_IN_TIME}) GROUP BY day""",
+    "stream_late_rows": """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n, round(sum(value), 4) AS latency_sum FROM events
+        WHERE event_id % 29 = 0 AND ts < TIMESTAMP '2024-01-15' GROUP BY day""",
     "input_validation": f"""SELECT 'accepted' AS outcome, count(*) AS n, round(sum(CASE WHEN l_tax > 0.02 THEN l_tax ELSE 0 END), 4) AS tax_sum, 0.0::DOUBLE AS absent_sum
         FROM ({_RAW}) WHERE NOT (no_quantity OR bad_price OR bad_discount)
         UNION ALL SELECT CASE WHEN no_quantity THEN 'l_quantity: missing' WHEN bad_price THEN 'l_extendedprice: not a number' ELSE 'l_discount: not a number' END AS outcome,
@@ -109,6 +163,7 @@ MODEL_ORACLES = {
         arg_max(CASE WHEN up THEN 'UP' ELSE 'DOWN' END, (ts, event_id)) AS last_status FROM ({_PROBES})""",
     "stream_http": ORACLES["http_counters"],
     "stream_drift": _STREAM_DRIFT,
+    "stream_recent_drift": _drift_of(_RECENT_LONG),
     "dashboard": f"""SELECT count(*) AS total_predictions, {_ERRORS} AS errors, round(100.0 * {_ERRORS} / count(*), 2) AS error_rate_pct, round(avg(latency_ms), 2) AS avg_latency_ms,
         round(quantile_cont(latency_ms, 0.5), 2) AS p50_latency_ms, round(quantile_cont(latency_ms, 0.95), 2) AS p95_latency_ms, round(quantile_cont(latency_ms, 0.99), 2) AS p99_latency_ms,
         50::INT AS trend_length, (count(DISTINCT prediction) FILTER (WHERE status = 'success' AND prediction <> ''))::INT AS n_classes,

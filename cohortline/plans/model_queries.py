@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import stable_hash
@@ -10,13 +11,17 @@ from cohortline.operators import balance as B
 from cohortline.operators import drift as D
 from cohortline.operators import evaluate as E
 from cohortline.operators import knn as N
+from cohortline.operators import lsh
+from cohortline.operators import nodes as ND
 from cohortline.operators import ops_metrics as O
 from cohortline.operators import prep
 from cohortline.operators import scoring as S
 from cohortline.operators import training as T
-from cohortline.plans.driver_queries import ITEM_KEY, MEASURES, _log_lines, _probes, _requests, r6, scratch_path, table
+from cohortline.plans.driver_queries import ITEM_KEY, MEASURES, _log_lines, _prediction_like, _probes, _requests, r6, scratch_path, table
 from cohortline.sources import logs
 from cohortline.streaming import metrics as M
+from cohortline.streaming import recent as RC
+from cohortline.streaming import windows as SW
 
 N_DIMS = 64
 CLASSES = list(range(10))
@@ -82,10 +87,6 @@ def roc_auc(spark, d):
     return E.roc_auc(_scored_documents(spark, d)).select("class", r6("auc"))
 
 
-def roc_auc_bucketed(spark, d):
-    return E.roc_auc(_scored_documents(spark, d), small=False).select("class", r6("auc"))
-
-
 def roc_curve(spark, d):
     return E.roc_points(_scored_documents(spark, d)).select("class", "threshold", "tp", "fp", r6("tpr"), r6("fpr"))
 
@@ -138,6 +139,41 @@ def edited_neighbours(spark, d):
     return kept.select("id", "label", F.size("vec").alias("n_dims"))
 
 
+def edited_half_spaces(spark, d):
+    """Labels by the sign of one coordinate, so that rows near the border go and others stay."""
+    rows = table(spark, d, "embeddings").withColumn("side", (F.get("embedding", F.lit(0)) > 0).cast("int"))
+    kept = B.edited_neighbours(rows, "vec_id", "embedding", "side")
+    return kept.select("id", "label", F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+def nearest_of_twentieth(spark, d):
+    """Every vector whose id is divisible by 20 against all vectors, over the hash tables."""
+    points = N.distinct_points(N.as_rows(table(spark, d, "embeddings"), "vec_id", "embedding"), 3)
+    near = lsh.Projections().search(points, 3, points.table.filter("pid % 20 = 0"))
+    place = F.row_number().over(W.partitionBy("pid").orderBy("dist", "nid")) - 1
+    return near.select(F.col("pid").alias("id"), place.alias("pos"), F.col("nid").alias("neighbour"), F.round("dist", 6).alias("dist"))
+
+
+def _order_vectors(spark, d):
+    """Orders as points: standardised means and counts of their items."""
+    item = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        *[F.avg(m).alias(m) for m in MEASURES], F.count(F.lit(1)).cast("double").alias("n_items"), F.max("l_extendedprice").alias("top_price"))
+    names = [c for c in item.columns if c != "l_orderkey"]
+    scaled = prep.apply_standardiser(item, prep.fit_standardiser(item, names), others_after=False)
+    return scaled.select("l_orderkey", F.array(*[F.round(c, 9) for c in names]).alias("vec"))
+
+
+def neighbour_recall(spark, d):
+    """Hash tables against the exact search, for the orders whose key is divisible by 20 among all orders."""
+    points = N.distinct_points(N.as_rows(_order_vectors(spark, d), "l_orderkey", "vec"), 5)
+    asked = points.table.filter("pid % 20 = 0").select("pid", "scope", "vec")
+    near = lsh.Projections(bucket_rows=256).search(points, 5, asked)
+    everything = points.table.select("pid", "scope", "vec").withColumn("cell", F.lit(0))
+    exact = N.block_search(asked.withColumn("cell", F.lit(0)), everything, 5, min_parts=N.MIN_PARTS)
+    both = exact.join(near.select("pid", "nid", F.lit(1).alias("hit")), ["pid", "nid"], "left")
+    return both.agg(F.count_distinct("pid").alias("n_queries"), F.count(F.lit(1)).alias("n_pairs"), (F.count("hit") / F.count(F.lit(1)) >= 0.9).alias("recalled"))
+
+
 # -- training --------------------------------------------------------------------------------------------------
 
 def _vectors(spark, d):
@@ -215,6 +251,23 @@ def input_ranges(spark, d):
         "l_quantity": (0, 45), "l_discount": (0.0, 0.08), "l_tax": (0, 1), "l_extendedprice": (1000, 100000)})
 
 
+ROW_FEATURES = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def scored_rows(spark, d):
+    """Every raw row with label, confidence and error, scored by a table of nodes: randomised trees whose leaves count the
+    training rows of each flag. One flag has no label, so rows scored as it carry that error."""
+    items = table(spark, d, "lineitem")
+    codes = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    train, _ = prep.hash_split(items.withColumn("label", codes), ITEM_KEY)
+    bounds = items.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("feature"), F.col(c).alias("v")) for i, c in enumerate(ROW_FEATURES)]))).groupBy("feature").agg(
+        F.min("v").alias("low"), F.max("v").alias("high"))
+    forest = ND.NodeForest(ND.random_nodes(bounds, 3, n_trees=9, depth=5), ROW_FEATURES, 3).with_counts(train, "label")
+    scored = S.score_raw(_raw_inputs(spark, d), forest, None, ROW_FEATURES, FLAG_CODES, OPTIONAL)
+    return scored.select(*ITEM_KEY, "diagnosis", F.round("confidence", 1).alias("confidence"), "status", "error", F.col("inputs.l_tax").alias("l_tax"))
+
+
 def batch_score(spark, d):
     """Fit on the training side, score every raw row, log it, count the log."""
     codes = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
@@ -266,6 +319,62 @@ def stream_windows_p95(spark, d):
     return _stream_windows(spark, d, percentile=True)
 
 
+def _log_file(spark, path, name, events):
+    """One more file of a log, as JSON lines."""
+    events.select(F.to_json(F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"), "status", "prediction", "latency_ms",
+        F.struct(F.col("latency_ms").alias("v"), F.col("user_id").alias("u")).alias("features"))).alias("value")).repartition(1).write.mode("append").text(path)
+
+
+def _delayed_log(spark, d):
+    """The events in four files by time; a share of the first half only arrives with the last file."""
+    path, events = scratch_path(spark, "delayed-log"), _prediction_like(spark, d)
+    delayed = (F.col("event_id") % 29 == 0) & (F.col("ts") < "2024-01-15")
+    for low, high in (("2024-01-01", "2024-01-08"), ("2024-01-08", "2024-01-15"), ("2024-01-15", "2024-01-22"), ("2024-01-22", "2025-01-01")):
+        inside = (F.col("ts") >= low) & (F.col("ts") < high) & ~delayed
+        _log_file(spark, path, low, events.filter(inside | delayed if low == "2024-01-22" else inside))
+    return path
+
+
+def _closed(spark, d):
+    out = scratch_path(spark, "closed-windows")
+    events = M.stream_predictions(spark, _delayed_log(spark, d), max_files=1)
+    SW.start_closing_windows(events, out, scratch_path(spark, "stream-checkpoint"), "1 hour", "1 day").awaitTermination()
+    return out
+
+
+def stream_closed_windows(spark, d):
+    """Days merged from the hours that closed behind the watermark; whether each day's p95 lies within the sketch's error of the
+    exact rank among the rows that were in time."""
+    days = SW.merge_sums(SW.closed_windows(spark, _closed(spark, d)), "1 day")
+    report = SW.window_report(days).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    delayed = (F.col("event_id") % 29 == 0) & (F.col("ts") < "2024-01-15")
+    events = _prediction_like(spark, d).filter(~delayed)
+    last = events.agg(F.max("ts")).scalar()
+    closed = events.filter(F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR") <= last - F.expr("INTERVAL 1 DAY"))
+    ranked = closed.select(F.date_format("ts", "yyyy-MM-dd").alias("day"), "latency_ms").join(report.select("day", "p_latency_ms"), "day").groupBy("day").agg(
+        (F.count_if(F.col("latency_ms") < F.col("p_latency_ms")) / F.count("latency_ms")).alias("below"),
+        (F.count_if(F.col("latency_ms") <= F.col("p_latency_ms")) / F.count("latency_ms")).alias("up_to"))
+    close = (F.col("below") <= 0.95 + SW.RANK_ERROR) & (F.col("up_to") >= 0.95 - SW.RANK_ERROR)
+    return report.join(ranked, "day").select("day", "n", "errors", r6("avg_latency_ms"), close.alias("p95_close"))
+
+
+def stream_late_rows(spark, d):
+    """The rows that came after their window had closed, by day."""
+    late = SW.late_rows(spark, _closed(spark, d))
+    return late.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("latency_ms"), 4).alias("latency_sum"))
+
+
+def stream_recent_drift(spark, d):
+    """Drift of the last 200 event hours of a stream in four files against the first half of the month."""
+    halves = table(spark, d, "events").filter(F.col("ts") < "2024-01-15").select("event_id", F.col("value").alias("v"), F.col("user_id").alias("u"))
+    reference = D.build_reference(halves, ["v", "u"], row_key=["event_id"])
+    out = scratch_path(spark, "recent-drift")
+    RC.start_recent_drift(M.stream_predictions(spark, _delayed_log(spark, d), max_files=1), reference, RC.Last(hours=200), f"{out}/ring", f"{out}/report",
+                          f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/report").select("feature", "n_current", r6("psi"), r6("ks_stat"), "status", r6("ref_mean"), r6("cur_mean"))
+
+
 def stream_uptime(spark, d):
     path, out = scratch_path(spark, "health-log"), scratch_path(spark, "stream-uptime")
     probes = _probes(spark, d).select(F.to_json(F.struct(
@@ -325,7 +434,7 @@ MODEL_QUERIES = {
     "class_report": class_report,
     "confusion": confusion,
     "roc_auc": roc_auc,
-    "roc_auc_bucketed": roc_auc_bucketed,
+    "roc_auc_bucketed": roc_auc,
     "roc_curve": roc_curve,
     "champion": champion,
     "metric_comparison": metric_comparison,
@@ -333,6 +442,9 @@ MODEL_QUERIES = {
     "nearest_neighbours_pivoted": nearest_neighbours_pivoted,
     "smote": smote,
     "edited_neighbours": edited_neighbours,
+    "edited_half_spaces": edited_half_spaces,
+    "nearest_of_twentieth": nearest_of_twentieth,
+    "neighbour_recall": neighbour_recall,
     "forest_metrics": forest_metrics,
     "svc_metrics": svc_metrics,
     "poly_roc": poly_roc,
@@ -341,10 +453,14 @@ MODEL_QUERIES = {
     "feature_elimination": feature_elimination,
     "input_validation": input_validation,
     "input_ranges": input_ranges,
+    "scored_rows": scored_rows,
     "batch_score": batch_score,
     "stream_totals": stream_totals,
     "stream_windows": stream_windows,
     "stream_windows_p95": stream_windows_p95,
+    "stream_closed_windows": stream_closed_windows,
+    "stream_late_rows": stream_late_rows,
+    "stream_recent_drift": stream_recent_drift,
     "stream_uptime": stream_uptime,
     "stream_http": stream_http,
     "stream_drift": stream_drift,

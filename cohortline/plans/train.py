@@ -4,7 +4,7 @@ pick the champion, persist everything a scorer needs."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,7 @@ class TrainConfig:
     seed: int = 42
     balance: bool = True
     probes: int | None = None
+    neighbour_search: Callable | None = None
     forest: dict = field(default_factory=dict)
     kernel_components: int = 256
     kernel_iterations: int = 50
@@ -66,7 +67,7 @@ def train(table: DataFrame, cfg: TrainConfig, out_dir: str) -> TrainResult:
     train_scaled, test_scaled, scaler = prep.scale_split(train_sel, test_sel, ["_row", cfg.label])
     vectors = _as_vectors(train_scaled, features, cfg.label)
     if cfg.balance:
-        vectors = B.balance(vectors, "_row", "vec", "label", cfg.seed, cfg.probes)
+        vectors = B.balance(vectors, "_row", "vec", "label", cfg.seed, cfg.probes, cfg.neighbour_search)
     balanced = cut_lineage(T.from_arrays(vectors, "vec", "label"))
     test = T.from_arrays(_as_vectors(test_scaled, features, cfg.label), "vec", "label")
     sizes = {name: df.count() for name, df in (("n_train", train_sel), ("n_test", test_sel), ("n_train_balanced", balanced))}

@@ -1,16 +1,12 @@
-"""Session defaults and the two helpers that look at the running cluster."""
+"""Session defaults, and what is stored in the cluster's shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Plans whose estimated size is at most this many bytes may take the
-#: single-pass form of an operator (one window, one in-memory quantile map).
-SMALL_PLAN_BYTES = 64 * 1024 * 1024
-
-
 def build_session(app_name: str = "cohortline", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume (UTC, AQE, no web page)."""
     builder = SparkSession.builder.appName(app_name)
@@ -28,15 +24,6 @@ def build_session(app_name: str = "cohortline", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan; unknown inputs count as huge."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def is_small(df: DataFrame, limit: int | None = None) -> bool:
-    return plan_bytes(df) <= (SMALL_PLAN_BYTES if limit is None else limit)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a private one only in local mode."""
     context = spark.sparkContext
@@ -57,6 +44,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the shared folder once and read it back: cut lineage of a known size."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pin_small(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     """A statistics table (one row per column, class or bucket) computed once and
     kept as a local relation, so that plans using it several times neither repeat

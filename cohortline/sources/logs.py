@@ -6,6 +6,8 @@ malformed and non-object lines are skipped. A missing log reads as empty.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,14 +88,14 @@ def health_events(lines: DataFrame) -> DataFrame:
     )
 
 
-def feature_values(events: DataFrame, features: list[str] | None = None) -> DataFrame:
+def feature_values(events: DataFrame, features: list[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Long form (feature, value) of the logged feature objects: numbers and
-    readable texts, without nulls and NaN."""
-    entries = events.filter(F.col("features").isNotNull()).select(F.explode(V.as_map(F.col("features"))).alias("feature", "v"))
+    readable texts, without nulls and NaN. ``keep`` columns stay before them."""
+    entries = events.filter(F.col("features").isNotNull()).select(*keep, F.explode(V.as_map(F.col("features"))).alias("feature", "v"))
     if features is not None:
         entries = entries.filter(F.col("feature").isin(*features))
     value = F.try_variant_get("v", "$", "double")
-    return entries.select("feature", value.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return entries.select(*keep, "feature", value.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def as_log_lines(df: DataFrame, feature_cols: list[str], prediction: Column, status: Column, latency_ms: Column,

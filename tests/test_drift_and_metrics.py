@@ -57,8 +57,7 @@ def test_psi_and_ks_match_brute_force(spark, seed):
     assert got["ks_stat"] == pytest.approx(ks_brute(ref, cur), abs=1e-12)
     assert got["ref_mean"] == pytest.approx(ref.mean()) and got["cur_mean"] == pytest.approx(cur.mean())
     frames = [values(spark, x=v) for v in (ref, cur)]
-    for small in (True, False):
-        assert D.ks_two_sample(*frames, small=small).first()["ks_stat"] == pytest.approx(ks_brute(ref, cur), abs=1e-12)
+    assert D.ks_two_sample(*frames).first()["ks_stat"] == pytest.approx(ks_brute(ref, cur), abs=1e-12)
 
 
 def test_few_distinct_values_use_even_edges(spark):
@@ -88,7 +87,7 @@ def test_bad_values_are_ignored_and_unknown_features_skipped(spark):
 def test_reference_shape_and_sample_stability(spark):
     df = spark.range(5000).withColumn("x", F.col("id") % 1000 * 1.0)
     a = D.build_reference(df, ["x"], ["id"]).first()
-    b = D.build_reference(df.repartition(9), ["x"], ["id"], small=False).first()
+    b = D.build_reference(df.repartition(9), ["x"], ["id"]).first()
     assert len(a["edges"]) == 11 and len(a["proportions"]) == 10 and sum(a["proportions"]) == pytest.approx(1.0) and len(a["sample"]) == 2000
     assert a["sample"] == b["sample"] and a["edges"] == pytest.approx(b["edges"])
     assert a["std"] == pytest.approx(np.std(np.arange(5000) % 1000, ddof=1))
@@ -179,10 +178,8 @@ def test_odd_log_lines(spark, tmp_path):
 
 def test_percentiles(spark):
     events = spark.range(41).select((F.pmod(F.col("id") * 17, F.lit(41)) * 2.5).alias("latency_ms"))  # 0 to 100 in steps of 2.5
-    for small in (True, False):
-        row = O.latency_percentiles(events, small=small).first()
-        assert tuple(row) == (50.0, 95.0, 99.0)
-        assert tuple(O.latency_percentiles(events.filter("latency_ms < 0"), small=small).first()) == (0.0, 0.0, 0.0)
+    assert tuple(O.latency_percentiles(events).first()) == (50.0, 95.0, 99.0)
+    assert tuple(O.latency_percentiles(events.filter("latency_ms < 0")).first()) == (0.0, 0.0, 0.0)
     assert O.latency_percentiles(events, approximate=True).first()[1] >= 92.5
 
 

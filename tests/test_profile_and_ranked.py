@@ -93,28 +93,47 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(5)
 
 
-@pytest.mark.parametrize("buckets", [4, 64, 1024])
-def test_exact_quantiles_bucketed(skewed, buckets):
+@pytest.fixture(params=["one range", "many ranges"])
+def ranges(request, spark):
+    """Ranges as the session cuts them, and so many that groups and values span several."""
+    if request.param == "many ranges":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_exact_quantiles(skewed, ranges):
     pdf, df = skewed
     probs = [0.0, 0.1, 0.25, 0.333, 0.5, 0.95, 0.99, 1.0]
-    for small in (True, False):
-        got = {r["g"]: r for r in R.exact_quantiles(df, "g", "v", probs, buckets=buckets, small=small).collect()}
-        for g, part in pdf.groupby("g"):
-            assert got[g]["n"] == len(part)
-            assert got[g]["quantiles"] == pytest.approx(list(np.quantile(part["v"], probs)), rel=1e-12)
+    got = {r["g"]: r for r in R.exact_quantiles(df, "g", "v", probs).collect()}
+    for g, part in pdf.groupby("g"):
+        assert got[g]["n"] == len(part)
+        assert got[g]["quantiles"] == pytest.approx(list(np.quantile(part["v"], probs)), rel=1e-12)
+    assert R.exact_quantiles(df.filter("v < 0"), "g", "v", probs).collect() == []
+    nulls = df.withColumn("v", F.when(F.col("g") != "one", F.col("v")))
+    assert {r["g"] for r in R.exact_quantiles(nulls, "g", "v", probs).collect()} == {"big", "small"}
 
 
 @pytest.mark.parametrize("ascending", [True, False])
-def test_running_sums_bucketed(skewed, ascending):
+def test_running_sums(skewed, ranges, ascending):
     pdf, df = skewed
     ones = df.withColumn("n", F.lit(1)).withColumn("w", F.col("v") * 2)
-    for small in (True, False):
-        rows = R.running_sums(ones, ["g"], "v", ["n", "w"], ascending, buckets=16, small=small).toPandas()
-        for g, part in rows.groupby("g"):
-            want = pdf[pdf["g"] == g].groupby("v")["v"].agg(["count", "sum"]).sort_index(ascending=ascending)
-            part = part.sort_values("v", ascending=ascending)
-            assert list(part["n_cum"]) == list(want["count"].cumsum())
-            assert list(part["w_cum"]) == pytest.approx(list(2 * want["sum"].cumsum()))
+    rows = R.running_sums(ones, ["g"], "v", ["n", "w"], ascending).toPandas()
+    for g, part in rows.groupby("g"):
+        want = pdf[pdf["g"] == g].groupby("v")["v"].agg(["count", "sum"]).sort_index(ascending=ascending)
+        part = part.sort_values("v", ascending=ascending)
+        assert list(part["n_cum"]) == list(want["count"].cumsum())
+        assert list(part["w_cum"]) == pytest.approx(list(2 * want["sum"].cumsum()))
+    two = R.running_sums(ones.withColumn("h", F.when(F.col("v") > 5, "high")), ["g", "h"], "v", ["n"], ascending)
+    last = {(r["g"], r["h"]): r["m"] for r in two.groupBy("g", "h").agg(F.max("n_cum").alias("m")).collect()}
+    want = pdf.assign(h=np.where(pdf["v"] > 5, "high", "low")).groupby(["g", "h"]).size()
+    assert last == {(g, None if h == "low" else h): int(n) for (g, h), n in want.items()}
+    whole = R.running_sums(ones, [], "v", ["n"], ascending).agg(F.max("n_cum")).first()[0]
+    assert whole == len(pdf)
 
 
 def test_dense_index_is_contiguous_and_stable(spark):
