@@ -1,7 +1,7 @@
 """Order statistics that stay distributed: running sums, exact quantiles, dense
 indexes, bottom-k samples, last-n and first-of-key.
 
-Running sums and quantiles take one way at any size: equal values of a group are
+Both running sums and quantiles take one way at any size. For running sums, equal values of a group are
 added up first, so that the rest are distinct and spread over ranges of (group,
 value), however often one value occurs. Each range sums up its rows in order
 where it is sorted; the totals of the ranges before it are added afterwards.
@@ -24,9 +24,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from cohortline.functions.numeric import with_count_at_most
 from cohortline.session import pin_small, store
 
 MAX_GROUPS = 2000
+#: Accuracy of the sketch that brackets quantiles (its ranks are off by one part in so many), and how far the
+#: brackets reach to both sides.
+SKETCH_ACCURACY = 10_000
+BRACKET = 2 / SKETCH_ACCURACY
 
 
 def _opens(batch: pa.RecordBatch, last: pa.RecordBatch | None, groups: Sequence[str]) -> np.ndarray:
@@ -104,23 +109,48 @@ def running_sums(df: DataFrame, groups: Sequence[str], order_col: str, measures:
 
 def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float]) -> DataFrame:
     """(group, n, quantiles): linearly interpolated quantiles of the non-null values, as an
-    array in the order of ``probs``."""
+    array in the order of ``probs``.
+
+    A sketch brackets each quantile, and one more pass counts what lies between the brackets and
+    every value within them, some ten thousandths of a group's rows each. The sketch decides
+    how few these are, never the result: a rank just outside a bracket is the least or the
+    greatest value beyond it."""
     probs = [float(p) for p in probs]
-    present = df.filter(F.col(value).isNotNull()).select(F.col(group), F.col(value).cast("double").alias(value), F.lit(1).cast("bigint").alias("_n"))
-    running = running_sums(present, [group], value, ["_n"])
-    at = F.array(*[F.lit(p) * (F.col("n") - 1) for p in probs])
-    sizes = pin_small(running.groupBy(group).agg(F.max("_n_cum").alias("n")).select(group, "n", at.alias("_ats")), MAX_GROUPS)
-    low, high = F.col("_n_cum") - F.col("_n"), F.col("_n_cum")
-
-    def holds(at: Column) -> Column:
-        """Whether a row has one of the two ranks around an interpolation point."""
-        return (F.floor(at) >= low) & (F.floor(at) < high) | (F.ceil(at) >= low) & (F.ceil(at) < high)
-
-    joined = running.join(sizes, group).filter(reduce(or_, [holds(F.get("_ats", F.lit(i))) for i in range(len(probs))]))
-    held = joined.select(group, "n", value, "_n", "_n_cum", F.posexplode("_ats").alias("_i", "_at")).filter(holds(F.col("_at")))
-    point = held.groupBy(group, "n", "_i", "_at").agg(F.min(value).alias("_v0"), F.max(value).alias("_v1"))
-    point = point.withColumn("_q", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.floor("_at")))
-    return point.groupBy(group, "n").agg(
+    around = [min(1.0, max(0.0, p + side * BRACKET)) for p in probs for side in (-1, 1)]
+    present = df.filter(F.col(value).isNotNull()).select(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
+    bounds = F.percentile_approx("_v", F.array(*[F.lit(p) for p in around]), SKETCH_ACCURACY)
+    sketch = present.groupBy("_g").agg(F.count(F.lit(1)).alias("_size"), bounds.alias("_bounds"))
+    low_of, high_of = F.slice("_points", 1, F.size("_points") - 1), F.slice("_points", 2, F.size("_points") - 1)
+
+    def bracketed(low: Column, high: Column) -> Column:
+        return reduce(or_, [(F.get("_bounds", F.lit(2 * i)) <= low) & (high <= F.get("_bounds", F.lit(2 * i + 1))) for i in range(len(probs))])
+
+    stats = pin_small(sketch.withColumn("_points", F.array_sort(F.array_distinct("_bounds"))).withColumn("_inside", F.zip_with(low_of, high_of, bracketed)), MAX_GROUPS)
+    # groups join by null-safe equality, so that rows without one form a group of their own
+    marked = stats.select(F.col("_g").alias("_of"), "_points", "_inside")
+    joined = with_count_at_most(present.join(marked, F.col("_g").eqNullSafe(F.col("_of"))), "_v", "_points", 2 * len(probs), "_place")
+    on_point = F.coalesce(F.get("_points", F.col("_place") - 1) == F.col("_v"), F.lit(False))
+    kept = F.when(on_point | F.coalesce(F.get("_inside", F.col("_place") - 1), F.lit(False)), F.col("_v"))
+    counted = pin_small(joined.groupBy("_g", "_place", (~on_point).alias("_open"), kept.alias("_at")).agg(
+        F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high")), 200_000)
+    in_cell = W.partitionBy("_g", "_place", "_open").orderBy("_at")
+    cells = counted.groupBy("_g", "_place", "_open").agg(F.sum("_c").alias("_c"))
+    before = W.partitionBy("_g").orderBy("_place", "_open").rowsBetween(W.unboundedPreceding, -1)
+    offsets = cells.select(F.col("_g").alias("_h"), F.col("_place").alias("_p"), F.col("_open").alias("_o"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_base"))
+    placed = counted.withColumn("_sum", F.sum("_c").over(in_cell)).join(
+        offsets, F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_place") == F.col("_p")) & (F.col("_open") == F.col("_o")))
+    spans = placed.select("_g", (F.col("_base") + F.col("_sum") - F.col("_c")).alias("_from"), (F.col("_base") + F.col("_sum")).alias("_to"), "_low", "_high")
+    wanted = F.posexplode(F.array(*[F.lit(p) * (F.col("_size") - 1) for p in probs])).alias("_i", "_rank")
+    points = stats.select(F.col("_g").alias("_w"), F.col("_size").alias("n"), wanted)
+
+    def value_at(rank: Column) -> Column:
+        here = (F.col("_from") <= rank) & (rank < F.col("_to"))
+        return F.max(F.when(here & (rank == F.col("_from")), F.col("_low")).when(here & ((rank == F.col("_to") - 1) | (F.col("_low") == F.col("_high"))), F.col("_high")))
+
+    found = spans.join(points, F.col("_g").eqNullSafe(F.col("_w")) & (F.col("_from") <= F.ceil("_rank")) & (F.floor("_rank") < F.col("_to"))).groupBy(
+        "_g", "n", "_i", "_rank").agg(value_at(F.floor("_rank")).alias("_v0"), value_at(F.ceil("_rank")).alias("_v1"))
+    point = found.withColumn("_q", F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_rank") - F.floor("_rank")))
+    return point.groupBy(F.col("_g").alias(group), "n").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))), lambda s: s["_q"]).alias("quantiles"))
 
 
