@@ -4,9 +4,11 @@ Each element's density is its characters per tag, lowered where characters and t
 An element's density sum adds the densities of the blocks in it; the element with the largest sum is the
 content, together with elements beside it that are as dense as the least dense element on the path
 from it to the body and have dense children of their own. Elements that are never article text
-(navigation, footers, asides, scripts, styles) are cut before anything is counted. Forms, page headers,
-hidden elements and those whose class, id or role names a menu, sidebar, notice, advert or comments are
-read and measured first: none that holds the article or most of the text is cut.
+(navigation, footers, asides, scripts, styles) are cut before anything is counted. So are hidden elements
+and those that a whole class, id or role names as a menu, sidebar, notice, advert or comments, unless
+they hold the article or all the text there is; a name in which such a word stands beside words of its
+own (``related-work``, ``search-trees``) says nothing, and headings are never marked. Forms and page
+headers are judged by the text they hold.
 """
 
 from __future__ import annotations
@@ -45,12 +47,16 @@ NOISE_WORDS = frozenset(
 
 TOKEN = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+[^>]*)(?:>|$)", re.S)
+#: Words that may stand beside such a mark without naming anything of their own.
+PLAIN_WORDS = frozenset(
+    "area bar block body bottom box btn button buttons col column container content div element entry field form global group head "
+    "holder icon icons id inner item items layer left level link links list main mobile module outer page panel post primary "
+    "region right row secondary section site small sticky sub text title top wrap wrapper x".split())
 #: Parts of a class that names a layout instead, such as ``no-sidebar`` or ``content-with-nav``.
 STATES = frozenset("no not non without with has hide show is".split())
-#: An article of this share of the page's text is taken for the page's content, however long the marked elements beside it.
-ARTICLE_SHARE = 0.1
-#: Marks of elements that are judged by the text they hold, and of hidden ones.
-MARKED, UNSEEN = 1, 2
+#: Marks of elements that are judged by the text they hold, of hidden ones, and of those that say what they are.
+MARKED, UNSEEN, NAMED = 1, 2, 3
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NONE_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 SPACES = re.compile(r"\s+")
@@ -76,7 +82,7 @@ def _in_article(node: Element | None) -> bool:
 def _mark(tag: str, attributes: str, inside: Element) -> int:
     """How the tag and its attributes mark an element; 0 if they do not."""
     mark = MARKED if tag == "form" or (tag == "header" and not _in_article(inside)) else 0
-    if not attributes or tag in ("html", "body", "article", "main"):
+    if not attributes or tag in ("html", "body", "article", "main") or tag in HEADINGS:
         return mark
     for match in ATTRIBUTE.finditer(attributes):
         name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
@@ -85,13 +91,13 @@ def _mark(tag: str, attributes: str, inside: Element) -> int:
         if name not in ("class", "id", "role"):
             continue
         for word in value.lower().split():
-            parts = PARTS.split(word)
-            found = NOISE_WORDS.intersection(parts)
+            parts = {part for part in PARTS.split(word) if part and not part.isdigit()}
+            found = NOISE_WORDS & parts
             # an article's own header holds its title
             if not found or (found <= {"header", "masthead"} and _in_article(inside)):
                 continue
-            if not STATES.intersection(parts):
-                mark = MARKED
+            if parts <= NOISE_WORDS | PLAIN_WORDS:
+                mark = NAMED
     return mark
 
 
@@ -166,7 +172,7 @@ def cut_marked(root: Element) -> None:
             outside += sum(len(SPACES.sub("", c)) for c in node.children if isinstance(c, str))
     articles = [e for e in order if e.tag in ("article", "main")]
     article = max((e for e in articles if not within[id(e)]), key=lambda e: sizes[id(e)], default=None)
-    if article is None or sizes[id(article)] < ARTICLE_SHARE * body:
+    if article is None:
         # it may stand in a marked wrapper
         held = max(articles, key=lambda e: sizes[id(e)], default=None)
         article = held if held is not None and sizes[id(held)] > outside else None
@@ -179,6 +185,10 @@ def cut_marked(root: Element) -> None:
         if node.noise or not node.mark or id(node) in around:
             continue
         size = sizes[id(node)]
+        if node.mark == NAMED:
+            # what it is called is what it is, unless there is no other text
+            node.noise = size < (sizes[id(article)] if id(node) in inside else body) or (article is not None and id(node) not in inside)
+            continue
         # what most of the text stands in is no menu or notice, unless it consists of links
         whole = body if article is None else sizes[id(article)] if id(node) in inside else None
         if node.mark == UNSEEN or whole is None or 2 * size <= whole or 2 * links[id(node)] > size:
