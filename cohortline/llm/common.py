@@ -6,12 +6,12 @@ import os
 import sys
 import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.session import ensure_checkpoint_dir
@@ -82,3 +82,9 @@ def sum_arrays(partials: DataFrame, parts: int, dtype: str, fan_in: int = 64) ->
     for row in partials.toLocalIterator():
         total = np.frombuffer(row["data"], dtype) if total is None else total + np.frombuffer(row["data"], dtype)
     return total
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once: the optimizer moves a column's expression into a lambda
+    that refers to it, where it would be computed for every element."""
+    return F.transform(F.array(value), body)[0]

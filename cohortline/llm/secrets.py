@@ -11,12 +11,15 @@ alternate, so lengths add up to offsets. They count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortline.llm.common import let
+
 # The patterns of the base rules and their least lengths.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -44,16 +47,25 @@ def _matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, hit) of the leftmost non-overlapping matches."""
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
     empty = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-    found = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda acc, s: F.struct(
-            (acc["at"] + s["gap"] + F.length(s["hit"])).alias("at"),
-            F.concat(acc["found"], F.array(F.struct(
-                (acc["at"] + s["gap"]).alias("start"), (acc["at"] + s["gap"] + F.length(s["hit"])).alias("end"),
-                s["hit"].alias("hit")))).alias("found")))["found"]
-    return F.when(F.size(hits) > 0, found).otherwise(empty)
+
+    def placed(hits: Column) -> Column:
+        widths = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda gap, hit: F.length(gap) + F.length(hit))
+        return F.zip_with(scan(widths, lambda a, b: a + b), hits, lambda end, hit: F.struct(
+            (end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("hit")))
+
+    return let(hits, lambda found: F.when(F.size(found) > 0, placed(found)).otherwise(empty))
+
+
+def scan(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running result of an associative ``join`` over an array, by doubling: after step i each place has joined the
+    2 ** (i + 1) values up to it, so n values take n log n operations."""
+    def step(joined: Column, i: Column) -> Column:
+        back = F.call_function("shiftleft", F.lit(1), i)
+        return F.transform(joined, lambda x, at: F.when(at >= back, join(F.get(joined, at - back), x)).otherwise(x))
+
+    return let(values, lambda a: F.when(F.size(a) > 1, F.aggregate(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.size(a).cast("double"))).cast("int") - 1), a, step)).otherwise(a))
 
 
 def _spans(kind: str, matches: Column) -> Column:
@@ -128,16 +140,35 @@ def find_secrets(docs: DataFrame, model: RandomnessModel, id_column: str = "doc_
     """doc_id, base and spans: arrays of (start, rank, end, kind, hit), by start, then kind.
 
     ``spans`` holds the base spans and those runs the models call random that overlap none of
-    them. Null and empty texts have none; repeated rows are searched each; an empty table gives no
+    them. Null and empty texts have none, long ones take n log n steps for n matches; repeated rows are searched each; an empty table gives no
     rows; other columns are ignored."""
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", "text", base_spans(F.col("text")).alias("base"))
-    runs = F.filter(_matches(F.col("text"), RUN), lambda m: (randomness(m["hit"], model) >= min_ratio) & ~F.exists(
-        "base", lambda s: (s["start"] < m["end"]) & (m["start"] < s["end"])))
-    added = F.when(F.rlike("text", F.lit(RUN)), _spans("markov", runs)).otherwise(F.array().cast(NO_SPANS))
+    runs = let(_matches(F.col("text"), RUN), lambda found: F.when(F.size("base") > 0, _apart(found, F.col("base"))).otherwise(found))
+    likely = F.filter(runs, lambda m: randomness(m["hit"], model) >= min_ratio)
+    added = F.when(F.rlike("text", F.lit(RUN)), _spans("markov", likely)).otherwise(F.array().cast(NO_SPANS))
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span. Both are laid out by their starts; a run overlaps one if a span that begins
+    up to its start ends behind it, or one that begins later begins before its end."""
+    far = F.lit(2 ** 31 - 1)
+    laid = F.array_sort(F.concat(
+        F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("is_run"), s["end"].alias("end"), F.lit("").alias("hit"))),
+        F.transform(runs, lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("is_run"), m["end"].alias("end"), m["hit"].alias("hit")))))
+
+    def free(all_spans: Column) -> Column:
+        ends = scan(F.transform(all_spans, lambda s: F.when(s["is_run"] == 0, s["end"]).otherwise(F.lit(0))), F.greatest)
+        starts = F.reverse(scan(F.reverse(F.transform(all_spans, lambda s: F.when(s["is_run"] == 0, s["start"]).otherwise(far))), F.least))
+        marked = F.zip_with(all_spans, F.arrays_zip(ends.alias("e"), starts.alias("s")), lambda s, b: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), s["hit"].alias("hit"),
+            ((s["is_run"] == 1) & (b["e"] <= s["start"]) & (b["s"] >= s["end"])).alias("free")))
+        return F.transform(F.filter(marked, lambda s: s["free"]), lambda s: F.struct(s["start"], s["end"], s["hit"]))
+
+    return let(laid, free)
+
+
 def span_list(spans: Column) -> Column:
     """``kind:start:end`` joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
