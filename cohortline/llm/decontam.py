@@ -17,14 +17,13 @@ shuffled rows; the join on the hashes decides, whatever the size of the benchmar
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 from functools import lru_cache
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortline.llm.common import store
+from cohortline.llm.common import let, store
 
 #: Families of masks (1: the word counts), the heaviest first. All start with two counted words, which the first bitmap tests.
 FAMILIES = (
@@ -37,8 +36,11 @@ FAMILIES = (
 MAX_PLACEMENTS = 20_000
 WINDOW = 20
 MIN_PERCENT = 75
-#: Largest bitmap: 2 ** 18 bits, 32 KiB. Fewer where the benchmark is small.
-MAX_BITMAP_BITS = 18
+#: Largest bitmap: 2 ** 22 bits, 512 KiB. Fewer where the benchmark is small; a larger one fills it more, which
+#: costs shuffled rows only.
+MAX_BITMAP_BITS = 22
+#: Alignments are verified by stretches of a document in which so many of them begin.
+STRETCH = 1024
 
 
 def hits_all(masks: tuple[str, ...], length: int, misses: int) -> bool:
@@ -64,12 +66,6 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, computed once: the optimizer moves a column's expression into a lambda
-    that refers to it, where it would be computed for every element."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _pair(hashes: Column, i: Column) -> Column:
     return F.xxhash64(hashes[i], hashes[i + 1])
 
@@ -160,20 +156,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     alignments = store(
         windows.join(seeds, "key").select("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")).distinct(), "alignments")
 
-    aligned = (
-        texts.join(alignments, "doc_id").join(items.select("item_id", "item_words", "window_words"), "item_id")
-        .select("doc_id", "item_id", "window_words", let(
-            words_of(F.col("text")), lambda words: F.transform("item_words", lambda w, i: F.coalesce(
-                (F.get(words, i + F.col("shift")) == w).cast("int"), F.lit(0)))).alias("same"), "shift"))
-
-    def best_stretch(same: Column) -> Column:
+    # a document's words are split once and only the stretches that alignments fall on are kept
+    longest = items.agg(F.coalesce(F.max(F.size("item_words")), F.lit(0))).first()[0]
+    grouped = store(alignments.groupBy("doc_id", "item_id", F.floor(F.col("shift") / STRETCH).cast("int").alias("stretch")).agg(
+        F.collect_set("shift").alias("shifts")), "grouped")  # at most STRETCH of them
+    wanted = grouped.groupBy("doc_id").agg(F.collect_set("stretch").alias("wanted"))
+    stretches = texts.join(wanted, "doc_id").select("doc_id", F.explode(let(
+        words_of(F.col("text")), lambda words: F.transform("wanted", lambda c: F.struct(
+            c.alias("stretch"), F.greatest(c * STRETCH, F.lit(0)).alias("base"),
+            F.slice(words, F.greatest(c * STRETCH, F.lit(0)) + 1, STRETCH + longest).alias("words"))))).alias("s"))
+    aligned = stretches.select("doc_id", "s.*").join(grouped, ["doc_id", "stretch"]).join(
+        items.select("item_id", "item_words", "window_words"), "item_id")
+
+    def same_at(shift: Column) -> Column:
+        return F.transform("item_words", lambda w, i: F.coalesce((F.get("words", i + shift - F.col("base")) == w).cast("int"), F.lit(0)))
+
+    def best_stretch(same: Column, shift: Column) -> Column:
         return F.array_max(F.transform(
             F.sequence(F.lit(0), F.size(same) - F.col("window_words")),
             lambda s: F.struct(
                 F.aggregate(F.slice(same, s + 1, F.col("window_words")), F.lit(0), lambda total, x: total + x).alias("matched"),
-                (-(s + F.col("shift"))).alias("minus_start"))))
+                (-(s + shift)).alias("minus_start"))))
 
-    best = aligned.select("doc_id", "item_id", "window_words", let(F.col("same"), best_stretch).alias("best"))
+    best = aligned.select("doc_id", "item_id", "window_words", F.array_max(F.transform(
+        "shifts", lambda shift: let(same_at(shift), lambda same: best_stretch(same, shift)))).alias("best"))
     best = best.groupBy("doc_id", "item_id", "window_words").agg(F.max("best").alias("best"))
     # items that share an id count as one: the stretch with the largest share, then the longest
     verified = best.where(F.col("best.matched") * 100 >= F.col("window_words") * min_percent).groupBy("doc_id", "item_id").agg(F.max(F.struct(

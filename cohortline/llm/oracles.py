@@ -28,7 +28,11 @@ ORACLES = {
         items AS (SELECT item_id, {_LETTERS} AS w FROM benchmark),
         doc_at AS (SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs)),
         item_at AS (SELECT item_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT item_id, w, unnest(range(1, len(w) - 1)) AS i FROM items WHERE len(w) >= 11)),
-        shifts AS (SELECT DISTINCT d.doc_id, t.item_id, d.i - t.i AS shift FROM doc_at d JOIN item_at t USING (a, b, c)),
+        doc_word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS a FROM docs),
+        short_at AS (SELECT item_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS a FROM items WHERE len(w) < 11),
+        shifts AS (
+            SELECT DISTINCT d.doc_id, t.item_id, d.i - t.i AS shift FROM doc_at d JOIN item_at t USING (a, b, c)
+            UNION SELECT d.doc_id, t.item_id, d.i - t.i FROM doc_word d JOIN short_at t USING (a)),
         same AS (
             SELECT doc_id, item_id, shift, k, len(iw) AS n, least(len(iw), 20) AS size,
                 (k + shift BETWEEN 1 AND len(dw) AND dw[greatest(k + shift, 1)] = iw[k])::INT AS hit
