@@ -14,7 +14,7 @@ import heapq
 import re
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortline.llm.common import worker_state
+from cohortline.llm.tokens import LATIN
 
 #: Widths of the matrices; cells of one matrix at most.
 WIDTHS = (2, 3, 4, 5, 6, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
@@ -97,9 +98,9 @@ class PairTable:
         return out
 
 
-def merge_rows(tokens: np.ndarray, table: PairTable) -> list[np.ndarray]:
-    """Ids of each row of a matrix of byte ids, padded with ``NONE``."""
-    out: list = [None] * len(tokens)
+def merge_rows(tokens: np.ndarray, table: PairTable) -> np.ndarray:
+    """The matrix of byte ids, padded with ``NONE``, becomes one of token ids."""
+    out = np.full(tokens.shape, NONE)
     rows = np.arange(len(tokens))
     ranks = table.ranks(tokens[:, :-1], tokens[:, 1:])
     while len(rows):
@@ -107,8 +108,7 @@ def merge_rows(tokens: np.ndarray, table: PairTable) -> list[np.ndarray]:
         rank = ranks[np.arange(len(rows)), least] if ranks.shape[1] else np.full(len(rows), NONE)
         going = rank != NONE
         if not going.all():
-            for i in np.flatnonzero(~going):
-                out[rows[i]] = tokens[i][tokens[i] != NONE]
+            out[rows[~going], :tokens.shape[1]] = tokens[~going]
             rows, tokens, ranks, least, rank = rows[going], tokens[going], ranks[going], least[going], rank[going]
             if not len(rows):
                 break
@@ -184,8 +184,8 @@ class Encoder:
     """Ids of texts; keeps those of units and pre-tokens it has met.
 
     With ``cut_at_spaces`` texts are first cut into units before each single space or line break that
-    stands between two other characters, for patterns that always start a pre-token there; the pattern
-    then runs over units not met yet."""
+    stands between two other characters, for patterns that always start a pre-token there and keep
+    Latin letters together; the pattern then runs over units not met yet."""
 
     def __init__(self, table: PairTable, pattern: str, cut_at_spaces: bool = False):
         self.table, self.pattern, self.cut_at_spaces = table, regex.compile(pattern), cut_at_spaces
@@ -193,49 +193,51 @@ class Encoder:
         self.units: dict[str, bytes] = {}
         self.double = re.compile(r"\s\s")
         self.cuts = re.compile(r"(?<=\S)(?=[ \n]\S)")
+        self.latin = re.compile(f" ?[{LATIN}]+").fullmatch
 
-    def merge(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+    def merge(self, pieces: Iterable[str]) -> Iterator[tuple[str, bytes]]:
         """(piece, ids as little-endian unsigned 32-bit integers), in any order."""
-        by_width: dict[int, list[tuple[str, bytes]]] = {}
-        for piece in pieces:
-            data = piece.encode("utf-8")
-            width = next((w for w in WIDTHS if len(data) <= w), len(data))
-            by_width.setdefault(width, []).append((piece, data))
-        for width, group in by_width.items():
-            if width > WIDTHS[-1]:
-                for piece, data in group:
-                    yield piece, merge_long(self.table.byte_ids[np.frombuffer(data, np.uint8)], self.table).astype("<u4").tobytes()
-                continue
-            height = max(1, MAX_CELLS // width)
-            for start in range(0, len(group), height):
-                part = group[start:start + height]
-                padded = np.frombuffer(b"".join([data.ljust(width, b"\0") for _, data in part]), np.uint8).reshape(len(part), width)
-                sizes = np.array([len(data) for _, data in part])
-                tokens = np.where(np.arange(width)[None, :] < sizes[:, None], self.table.byte_ids[padded], NONE)
-                for (piece, _), ids in zip(part, merge_rows(tokens, self.table)):
-                    yield piece, ids.astype("<u4").tobytes()
-
-    def learn(self, units: set[str]) -> list[str]:
-        """Ids of all units not known yet; returns those that are too long to be kept."""
-        found = {unit: self.pattern.findall(unit) for unit in units if unit not in self.units}
-        with self.known_pieces(set().union(*found.values())) as ids_of:
-            for unit, pieces in found.items():
-                self.units[unit] = b"".join(map(ids_of, pieces))
-        return [unit for unit in found if len(unit) > MAX_CACHED_CHARS]
+        pieces = list(pieces)
+        encoded = [piece.encode("utf-8") for piece in pieces]
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        data = np.frombuffer(b"".join(encoded), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        least = 0
+        for width in WIDTHS:
+            of_width = np.flatnonzero((least < sizes) & (sizes <= width))
+            least, height = width, MAX_CELLS // width
+            for part in (of_width[at:at + height] for at in range(0, len(of_width), height)):
+                inside = np.arange(width)[None, :] < sizes[part, None]
+                places = np.where(inside, starts[part, None] + np.arange(width)[None, :], 0)
+                ids = merge_rows(np.where(inside, self.table.byte_ids[data[places]], NONE), self.table)
+                real = ids != NONE
+                ends = (4 * np.cumsum(real.sum(axis=1))).tolist()
+                flat = ids[real].astype("<u4").tobytes()
+                yield from zip([pieces[i] for i in part], [flat[a:b] for a, b in zip([0, *ends], ends)])
+        for i in np.flatnonzero(sizes > least):
+            tokens = self.table.byte_ids[data[starts[i]:starts[i] + sizes[i]]]
+            yield pieces[i], merge_long(tokens, self.table).astype("<u4").tobytes()
 
     @contextmanager
-    def known_pieces(self, wanted: set[str]) -> Iterator[Callable[[str], bytes]]:
-        """Ids of the wanted pre-tokens; those that are too long to be kept are forgotten afterwards."""
-        self.pieces.update(self.merge([p for p in wanted if p not in self.pieces]))
-        yield self.pieces.__getitem__
-        for piece in wanted:
-            if len(piece) > MAX_CACHED_CHARS:
-                del self.pieces[piece]
-
-    def make_room(self) -> None:
-        for cache in (self.units, self.pieces):
-            if len(cache) > MAX_CACHED:
-                cache.clear()
+    def ids_of(self, cache: dict[str, bytes], wanted: set[str], encode: Callable) -> Iterator[Callable[[str], bytes]]:
+        """Ids of the wanted texts, from the cache or from ``encode``. What comes early comes often, so a full
+        cache stays as it is, and what does not belong there is forgotten afterwards."""
+        missing, room = wanted.difference(cache), MAX_CACHED - len(cache)
+        cache.update(encode(missing))
+        yield cache.__getitem__
+        for text in missing:
+            room -= 1
+            if room < 0 or len(text) > MAX_CACHED_CHARS:
+                del cache[text]
+
+    def split(self, units: set[str]) -> Iterator[tuple[str, bytes]]:
+        """(unit, ids) of units not met yet."""
+        whole = set(filter(self.latin, units)) if self.cut_at_spaces else set()
+        mixed = units - whole
+        found = list(map(self.pattern.findall, mixed))
+        with self.ids_of(self.pieces, whole.union(*found), self.merge) as ids_of:
+            yield from zip(whole, map(ids_of, whole))
+            yield from zip(mixed, [b"".join(map(ids_of, pieces)) for pieces in found])
 
     def cut(self, text: str) -> list[str]:
         if not self.cut_at_spaces:
@@ -244,21 +246,16 @@ class Encoder:
             return self.cuts.split(text)
         return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0") if "\0" not in text else self.cuts.split(text)
 
-    def encode_group(self, texts: list[str]) -> Iterator[bytes]:
-        self.make_room()
+    def encode_group(self, texts: list[str]) -> list[bytes]:
         cut = [self.cut(text) for text in texts]
-        passing = self.learn(set().union(*cut))
-        for units in cut:
-            yield b"".join(map(self.units.__getitem__, units))
-        for unit in passing:
-            del self.units[unit]
+        with self.ids_of(self.units, set(chain.from_iterable(cut)), self.split) as ids_of:
+            return [b"".join(map(ids_of, units)) for units in cut]
 
     def encode_long(self, text: str) -> bytes:
         """A text of any length, some pre-tokens at a time."""
         found, out = self.pattern.finditer(text), []
         while pieces := [m[0] for m in islice(found, GROUP_CHARS // 4)]:
-            self.make_room()
-            with self.known_pieces(set(pieces)) as ids_of:
+            with self.ids_of(self.pieces, set(pieces), self.merge) as ids_of:
                 out.append(b"".join(map(ids_of, pieces)))
         return b"".join(out)
 
@@ -297,7 +294,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, cut_at_spaces
             encoder = Encoder(PairTable(*parts), pattern, cut_at_spaces)
             state.update(key=key, encoder=encoder)
         for batch in batches:
-            found = list(encoder.encode_all(batch.column(1).to_pylist()))
+            found = list(encoder.encode_all(text.as_py() for text in batch.column(1)))
             ends = np.cumsum([0, *[len(ids) // 4 for ids in found]], dtype=np.int32)
             ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), "<i4"))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
@@ -309,12 +306,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, cut_at_spaces
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """``encoded`` (doc_id, ids) with ``decoded``, the bytes of the ids; a null list has none. An id that is no
     rank raises."""
-    spark = encoded.sparkSession
-    order = sorted(ranks.items(), key=lambda pair: pair[1])
-    shared = spark.sparkContext.broadcast(([token for token, _ in order], [rank for _, rank in order]))  # the vocabulary
+    tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    shared = encoded.sparkSession.sparkContext.broadcast(tokens)  # the vocabulary
 
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_of = dict(zip(shared.value[1], shared.value[0])).__getitem__
+        token_of = shared.value.__getitem__
         for batch in batches:
             column = batch.column(1)
             sizes = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])

@@ -337,10 +337,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     Two documents are linked when ``100 * |intersection| >= percent * |union|`` of their shingle
     sets; a component is everything reachable over links and carries its smallest id, whose
-    document is kept. Null, empty and blank texts have no shingles and are linked with nothing.
+    document is kept. Bands and sketches are laid out for ``PERCENT`` and more; a lower ``percent`` raises. Null, empty and blank texts have no shingles and are linked with nothing.
     Rows with one id are one document, linked by any of its texts; a row without id stays alone
     with a null component and is kept. An empty table gives no rows; other columns are ignored.
     """
+    if percent < PERCENT:
+        raise ValueError(f"{percent} % is less than the bands are laid out for ({PERCENT} %)")
     picked = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     signed = store(signatures(picked), "signatures")
     usable = signed.where("n_shingles > 0 and doc_id is not null")

@@ -177,10 +177,11 @@ def train(docs: DataFrame, labels: DataFrame, label_column: str, id_column: str
 def score(docs: DataFrame, model: NeighbourModel, id_column: str = "doc_id", text_column: str = "text", predict_at: float = PREDICT_AT) -> DataFrame:
     """doc_id, score and predicted of every row. Null and empty texts are scored by their traits alone;
     repeated rows are scored each; an empty table gives no rows; other columns are ignored."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast object of our own class would need the package on every executor
+    shared = docs.sparkSession.sparkContext.broadcast((model.idf, model.projection, model.vectors, model.labels, model.weights, model.prior))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = NeighbourModel(*shared.value)
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for at in range(0, batch.num_rows, BLOCK):

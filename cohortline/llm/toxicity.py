@@ -189,11 +189,12 @@ def grade(docs: DataFrame, model: OrdinalModel, id_column: str = "doc_id", text_
 
     Null, empty and wordless texts get the model's answer for no words. Repeated rows are scored
     each, an empty table gives no rows, other columns are ignored."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast object of our own class would need the package on every executor
+    shared = docs.sparkSession.sparkContext.broadcast((model.words, model.weights, model.thresholds))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("toxicity")  # drops what an earlier operator cached
-        model, find = shared.value, re.compile(WORD).findall
+        model, find = OrdinalModel(*shared.value), re.compile(WORD).findall
         known = model.words.keys()
         for batch in batches:
             total = np.zeros(batch.num_rows)

@@ -61,21 +61,21 @@ def base_spans(text):
     return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(spans)]
 
 
-def overlaps(docs, items, window=20, percent=75, span=11):
-    """Every alignment that shares three words in a row: a stretch that passes always holds such a run."""
+def overlaps(docs, items, window=20, percent=75):
+    """Every alignment that shares three words in a row, or with items under 11 words one: a stretch that passes always
+    holds such a run."""
     words = {i: WORD.findall((t or "").lower()) for i, t in items}
+    runs = {i: 3 if len(found) >= 11 else 1 for i, found in words.items()}
     places = defaultdict(list)
     for i, found in words.items():
-        for at in range(len(found) - 2):
-            places[tuple(found[at:at + 3])].append((i, at))
+        for at in range(len(found) - runs[i] + 1):
+            places[tuple(found[at:at + runs[i]])].append((i, at))
     out = {}
     for doc, text in docs:
         found = WORD.findall((text or "").lower())
-        shifts = {(i, p - at) for p in range(len(found) - 2) for i, at in places.get(tuple(found[p:p + 3]), ())}
+        shifts = {(i, p - at) for run in (1, 3) for p in range(len(found) - run + 1) for i, at in places.get(tuple(found[p:p + run]), ())}
         for i, shift in shifts:
             size = min(window, len(words[i]))
-            if len(words[i]) < span:
-                continue
             same = [0 <= at + shift < len(found) and found[at + shift] == w for at, w in enumerate(words[i])]
             best = max((sum(same[k:k + size]), -(k + shift)) for k in range(len(same) - size + 1))
             if best[0] * 100 >= percent * size:

@@ -34,3 +34,24 @@ def test_stages_keep_columns_and_odd_rows(spark, sf_dir, documents, odd_rows):
     # of the blank texts the longest, of the two rows with id 9 one
     assert ids == sorted(["3", "4", "5", "6", "7", "8", "9", "10", "None", "11", "12", "13", "14"])
     assert [name for name, _ in pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "decontamination", "packing"]
+
+
+def test_rows_are_decided_by_their_texts(spark, sf_dir, documents):
+    """Rows without an id go as others do, and one bad text of an id does not take its other rows along."""
+    toxic = {r["doc_id"] for r in entry.queries()["op5_toxicity"](spark, sf_dir).collect() if r["toxic"]}
+    real = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    bad, passage = real[min(toxic)], spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    clean = "plain words about rivers and boats that nobody minds at all in here"
+    rows = [(None, bad), (70_001, bad), (70_001, clean), (None, clean + " again"), (None, None)]
+    docs = documents(rows)
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").limit(0)
+    full = docs.unionByName(table, allowMissingColumns=True).unionByName(
+        spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), allowMissingColumns=True)
+    kept = {(r["doc_id"], r["text"]) for r in pipeline.drop_toxic(spark, full, sf_dir).where("doc_id is null or doc_id > 70000").collect()}
+    assert kept == {(70_001, clean), (None, clean + " again"), (None, None)}
+    leaks = documents([(None, f"before {passage} after"), (1, f"before {passage} after"), (1, clean), (None, clean)])
+    assert {(r["doc_id"], r["text"]) for r in pipeline.drop_leaks(spark, leaks, sf_dir).collect()} == {(1, clean), (None, clean)}
+    long = " ".join(f"w{i}" for i in range(60))
+    near = documents([(9, long), (4, long + " x"), (None, long + " y"), (4, clean), (None, clean + " more of it")])
+    assert {(r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, near, sf_dir).collect()} == {
+        (4, long + " x"), (4, clean), (None, clean + " more of it")}

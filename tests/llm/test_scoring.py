@@ -190,8 +190,7 @@ def test_substituted_words_and_odd_rows(documents, odd_rows, spark):
     got = decontam.contaminated(documents(rows + odd_rows), bench.withColumn("doc_id", F.lit(1)).withColumn("key", F.lit("k"))).collect()
     found = {(r["doc_id"], r["item_id"]): (r["matched_words"], r["window_words"], r["doc_start"]) for r in got}
     want = brute.overlaps([r for r in rows if r[0] is not None], items)
-    assert len(found) == len(got) and set(found) <= set(want) and all(found[p] == want[p] for p in found)
-    assert len(found) >= 0.97 * len(want) and (501, 7) in found and (502, 0) in found
+    assert len(found) == len(got) and found == want and (501, 7) in found and (502, 0) in found
     assert decontam.contaminated(documents([]), bench).collect() == []
     assert decontam.contaminated(documents(rows), bench.where("false")).collect() == []
 
@@ -223,7 +222,8 @@ def test_sparse_substitutions_and_short_items(documents, spark):
             rows.append((100 * n + copy, "before " * (copy % 3) + " ".join(words) + " after" * (copy % 2)))
     got = decontam.contaminated(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
     found = {(r["doc_id"], r["item_id"]): (r["matched_words"], r["window_words"]) for r in got}
-    assert set(found) == {(i, i // 100) for i, _ in rows}
+    assert {(i, i // 100) for i, _ in rows} <= set(found)
+    assert found == {pair: (n, size) for pair, (n, size, _) in brute.overlaps(rows, items).items()}
     assert all(matched * 100 >= 75 * size and size == min(item, 20) for (_, item), (matched, size) in found.items())
     # a single word, among items of one word only
     alone = decontam.contaminated(documents(rows), spark.createDataFrame([(1, "q1w0")], "item_id long, text string")).collect()
@@ -262,3 +262,64 @@ def test_models_count_all_rows(documents):
                 counts[n >= 6_000][pair] = counts[n >= 6_000].get(pair, 0) + 1
     want = secrets._log_chances(counts[True]) - secrets._log_chances(counts[False])
     assert np.allclose(secrets.train(documents(rows)).ratios, want.ravel(), atol=1e-4)
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<article><h2 id="search-trees">Search trees</h2><p>{LONG}</p></article>', "Search trees " + LONG.strip()),
+    (f'<article><p>{LONG}</p><section class="related-work"><p>Related work.</p></section></article>', LONG.strip() + " Related work."),
+    (f'<article><p>A short article text here</p></article><div class="sidebar"><p>{LONG * 4}</p></div>', "A short article text here"),
+    (f'<article><p>Short.</p><section id="comments"><p>{LONG * 4}</p></section></article>', "Short."),
+    (f'<div id="content"><p>{LONG}</p><p id="notice-period">Notice periods.</p></div><div class="site-footer"><p>{LONG * 2}</p></div>', LONG.strip() + " Notice periods."),
+    (f'<article><div class="widget"><p>{LONG}</p></div></article>', LONG.strip()),
+    (f'<article><p>{LONG}</p><ul class="share-buttons"><li>Share</ul><h3 class="comment">On comments</h3><p>More prose.</p></article>', LONG.strip() + " On comments More prose.")])
+def test_names_of_their_own_mark_nothing(page, text):
+    assert maintext.main_text(page) == text
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_generated_pages_keep_the_article_alone(seed):
+    """Articles of any length, with slugs in ids and classes and wrappers around them, beside marked elements of any length."""
+    rng = random.Random(seed)
+    slugs = ["search", "social", "comment", "notice", "menu", "header", "alert", "promotion", "navigation", "related", "share"]
+
+    def prose(n):
+        return " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) for _ in range(n))
+
+    for _ in range(20):
+        parts, want = [], []
+        for _ in range(rng.randrange(1, 6)):
+            text, slug = prose(rng.randrange(1, 60)), f"{rng.choice(slugs)}-{rng.choice(['trees', 'science', 'history'])}"
+            tag = rng.choice(["h2", "p", "section", "div"])
+            parts.append(f'<{tag} {rng.choice(["id", "class"])}="{slug}">{text}</{tag}>')
+            want.append(text)
+        noise = [f'<div class="{rng.choice(["sidebar", "comments", "site-footer", "social-links", "ad"])}"><p>{prose(rng.randrange(1, 300))}</p></div>' for _ in range(4)]
+        inner = "".join(parts)
+        article = f"<article>{inner}</article>"
+        for _ in range(rng.randrange(3)):
+            article = f'<div class="{rng.choice(["layout no-sidebar", "wrapper", "content-with-nav", "container"])}">{article}</div>'
+        page = f"<body><nav><a href=x>Home</a></nav>{noise[0]}{noise[1]}{article}{noise[2]}{noise[3]}</body>"
+        assert maintext.main_text(page) == " ".join(want), page
+
+
+def test_long_texts_in_linear_time(documents, spark):
+    """A hundred thousand runs and base spans, and an item of repeated words in a text of repeated words."""
+    import time
+    rng, letters = random.Random(5), secrets.ALPHABET[:62]
+    model = secrets.RandomnessModel((1.0,) * (len(secrets.ALPHABET) + 1) ** 2)
+    runs = " ".join("".join(rng.choice(letters) for _ in range(24)) for _ in range(100_000))
+    mixed = " ".join(("token = " if i % 3 == 0 else "") + "".join(rng.choice(letters) for _ in range(24)) for i in range(60_000))
+    began = time.time()
+    got = {r["doc_id"]: r for r in secrets.find_secrets(documents([(1, runs), (2, mixed)]), model).select(
+        "doc_id", F.size("base").alias("n_base"), F.size("spans").alias("n"), F.element_at("spans", -1)["end"].alias("end")).collect()}
+    assert (got[1]["n_base"], got[1]["n"], got[1]["end"]) == (0, 100_000, len(runs))
+    assert (got[2]["n_base"], got[2]["n"], got[2]["end"]) == (20_000, 60_000, len(mixed))
+    leaks = decontam.contaminated(documents([(1, "word " * 100_000), (2, "other " * 100_000 + "one two three four")]), spark.createDataFrame(
+        [(7, "word word word word"), (8, "one two three four")], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["matched_words"], r["doc_start"]) for r in leaks} == {(1, 7, 4, 0), (2, 8, 4, 100_000)}
+    assert time.time() - began < 120
+
+
+def test_low_similarity_is_refused(documents):
+    from cohortline.llm import neardup
+    with pytest.raises(ValueError, match="laid out"):
+        neardup.near_duplicates(documents([(1, "a")]), percent=45)

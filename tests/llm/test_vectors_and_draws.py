@@ -196,7 +196,7 @@ def test_long_rows_merge_as_matrices_do(ranks):
     for alphabet in ("a", "ab", "aab", "abcde ", "etaoin shrdlu"):
         data = "".join(rng.choice(list(alphabet), size=600)).encode()
         tokens = table.byte_ids[np.frombuffer(data, np.uint8)]
-        assert bytebpe.merge_long(tokens, table).tolist() == bytebpe.merge_rows(tokens[None, :].copy(), table)[0].tolist()
+        assert bytebpe.merge_long(tokens, table).tolist() == [t for t in bytebpe.merge_rows(tokens[None, :].copy(), table)[0] if t != bytebpe.NONE]
 
 
 def test_texts_beyond_a_group(ranks):
@@ -229,4 +229,4 @@ def test_tokens_that_merge_at_once_at_a_lower_rank():
     rng = np.random.default_rng(8)
     for size in (5, 50, 400):
         tokens = table.byte_ids[np.frombuffer(bytes(rng.choice(list(b"ab"), size=size).tolist()), np.uint8)]
-        assert bytebpe.merge_long(tokens, table).tolist() == bytebpe.merge_rows(tokens[None, :].copy(), table)[0].tolist()
+        assert bytebpe.merge_long(tokens, table).tolist() == [t for t in bytebpe.merge_rows(tokens[None, :].copy(), table)[0] if t != bytebpe.NONE]
