@@ -11,14 +11,23 @@ from cohortline.llm import decontam, exactdup, neardup, packing, toxicity
 from cohortline.llm.common import read_small_file, read_table, store
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among ``dropped``; rows without an id stay."""
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With ``_key``, 64 bits of the text. What a text is found to be holds for every row with it, whatever its id;
+    rows without an id are decided like all others."""
+    return docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+
+
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose ``_key`` is not among ``keys`` (doc_id)."""
+    return docs.join(keys.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").drop("_key")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a text that the model, fitted on the labelled documents, does not call toxic. Null and empty texts
+    stay; of rows that share an id only the toxic texts go. Very long texts are read whole."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels"), "toxic")
-    return _without(docs, toxicity.grade(docs, model).where("toxic").distinct())
+    keyed = _keyed(docs)
+    return _without(keyed, toxicity.grade(keyed, model, id_column="_key").where("toxic"))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +44,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, neardup.near_duplicates(docs).where("not kept").distinct())
+    """Of the texts of a component the one of the smallest id (rows without an id last) stays; rows that share
+    a text stay or go together. Texts without words stay."""
+    keyed = _keyed(docs)
+    found = store(neardup.near_duplicates(keyed, id_column="_key").select("doc_id", "component_id", "kept").distinct(), "near-classes")
+    several = found.where("not kept").select("component_id").distinct()
+    members = found.join(several, "component_id").select(F.col("doc_id").alias("_key"), "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")
+    first = keyed.join(members, "_key").groupBy("component_id").agg(F.min(rank).alias("first"))
+    gone = members.join(first, "component_id").where(F.col("_key") != F.col("first._key"))
+    return _without(keyed, gone.select(F.col("_key").alias("doc_id")))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _without(docs, decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark")).select("doc_id").distinct())
+    """Rows with a text that holds no passage of the benchmark; null and empty texts stay."""
+    keyed = _keyed(docs)
+    return _without(keyed, decontam.contaminated(keyed, read_table(spark, sf_dir, "benchmark"), id_column="_key"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows, packed; null and empty texts are their end id alone, rows that share an id are
+    packed each."""
     return packing.pack(docs, read_small_file(public_tokenizers.path("byte_bpe_50k.json")))
 
 
