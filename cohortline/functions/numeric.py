@@ -111,9 +111,9 @@ def _ks_exact(statistic: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
         for d, a, b in zip(statistic, n, m)], dtype="float64")
 
 
-def ks_p_value(statistic: Column, n_left: Column, n_right: Column, terms: int = 100) -> Column:
+def ks_p_value(statistic: Column, n_left: Column, n_right: Column, terms: int = 100, exact: bool = True) -> Column:
     """Two-sided two-sample Kolmogorov-Smirnov p-value, exact up to ``KS_EXACT_UP_TO`` values
-    a side, asymptotic beyond, in [0, 1]."""
+    a side, asymptotic beyond and without ``exact``, in [0, 1]."""
     n, m = n_left.cast("double"), n_right.cast("double")
     scaled = statistic * statistic * (n * m / (n + m))
     series = F.aggregate(
@@ -122,4 +122,6 @@ def ks_p_value(statistic: Column, n_left: Column, n_right: Column, terms: int =
         lambda total, k: total + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * scaled),
     )
     asymptotic = F.when(scaled < 0.02, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series)))
+    if not exact:
+        return asymptotic
     return F.when(F.greatest(n, m) <= KS_EXACT_UP_TO, _ks_exact(statistic, n, m)).otherwise(asymptotic)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cohortline.functions.text import row_fingerprint, stable_hash
 from cohortline.operators.columns import continuous_columns, project
 from cohortline.operators.profile import _chunked, _one_row_as_long, _union
-from cohortline.operators.ranked import dense_index
+from cohortline.operators.ranked import dense_index, running_sums
 from cohortline.session import pin_small
 
 HASH_RANGE = 2 ** 32
@@ -84,8 +84,26 @@ def with_class_weight(df: DataFrame, label: str, weight: str = "weight") -> Data
     return df.join(pin_small(weights), label)
 
 
+#: Labels that fit one CASE expression; more are coded by a join.
+MAX_LABELS = 1_000
+
+
 def fit_label_codes(df: DataFrame, col: str) -> dict:
-    """Label -> code in alphabetical order of the non-null labels (one row per
-    class comes to the driver)."""
-    labels = df.filter(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()
-    return {row[0]: code for code, row in enumerate(labels)}
+    """Label -> code in alphabetical order of the non-null labels, at most ``MAX_LABELS`` of
+    them; ``label_code_table`` has no such bound."""
+    labels = df.filter(F.col(col).isNotNull()).select(col).distinct().limit(MAX_LABELS + 1).collect()
+    if len(labels) > MAX_LABELS:
+        raise ValueError(f"{col}: more than {MAX_LABELS} labels; code them by label_code_table")
+    return {label: code for code, label in enumerate(sorted(row[0] for row in labels))}
+
+
+def label_code_table(df: DataFrame, col: str) -> DataFrame:
+    """(label, code): the same codes for any number of labels, as a table to join."""
+    labels = df.filter(F.col(col).isNotNull()).select(F.col(col).alias("label"), F.lit(1).cast("bigint").alias("n")).distinct()
+    return running_sums(labels, [], "label", ["n"]).select("label", (F.col("n_cum") - 1).alias("code"))
+
+
+def encode_by_table(df: DataFrame, col: str, codes: DataFrame, code: str) -> DataFrame:
+    """``df`` with the ``code`` of its labels; unknown and null labels have none."""
+    named = codes.select(F.col("label").alias("_label"), F.col("code").alias(code))
+    return df.join(named, F.col(col) == F.col("_label"), "left").drop("_label")

@@ -14,8 +14,9 @@ from cohortline.session import cut_lineage, pin_small
 from cohortline.sources import logs, reports
 from cohortline.sources.records import path_exists
 
-EVENT_ORDER = ("ts", *logs.FILE_ORDER)
-PROBE_ORDER = ("checked_at", *logs.FILE_ORDER)
+# the order of the log itself: times may be unreadable or shifted
+EVENT_ORDER = logs.FILE_ORDER
+PROBE_ORDER = logs.FILE_ORDER
 
 
 def rebuild_reference(table: DataFrame, features: Sequence[str], label: str | None, out_dir: str,
