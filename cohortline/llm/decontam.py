@@ -160,7 +160,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     longest = items.agg(F.coalesce(F.max(F.size("item_words")), F.lit(0))).first()[0]
     grouped = store(alignments.groupBy("doc_id", "item_id", F.floor(F.col("shift") / STRETCH).cast("int").alias("stretch")).agg(
         F.collect_set("shift").alias("shifts")), "grouped")  # at most STRETCH of them
-    wanted = grouped.groupBy("doc_id").agg(F.collect_set("stretch").alias("wanted"))
+    # stored, so that its size is known before the texts are joined: a small one is broadcast, a large one shuffled
+    wanted = store(grouped.groupBy("doc_id").agg(F.collect_set("stretch").alias("wanted")), "stretches")
     stretches = texts.join(wanted, "doc_id").select("doc_id", F.explode(let(
         words_of(F.col("text")), lambda words: F.transform("wanted", lambda c: F.struct(
             c.alias("stretch"), F.greatest(c * STRETCH, F.lit(0)).alias("base"),
