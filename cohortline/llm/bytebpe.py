@@ -32,10 +32,12 @@ MAX_CELLS = 1 << 20
 NONE = np.int64(2 ** 31 - 1)
 EMPTY = np.int64(-1)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
-MAX_CACHED = 400_000
+MAX_CACHED = 150_000
 MAX_CACHED_CHARS = 64
 #: Characters of texts that are cut into pre-tokens at a time.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
+#: Bytes of one batch that a worker hands back, if a single text has no more.
+SENT_BYTES = 4 << 20
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -276,6 +278,19 @@ class Encoder:
         yield from self.encode_group(group)
 
 
+def portions(values: Iterable[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """(place of the first, values) in runs of about ``SENT_BYTES``, so that a task never holds a whole batch's results."""
+    start, held, size = 0, [], 0
+    for value in values:
+        held.append(value)
+        size += len(value)
+        if size >= SENT_BYTES:
+            yield start, held
+            start, held, size = start + len(held), [], 0
+    if held:
+        yield start, held
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, cut_at_spaces: bool = False,
            id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every row's whole text. ``cut_at_spaces``: see ``Encoder``.
@@ -294,10 +309,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, cut_at_spaces
             encoder = Encoder(PairTable(*parts), pattern, cut_at_spaces)
             state.update(key=key, encoder=encoder)
         for batch in batches:
-            found = list(encoder.encode_all(text.as_py() for text in batch.column(1)))
-            ends = np.cumsum([0, *[len(ids) // 4 for ids in found]], dtype=np.int32)
-            ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), "<i4"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
+            for start, found in portions(encoder.encode_all(text.as_py() for text in batch.column(1))):
+                ends = np.cumsum([0, *[len(ids) // 4 for ids in found]], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(ends, np.frombuffer(b"".join(found), "<i4"))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, len(found)), ids], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return rows.mapInArrow(search, "doc_id long, ids array<int>")
@@ -317,7 +332,8 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             column = batch.column(1)
             sizes = np.concatenate([[0], np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
             ids = column.flatten().to_numpy(zero_copy_only=False)
-            texts = [b"".join(map(token_of, ids[a:b].tolist())) for a, b in zip(sizes[:-1], sizes[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
+            for start, texts in portions(b"".join(map(token_of, ids[a:b].tolist())) for a, b in zip(sizes[:-1], sizes[1:])):
+                kept = [c.slice(start, len(texts)) for c in batch.columns[:2]]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(lookup, "doc_id long, ids array<int>, decoded binary")
