@@ -52,6 +52,6 @@ def test_rows_are_decided_by_their_texts(spark, sf_dir, documents):
     leaks = documents([(None, f"before {passage} after"), (1, f"before {passage} after"), (1, clean), (None, clean)])
     assert {(r["doc_id"], r["text"]) for r in pipeline.drop_leaks(spark, leaks, sf_dir).collect()} == {(1, clean), (None, clean)}
     long = " ".join(f"w{i}" for i in range(60))
-    near = documents([(9, long), (4, long + " x"), (None, long + " y"), (4, clean), (None, clean + " more of it")])
+    near = documents([(9, long), (4, long + " x"), (None, long + " y"), (4, clean), (None, clean + " with another ending of several more words")])
     assert {(r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, near, sf_dir).collect()} == {
-        (4, long + " x"), (4, clean), (None, clean + " more of it")}
+        (4, long + " x"), (4, clean), (None, clean + " with another ending of several more words")}
