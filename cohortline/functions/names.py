@@ -6,6 +6,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+# The patterns of the naming rule that loaded columns follow.
 _NON_WORD = re.compile(r"\W+", re.ASCII)
 _WORD_START = re.compile(r"([^_])([A-Z][a-z]+)")
 _CASE_CHANGE = re.compile(r"([a-z0-9])([A-Z])")

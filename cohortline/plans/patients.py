@@ -10,44 +10,50 @@ from cohortline.operators.checks import ColumnCheck
 from cohortline.plans.layers import LayerConfig
 
 # Laboratory measures, as in the normalised source.
-LAB_COLUMNS = """
-    age sickness_duration_months rbc_count hemoglobin hematocrit mcv mch mchc rdw reticulocyte_count wbc_count
-    neutrophils lymphocytes monocytes eosinophils basophils plt_count mpv esbach mbl_level esr c3 c4
-""".split()
+LAB_COLUMNS = (
+    "age", "sickness_duration_months", "rbc_count", "hemoglobin", "hematocrit", "mcv", "mch", "mchc", "rdw",
+    "reticulocyte_count", "wbc_count", "neutrophils", "lymphocytes", "monocytes", "eosinophils", "basophils",
+    "plt_count", "mpv", "esbach", "mbl_level", "esr", "c3", "c4",
+)
 
 # Names the model knows the same measures by, in the same order.
-MODEL_FEATURES = """
-    Age Sickness_Duration_Months RBC_Count Hemoglobin Hematocrit MCV MCH MCHC RDW Reticulocyte_Count WBC_Count
-    Neutrophils Lymphocytes Monocytes Eosinophils Basophils PLT_Count MPV Esbach MBL_Level ESR C3 C4
-""".split()
+MODEL_FEATURES = (
+    "Age", "Sickness_Duration_Months", "RBC_Count", "Hemoglobin", "Hematocrit", "MCV", "MCH", "MCHC", "RDW",
+    "Reticulocyte_Count", "WBC_Count", "Neutrophils", "Lymphocytes", "Monocytes", "Eosinophils", "Basophils",
+    "PLT_Count", "MPV", "Esbach", "MBL_Level", "ESR", "C3", "C4",
+)
 
 # The ten symptom flags.
-SYMPTOM_FLAGS = """
-    low_grade_fever fatigue_or_chronic_tiredness dizziness weight_loss rashes_and_skin_lesions
-    stiffness_in_the_joints brittle_hair_or_hair_loss dry_eyes_and_or_mouth general_unwell_feeling joint_pain
-""".split()
+SYMPTOM_FLAGS = (
+    "low_grade_fever", "fatigue_or_chronic_tiredness", "dizziness", "weight_loss", "rashes_and_skin_lesions",
+    "stiffness_in_the_joints", "brittle_hair_or_hair_loss", "dry_eyes_and_or_mouth", "general_unwell_feeling",
+    "joint_pain",
+)
 
 # Staged columns in source order, without load metadata.
-SOURCE_COLUMNS = """
-    patient_id age gender diagnosis sickness_duration_months rbc_count hemoglobin hematocrit mcv mch mchc rdw
-    reticulocyte_count wbc_count neutrophils lymphocytes monocytes eosinophils basophils plt_count mpv ana esbach
-    mbl_level esr c3 c4 crp anti_ds_dna anti_sm rheumatoid_factor acpa anti_tpo anti_tg anti_sma low_grade_fever
-    fatigue_or_chronic_tiredness dizziness weight_loss rashes_and_skin_lesions stiffness_in_the_joints
-    brittle_hair_or_hair_loss dry_eyes_and_or_mouth general_unwell_feeling joint_pain anti_enterocyte_antibodies
-    anti_lkm1 anti_rnp asca anti_ro_ssa anti_c_bir1 anti_bp230 anti_t_tg dgp anti_bp180 asma anti_if
-    ig_g_ig_e_receptor anti_srp anti_desmoglein_3 anti_la_ssb anti_jo1 anca anti_centromere anti_desmoglein_1 ema
-    anti_type_vii_collagen c1_inhibitor anti_tif1 anti_epidermal_basement_membrane_ig_a anti_omp_c p_anca
-    anti_tissue_transglutaminase anti_scl_70 anti_mi2 anti_parietal_cell progesterone_antibodies
-""".split()
+SOURCE_COLUMNS = (
+    "patient_id", "age", "gender", "diagnosis", "sickness_duration_months", "rbc_count", "hemoglobin", "hematocrit",
+    "mcv", "mch", "mchc", "rdw", "reticulocyte_count", "wbc_count", "neutrophils", "lymphocytes", "monocytes",
+    "eosinophils", "basophils", "plt_count", "mpv", "ana", "esbach", "mbl_level", "esr", "c3", "c4", "crp",
+    "anti_ds_dna", "anti_sm", "rheumatoid_factor", "acpa", "anti_tpo", "anti_tg", "anti_sma", "low_grade_fever",
+    "fatigue_or_chronic_tiredness", "dizziness", "weight_loss", "rashes_and_skin_lesions",
+    "stiffness_in_the_joints", "brittle_hair_or_hair_loss", "dry_eyes_and_or_mouth", "general_unwell_feeling",
+    "joint_pain", "anti_enterocyte_antibodies", "anti_lkm1", "anti_rnp", "asca", "anti_ro_ssa", "anti_c_bir1",
+    "anti_bp230", "anti_t_tg", "dgp", "anti_bp180", "asma", "anti_if", "ig_g_ig_e_receptor", "anti_srp",
+    "anti_desmoglein_3", "anti_la_ssb", "anti_jo1", "anca", "anti_centromere", "anti_desmoglein_1", "ema",
+    "anti_type_vii_collagen", "c1_inhibitor", "anti_tif1", "anti_epidermal_basement_membrane_ig_a", "anti_omp_c",
+    "p_anca", "anti_tissue_transglutaminase", "anti_scl_70", "anti_mi2", "anti_parietal_cell",
+    "progesterone_antibodies",
+)
 
 # Columns that hold one value in every record.
 CONSTANT_COLUMNS = ("anti_t_tg", "progesterone_antibodies")
 
 # Columns frozen out for |correlation| above 0.85.
-CORRELATED_COLUMNS = """
-    anti_sm anti_ro_ssa anti_c_bir1 anti_bp180 asma anti_la_ssb anti_jo1 anca anti_desmoglein_1 ema anti_tif1
-    anti_omp_c anti_scl_70 anti_mi2 anti_parietal_cell
-""".split()
+CORRELATED_COLUMNS = (
+    "anti_sm", "anti_ro_ssa", "anti_c_bir1", "anti_bp180", "asma", "anti_la_ssb", "anti_jo1", "anca",
+    "anti_desmoglein_1", "ema", "anti_tif1", "anti_omp_c", "anti_scl_70", "anti_mi2", "anti_parietal_cell",
+)
 
 # Diagnosis vocabulary and the bucket of everything else.
 DIAGNOSIS_RULES = (
@@ -73,23 +79,34 @@ FINGERPRINT_COLUMNS = ("age", "gender", "diagnosis", "sickness_duration_months",
 
 # Source columns that are whole numbers and text; the rest are doubles.
 TEXT_COLUMNS = ("gender", "diagnosis")
-WHOLE_COLUMNS = tuple(
-    ["patient_id", "age", "sickness_duration_months", "ana", "anti_ds_dna", "anti_sm", *SYMPTOM_FLAGS]
-    + SOURCE_COLUMNS[SOURCE_COLUMNS.index("anti_enterocyte_antibodies"):]
+WHOLE_COLUMNS = (
+    "patient_id", "age", "sickness_duration_months", "ana", "anti_ds_dna", "anti_sm", "low_grade_fever",
+    "fatigue_or_chronic_tiredness", "dizziness", "weight_loss", "rashes_and_skin_lesions",
+    "stiffness_in_the_joints", "brittle_hair_or_hair_loss", "dry_eyes_and_or_mouth", "general_unwell_feeling",
+    "joint_pain", "anti_enterocyte_antibodies", "anti_lkm1", "anti_rnp", "asca", "anti_ro_ssa", "anti_c_bir1",
+    "anti_bp230", "anti_t_tg", "dgp", "anti_bp180", "asma", "anti_if", "ig_g_ig_e_receptor", "anti_srp",
+    "anti_desmoglein_3", "anti_la_ssb", "anti_jo1", "anca", "anti_centromere", "anti_desmoglein_1", "ema",
+    "anti_type_vii_collagen", "c1_inhibitor", "anti_tif1", "anti_epidermal_basement_membrane_ig_a", "anti_omp_c",
+    "p_anca", "anti_tissue_transglutaminase", "anti_scl_70", "anti_mi2", "anti_parietal_cell",
+    "progesterone_antibodies",
 )
 
 # Scoring inputs with a default, beside the 23 required measures.
-OPTIONAL_INPUTS = """
-    crp clinical_symptoms_count ana rheumatoid_factor acpa anti_tpo anti_tg anti_sma low_grade_fever dizziness
-    rashes_and_skin_lesions stiffness_in_the_joints brittle_hair_or_hair_loss general_unwell_feeling gender
-""".split()
+OPTIONAL_INPUTS = (
+    "crp", "clinical_symptoms_count", "ana", "rheumatoid_factor", "acpa", "anti_tpo", "anti_tg", "anti_sma",
+    "low_grade_fever", "dizziness", "rashes_and_skin_lesions", "stiffness_in_the_joints",
+    "brittle_hair_or_hair_loss", "general_unwell_feeling", "gender",
+)
 
 # Bounds the entry form accepts, in model-feature order.
-INPUT_BOUNDS = dict(zip(MODEL_FEATURES, [
-    (0, 120), (0, 120), (0, 10), (0, 2000), (0, 60), (0, 15000), (0, 5000), (0, 5000), (0, 5000), (0, 5000),
-    (0, 1000000), (0, 10000), (0, 10000), (0, 5000), (0, 5000), (0, 5000), (0, 10000000), (0, 5000), (0, 50000),
-    (0, 5000), (0, 15000), (0, 50000), (0, 5000),
-]))
+INPUT_BOUNDS = {
+    "Age": (0, 120), "Sickness_Duration_Months": (0, 120), "RBC_Count": (0, 10), "Hemoglobin": (0, 2000),
+    "Hematocrit": (0, 60), "MCV": (0, 15000), "MCH": (0, 5000), "MCHC": (0, 5000),
+    "RDW": (0, 5000), "Reticulocyte_Count": (0, 5000), "WBC_Count": (0, 1000000), "Neutrophils": (0, 10000),
+    "Lymphocytes": (0, 10000), "Monocytes": (0, 5000), "Eosinophils": (0, 5000), "Basophils": (0, 5000),
+    "PLT_Count": (0, 10000000), "MPV": (0, 5000), "Esbach": (0, 50000), "MBL_Level": (0, 5000),
+    "ESR": (0, 15000), "C3": (0, 50000), "C4": (0, 5000),
+}
 
 
 def source_type(column: str):
@@ -118,15 +135,15 @@ def _not_null(*columns: str) -> tuple[ColumnCheck, ...]:
 
 
 PATIENTS = LayerConfig(
-    source_columns=tuple(SOURCE_COLUMNS),
+    source_columns=SOURCE_COLUMNS,
     folded_text=("gender",),
     label_column="diagnosis",
     label_rules=DIAGNOSIS_RULES,
     label_default=OTHER_DIAGNOSIS,
     constant_columns=CONSTANT_COLUMNS,
     log_columns=("c4",),
-    correlated_columns=tuple(CORRELATED_COLUMNS),
-    flag_columns=tuple(SYMPTOM_FLAGS),
+    correlated_columns=CORRELATED_COLUMNS,
+    flag_columns=SYMPTOM_FLAGS,
     flag_sum_column="clinical_symptoms_count",
     id_columns=("patient_id",),
     encoders={"gender": GENDER_CODES, "diagnosis": DIAGNOSIS_CODES},

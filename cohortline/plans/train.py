@@ -18,6 +18,10 @@ from cohortline.session import cut_lineage
 from cohortline.sources import reports
 
 
+# Fixed value: the name a run records for oversampling followed by neighbour editing.
+BALANCING = "SMOTEENN"
+
+
 @dataclass(frozen=True)
 class TrainConfig:
     features: Sequence[str]
@@ -81,7 +85,7 @@ def train(table: DataFrame, cfg: TrainConfig, out_dir: str) -> TrainResult:
     }
 
     run_id = uuid.uuid4().hex
-    params = {"n_rows": sizes["n_train"] + sizes["n_test"], "n_raw_features": len(table.columns) - 1, "n_selected_features": len(features), "test_size": cfg.test_share, "balancing": "SMOTEENN" if cfg.balance else "none", **sizes}
+    params = {"n_rows": sizes["n_train"] + sizes["n_test"], "n_raw_features": len(table.columns) - 1, "n_selected_features": len(features), "test_size": cfg.test_share, "balancing": BALANCING if cfg.balance else "none", **sizes}
     settings = {T.FOREST_NAME: {**T.FOREST_SETTINGS, **cfg.forest},
                 T.KERNEL_NAME: {"C": T.KERNEL_C, "gamma": T.KERNEL_GAMMA, "components": cfg.kernel_components}}
     children = [T.run_record(spark, name, values, settings[name], {"model_type": name}, parent_id=run_id) for name, values in metrics.items()]
