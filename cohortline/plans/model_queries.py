@@ -347,7 +347,8 @@ def stream_closed_windows(spark, d):
     """Days merged from the hours that closed behind the watermark; whether each day's p95 lies within the sketch's error of the
     exact rank among the rows that were in time."""
     days = SW.merge_sums(SW.closed_windows(spark, _closed(spark, d)), "1 day")
-    report = SW.window_report(days).withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    sums = F.date_format("window_start", "yyyy-MM-dd").alias("day"), F.round("latency_sum_ms", 4).alias("latency_sum")
+    report = SW.window_report(days).withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).join(days.select(*sums), "day")
     delayed = (F.col("event_id") % 29 == 0) & (F.col("ts") < "2024-01-15")
     events = _prediction_like(spark, d).filter(~delayed)
     last = events.agg(F.max("ts")).scalar()
@@ -356,7 +357,7 @@ def stream_closed_windows(spark, d):
         (F.count_if(F.col("latency_ms") < F.col("p_latency_ms")) / F.count("latency_ms")).alias("below"),
         (F.count_if(F.col("latency_ms") <= F.col("p_latency_ms")) / F.count("latency_ms")).alias("up_to"))
     close = (F.col("below") <= 0.95 + SW.RANK_ERROR) & (F.col("up_to") >= 0.95 - SW.RANK_ERROR)
-    return report.join(ranked, "day").select("day", "n", "errors", r6("avg_latency_ms"), close.alias("p95_close"))
+    return report.join(ranked, "day").select("day", "n", "errors", "latency_sum", close.alias("p95_close"))
 
 
 def stream_late_rows(spark, d):
