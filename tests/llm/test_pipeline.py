@@ -55,3 +55,21 @@ def test_rows_are_decided_by_their_texts(spark, sf_dir, documents):
     near = documents([(9, long), (4, long + " x"), (None, long + " y"), (4, clean), (None, clean + " with another ending of several more words")])
     assert {(r["doc_id"], r["text"]) for r in pipeline.drop_near_copies(spark, near, sf_dir).collect()} == {
         (4, long + " x"), (4, clean), (None, clean + " with another ending of several more words")}
+
+
+def test_columns_may_have_the_names_used_inside(spark, sf_dir):
+    """Columns of the documents that are called what the stages call theirs, and one with a dot."""
+    names = ["key", "_key", "sha256", "length", "KEPT", "component_id", "n_chars", "text_sha256", "toxic", "first", "no_id", "a.b"]
+    long = " ".join(f"w{i}" for i in range(60))
+    passage = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first()["text"]
+    texts = [long, long, long + " x", None, "plain words of no other text", f"before {passage} after"]
+    docs = spark.createDataFrame([(i, t, *([str(i)] * len(names))) for i, t in enumerate(texts)], ["doc_id", "text", *names])
+    # near dedup lets rows that share a text stay together
+    left = {"toxicity": {0, 1, 2, 3, 4, 5}, "exact dedup": {0, 2, 3, 4, 5}, "near dedup": {0, 1, 3, 4, 5}, "decontamination": {0, 1, 2, 3, 4}}
+    for name, stage in pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, sf_dir)
+        assert kept.schema == docs.schema, name
+        rows = kept.collect()
+        assert {r["doc_id"] for r in rows} == left[name], name
+        assert all(set(r[2:]) == {str(r["doc_id"])} for r in rows), name
+    assert {r["doc_id"] for r in pipeline.pack(spark, docs, sf_dir).collect()} == set(range(6))
