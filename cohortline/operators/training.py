@@ -14,11 +14,13 @@ from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, OneVsRestModel, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import stable_hash
 from cohortline.operators import evaluate as E
+from cohortline.operators import kernels
+from cohortline.operators.kernels import Landmarks, TensorSketch
 from cohortline.operators.prep import HASH_RANGE, stratified_folds, with_class_weight
 from cohortline.session import cut_lineage
 
@@ -48,18 +50,7 @@ def forest(**settings) -> RandomForestClassifier:
 def fourier_features(df: DataFrame, n_inputs: int, n_components: int = 256, gamma: float = KERNEL_GAMMA, seed: int = 42) -> DataFrame:
     """Random Fourier features of the RBF kernel: a fixed seeded projection applied
     to Arrow batches, so a linear machine on top approximates the kernel one."""
-    draws = np.random.default_rng(seed)
-    weights = draws.normal(0.0, math.sqrt(2.0 * gamma), (n_inputs, n_components))
-    offsets = draws.uniform(0.0, 2.0 * math.pi, n_components)
-    scale = math.sqrt(2.0 / n_components)
-
-    @F.pandas_udf("array<double>")
-    def lift(values):
-        import pandas as pd
-        block = np.array(values.tolist(), dtype=np.float64).reshape(-1, n_inputs)
-        return pd.Series(list(scale * np.cos(block @ weights + offsets)))
-
-    return df.withColumn("features", array_to_vector(lift(vector_to_array("features"))))
+    return kernels.map_features(df, kernels.Fourier(n_inputs, n_components, gamma, seed))
 
 
 def linear_one_vs_rest(reg: float, max_iter: int = 50, weighted: bool = True, parallelism: int = 2) -> OneVsRest:
@@ -111,6 +102,43 @@ def fit_kernel_svc(train: DataFrame, n_inputs: int, c: float = KERNEL_C, gamma:
     return KernelMachine(model, n_inputs, n_components, gamma, seed)
 
 
+@dataclass(frozen=True)
+class LandmarkMachine:
+    """One-vs-rest machines over Nystroem features. Saved as the landmark rows and the machines; the whitening
+    follows from the rows."""
+
+    model: OneVsRestModel
+    landmarks: Landmarks
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(kernels.map_features(df, self.landmarks))
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        rows = [(i, point, self.landmarks.gamma) for i, point in enumerate(self.landmarks.points.tolist())]
+        spark.createDataFrame(rows, "place int, point array<double>, gamma double").coalesce(1).write.mode("overwrite").parquet(f"{path}/landmarks")
+        self.model.write().overwrite().save(f"{path}/machines")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LandmarkMachine:
+        rows = spark.read.parquet(f"{path}/landmarks").orderBy("place").collect()  # at most kernels.MAX_LANDMARKS
+        points = np.array([row["point"] for row in rows], dtype=np.float64)
+        return cls(OneVsRestModel.load(f"{path}/machines"), Landmarks(points, rows[0]["gamma"]))
+
+
+def fit_landmark_svc(train: DataFrame, c: float = KERNEL_C, gamma: float = KERNEL_GAMMA, n_landmarks: int = 256, max_iter: int = 50,
+                     seed: int = 42) -> LandmarkMachine:
+    """``fit_kernel_svc`` over landmark rows of the data instead of random projections; the mapped rows are stored
+    once. Needs at least one row."""
+    points = kernels.choose_landmarks(train.select(vector_to_array("features").alias("v")), "v", n_landmarks, seed)
+    landmarks = Landmarks(points, gamma)
+    base = _stored(with_class_weight(kernels.map_features(train, landmarks), "label"))
+    try:
+        model = linear_one_vs_rest(1.0 / (c * max(base.count(), 1)), max_iter).fit(base)
+    finally:
+        base.unpersist()
+    return LandmarkMachine(model, landmarks)
+
+
 def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3, max_iter: int = 50) -> Callable[[DataFrame], DataFrame]:
     """One-vs-rest machines on polynomial features with balanced weights per class
     task; adds ``margins``, one decision value per class."""
@@ -122,22 +150,45 @@ def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, gamma
         return expand.transform(df.withColumn("scaled", array_to_vector(scaled))).drop("scaled")
 
     base = lifted(train)
-    n_rows = train.count()
-    models = {}
-    for cls in classes:
-        task = with_class_weight(base.withColumn("target", (F.col("label") == cls).cast("double")), "target")
-        machine = LinearSVC(featuresCol="poly", labelCol="target", weightCol="weight", maxIter=max_iter, regParam=1.0 / (c * max(n_rows, 1)),
-                            standardization=False, rawPredictionCol=f"raw_{cls}", predictionCol=f"hit_{cls}")
-        models[cls] = machine.fit(task)
-
-    def score(df: DataFrame) -> DataFrame:
-        scored = lifted(df)
-        for model in models.values():
-            scored = model.transform(scored)
-        margins = F.array(*[F.get(vector_to_array(f"raw_{cls}"), F.lit(1)) for cls in classes])
-        return scored.withColumn("margins", margins).drop("poly", *[f"{p}_{cls}" for cls in classes for p in ("raw", "hit")])
-
-    return score
+    models = _class_machines(base, "poly", classes, train.count(), c, max_iter)
+    return lambda df: _with_margins(lifted(df), "poly", models).drop("poly")
+
+
+def fit_sketched_poly_svc(train: DataFrame, n_inputs: int, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3,
+                          n_components: int = 1_024, max_iter: int = 50, seed: int = 42, parallelism: int = 2) -> Callable[[DataFrame], DataFrame]:
+    """``fit_poly_svc`` over a sketch of the kernel without constant, whose width does not grow with inputs and
+    degree; the sketched rows are stored once and read by the machines of all classes."""
+    sketch = TensorSketch(n_inputs, n_components, degree, gamma, seed)
+
+    def lifted(df: DataFrame) -> DataFrame:
+        return df.withColumn("poly", array_to_vector(kernels.lifted(vector_to_array("features"), sketch)))
+
+    base = _stored(lifted(train).select("poly", "label"))
+    try:
+        models = _class_machines(base, "poly", classes, base.count(), c, max_iter, parallelism)
+    finally:
+        base.unpersist()
+    return lambda df: _with_margins(lifted(df), "poly", models).drop("poly")
+
+
+def _class_machines(base: DataFrame, vec: str, classes: Sequence[int], n_rows: int, c: float, max_iter: int, parallelism: int = 1) -> dict:
+    """A linear machine with balanced weights for each class against the rest."""
+    def task(cls):
+        def fit():
+            rows = with_class_weight(base.withColumn("target", (F.col("label") == cls).cast("double")), "target")
+            return LinearSVC(featuresCol=vec, labelCol="target", weightCol="weight", maxIter=max_iter, regParam=1.0 / (c * max(n_rows, 1)),
+                             standardization=False, rawPredictionCol=f"raw_{cls}", predictionCol=f"hit_{cls}").fit(rows)
+        return fit
+    return dict(zip(classes, _side_by_side([task(cls) for cls in classes], parallelism)))
+
+
+def _with_margins(df: DataFrame, vec: str, models: dict) -> DataFrame:
+    """``margins``: the decision value of each class."""
+    scored = df
+    for model in models.values():
+        scored = model.transform(scored)
+    margins = F.array(*[F.get(vector_to_array(f"raw_{cls}"), F.lit(1)) for cls in models])
+    return scored.withColumn("margins", margins).drop(*[f"{p}_{cls}" for cls in models for p in ("raw", "hit")])
 
 
 def evaluate(scored: DataFrame, classes: Sequence[int] | None = None) -> dict[str, float]:

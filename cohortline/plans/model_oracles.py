@@ -114,6 +114,20 @@ _RECENT_LONG = f"SELECT 'v' AS feature, value FROM ({_RECENT}) UNION ALL SELECT
 _RAW = """SELECT *, l_linenumber = 1 AS no_quantity, l_linenumber = 2 AS bad_price, l_linenumber = 3 AS bad_discount FROM lineitem"""
 _ERRORS = "count(*) FILTER (WHERE status IS DISTINCT FROM 'success')"
 
+_SKETCH = """WITH entries AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings),
+    draws AS (SELECT f, i, ('0x' || substr(h, 1, 8))::BIGINT % 1024 AS place, CASE WHEN substr(h, 9, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign
+        FROM (SELECT f, i, md5(concat('42:', f, ':', i)) AS h FROM range(3) a(f), range(64) b(i))),
+    counted AS (SELECT vec_id, f, place, sum(sign * x) AS v FROM entries JOIN draws USING (i) GROUP BY ALL),
+    two AS (SELECT a.vec_id, (a.place + b.place) % 1024 AS place, sum(a.v * b.v) AS v FROM counted a JOIN counted b USING (vec_id)
+        WHERE a.f = 0 AND b.f = 1 GROUP BY ALL),
+    three AS (SELECT a.vec_id, (a.place + b.place) % 1024 AS place, sum(a.v * b.v) AS v FROM two a JOIN counted b USING (vec_id)
+        WHERE b.f = 2 GROUP BY ALL),
+    kernels AS (SELECT vec_id, pow(sum(x * x), 3) AS kernel FROM entries GROUP BY vec_id)
+    SELECT vec_id, arg_max(place, v)::INT AS top_place, round(max(v), 6) AS top_value, round(any_value(kernel), 6) AS kernel, round(sum(v * v), 6) AS estimate
+    FROM three JOIN kernels USING (vec_id) GROUP BY vec_id"""
+_KERNEL_PAIRS = """SELECT exp(-0.05 * pow(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 2)) AS radial,
+    pow(list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 3) AS cubic FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
+
 MODEL_ORACLES = {
     "split": f"""SELECT CASE WHEN {_ORDER_HASH} < {_TEST_LIMIT} THEN 'test' ELSE 'train' END AS side, o_orderstatus, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum
         FROM orders GROUP BY ALL""",
@@ -151,6 +165,9 @@ MODEL_ORACLES = {
         FROM ({_RAW}) WHERE NOT (no_quantity OR bad_price OR bad_discount)
         UNION ALL SELECT CASE WHEN no_quantity THEN 'l_quantity: missing' WHEN bad_price THEN 'l_extendedprice: not a number' ELSE 'l_discount: not a number' END AS outcome,
             count(*), NULL, NULL FROM ({_RAW}) WHERE no_quantity OR bad_price OR bad_discount GROUP BY outcome""",
+    "poly_sketch": _SKETCH,
+    "kernel_estimates": f"""SELECT map, count(*) AS n, round(sum(CASE WHEN map = 'sketch' THEN cubic ELSE radial END), 4) AS kernel_sum, true AS close
+        FROM ({_KERNEL_PAIRS}), (VALUES ('fourier'), ('landmarks'), ('sketch')) m(map) GROUP BY map""",
     "input_ranges": "SELECT * FROM (" + " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, {lo}::DOUBLE AS low, {hi}::DOUBLE AS high, count(*) FILTER (WHERE {c} NOT BETWEEN {lo} AND {hi}) AS n FROM lineitem"
         for c, lo, hi in [("l_quantity", 0, 45), ("l_discount", 0.0, 0.08), ("l_tax", 0, 1), ("l_extendedprice", 1000, 100000)]) + ") WHERE n > 0",

@@ -10,6 +10,7 @@ from cohortline.functions.text import stable_hash
 from cohortline.operators import balance as B
 from cohortline.operators import drift as D
 from cohortline.operators import evaluate as E
+from cohortline.operators import kernels
 from cohortline.operators import knn as N
 from cohortline.operators import lsh
 from cohortline.operators import nodes as ND
@@ -25,6 +26,9 @@ from cohortline.streaming import windows as SW
 
 N_DIMS = 64
 CLASSES = list(range(10))
+#: Root mean square error each map's products may have, for vectors of length 1: the law of the draws, and for landmarks
+#: a bound that holds where the data lie near a few hundred of them.
+MAP_ERRORS = {"fourier": 0.05, "landmarks": 0.005, "sketch": 0.056}
 
 
 # -- preparation -----------------------------------------------------------------------------------------------
@@ -205,6 +209,47 @@ def poly_roc(spark, d):
     return E.roc_auc(E.one_vs_rest_scores(scored, "margins", CLASSES))
 
 
+def poly_sketch_roc(spark, d):
+    """The cubic machine over the sketch of its kernel, stored once for all classes."""
+    train, test = _sides(spark, d)
+    scored = T.fit_sketched_poly_svc(train, N_DIMS, CLASSES)(test)
+    return E.roc_auc(E.one_vs_rest_scores(scored, "margins", CLASSES))
+
+
+def landmark_metrics(spark, d):
+    """The kernel machine over landmark rows."""
+    train, test = _sides(spark, d)
+    return _metric_rows(spark, T.KERNEL_NAME, T.evaluate(T.fit_landmark_svc(train).transform(test)))
+
+
+def poly_sketch(spark, d):
+    """Sketch of the cubic kernel of every vector: its largest place, that place's value, and the kernel of the vector with
+    itself, exact and as the sketch has it."""
+    rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    sketched = rows.withColumn("s", kernels.lifted(F.col("v"), kernels.TensorSketch(N_DIMS, gamma=1.0)))
+    dot = F.aggregate("v", F.lit(0.0), lambda total, x: total + x * x)
+    return sketched.select(
+        "vec_id", F.expr("int(array_position(s, array_max(s)) - 1)").alias("top_place"), F.round(F.array_max("s"), 6).alias("top_value"),
+        F.round(F.pow(dot, F.lit(3)), 6).alias("kernel"), F.round(F.aggregate("s", F.lit(0.0), lambda total, x: total + x * x), 6).alias("estimate"))
+
+
+def kernel_estimates(spark, d):
+    """Each vector with the one of the next id: the kernels summed over all pairs, and whether each map's products differ
+    from them by no more than its bound on average (root mean square)."""
+    rows = table(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    pairs = rows.join(rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("w")), "vec_id")
+    dot = F.aggregate(F.zip_with("v", "w", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    far = F.aggregate(F.zip_with("v", "w", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x)
+    radial = F.exp(-T.KERNEL_GAMMA * far)
+    maps = {"fourier": kernels.Fourier(N_DIMS, 1_024), "landmarks": kernels.Landmarks(kernels.choose_landmarks(rows, "v", 256)),
+            "sketch": kernels.TensorSketch(N_DIMS, 4_096, gamma=1.0)}
+    found = kernels.kernel_errors(pairs, maps, "v", "w", {"fourier": radial, "landmarks": radial, "sketch": F.pow(dot, F.lit(3))})
+    error = F.sqrt(F.avg(F.pow(F.col("estimate") - F.col("exact"), F.lit(2))))
+    bound = F.element_at(F.create_map(*[F.lit(x) for pair in MAP_ERRORS.items() for x in pair]), F.col("map"))
+    return found.groupBy("map").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("exact"), 4).alias("kernel_sum"), error.alias("error")).select(
+        "map", "n", "kernel_sum", (F.col("error") <= bound).alias("close"))
+
+
 def cross_validation(spark, d):
     data = T.from_arrays(_vectors(spark, d), "embedding", "label", ["vec_id"])
     return T.cross_validate(data, T.forest(), "vec_id")
@@ -449,6 +494,10 @@ MODEL_QUERIES = {
     "forest_metrics": forest_metrics,
     "svc_metrics": svc_metrics,
     "poly_roc": poly_roc,
+    "poly_sketch_roc": poly_sketch_roc,
+    "poly_sketch": poly_sketch,
+    "landmark_metrics": landmark_metrics,
+    "kernel_estimates": kernel_estimates,
     "cross_validation": cross_validation,
     "learning_curve": learning_curve,
     "feature_elimination": feature_elimination,
