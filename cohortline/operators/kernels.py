@@ -150,13 +150,33 @@ def choose_landmarks(df: DataFrame, vec: str, n_landmarks: int = 256, seed: int
     return np.array([row["v"] for row in found], dtype=np.float64)
 
 
+def products(left: Column, right: Column, maps: Sequence, chunk: int = 1_024) -> Column:
+    """Products of two mapped array columns, one per map. The mapped rows of a chunk are all that is held. Null where either
+    array is null or has null or non-finite entries."""
+
+    @F.pandas_udf("array<double>")
+    def multiply(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            out = pd.Series([None] * len(a), dtype=object)
+            present = np.flatnonzero((a.notna() & b.notna()).to_numpy())
+            for start in range(0, len(present), chunk):
+                rows = present[start:start + chunk]
+                x, y = [np.array([np.asarray(side.iloc[i], dtype=np.float64) for i in rows]).reshape(len(rows), -1) for side in (a, b)]
+                usable = np.isfinite(x).all(axis=1) & np.isfinite(y).all(axis=1)
+                found = np.stack([(m.apply(x[usable]) * m.apply(y[usable])).sum(axis=1) for m in maps], axis=1)
+                for i, row in zip(rows[usable], found):
+                    out.iloc[i] = row
+            yield out
+
+    return multiply(left, right)
+
+
 def kernel_errors(pairs: DataFrame, maps: dict[str, object], left: str, right: str, exact: dict[str, Column],
                   keep: Sequence[str] = ()) -> DataFrame:
     """(keep..., map, exact, estimate) for each pair of arrays and each map: the kernel as ``exact`` states it, and the
     product of the mapped vectors."""
-    mapped = pairs.select(*keep, left, right, *[
-        F.struct(exact[name].alias("exact"), F.aggregate(
-            F.zip_with(lifted(F.col(left), m), lifted(F.col(right), m), lambda x, y: x * y),
-            F.lit(0.0), lambda total, x: total + x).alias("estimate")).alias(f"_m{i}") for i, (name, m) in enumerate(maps.items())])
-    rows = F.array(*[F.struct(F.lit(name).alias("map"), F.col(f"_m{i}.exact"), F.col(f"_m{i}.estimate")) for i, name in enumerate(maps)])
-    return mapped.select(*keep, F.inline(rows))
+    mapped = pairs.select(*keep, F.array(*[exact[name] for name in maps]).alias("_exact"),
+                          products(F.col(left), F.col(right), list(maps.values())).alias("_estimate"))
+    return mapped.select(*keep, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("map"), F.get("_exact", F.lit(i)).alias("exact"), F.get("_estimate", F.lit(i)).alias("estimate"))
+        for i, name in enumerate(maps)])))
