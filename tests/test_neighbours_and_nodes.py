@@ -104,6 +104,43 @@ def test_no_block_grows_with_a_class(spark, heaps):
     assert queries.select("q_part", "d_part").distinct().count() == 4
 
 
+def test_copies_of_rows_do_not_grow_with_the_table(spark, heaps):
+    """Small blocks asked for, large cells: a row is sent to a bounded number of blocks, not to one per so many rows."""
+    table = N.distinct_points(N.as_rows(frame(spark, heaps[0]), "id", "vec"), 3).table.select("pid", "scope", "vec").withColumn("cell", F.pmod("pid", F.lit(3)))
+    for side in N.blocks(table, table, 4):
+        assert side.count() <= 3000 * (N.MAX_BLOCKS + 3)
+
+
+@pytest.mark.parametrize("dims, pivots", [(40, 60), (2, 60)])
+def test_many_cells_match_brute_force(spark, dims, pivots, monkeypatch):
+    """Without structure the cells are searched by regions, with few dimensions one by one; for all points or for some."""
+    vectors = np.random.default_rng(5).normal(size=(1500, dims))
+    points = N.distinct_points(N.as_rows(frame(spark, vectors), "id", "vec"), 3)
+    sent, search = [], N.block_search
+    monkeypatch.setattr(N, "block_search", lambda routed, data, *a: sent.append(data.select("cell").distinct().count()) or search(routed, data, *a))
+    found = near_pairs(N.nearest_points(points, 3, n_pivots=pivots))
+    gaps = ((vectors[:, None, :] - vectors[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(gaps, np.inf)
+    assert found == {(i, int(j)) for i in range(1500) for j in np.argsort(gaps[i], kind="stable")[:3]}
+    assert (sent[1] <= N.REGIONS) == (dims == 40)
+    assert near_pairs(N.nearest_points(points, 3, n_pivots=pivots, queries=points.table.filter("pid % 20 = 0"))) == {p for p in found if p[0] % 20 == 0}
+
+
+def test_block_search_with_groups_equals_plain_order():
+    """More data rows than groups of columns, with copies of ids, null ids and rows that are not finite."""
+    rng = np.random.default_rng(4)
+    data, queries = rng.normal(size=(2003, 5)), rng.normal(size=(300, 5))
+    data[:300], data_ids = queries, np.arange(2003.0)
+    data_ids[400], data_ids[500], query_ids = 7.0, np.nan, np.arange(300.0)
+    data[600], query_ids[3] = np.inf, np.nan
+    q, d, dist = N._block_neighbours(queries, query_ids, data[:600], data_ids[:600], 2)
+    for i in (0, 3, 7, 299):
+        gaps = np.sqrt(((data[:600] - queries[i]) ** 2).sum(1))
+        gaps[data_ids[:600] == query_ids[i]] = np.inf
+        near = np.sort(gaps)[:2]
+        assert np.allclose(dist[2 * i:2 * i + 2], near) and len(q) == 600
+
+
 def test_text_ids_ties_and_copies(spark):
     """Equal vectors and equal distances: the smaller id first, in both searches."""
     points = np.array([[float(i % 12), float(i % 5)] for i in range(300)])
