@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,22 +100,25 @@ class TensorSketch:
 
 def lifted(values: Column, kernel_map, chunk: int = 1_024) -> Column:
     """The map of an array column. A null array and one with null or non-finite entries give null; an array of another
-    length raises."""
+    length raises. Mapped rows are many times wider than their inputs, so each chunk leaves before the next is mapped."""
 
-    @F.pandas_udf("array<double>")
-    def lift(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def lift(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = pd.Series([None] * len(batch), dtype=object)
-            present = np.flatnonzero(batch.notna().to_numpy())
-            for start in range(0, len(present), chunk):
-                rows = present[start:start + chunk]
-                block = np.array([np.asarray(batch.iloc[i], dtype=np.float64) for i in rows]).reshape(len(rows), -1)
-                if block.shape[1] != kernel_map.n_inputs:
-                    raise ValueError(f"vectors of {block.shape[1]} entries, the map takes {kernel_map.n_inputs}")
+            for start in range(0, len(batch), chunk):
+                rows = batch.slice(start, chunk)
+                present = np.flatnonzero(rows.is_valid().to_numpy(zero_copy_only=False))
+                found = rows.take(pa.array(present, pa.int64()))
+                for length in found.value_lengths().unique().to_pylist():
+                    if length != kernel_map.n_inputs:
+                        raise ValueError(f"vectors of {length} entries, the map takes {kernel_map.n_inputs}")
+                block = found.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(found), kernel_map.n_inputs)
                 usable = np.isfinite(block).all(axis=1)
-                for i, row in zip(rows[usable], kernel_map.apply(block[usable])):
-                    out.iloc[i] = row
-            yield out
+                mapped = kernel_map.apply(block[usable])
+                holds = np.zeros(len(rows), dtype=bool)
+                holds[present[usable]] = True
+                places = np.concatenate([[0], np.cumsum(holds) * mapped.shape[1]]).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(places), pa.array(np.ascontiguousarray(mapped).ravel()), mask=pa.array(~holds))
 
     return lift(values)
 

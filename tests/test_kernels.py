@@ -3,6 +3,7 @@
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,17 @@ def test_landmark_machine_predicts_as_sql_over_its_stored_tables(spark, tmp_path
             FROM points, '{tmp_path}/svc/landmarks/*.parquet' l JOIN weights USING (place) JOIN bias USING (class) GROUP BY id, class)
         SELECT id, arg_max(class, margin) FROM margins GROUP BY id""").fetchall()
     assert {i: float(cls) for i, cls in found} == scored
+
+
+def test_mapped_rows_leave_in_chunks(spark, monkeypatch):
+    """The rows of a large batch are never all held mapped: each chunk is an output of its own, nulls in place."""
+    lift = K.lifted(F.col("v"), K.TensorSketch(2, 16), chunk=10)
+    df = as_frame(spark, [None if i % 7 == 0 else [1.0, i] for i in range(95)]).coalesce(1)
+    got = {r["id"]: r["s"] for r in df.select("id", lift.alias("s")).collect()}
+    want = K.TensorSketch(2, 16).apply(np.array([[1.0, i] for i in range(95)]))
+    assert all((got[i] is None) == (i % 7 == 0) and (got[i] is None or np.allclose(got[i], want[i])) for i in range(95))
+    taken = []
+    monkeypatch.setattr(K.F, "arrow_udf", lambda kind: lambda f: lambda col: taken.append(f))
+    K.lifted(F.col("v"), K.TensorSketch(2, 16), chunk=10)
+    batch = pa.array([[1.0, float(i)] for i in range(95)])
+    assert [len(out) for out in taken[0](iter([batch]))] == [10] * 9 + [5]
