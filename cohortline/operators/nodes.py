@@ -3,28 +3,29 @@
 ``nodes``: (tree, node, feature, threshold, below, above, counts), one row per node, numbered from 0
 in each tree, the root first. An inner node sends values up to its threshold to ``below`` and others
 to ``above``; a leaf has -1 there and its class counts. Such a table can be read, joined, stored and
-compared by any engine, and scoring needs neither the training library nor Python workers.
+compared by any engine, and scoring does not need the training library.
 
 Scoring pairs each row with each tree: the trees are one row each, of arrays, and their number of
 nodes is checked before they are broadcast; larger forests are broadcast some trees at a time. A
-level is one projection over array look-ups, and the votes of a row meet again in the task that made
-them, before anything is shuffled.
+level is one projection over array look-ups. Where only the votes of a row are asked for, its batch walks
+all trees in place, so that no row is shuffled to bring its votes together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import stable_hash
-from cohortline.session import cut_lineage, pin_small, shared_path, store
+from cohortline.session import pin_small, shared_path, store
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, below int, above int, counts array<double>"
 #: Nodes of one broadcast, some 100 bytes each.
@@ -143,21 +144,36 @@ class NodeForest:
         filled = self.nodes.join(counted, ["tree", "node"], "left").withColumn("counts", F.coalesce("found", none)).drop("found")
         return NodeForest(store(filled, "nodes"), self.features, self.n_classes, self.max_nodes)
 
+    def _shares(self, trees: DataFrame, levels: int, x: Column) -> Column:
+        """Summed votes of some trees for an array of features, as an array. The trees are as many as a broadcast takes."""
+        n_features, n_classes = len(self.features), self.n_classes
+        packed = trees.select("feature", F.transform("threshold", lambda t: F.coalesce(t, F.lit(float("nan")))).alias("threshold"), "below", "above",
+                              F.flatten("votes").alias("votes"), "tree").orderBy("tree").toArrow().to_batches()
+        arrays = [[batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(5)] for batch in packed for i in range(batch.num_rows)]
+        held = trees.sparkSession.sparkContext.broadcast([(*tree[:4], tree[4].reshape(len(tree[0]), n_classes)) for tree in arrays])
+
+        @F.arrow_udf("array<double>")
+        def sum_votes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            for batch in batches:
+                # a null feature compares as not up to the threshold, as NaN does
+                values = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), n_features)
+                total, rows = np.zeros((len(batch), n_classes)), np.arange(len(batch))
+                for feature, threshold, below, above, votes in held.value:
+                    at = np.zeros(len(batch), dtype=np.int32)
+                    for _ in range(levels):
+                        down = np.where(values[rows, feature[at]] <= threshold[at], below[at], above[at])
+                        at = np.where(below[at] < 0, at, down)
+                    total += votes[at]
+                places = np.arange(len(batch) + 1, dtype=np.int32) * n_classes
+                yield pa.ListArray.from_arrays(pa.array(places), pa.array(total.ravel()))
+
+        return sum_votes(x)
+
     def transform(self, df: DataFrame) -> DataFrame:
         """Adds ``probability`` (an array: the mean of the trees' class shares) and ``prediction`` (the class with
-        the highest one, the lowest code on ties), like a fitted model."""
+        the highest one, the lowest code on ties), like a fitted model. Rows stay where they are: nothing is shuffled."""
         groups, levels, n_trees = self._packed()
-        marked = df.withColumn("_row", F.monotonically_increasing_id())
-        if len(groups) > 1:
-            marked = cut_lineage(marked)  # the same numbers for every group of trees
-        kept = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_kept")
-        votes = [F.sum(F.get("votes", F.lit(c))).alias(f"_v{c}") for c in range(self.n_classes)]
-        parts = [self._walk(marked.select("_row", kept, *[F.col(f"`{f}`") for f in self.features]), trees, levels).groupBy("_row").agg(
-            F.first("_kept").alias("_kept"), *votes) for trees in groups]
-        summed = parts[0]
-        if len(parts) > 1:
-            summed = reduce(DataFrame.unionByName, parts).groupBy("_row").agg(F.first("_kept").alias("_kept"), *[
-                F.sum(f"_v{c}").alias(f"_v{c}") for c in range(self.n_classes)])
-        shares = F.array(*[F.col(f"_v{c}") / n_trees for c in range(self.n_classes)])
-        scored = summed.select("_kept.*", shares.alias("probability"))
+        x = F.array(*[F.col(f"`{f}`").cast("double") for f in self.features])
+        summed = reduce(lambda a, b: F.zip_with(a, b, lambda p, q: p + q), [self._shares(trees, levels, x) for trees in groups])
+        scored = df.withColumn("probability", F.transform(summed, lambda v: v / n_trees))
         return scored.withColumn("prediction", (F.array_position("probability", F.array_max("probability")) - 1).cast("double"))

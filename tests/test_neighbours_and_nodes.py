@@ -250,3 +250,15 @@ def test_a_tree_beyond_the_bound_is_refused(spark, grown):
     _, names, model = grown
     with pytest.raises(ValueError, match="nodes, more than"):
         ND.NodeForest(ND.model_nodes(model, spark), names, 3, max_nodes=10).transform(grown[0])
+
+
+def test_scoring_by_nodes_shuffles_nothing(spark, heaps):
+    """Rows are scored where they are, null and NaN features going above, in one group of trees or several."""
+    df = frame(spark, heaps[0][:200, :2]).select("id", F.get("vec", F.lit(0)).alias("a"), F.when(F.col("id") % 5 > 0, F.get("vec", F.lit(1))).alias("b"))
+    nodes = spark.createDataFrame([(t, 0, t, 0.0, 1, 2, None) for t in (0, 1)] + [(t, n, -1, None, -1, -1, [2.0 - n, n - 1.0]) for t in (0, 1) for n in (1, 2)], ND.NODE_SCHEMA)
+    for most in (6, 3):
+        scored = ND.NodeForest(nodes, ["a", "b"], 2, max_nodes=most).transform(df)
+        assert "Exchange hashpartitioning" not in scored._jdf.queryExecution().executedPlan().toString()
+        for r in scored.select("id", "a", "b", "probability", "prediction").filter("id < 60").collect():
+            above = ((r["a"] > 0) + (r["b"] is None or r["b"] > 0)) / 2
+            assert r["probability"] == [1 - above, above] and r["prediction"] == float(above > 0.5)
