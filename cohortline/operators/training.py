@@ -30,6 +30,8 @@ KERNEL_C, KERNEL_GAMMA = 5.0, 0.05
 # How the forest is grown, not what grows: wide levels in few passes, row-to-node
 # ids kept and checkpointed instead of replayed from the root.
 FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+#: Nodes of the forests that grow side by side, at most so many where there is more than one forest.
+MAX_GROWN_NODES = 1_000_000
 FOREST_NAME, KERNEL_NAME = "RandomForestClassifier", "SVC"
 
 
@@ -218,13 +220,21 @@ def _side_by_side(tasks: list[Callable], parallelism: int) -> list:
         return [future.result() for future in [pool.submit(task) for task in tasks]]
 
 
+def _fits_at_once(estimator: Estimator, n_rows: int, parallelism: int) -> int:
+    """How many fits run side by side: the driver holds the nodes of every forest that grows, so large ones take turns."""
+    if not isinstance(estimator, RandomForestClassifier):
+        return parallelism
+    nodes = estimator.getNumTrees() * min(2 ** (estimator.getMaxDepth() + 1), 2 * n_rows // estimator.getMinInstancesPerNode() + 1)
+    return max(1, min(parallelism, MAX_GROWN_NODES // nodes))
+
+
 def cross_validate(df: DataFrame, estimator: Estimator, key: str, n_folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """(fold, accuracy) of stratified shuffled folds."""
     folded = _stored(stratified_folds(df, "label", key, n_folds, seed))
     try:
         def task(fold):
             return lambda: (fold, _accuracy(estimator.fit(folded.filter(F.col("fold") != fold)).transform(folded.filter(F.col("fold") == fold))))
-        rows = _side_by_side([task(fold) for fold in range(n_folds)], parallelism)
+        rows = _side_by_side([task(fold) for fold in range(n_folds)], _fits_at_once(estimator, folded.count(), parallelism))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
@@ -246,7 +256,8 @@ def learning_curve(df: DataFrame, estimator: Estimator, key: str, fractions: Seq
                 model = estimator.fit(rows)
                 return (float(fraction), fold, rows.count(), _accuracy(model.transform(rows)), _accuracy(model.transform(folded.filter(F.col("fold") == fold))))
             return run
-        rows = _side_by_side([task(fraction, fold) for fraction in fractions for fold in range(n_folds)], parallelism)
+        rows = _side_by_side([task(fraction, fold) for fraction in fractions for fold in range(n_folds)],
+                             _fits_at_once(estimator, folded.count(), parallelism))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "fraction double, fold int, n_train bigint, train_accuracy double, test_accuracy double")
@@ -281,7 +292,7 @@ def eliminate_features(df: DataFrame, features: Sequence[str], label: str, key:
             return scores, kept
 
         tasks = [(lambda f=f: path(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f))) for f in range(n_folds)]
-        results = _side_by_side([*tasks, lambda: path(folded, None)], parallelism)
+        results = _side_by_side([*tasks, lambda: path(folded, None)], _fits_at_once(estimator, folded.count(), parallelism))
     finally:
         folded.unpersist()
     kept = results[-1][1]

@@ -306,3 +306,14 @@ def test_registered_queries_use_full_settings(spark, sf_dir, monkeypatch):
     assert (bound.arguments["degree"], bound.arguments["max_iter"]) == (3, 50)
     forests = {name: (found[name].getNumTrees(), found[name].getMaxDepth()) for name in ("feature_elimination", "batch_score")}
     assert forests == {"feature_elimination": (100, 10), "batch_score": (70, 18)}
+
+
+def test_large_forests_take_turns(spark, monkeypatch):
+    """The driver holds every forest that grows: small ones grow side by side, large ones one at a time."""
+    df = spark.range(60).select(F.col("id"), F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    data, small = T.assemble(df, ["x"], "label", ["id"]), T.forest(numTrees=2, maxDepth=2)
+    used, run = [], T._side_by_side
+    monkeypatch.setattr(T, "_side_by_side", lambda tasks, parallelism: used.append(parallelism) or run(tasks, parallelism))
+    before = T.cross_validate(data, small, "id", n_folds=2).collect()
+    monkeypatch.setattr(T, "MAX_GROWN_NODES", 10)
+    assert T.cross_validate(data, small, "id", n_folds=2).collect() == before and used == [4, 1]
