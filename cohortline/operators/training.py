@@ -32,6 +32,10 @@ KERNEL_C, KERNEL_GAMMA = 5.0, 0.05
 FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 #: Nodes of the forests that grow side by side, at most so many where there is more than one forest.
 MAX_GROWN_NODES = 1_000_000
+#: Training rows of one partition, at most; fewer where that leaves cores idle.
+PARTITION_ROWS, EXPANDED_ROWS = 1_000_000, 256
+#: Bytes of expanded rows that the machines fitted side by side hold together, where there is more than one machine.
+MAX_EXPANDED_BYTES = 4 * 2 ** 30
 FOREST_NAME, KERNEL_NAME = "RandomForestClassifier", "SVC"
 
 
@@ -151,9 +155,15 @@ def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, gamma
         scaled = F.transform(vector_to_array("features"), lambda x: x * math.sqrt(gamma))
         return expand.transform(df.withColumn("scaled", array_to_vector(scaled))).drop("scaled")
 
-    base = lifted(train)
-    models = _class_machines(base, "poly", classes, train.count(), c, max_iter)
-    return lambda df: _with_margins(lifted(df), "poly", models).drop("poly")
+    rows = cut_lineage(train.select("features", "label"))
+    n_rows = rows.count()
+    # expanded rows are many times wider than their inputs: the inputs are spread, each machine expands them anew
+    base = lifted(spread(rows, n_rows, EXPANDED_ROWS))
+    first = rows.first()
+    width = math.comb(len(first["features"]) + degree, degree) if first else 1
+    at_once = max(1, min(4, MAX_EXPANDED_BYTES // (8 * width * max(n_rows, 1))))
+    models = _class_machines(base, "poly", classes, n_rows, c, max_iter, at_once)
+    return lambda df: _with_margins(lifted(spread(df, df.count(), EXPANDED_ROWS)), "poly", models).drop("poly")
 
 
 def fit_sketched_poly_svc(train: DataFrame, n_inputs: int, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3,
@@ -215,6 +225,12 @@ def _stored(df: DataFrame) -> DataFrame:
     return cut_lineage(df).persist()
 
 
+def spread(df: DataFrame, n_rows: int, rows_each: int = PARTITION_ROWS) -> DataFrame:
+    """``df`` dealt out in turn: a small file is one partition, which one core alone would work on, fit after fit."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(cores, -(-n_rows // rows_each)))
+
+
 def _side_by_side(tasks: list[Callable], parallelism: int) -> list:
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return [future.result() for future in [pool.submit(task) for task in tasks]]
@@ -256,8 +272,12 @@ def learning_curve(df: DataFrame, estimator: Estimator, key: str, fractions: Seq
                 model = estimator.fit(rows)
                 return (float(fraction), fold, rows.count(), _accuracy(model.transform(rows)), _accuracy(model.transform(folded.filter(F.col("fold") == fold))))
             return run
-        rows = _side_by_side([task(fraction, fold) for fraction in fractions for fold in range(n_folds)],
-                             _fits_at_once(estimator, folded.count(), parallelism))
+        # small fractions grow small trees: each takes turns by its own rows, not by those of the largest
+        picked = folded.groupBy("fold").agg(*[F.count_if(F.col("_pick") < int(f * HASH_RANGE)).alias(f"n{i}") for i, f in enumerate(fractions)]).collect()
+        rows = []
+        for i, fraction in enumerate(fractions):
+            n_train = max((sum(r[f"n{i}"] for r in picked if r["fold"] != fold) for fold in range(n_folds)), default=0)
+            rows += _side_by_side([task(fraction, fold) for fold in range(n_folds)], _fits_at_once(estimator, n_train, parallelism))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "fraction double, fold int, n_train bigint, train_accuracy double, test_accuracy double")
