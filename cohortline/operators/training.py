@@ -343,6 +343,9 @@ def load_model(path: str) -> PipelineModel:
 
 
 def fit_pipeline(train: DataFrame, features: Sequence[str], estimator: Estimator) -> PipelineModel:
-    """Assembler and estimator as one persistable model over named columns."""
+    """Assembler and estimator as one persistable model over named columns. Rows are spread over the cores and stored in
+    the order of their values, so that every pass and every run draws the same rows for a tree."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    return Pipeline(stages=[assembler, estimator]).fit(train)
+    read = [f"`{c}`" for c in dict.fromkeys([*features, estimator.getLabelCol()])]
+    rows = train.select(*read)
+    return Pipeline(stages=[assembler, estimator]).fit(cut_lineage(spread(rows, rows.count()).sortWithinPartitions(*read)))

@@ -317,3 +317,36 @@ def test_large_forests_take_turns(spark, monkeypatch):
     before = T.cross_validate(data, small, "id", n_folds=2).collect()
     monkeypatch.setattr(T, "MAX_GROWN_NODES", 10)
     assert T.cross_validate(data, small, "id", n_folds=2).collect() == before and used == [4, 1]
+
+
+def test_small_files_are_fitted_and_scored_on_all_cores(spark, sf_dir, monkeypatch):
+    """A file of one row group is one partition; fits and scores work on as many as there are cores."""
+    from cohortline.plans import model_queries as Q
+
+    df, cores = spark.createDataFrame(blobs(120)).coalesce(1), spark.sparkContext.defaultParallelism
+    parts = []
+
+    class Seen(T.RandomForestClassifier):
+        def _fit(self, dataset):
+            parts.append(dataset.rdd.getNumPartitions())
+            return super()._fit(dataset)
+
+    model = T.fit_pipeline(df.withColumn("label", F.col("label").cast("double")), ["x", "y"], Seen(numTrees=4, maxDepth=4, seed=1))
+    assert T._accuracy(model.transform(df)) > 0.9
+
+    machines = T._class_machines
+    monkeypatch.setattr(T, "_class_machines", lambda base, *a: parts.append(base.rdd.getNumPartitions()) or machines(base, *a))
+    T.fit_poly_svc(T.assemble(df, ["x", "y"], "label"), [0, 1, 2], degree=2, max_iter=3)
+
+    class Reached(Exception):
+        pass
+
+    def score(accepted, *args, **kwargs):
+        parts.append(accepted.rdd.getNumPartitions())
+        raise Reached
+
+    monkeypatch.setattr(Q.T, "fit_pipeline", lambda *a: None)
+    monkeypatch.setattr(Q.S, "score", score)
+    with pytest.raises(Reached):
+        Q.batch_score(spark, sf_dir)
+    assert cores > 1 and parts == [cores] * 3
