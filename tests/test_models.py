@@ -319,6 +319,17 @@ def test_large_forests_take_turns(spark, monkeypatch):
     assert T.cross_validate(data, small, "id", n_folds=2).collect() == before and used == [4, 1]
 
 
+def test_fractions_of_a_curve_take_turns_by_their_own_rows(spark, monkeypatch):
+    df = spark.range(60).select(F.col("id"), F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    data, small = T.assemble(df, ["x"], "label", ["id"]), T.forest(numTrees=2, maxDepth=4)
+    used, run = [], T._side_by_side
+    monkeypatch.setattr(T, "_side_by_side", lambda tasks, parallelism: used.append(parallelism) or run(tasks, parallelism))
+    monkeypatch.setattr(T, "MAX_GROWN_NODES", 30)
+    curve = T.learning_curve(data, small, "id", fractions=(0.3, 1.0), n_folds=2).collect()
+    assert [(r["fraction"], r["fold"]) for r in curve] == [(0.3, 0), (0.3, 1), (1.0, 0), (1.0, 1)]
+    assert used[0] > 1 and used[1:] == [1]
+
+
 def test_small_files_are_fitted_and_scored_on_all_cores(spark, sf_dir, monkeypatch):
     """A file of one row group is one partition; fits and scores work on as many as there are cores."""
     from cohortline.plans import model_queries as Q
