@@ -28,10 +28,15 @@ from cohortline.session import cut_lineage
 FOREST_SETTINGS = {"numTrees": 70, "maxDepth": 18, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "seed": 42}
 KERNEL_C, KERNEL_GAMMA = 5.0, 0.05
 # How the forest is grown, not what grows: wide levels in few passes, row-to-node
-# ids kept and checkpointed instead of replayed from the root.
-FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+# ids kept and checkpointed instead of replayed from the root; not at the last pass of a forest of 10 levels, which nothing follows.
+FOREST_EXECUTION = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 20}
 #: Nodes of the forests that grow side by side, at most so many where there is more than one forest.
 MAX_GROWN_NODES = 1_000_000
+#: Bytes of draws and node ids (four numbers a row and tree) that the forests growing side by side keep, where there is more than one.
+MAX_KEPT_BYTES = 12 * 2 ** 30
+#: From so many rows on, a forest's rows are dealt out evenly (a task more than cores is a second wave in every pass) and sorted by
+#: their values: neighbours then meet in the same nodes, which stay in the processor's cache.
+SORTED_ROWS = 100_000
 #: Training rows of one partition, at most; fewer where that leaves cores idle.
 PARTITION_ROWS, EXPANDED_ROWS = 1_000_000, 256
 #: Bytes of expanded rows that the machines fitted side by side hold together, where there is more than one machine.
@@ -241,7 +246,8 @@ def _fits_at_once(estimator: Estimator, n_rows: int, parallelism: int) -> int:
     if not isinstance(estimator, RandomForestClassifier):
         return parallelism
     nodes = estimator.getNumTrees() * min(2 ** (estimator.getMaxDepth() + 1), 2 * n_rows // estimator.getMinInstancesPerNode() + 1)
-    return max(1, min(parallelism, MAX_GROWN_NODES // nodes))
+    kept = 16 * estimator.getNumTrees() * max(n_rows, 1)
+    return max(1, min(parallelism, MAX_GROWN_NODES // nodes, MAX_KEPT_BYTES // kept))
 
 
 def cross_validate(df: DataFrame, estimator: Estimator, key: str, n_folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
@@ -295,7 +301,9 @@ def eliminate_features(df: DataFrame, features: Sequence[str], label: str, key:
     its weakest features by itself and scores every size; the final lists come from
     the same elimination on all rows. The best size is the highest mean, the
     smaller on ties."""
-    folded = _stored(stratified_folds(df, label, key, n_folds, seed))
+    folded = stratified_folds(df, label, key, n_folds, seed)
+    n_rows = df.count()
+    folded = _stored(spread(folded, n_rows).sortWithinPartitions(*[f"`{f}`" for f in features]) if n_rows >= SORTED_ROWS else folded)
     try:
         def path(train, test):
             left, scores, kept = list(features), {}, {}
@@ -312,7 +320,7 @@ def eliminate_features(df: DataFrame, features: Sequence[str], label: str, key:
             return scores, kept
 
         tasks = [(lambda f=f: path(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f))) for f in range(n_folds)]
-        results = _side_by_side([*tasks, lambda: path(folded, None)], _fits_at_once(estimator, folded.count(), parallelism))
+        results = _side_by_side([*tasks, lambda: path(folded, None)], _fits_at_once(estimator, n_rows, parallelism))
     finally:
         folded.unpersist()
     kept = results[-1][1]

@@ -361,3 +361,26 @@ def test_small_files_are_fitted_and_scored_on_all_cores(spark, sf_dir, monkeypat
     with pytest.raises(Reached):
         Q.batch_score(spark, sf_dir)
     assert cores > 1 and parts == [cores] * 3
+
+
+def test_eliminating_forests_read_sorted_rows_on_all_cores(spark, monkeypatch):
+    """Many rows are dealt out evenly and sorted; the forests that grow side by side keep a bounded number of draws and node ids."""
+    df, cores = spark.createDataFrame(blobs(120)).withColumn("id", F.monotonically_increasing_id()).coalesce(1), spark.sparkContext.defaultParallelism
+    seen = []
+
+    class Seen(T.RandomForestClassifier):
+        def _fit(self, dataset):
+            parts = dataset.rdd.glom().map(lambda rows: [tuple(r["features"].toArray().tolist()) for r in rows]).collect()
+            seen.append((len(parts), all(rows == sorted(rows) for rows in parts)))
+            return super()._fit(dataset)
+
+    estimator = Seen(numTrees=2, maxDepth=2, seed=1)
+    small = T.eliminate_features(df, ["x", "y"], "label", "id", estimator, n_folds=2)
+    assert seen == [(1, False)] * 6
+    monkeypatch.setattr(T, "SORTED_ROWS", 100)
+    large = T.eliminate_features(df, ["x", "y"], "label", "id", estimator, n_folds=2)
+    # the later fits of a fold may read the second column alone, which only runs of equal first values sort
+    assert {n for n, _ in seen[6:]} == {cores} and sum(ordered for _, ordered in seen[6:]) >= 3
+    assert [r["n_features"] for r in large.collect()] == [r["n_features"] for r in small.collect()] == [1, 2]
+    assert T._fits_at_once(T.forest(numTrees=100, maxDepth=10), 600_000, 4) == 4
+    assert T._fits_at_once(T.forest(numTrees=100, maxDepth=10), 3_600_000, 4) == 2
