@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -241,22 +242,72 @@ def _side_by_side(tasks: list[Callable], parallelism: int) -> list:
         return [future.result() for future in [pool.submit(task) for task in tasks]]
 
 
+def _tree_nodes(estimator: RandomForestClassifier, n_rows: int) -> int:
+    """Nodes of a tree, at most."""
+    return min(2 ** (estimator.getMaxDepth() + 1), 2 * n_rows // estimator.getMinInstancesPerNode() + 1)
+
+
 def _fits_at_once(estimator: Estimator, n_rows: int, parallelism: int) -> int:
     """How many fits run side by side: the driver holds the nodes of every forest that grows, so large ones take turns."""
     if not isinstance(estimator, RandomForestClassifier):
         return parallelism
-    nodes = estimator.getNumTrees() * min(2 ** (estimator.getMaxDepth() + 1), 2 * n_rows // estimator.getMinInstancesPerNode() + 1)
+    nodes = estimator.getNumTrees() * _tree_nodes(estimator, n_rows)
     kept = 16 * estimator.getNumTrees() * max(n_rows, 1)
     return max(1, min(parallelism, MAX_GROWN_NODES // nodes, MAX_KEPT_BYTES // kept))
 
 
+@dataclass(frozen=True)
+class ForestParts:
+    """A forest grown in parts: the votes of all its trees, summed as one model would."""
+
+    models: Sequence[Model]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scored = df
+        for i, model in enumerate(self.models):
+            scored = model.copy({model.rawPredictionCol: f"_votes_{i}", model.probabilityCol: "", model.predictionCol: ""}).transform(scored)
+        arrays = [vector_to_array(f"_votes_{i}") for i in range(len(self.models))]
+        votes = reduce(lambda total, part: F.zip_with(total, part, lambda x, y: x + y), arrays)
+        best = (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double")
+        return scored.withColumn("_votes", votes).withColumn("prediction", best).drop("_votes", *[f"_votes_{i}" for i in range(len(self.models))])
+
+
+def _part_sizes(estimator: RandomForestClassifier, n_rows: int, cores: int) -> list[int]:
+    """Trees of each part: a part for each core, smaller ones where the nodes that grow together would pass the bound."""
+    trees = estimator.getNumTrees()
+    each = max(2, min(-(-trees // cores), MAX_GROWN_NODES // _tree_nodes(estimator, n_rows) // cores))
+    n_parts = max(1, trees // each)
+    return [trees // n_parts + (i < trees % n_parts) for i in range(n_parts)]
+
+
+def _grow(estimator: Estimator, rows: DataFrame, n_rows: int, at_once: int) -> Model | ForestParts:
+    """Fit as one of ``at_once`` fits side by side. Each partition sends the counts of every node, whatever rows it has, so
+    a deep forest reads no more partitions than its share of the cores; one that takes its turn alone is grown in parts,
+    which share the cores. A shallow one has few nodes and keeps its partitions."""
+    if not isinstance(estimator, RandomForestClassifier) or _tree_nodes(estimator, n_rows) == 2 ** (estimator.getMaxDepth() + 1):
+        return estimator.fit(rows)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    sizes = _part_sizes(estimator, n_rows, cores) if at_once == 1 else [estimator.getNumTrees()]
+    together = max(1, min(len(sizes), cores, MAX_GROWN_NODES // (max(sizes) * _tree_nodes(estimator, n_rows))))
+    read = rows.coalesce(max(1, cores // (at_once * together), -(-n_rows // PARTITION_ROWS)))
+    if len(sizes) == 1:
+        return estimator.fit(read)
+
+    def part(i):
+        return lambda: estimator.copy({estimator.numTrees: sizes[i], estimator.seed: estimator.getSeed() + i}).fit(read)
+    with ThreadPoolExecutor(max_workers=together) as pool:
+        return ForestParts([future.result() for future in [pool.submit(part(i)) for i in range(len(sizes))]])
+
+
 def cross_validate(df: DataFrame, estimator: Estimator, key: str, n_folds: int = 5, seed: int = 42, parallelism: int = 4) -> DataFrame:
     """(fold, accuracy) of stratified shuffled folds."""
     folded = _stored(stratified_folds(df, "label", key, n_folds, seed))
     try:
         def task(fold):
-            return lambda: (fold, _accuracy(estimator.fit(folded.filter(F.col("fold") != fold)).transform(folded.filter(F.col("fold") == fold))))
-        rows = _side_by_side([task(fold) for fold in range(n_folds)], _fits_at_once(estimator, folded.count(), parallelism))
+            return lambda: (fold, _accuracy(_grow(estimator, folded.filter(F.col("fold") != fold), n_rows, at_once).transform(folded.filter(F.col("fold") == fold))))
+        n_rows = folded.count()
+        at_once = _fits_at_once(estimator, n_rows, parallelism)
+        rows = _side_by_side([task(fold) for fold in range(n_folds)], at_once)
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
@@ -272,18 +323,22 @@ def learning_curve(df: DataFrame, estimator: Estimator, key: str, fractions: Seq
     of smaller fractions are contained in those of larger ones."""
     folded = _stored(stratified_folds(df, "label", key, n_folds, seed).withColumn("_pick", stable_hash(key, seed=seed + 1)))
     try:
-        def task(fraction, fold):
+        def task(fraction, fold, n_train, at_once):
             def run():
-                rows = folded.filter((F.col("fold") != fold) & (F.col("_pick") < int(fraction * HASH_RANGE)))
-                model = estimator.fit(rows)
-                return (float(fraction), fold, rows.count(), _accuracy(model.transform(rows)), _accuracy(model.transform(folded.filter(F.col("fold") == fold))))
+                taught, tested = (F.col("fold") != fold) & (F.col("_pick") < int(fraction * HASH_RANGE)), F.col("fold") == fold
+                model = _grow(estimator, folded.filter(taught), n_train, at_once)
+                # both sides in one pass: a model of many nodes is sent out once
+                scored, hit = model.transform(folded.filter(taught | tested)), (F.col("label") == F.col("prediction")).cast("double")
+                n_rows, *found = scored.agg(F.count_if(taught), F.avg(F.when(taught, hit)), F.avg(F.when(tested, hit))).first()
+                return (float(fraction), fold, n_rows, *(float(x or 0.0) for x in found))
             return run
         # small fractions grow small trees: each takes turns by its own rows, not by those of the largest
         picked = folded.groupBy("fold").agg(*[F.count_if(F.col("_pick") < int(f * HASH_RANGE)).alias(f"n{i}") for i, f in enumerate(fractions)]).collect()
         rows = []
         for i, fraction in enumerate(fractions):
             n_train = max((sum(r[f"n{i}"] for r in picked if r["fold"] != fold) for fold in range(n_folds)), default=0)
-            rows += _side_by_side([task(fraction, fold) for fold in range(n_folds)], _fits_at_once(estimator, n_train, parallelism))
+            at_once = _fits_at_once(estimator, n_train, parallelism)
+            rows += _side_by_side([task(fraction, fold, n_train, at_once) for fold in range(n_folds)], at_once)
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(rows, "fraction double, fold int, n_train bigint, train_accuracy double, test_accuracy double")

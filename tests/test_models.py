@@ -384,3 +384,38 @@ def test_eliminating_forests_read_sorted_rows_on_all_cores(spark, monkeypatch):
     assert [r["n_features"] for r in large.collect()] == [r["n_features"] for r in small.collect()] == [1, 2]
     assert T._fits_at_once(T.forest(numTrees=100, maxDepth=10), 600_000, 4) == 4
     assert T._fits_at_once(T.forest(numTrees=100, maxDepth=10), 3_600_000, 4) == 2
+
+
+def test_large_forests_grow_in_parts(spark, monkeypatch):
+    """A forest with too many nodes to grow beside others is grown in parts, all its trees, each part on few partitions; the
+    parts vote together as one forest does."""
+    data = T.assemble(spark.createDataFrame(blobs(360)).withColumn("id", F.monotonically_increasing_id()), ["x", "y", "noise"], "label", ["id"])
+    data, cores = T.cut_lineage(T.spread(data, 360)), spark.sparkContext.defaultParallelism
+    fitted = []
+
+    class Seen(T.RandomForestClassifier):
+        def _fit(self, dataset):
+            fitted.append((self.getNumTrees(), self.getSeed(), dataset.rdd.getNumPartitions()))
+            return super()._fit(dataset)
+
+    estimator = Seen(numTrees=11, maxDepth=9, minInstancesPerNode=5, seed=3)
+    T._grow(estimator, data, 360, 4)
+    assert fitted == [(11, 3, max(1, cores // 4))]
+    monkeypatch.setattr(T, "MAX_GROWN_NODES", 900)
+    at_once = T._fits_at_once(estimator, 360, 4)
+    grown = T._grow(estimator, data, 360, at_once)
+    assert at_once == 1 and sum(n for n, _, _ in fitted[1:]) == 11 and len(fitted) > 3
+    assert len({seed for _, seed, _ in fitted[1:]}) == len(fitted) - 1 and {p for _, _, p in fitted[1:]} == {max(1, cores // 2)}
+    scored = grown.transform(data)
+    assert scored.columns == [*data.columns, "prediction"] and T._accuracy(scored) > 0.9
+    # votes of the trees, one by one
+    want = {}
+    for model in grown.models:
+        for row in model.transform(data).select("id", vector_to_array("rawPrediction").alias("votes")).collect():
+            want[row["id"]] = np.add(want.get(row["id"], 0), row["votes"])
+    assert {r["id"]: r["prediction"] for r in scored.collect()} == {i: float(np.argmax(v)) for i, v in want.items()}
+    curve = T.learning_curve(data, estimator, "id", fractions=(1.0,), n_folds=2).collect()
+    assert len(curve) == 2 and min(r["test_accuracy"] for r in curve) > 0.85
+    # a shallow forest has few nodes: rows decide, and it keeps all partitions
+    T._grow(Seen(numTrees=2, maxDepth=2, seed=1), data, 360, 1)
+    assert fitted[-1] == (2, 1, cores)
