@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from cohortline.functions.text import stable_hash
 from cohortline.operators import evaluate as E
 from cohortline.operators import kernels
+from cohortline.operators.forest import GrownForest, grow_forest
 from cohortline.operators.kernels import Landmarks, TensorSketch
 from cohortline.operators.prep import HASH_RANGE, stratified_folds, with_class_weight
 from cohortline.session import cut_lineage
@@ -55,8 +56,37 @@ def from_arrays(df: DataFrame, vec: str, label: str, keep: Sequence[str] = ()) -
     return df.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"), F.col(label).cast("double").alias("label"), *keep)
 
 
-def forest(**settings) -> RandomForestClassifier:
-    return RandomForestClassifier(**{**FOREST_SETTINGS, **FOREST_EXECUTION, **settings})
+class BinnedForest(RandomForestClassifier):
+    """The library's forest, which can also be grown by ``operators.forest``: same settings and rules, other draws."""
+
+    def can_grow(self) -> bool:
+        """Whether every setting is one the growth from bins knows."""
+        plain = self.getImpurity() == "gini" and self.getSubsamplingRate() == 1.0 and self.getMinInfoGain() == 0.0 and self.getMinWeightFractionPerNode() == 0.0
+        return plain and not self.isSet("weightCol") and not self.isSet("thresholds") and self.getMaxBins() <= 256 and self.getFeatureSubsetStrategy() in TRIED
+
+    def grow(self, rows: DataFrame) -> GrownForest:
+        settings = {"n_trees": self.getNumTrees(), "depth": self.getMaxDepth(), "least": self.getMinInstancesPerNode(), "seed": self.getSeed(),
+                    "tried": TRIED[self.getFeatureSubsetStrategy()], "bootstrap": self.getBootstrap()}
+        return grow_forest(rows, self.getFeaturesCol(), self.getLabelCol(), self.getMaxBins(), settings)
+
+
+#: Features a node chooses from, by strategy.
+TRIED = {"all": lambda n: n, "sqrt": lambda n: math.ceil(math.sqrt(n)), "log2": lambda n: max(1, math.ceil(math.log2(n))), "onethird": lambda n: math.ceil(n / 3.0)}
+
+
+def forest(**settings) -> BinnedForest:
+    return BinnedForest(**{**FOREST_SETTINGS, **FOREST_EXECUTION, **settings})
+
+
+def _fitted(estimator: Estimator, rows: DataFrame) -> Model:
+    """Forests are grown from binned rows where their settings allow it; anything else is fitted by the library."""
+    return estimator.grow(rows) if isinstance(estimator, BinnedForest) and estimator.can_grow() else estimator.fit(rows)
+
+
+def _released(model: Model) -> None:
+    """A grown forest's copies on the workers are dropped."""
+    if isinstance(model, GrownForest):
+        model.release()
 
 
 def fourier_features(df: DataFrame, n_inputs: int, n_components: int = 256, gamma: float = KERNEL_GAMMA, seed: int = 42) -> DataFrame:
@@ -411,4 +441,7 @@ def fit_pipeline(train: DataFrame, features: Sequence[str], estimator: Estimator
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     read = [f"`{c}`" for c in dict.fromkeys([*features, estimator.getLabelCol()])]
     rows = train.select(*read)
+    if isinstance(estimator, BinnedForest) and estimator.can_grow():
+        # its draws follow stored bins, whatever the order of the rows
+        return PipelineModel([assembler, estimator.grow(assembler.transform(cut_lineage(rows)))])
     return Pipeline(stages=[assembler, estimator]).fit(cut_lineage(spread(rows, rows.count()).sortWithinPartitions(*read)))
