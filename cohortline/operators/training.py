@@ -393,13 +393,14 @@ def eliminate_features(df: DataFrame, features: Sequence[str], label: str, key:
         def path(train, test):
             left, scores, kept = list(features), {}, {}
             while left:
-                model = estimator.fit(assemble(train, left, label))
+                model = _fitted(estimator, assemble(train, left, label))
                 kept[len(left)] = list(left)
                 if test is not None:
                     scores[len(left)] = _accuracy(model.transform(assemble(test, left, label)))
+                _released(model)
                 if len(left) == 1:
                     break
-                weight = model.featureImportances.toArray()
+                weight = model.importances if isinstance(model, GrownForest) else model.featureImportances.toArray()
                 weakest = sorted(range(len(left)), key=lambda i: (weight[i], -i))[:min(step, len(left) - 1)]
                 left = [f for i, f in enumerate(left) if i not in set(weakest)]
             return scores, kept

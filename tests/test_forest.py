@@ -108,3 +108,18 @@ def test_scoring_pipeline_is_grown_and_saved(spark, tmp_path):
     loaded = T.load_model(str(tmp_path / "model"))
     both = [m.transform(df).select("x", "prediction", vector_to_array("probability").alias("p")).orderBy("x").collect() for m in (model, loaded)]
     assert both[0] == both[1]
+
+
+def unfit(*args):
+    raise AssertionError("fitted by the library")
+
+
+def test_elimination_grows_from_bins(spark, monkeypatch):
+    """Every size and fold, and the path over all rows, without a fit of the library."""
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame(rng.normal(size=(200, 3)), columns=["x", "y", "noise"])
+    pdf["label"], pdf["id"] = (pdf["x"] + pdf["y"] > 0).astype(int), range(200)
+    monkeypatch.setattr(T.RandomForestClassifier, "_fit", unfit)
+    path = T.eliminate_features(spark.createDataFrame(pdf), ["noise", "x", "y"], "label", "id", T.forest(numTrees=9, maxDepth=6), n_folds=2)
+    assert [sorted(r["features"]) for r in path.orderBy("n_features").collect()][1:] == [["x", "y"], ["noise", "x", "y"]]
+    assert path.agg(F.max("mean_accuracy")).first()[0] > 0.8
