@@ -314,6 +314,8 @@ def _grow(estimator: Estimator, rows: DataFrame, n_rows: int, at_once: int) -> M
     """Fit as one of ``at_once`` fits side by side. Each partition sends the counts of every node, whatever rows it has, so
     a deep forest reads no more partitions than its share of the cores; one that takes its turn alone is grown in parts,
     which share the cores. A shallow one has few nodes and keeps its partitions."""
+    if isinstance(estimator, BinnedForest) and estimator.can_grow():
+        return estimator.grow(rows)
     if not isinstance(estimator, RandomForestClassifier) or _tree_nodes(estimator, n_rows) == 2 ** (estimator.getMaxDepth() + 1):
         return estimator.fit(rows)
     cores = rows.sparkSession.sparkContext.defaultParallelism
@@ -360,6 +362,7 @@ def learning_curve(df: DataFrame, estimator: Estimator, key: str, fractions: Seq
                 # both sides in one pass: a model of many nodes is sent out once
                 scored, hit = model.transform(folded.filter(taught | tested)), (F.col("label") == F.col("prediction")).cast("double")
                 n_rows, *found = scored.agg(F.count_if(taught), F.avg(F.when(taught, hit)), F.avg(F.when(tested, hit))).first()
+                _released(model)
                 return (float(fraction), fold, n_rows, *(float(x or 0.0) for x in found))
             return run
         # small fractions grow small trees: each takes turns by its own rows, not by those of the largest

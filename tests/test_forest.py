@@ -123,3 +123,10 @@ def test_elimination_grows_from_bins(spark, monkeypatch):
     path = T.eliminate_features(spark.createDataFrame(pdf), ["noise", "x", "y"], "label", "id", T.forest(numTrees=9, maxDepth=6), n_folds=2)
     assert [sorted(r["features"]) for r in path.orderBy("n_features").collect()][1:] == [["x", "y"], ["noise", "x", "y"]]
     assert path.agg(F.max("mean_accuracy")).first()[0] > 0.8
+
+
+def test_learning_curve_grows_from_bins(spark, rows, monkeypatch):
+    monkeypatch.setattr(T.RandomForestClassifier, "_fit", unfit)
+    curve = T.learning_curve(rows, T.forest(numTrees=15, maxDepth=10), "id", fractions=(0.2, 1.0), n_folds=3).collect()
+    assert len(curve) == 6 and min(r["test_accuracy"] for r in curve if r["fraction"] == 1.0) > 0.7
+    assert sum(r["n_train"] for r in curve if r["fraction"] == 1.0) == 2 * 900
