@@ -336,7 +336,12 @@ def cross_validate(df: DataFrame, estimator: Estimator, key: str, n_folds: int =
     folded = _stored(stratified_folds(df, "label", key, n_folds, seed))
     try:
         def task(fold):
-            return lambda: (fold, _accuracy(_grow(estimator, folded.filter(F.col("fold") != fold), n_rows, at_once).transform(folded.filter(F.col("fold") == fold))))
+            def run():
+                model = _grow(estimator, folded.filter(F.col("fold") != fold), n_rows, at_once)
+                accuracy = _accuracy(model.transform(folded.filter(F.col("fold") == fold)))
+                _released(model)
+                return fold, accuracy
+            return run
         n_rows = folded.count()
         at_once = _fits_at_once(estimator, n_rows, parallelism)
         rows = _side_by_side([task(fold) for fold in range(n_folds)], at_once)

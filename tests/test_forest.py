@@ -130,3 +130,14 @@ def test_learning_curve_grows_from_bins(spark, rows, monkeypatch):
     curve = T.learning_curve(rows, T.forest(numTrees=15, maxDepth=10), "id", fractions=(0.2, 1.0), n_folds=3).collect()
     assert len(curve) == 6 and min(r["test_accuracy"] for r in curve if r["fraction"] == 1.0) > 0.7
     assert sum(r["n_train"] for r in curve if r["fraction"] == 1.0) == 2 * 900
+
+
+def test_folds_grow_from_bins_and_split_large_roots_first(spark, rows, monkeypatch):
+    """No task holds a whole tree's rows beyond the bound: the levels above are split by all partitions."""
+    monkeypatch.setattr(T.RandomForestClassifier, "_fit", unfit)
+    monkeypatch.setattr(FO, "LOCAL_ROWS", 200)
+    held, top_levels = [], FO._top_levels
+    monkeypatch.setattr(FO, "_top_levels", lambda *a: held.append(top_levels(*a)) or held[-1])
+    folds = T.cross_validate(rows, T.forest(numTrees=12, maxDepth=9), "id", n_folds=2).collect()
+    assert len(folds) == 2 and min(r["accuracy"] for r in folds) > 0.7
+    assert all(len(top.feature) > 1 for tops, _, _ in held for top in tops.values())
