@@ -262,3 +262,15 @@ def test_scoring_by_nodes_shuffles_nothing(spark, heaps):
         for r in scored.select("id", "a", "b", "probability", "prediction").filter("id < 60").collect():
             above = ((r["a"] > 0) + (r["b"] is None or r["b"] > 0)) / 2
             assert r["probability"] == [1 - above, above] and r["prediction"] == float(above > 0.5)
+
+
+def test_few_dimensions_get_codes_longer_than_them(spark):
+    """With few dimensions the buckets shrink as the table grows: a code may have more signs than the vectors have numbers."""
+    vectors = np.random.default_rng(9).normal(size=(6000, 3))
+    points = N.distinct_points(N.as_rows(frame(spark, vectors), "id", "vec"), 4)
+    asked = points.table.filter("pid % 20 = 0")
+    settings = lsh.Projections(bucket_rows=32)
+    index = settings.fit(points, 4)
+    assert index.planes.shape[2] > 3 and index.recall >= 0.97
+    found = settings.search_with(index, points.table.select("pid", "scope", "vec"), 4, asked)
+    assert recall(near_pairs(found), near_pairs(N.nearest_points(points, 4, queries=asked))) >= 0.93
