@@ -13,14 +13,14 @@ from functools import reduce
 import numpy as np
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest, OneVsRestModel, RandomForestClassifier
-from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortline.functions.text import stable_hash
 from cohortline.operators import evaluate as E
-from cohortline.operators import kernels
+from cohortline.operators import kernels, polynomial
 from cohortline.operators.forest import GrownForest, grow_forest
 from cohortline.operators.kernels import Landmarks, TensorSketch
 from cohortline.operators.prep import HASH_RANGE, stratified_folds, with_class_weight
@@ -41,8 +41,6 @@ MAX_KEPT_BYTES = 12 * 2 ** 30
 SORTED_ROWS = 100_000
 #: Training rows of one partition, at most; fewer where that leaves cores idle.
 PARTITION_ROWS, EXPANDED_ROWS = 1_000_000, 256
-#: Bytes of expanded rows that the machines fitted side by side hold together, where there is more than one machine.
-MAX_EXPANDED_BYTES = 4 * 2 ** 30
 FOREST_NAME, KERNEL_NAME = "RandomForestClassifier", "SVC"
 
 
@@ -184,22 +182,18 @@ def fit_landmark_svc(train: DataFrame, c: float = KERNEL_C, gamma: float = KERNE
 def fit_poly_svc(train: DataFrame, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3, max_iter: int = 50) -> Callable[[DataFrame], DataFrame]:
     """One-vs-rest machines on polynomial features with balanced weights per class
     task; adds ``margins``, one decision value per class."""
-    expand = PolynomialExpansion(degree=degree, inputCol="scaled", outputCol="poly")
-
-    def lifted(df: DataFrame) -> DataFrame:
-        # inputs times sqrt(gamma), so that products carry the kernel's scale
-        scaled = F.transform(vector_to_array("features"), lambda x: x * math.sqrt(gamma))
-        return expand.transform(df.withColumn("scaled", array_to_vector(scaled))).drop("scaled")
-
     rows = cut_lineage(train.select("features", "label"))
     n_rows = rows.count()
-    # expanded rows are many times wider than their inputs: the inputs are spread, each machine expands them anew
-    base = lifted(spread(rows, n_rows, EXPANDED_ROWS))
-    first = rows.first()
-    width = math.comb(len(first["features"]) + degree, degree) if first else 1
-    at_once = max(1, min(4, MAX_EXPANDED_BYTES // (8 * width * max(n_rows, 1))))
-    models = _class_machines(base, "poly", classes, n_rows, c, max_iter, at_once)
-    return lambda df: _with_margins(lifted(spread(df, df.count(), EXPANDED_ROWS)), "poly", models).drop("poly")
+    # expanded rows are many times wider than their inputs: the inputs are spread, and expanded a few at a time
+    base = spread(rows, n_rows, EXPANDED_ROWS)
+    # inputs times sqrt(gamma), so that products carry the kernel's scale
+    scale = math.sqrt(gamma)
+    models = _class_machines(base, "features", classes, n_rows, c, max_iter, 1, (scale, degree))
+
+    def scored(df: DataFrame) -> DataFrame:
+        spaced = spread(df, df.count(), EXPANDED_ROWS)
+        return spaced.withColumn("margins", polynomial.margins(F.col("features"), models, scale, degree, df.sparkSession))
+    return scored
 
 
 def fit_sketched_poly_svc(train: DataFrame, n_inputs: int, classes: Sequence[int], c: float = 1.0, gamma: float = 0.1, degree: int = 3,
@@ -219,8 +213,14 @@ def fit_sketched_poly_svc(train: DataFrame, n_inputs: int, classes: Sequence[int
     return lambda df: _with_margins(lifted(df), "poly", models).drop("poly")
 
 
-def _class_machines(base: DataFrame, vec: str, classes: Sequence[int], n_rows: int, c: float, max_iter: int, parallelism: int = 1) -> dict:
-    """A linear machine with balanced weights for each class against the rest."""
+def _class_machines(base: DataFrame, vec: str, classes: Sequence[int], n_rows: int, c: float, max_iter: int, parallelism: int = 1,
+                    expansion: tuple[float, int] | None = None) -> dict:
+    """A linear machine with balanced weights for each class against the rest; over the polynomial ``expansion`` (scale,
+    degree) of the inputs, one pass serves those of all classes."""
+    if expansion:
+        # one array leaves a partition: no more of them than cores
+        cores = base.sparkSession.sparkContext.defaultParallelism
+        return polynomial.fit_machines(cut_lineage(base.coalesce(cores)), classes, *expansion, 1.0 / (c * max(n_rows, 1)), max_iter)
     def task(cls):
         def fit():
             rows = with_class_weight(base.withColumn("target", (F.col("label") == cls).cast("double")), "target")
